@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessella.llm import bpe, packing, token_counts
+from tessella.llm import bpe, fingerprints, packing, quality_rules, token_counts
 from tessella.session import prepare, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -14,14 +14,23 @@ def op4_token_counts(spark, sf_dir):
     return token_counts.count_documents(table(prepare(spark), sf_dir, "documents"), RANKS, END_OF_TEXT)
 
 
+def op5_document_fingerprints(spark, sf_dir):
+    return fingerprints.compare(table(prepare(spark), sf_dir, "documents"))
+
+
 def op7_byte_bpe(spark, sf_dir):
     return bpe.encode(table(prepare(spark), sf_dir, "documents"), RANKS)
 
 
+def op8_quality_rules(spark, sf_dir):
+    out = quality_rules.judge(table(prepare(spark), sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_capitals", "n_lines")
+
+
 def op9_best_fit_packing(spark, sf_dir):
     # the .json file holds the same vocabulary and merges as these ranks, so the ids are the same
     return packing.pack(table(prepare(spark), sf_dir, "documents"), RANKS)
 
 
-QUERIES = {f.__name__: f for f in (op4_token_counts, op7_byte_bpe, op9_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op4_token_counts, op5_document_fingerprints, op7_byte_bpe, op8_quality_rules, op9_best_fit_packing)}
 ORACLE_SQL = {}
