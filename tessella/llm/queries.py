@@ -3,13 +3,33 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessella.llm import bpe, fingerprints, packing, quality_rules, token_counts
+from tessella.llm import bpe, fingerprints, language_id, packing, quality_rules, token_counts, toxicity
 from tessella.session import prepare, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 END_OF_TEXT = 50256
 
 
+def _fold(n: int):
+    """crc32(doc_id as text) mod n."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
+
+
+def op2_language_id(spark, sf_dir):
+    docs = table(prepare(spark), sf_dir, "documents")
+    model = language_id.fit(docs.filter(_fold(5) != 0))
+    held = F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out")
+    return language_id.predict(docs.select("doc_id", "text", held), model, ["doc_id", "held_out"])
+
+
+def op3_toxicity(spark, sf_dir):
+    docs, labels = table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(_fold(4) != 2))
+    held = F.coalesce(_fold(4) == 2, F.lit(False)).alias("held_out")
+    scored = toxicity.score(docs.select("doc_id", "text", held), model, ["doc_id", "held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op4_token_counts(spark, sf_dir):
     return token_counts.count_documents(table(prepare(spark), sf_dir, "documents"), RANKS, END_OF_TEXT)
 
@@ -32,5 +52,5 @@ def op9_best_fit_packing(spark, sf_dir):
     return packing.pack(table(prepare(spark), sf_dir, "documents"), RANKS)
 
 
-QUERIES = {f.__name__: f for f in (op4_token_counts, op5_document_fingerprints, op7_byte_bpe, op8_quality_rules, op9_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op3_toxicity, op4_token_counts, op5_document_fingerprints, op7_byte_bpe, op8_quality_rules, op9_best_fit_packing)}
 ORACLE_SQL = {}
