@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessella.llm import bpe, fingerprints, language_id, packing, quality_rules, token_counts, toxicity
+from tessella.llm import bpe, fingerprints, language_id, minhash, packing, quality_rules, token_counts, toxicity
 from tessella.session import prepare, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -52,5 +52,11 @@ def op9_best_fit_packing(spark, sf_dir):
     return packing.pack(table(prepare(spark), sf_dir, "documents"), RANKS)
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op3_toxicity, op4_token_counts, op5_document_fingerprints, op7_byte_bpe, op8_quality_rules, op9_best_fit_packing)}
+def op10_minhash_near_dedup(spark, sf_dir):
+    found = minhash.find(table(prepare(spark), sf_dir, "documents"), width=4, least=80)
+    kept = F.coalesce(F.col("doc_id") == F.col("component"), F.col("component").isNull())
+    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"), kept.alias("kept"))
+
+
+QUERIES = {f.__name__: f for f in (op2_language_id, op3_toxicity, op4_token_counts, op5_document_fingerprints, op7_byte_bpe, op8_quality_rules, op9_best_fit_packing, op10_minhash_near_dedup)}
 ORACLE_SQL = {}

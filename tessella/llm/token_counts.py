@@ -18,7 +18,7 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from tessella import session
 from tessella.llm import textops as T
@@ -65,22 +65,27 @@ class Written(WriterCommitMessage):
         self.names = names
 
 
-class TokenWriter(DataSourceWriter):
-    """One file a task from rows whose `ids` are the little-endian bytes of whole documents with their separators.
+class TokenWriter(DataSourceArrowWriter):
+    """One flat file a task from rows with a `text`: option path, ranks (a rank file), eod, width (bytes an id).
 
     A task writes under a name of its attempt; the driver gives it its final name when the job commits.
     """
 
     def __init__(self, options):
-        self.path = options["path"]
+        self.path, self.ranks, self.eod, self.width = options["path"], options["ranks"], int(options["eod"]), int(options.get("width", 2))
 
-    def write(self, rows):
+    def write(self, batches):
         fs, root = pafs.FileSystem.from_uri(self.path)
         fs.create_dir(root, recursive=True)
         name = f"{root}/{TaskContext.get().partitionId():08d}"
         with fs.open_output_stream(tmp := f"{name}.{uuid.uuid4().hex}") as f:
-            for row in rows:
-                f.write(row.ids)
+            for batch in T.chunks(batches, 1 << 20):
+                flat, counts = T.encode_chunk(batch.column("text").to_pylist(), self.ranks)
+                whole = np.full(len(flat) + len(counts), self.eod, f"<u{self.width}")
+                keep = np.ones(len(whole), bool)
+                keep[np.cumsum(counts + 1) - 1] = False
+                whole[keep] = flat
+                f.write(whole.tobytes())
         return Written((tmp, f"{name}.tok"))
 
     def commit(self, messages):
@@ -97,7 +102,7 @@ class TokenWriter(DataSourceWriter):
 
 
 class TokenFiles(DataSource):
-    """format("token_files"): flat token files, read as segments, written from rows with bytes of ids."""
+    """format("token_files"): flat token files, read as segments, written from rows with texts."""
 
     @classmethod
     def name(cls):
@@ -116,17 +121,8 @@ class TokenFiles(DataSource):
 def write(docs: DataFrame, uri: str, path: str, eod: int, width: int = 2) -> None:
     """Tokenise docs(text) by a rank file and write one flat token file a partition under uri."""
 
-    def run(batches):
-        for batch in T.chunks(batches):
-            flat, counts = T.encode_chunk(batch.column("text").to_pylist(), path)
-            whole = np.full(len(flat) + len(counts), eod, f"<u{width}")
-            keep = np.ones(len(whole), bool)
-            keep[np.cumsum(counts + 1) - 1] = False
-            whole[keep] = flat
-            yield pa.RecordBatch.from_arrays([pa.array([whole.tobytes()], pa.binary())], names=["ids"])
-
     docs.sparkSession.dataSource.register(TokenFiles)
-    docs.select("text").mapInArrow(run, "ids binary").write.format("token_files").mode("append").save(uri)
+    docs.select("text").write.format("token_files").options(ranks=path, eod=eod, width=width).mode("append").save(uri)
 
 
 def count(spark: SparkSession, uri: str, eod: int, width: int = 2, block: int = 4 << 20, span: int = 1024) -> DataFrame:
