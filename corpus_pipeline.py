@@ -1,8 +1,48 @@
-"""Corpus pipeline: toxicity, quality rules, near-duplicates, packing."""
+"""Corpus pipeline: toxic documents go, poor ones go, one of each group of near-duplicates stays, and what is left is packed.
 
-STAGES: list = []
-ORACLE_SQL = None
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each one's rows as Parquet into
+the shared checkpoint folder and reads them again for the next, so a lost executor costs at most one stage's tasks.
+Labels for the toxicity machine come from the table `labels` of sf_dir and the documents that reach the stage.
+"""
+
+import uuid
+
+from tessella import session
+from tessella.llm import minhash, packing, quality_rules, toxicity
+from tessella.llm.queries import RANKS
+
+TOXIC = 0.3  # documents that score as much or more go
+
+
+def drop_toxic(spark, docs, sf_dir):
+    session.prepare(spark)
+    model = toxicity.fit(docs, session.table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, docs.columns, "toxic_score_").filter(f"toxic_score_ < {TOXIC}").drop("toxic_score_")
+
+
+def keep_good(spark, docs, sf_dir):
+    session.prepare(spark)
+    return quality_rules.keep(docs)
+
+
+def drop_near_copies(spark, docs, sf_dir):
+    session.prepare(spark)
+    return minhash.keep(docs)
+
+
+def pack_sequences(spark, docs, sf_dir):
+    session.prepare(spark)
+    return packing.pack(docs, RANKS)
+
+
+STAGES = [("toxicity", drop_toxic), ("quality_rules", keep_good), ("minhash_near_dedup", drop_near_copies), ("best_fit_packing", pack_sequences)]
+ORACLE_SQL = None  # a trained machine and tokens are nothing that SQL expresses; tests/llm/test_pipeline.py has the brute-force version
 
 
 def run(spark, sf_dir):
-    raise NotImplementedError
+    docs = session.table(spark, sf_dir, "documents")
+    folder = f"{session.checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -258,8 +258,10 @@ def _rest(large: DataFrame, labels: DataFrame, sets: DataFrame, least: int) -> D
 
 
 def keep(docs: DataFrame, width: int = 5, least: int = 80) -> DataFrame:
-    """One row of each component of docs(doc_id, text, ...), whole: the one of the smallest doc_id; equal rows of it once."""
+    """One row of each component of docs(doc_id, text, ...), whole: the one of the smallest doc_id; equal rows of it once.
+
+    A row without an id represents nothing: it stays, once a text, if no row with an id is linked to it.
+    """
     found = find(docs, "doc_id", width, least)
-    good = found.filter("doc_id = component").select("doc_id").distinct()
-    kept = docs.join(good, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept
+    good = found.filter("doc_id <=> component").select(F.col("doc_id").alias("good_")).distinct()
+    return docs.join(good, F.col("doc_id").eqNullSafe(F.col("good_")), "left_semi").dropDuplicates(["doc_id", "text"])

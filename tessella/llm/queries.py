@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessella.llm import bpe, fingerprints, language_id, minhash, packing, quality_rules, token_counts, toxicity
+from tessella.llm import bpe, fingerprints, html_extract, language_id, lm_scoring, minhash, packing, quality_rules, token_counts, toxicity
 from tessella.session import prepare, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -15,6 +15,10 @@ def _fold(n: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
 
 
+def op1_html_extraction(spark, sf_dir):
+    return html_extract.extract_pages(table(prepare(spark), sf_dir, "pages"))
+
+
 def op2_language_id(spark, sf_dir):
     docs = table(prepare(spark), sf_dir, "documents")
     model = language_id.fit(docs.filter(_fold(5) != 0))
@@ -38,6 +42,12 @@ def op5_document_fingerprints(spark, sf_dir):
     return fingerprints.compare(table(prepare(spark), sf_dir, "documents"))
 
 
+def op6_lm_scoring(spark, sf_dir):
+    scored = lm_scoring.score(table(prepare(spark), sf_dir, "documents"), _fold(7) != 2)
+    held = F.coalesce(_fold(7) == 2, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_byte_bpe(spark, sf_dir):
     return bpe.encode(table(prepare(spark), sf_dir, "documents"), RANKS)
 
@@ -58,5 +68,5 @@ def op10_minhash_near_dedup(spark, sf_dir):
     return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"), kept.alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op3_toxicity, op4_token_counts, op5_document_fingerprints, op7_byte_bpe, op8_quality_rules, op9_best_fit_packing, op10_minhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_language_id, op3_toxicity, op4_token_counts, op5_document_fingerprints, op6_lm_scoring, op7_byte_bpe, op8_quality_rules, op9_best_fit_packing, op10_minhash_near_dedup)}
 ORACLE_SQL = {}

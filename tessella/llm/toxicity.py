@@ -327,14 +327,14 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int
     return train(got)
 
 
-def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The columns of keep and score (0 to 1) of every row of docs(text)."""
+def score(docs: DataFrame, model: Model, keep: list[str], name: str = "score") -> DataFrame:
+    """The columns of keep and score (0 to 1, under the given name) of every row of docs(text)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a table of fixed size
-    schema = docs.select(*keep, F.lit(0.0).alias("score")).schema
+    schema = docs.select(*keep, F.lit(0.0).alias(name)).schema
 
     def run(batches):
         for batch in T.chunks(batches):
             s = shared.value.scores(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(s, pa.float64())], names=[*keep, "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(s, pa.float64())], names=[*keep, name])
 
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
