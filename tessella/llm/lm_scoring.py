@@ -32,10 +32,10 @@ from tessella import session
 from tessella.llm import textops as T
 
 STRENGTHS = (200.0, 5.0)  # K of histories of one token, of two
-BLOCK_CHARS = 1 << 22
+BLOCK_CHARS = 6 << 20
 EXCHANGE = "block long, bucket int, payload binary, counts binary"
 DOCS, STATS = -1, -2
-_END = np.uint64(0x5851F42D4C957F2D)  # the end token's hash; a document's beginning is the same state
+_END = np.uint64(0x5851F42D4C95)  # the end token's 48-bit hash; a document's beginning is the same state
 _NULL_ID = -(1 << 63)
 
 
@@ -57,14 +57,14 @@ def ngrams(tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _tokens(batch):
-    """Hashes of the tokens of a chunk, an end token after each text, and how many each text has."""
+    """48-bit hashes of the tokens of a chunk, an end token after each text, and how many each text has."""
     chunk = T.Chunk(batch.column("text").to_pylist())
     starts, ends = chunk.words()
     n = np.bincount(chunk.owner(starts), minlength=chunk.n) + 1 if len(starts) else np.ones(chunk.n, np.int64)
     out = np.full(int(n.sum()), _END)
     word = np.ones(len(out), bool)
     word[np.cumsum(n) - 1] = False
-    out[word] = chunk.hashes(starts, ends, chunk.lower())
+    out[word] = chunk.hashes(starts, ends, chunk.lower()) >> np.uint64(16)
     keys = batch.column("doc_key").to_numpy(zero_copy_only=False)
     train = batch.column("train_").to_numpy(zero_copy_only=False)
     sign = xxhash.xxh64(keys.tobytes() + n.tobytes() + train.tobytes() + out.tobytes()).intdigest() - (1 << 63)  # of the content: a recomputed task gives the same
@@ -91,9 +91,9 @@ def _emit_counts(n_buckets: int):
     def run(batches):
         for batch in T.chunks(batches, BLOCK_CHARS):
             sign, tokens, n, _, train = _tokens(batch)
-            grams = ngrams(tokens, n)
-            keys, inverse = np.unique(grams, return_inverse=True)
-            seen = np.bincount(inverse.ravel(), weights=np.tile(np.repeat(train, n), 3), minlength=len(keys)).astype(np.uint64)
+            keys, inverse = np.unique(ngrams(tokens, n), return_inverse=True)
+            seen = np.bincount(inverse.reshape(3, -1)[:, np.repeat(train, n)].ravel(), minlength=len(keys)).astype(np.uint64)
+            del inverse
             bucket = ((keys >> np.uint64(24)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
             cuts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist() + [len(keys)]
             yield _batch([(sign, int(bucket[a]), _planes(np.diff(keys[a:b], prepend=np.uint64(0))), _planes(seen[a:b])) for a, b in zip(cuts, cuts[1:])])
@@ -102,12 +102,26 @@ def _emit_counts(n_buckets: int):
 
 
 def _emit_docs(batches):
-    """A block's documents: the hashes of its distinct tokens and each token's number among them."""
+    """A block's documents: the hashes and counts of its distinct tokens, and each token's rank among them by count, then hash."""
     for batch in T.chunks(batches, BLOCK_CHARS):
         sign, tokens, n, keys, train = _tokens(batch)
-        words, index = np.unique(tokens, return_inverse=True)
-        head = T.press(np.concatenate([[len(n), len(words)], keys, n, train.astype(np.int64), words.view(np.int64)]).astype(np.int64))
-        yield _batch([(sign, DOCS, head, T.press(index.astype("<u4").view(np.uint8).reshape(-1, 4).T))])
+        words, index, times = np.unique(tokens, return_inverse=True, return_counts=True)
+        rank = np.empty(len(words), "<u4")
+        rank[np.argsort(-times, kind="stable")] = np.arange(len(words))
+        head = _planes(np.concatenate([[len(n)], keys, n]).astype(np.int64).view(np.uint64))
+        words, times = _planes(np.diff(words, prepend=np.uint64(0))), _planes(times)
+        sizes = np.array([len(head), len(words), len(times)], "<i8").tobytes()
+        yield _batch([(sign, DOCS, sizes + head + words + times, T.press(rank[index].view(np.uint8).reshape(-1, 4).T))])
+
+
+def _read_docs(payload: bytes, data: bytes):
+    """Ids, token counts and tokens of a block's documents."""
+    a, b, _ = np.frombuffer(payload[:24], "<i8").tolist()
+    head = _unplanes(payload[24 : 24 + a]).view(np.int64)
+    docs = int(head[0])
+    words, times = np.cumsum(_unplanes(payload[24 + a : 24 + a + b])), _unplanes(payload[24 + a + b :]).view(np.int64)
+    rank = T.unpress(data, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+    return head[1 : 1 + docs], head[1 + docs :], words[np.argsort(-times, kind="stable")][rank]
 
 
 def _answer(table):
@@ -164,10 +178,7 @@ def _assemble(totals: tuple):
         counts = np.concatenate([np.zeros(0, np.uint64), *[_unplanes(payload[answers[b]]) for b in sorted(answers)]])
         cols: dict = {k: [] for k in ("doc_key", "n_tokens", "n_known", "base_score", "score")}
         for row in np.flatnonzero(bucket == DOCS):
-            head = T.unpress(payload[row], np.int64)
-            docs, words = int(head[0]), head[len(head) - int(head[1]) :].view(np.uint64)
-            keys, n = head[2 : 2 + docs], head[2 + docs : 2 + 2 * docs]
-            tokens = words[T.unpress(data[row], np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()]
+            keys, n, tokens = _read_docs(payload[row], data[row])
             distinct, index = np.unique(ngrams(tokens, n), return_inverse=True)
             if len(distinct) != len(counts):
                 raise ValueError("a block met the answers of another one: its input rows changed between two reads")
