@@ -1,4 +1,7 @@
 """All queries and their SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from tessella.plans import detections, profiles, records, vectors
+
+MODULES = (detections, vectors, records, profiles)
+QUERIES: dict = {k: f for m in MODULES for k, f in m.QUERIES.items()}
+ORACLE_SQL: dict = {k: s for m in MODULES for k, s in m.ORACLE_SQL.items()}
