@@ -223,23 +223,29 @@ def _evidence(words: list[str], c0: np.ndarray, c1: np.ndarray, lists: list, y:
     """For each word the most toxic documents that share a run of four to six characters, or the word, which clean ones all but lack."""
     n0, n1 = int((y == 0).sum()), int((y == 1).sum())
     parts = lambda w: {w, *(w[k : k + n] for n in (4, 5, 6) for k in range(len(w) - n + 1))}
-    runs: dict[str, set] = {}
     where: dict[int, list] = {}
     for d in np.flatnonzero(y == 1).tolist():
         for i in lists[d].tolist():
             where.setdefault(i, []).append(d)
     bounded = {i: f"^{words[i][:LONGEST]}$" for i in where}
+    least = max(3, int(0.01 * n1))
+    # a run has at most as many documents as its words have in sum; only runs that could pass get a set of documents
+    most: dict[str, int] = {}
     for i, w in bounded.items():
         for g in parts(w):
-            runs.setdefault(g, set()).update(where[i])
-    least = max(3, int(0.01 * n1))
-    runs = {g: x for g, x in runs.items() if len(x) >= least}
-    clean: dict[str, int] = dict.fromkeys(runs, 0)
+            most[g] = most.get(g, 0) + len(where[i])
+    most = {g: n for g, n in most.items() if n >= least}
+    clean: dict[str, int] = dict.fromkeys(most, 0)
     for i in np.flatnonzero(c0).tolist():
         for g in parts(f"^{words[i][:LONGEST]}$"):
             if g in clean:
                 clean[g] += int(c0[i])
-    rare = {g: x for g, x in runs.items() if clean[g] * n1 <= ODDS * len(x) * n0}
+    runs: dict[str, set] = {g: set() for g, n in most.items() if clean[g] * n1 <= ODDS * n * n0}
+    for i, w in bounded.items():
+        for g in parts(w):
+            if g in runs:
+                runs[g].update(where[i])
+    rare = {g: x for g, x in runs.items() if len(x) >= least and clean[g] * n1 <= ODDS * len(x) * n0}
     # copies of one toxic document share all their words; so a run counts for documents only that are not explained COVER times yet
     open_ = np.full(len(lists), COVER)
     heap = [(-len(x), len(g), g) for g, x in rare.items()]
