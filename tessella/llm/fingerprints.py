@@ -63,7 +63,7 @@ def with_next(docs: DataFrame, rows_a_bucket: int = 500, most_buckets: int = 100
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     n = min(most_buckets, max(1, math.ceil(docs.count() / rows_a_bucket)))
     cuts = sorted(set(docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (4 * n)))) if n > 1 else []
-    cuts = [-math.inf, *cuts, math.inf]
+    cuts = [-math.inf, *(cuts or [0.0]), math.inf]
     bucketizer = Bucketizer(splits=cuts, inputCol="id_", outputCol="bucket_", handleInvalid="keep")
     rows = bucketizer.transform(docs.withColumn("id_", F.coalesce(F.col("doc_id").cast("double"), F.lit(0.0))))
     rows = rows.select("doc_id", "text", F.when(F.col("doc_id").isNull(), -1).otherwise(F.col("bucket_").cast("int")).alias("bucket"))
