@@ -1,6 +1,6 @@
 """Logs of corrections over tables: last writer wins, full folds, slice replacement, snapshots."""
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -71,17 +71,22 @@ def fold_actions(boxes: list[dict], actions: list[dict], locked: list[dict] = ()
 def overlay(boxes: DataFrame, actions: DataFrame, keys: list[str]) -> DataFrame:
     """fold_actions for every page. boxes: keys, x0, y0, x1, y1; actions: keys, ord, action, x0, y0, x1, y1, target."""
     pick = lambda df, extra: df.select(*keys, "x0", "y0", "x1", "y1", *extra)
-    both = pick(boxes.withColumn("ord", F.lit(None).cast("long")).withColumn("action", F.lit(None).cast("string")).withColumn("target", F.lit(None).cast("long")), ["ord", "action", "target"])
-    both = both.unionByName(pick(actions, ["ord", "action", "target"]))
+    none = lambda c, t: F.lit(None).cast(t).alias(c)
+    both = pick(boxes, [none("ord", "long"), none("action", "string"), none("target", "long")]).unionByName(pick(actions, ["ord", "action", "target"]))
+    # boxes come first (no ordinal), by place; then the actions in turn. A page is a bounded unit, so its rows meet in one array
+    row = F.struct("ord", "y0", "x0", "y1", "x1", "action", "target")
+    pages = both.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("rows"))
     schema = StructType([StructField(f.name, f.dataType) for f in boxes.select(*keys).schema] + [StructField(c, LongType()) for c in ("x0", "y0", "x1", "y1", "target")])
 
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        clean = lambda t: None if pd.isna(t) else int(t)
-        box = lambda r: (r.x0, r.y0, r.x1, r.y1)
-        old = [{"box": box(r)} for r in f[f.ord.isna()].sort_values(["y0", "x0", "y1", "x1"]).itertuples()]
-        acts = [{"action": r.action, "box": box(r), "target": clean(r.target)} for r in f[f.ord.notna()].sort_values("ord").itertuples()]
-        key = [f[k].iloc[0] for k in keys]
-        rows = [(*key, *map(int, b["box"]), b["target"]) for b in fold_actions(old, acts)]
-        return pd.DataFrame(rows, columns=[*keys, "x0", "y0", "x1", "y1", "target"]).astype({"target": "Int64"})
-
-    return both.groupBy(*keys).applyInPandas(run, schema)
+    def run(batches):
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                box = lambda x: (x["x0"], x["y0"], x["x1"], x["y1"])
+                old = [{"box": box(x)} for x in r["rows"] if x["ord"] is None]
+                acts = [{"action": x["action"], "box": box(x), "target": x["target"]} for x in r["rows"] if x["ord"] is not None]
+                out += [{k: r[k] for k in keys} | dict(zip(("x0", "y0", "x1", "y1", "target"), (*b["box"], b["target"]))) for b in fold_actions(old, acts)]
+            kinds = pa.schema([batch.schema.field(k) for k in keys] + [pa.field(c, pa.int64()) for c in ("x0", "y0", "x1", "y1", "target")])
+            yield pa.RecordBatch.from_pylist(out, kinds)
+
+    return pages.mapInArrow(run, schema)
