@@ -36,6 +36,7 @@ LANDMARKS = 512
 TOP, LOW = 3, -1.0  # the word scores of a document that count, and the least value of one
 ODDS = 0.02  # what runs of characters have in clean documents against toxic ones, at most, to count as offending
 COVER = 3  # offending runs looked for in a toxic document
+SLICE = 20_000  # words whose subsequences are laid out at once
 RIDGE, NEG = 0.05, 2.0  # of the machine: its ridge, and what a clean word weighs against an offending one
 
 
@@ -186,7 +187,8 @@ class Model:
         if len(starts):
             h = chunk.hashes(starts, ends, codes)
             _, place, inverse = np.unique(h, return_index=True, return_inverse=True)
-            score = self.word_scores(codes, starts[place], ends[place])
+            s, e = starts[place], ends[place]
+            score = np.concatenate([self.word_scores(codes, s[a : a + SLICE], e[a : a + SLICE]) for a in range(0, len(s), SLICE)])
             near = np.flatnonzero(score[inverse] > LOW)
             key = np.unique(owner[near] * len(place) + inverse[near])
             text, value = key // len(place), score[key % len(place)]
