@@ -12,26 +12,34 @@ from tessella.llm import minhash, packing, quality_rules, toxicity
 from tessella.llm.queries import RANKS
 
 TOXIC = 0.3  # documents that score as much or more go
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def _prepare(spark):
+    """Texts reach Python in batches of about 8 MB, unless the session has its own setting: they are held in the JVM and in Python at once."""
+    if not spark.sparkContext.getConf().contains(BATCH):
+        spark.conf.set(BATCH, str(8 << 20))
+    return session.prepare(spark)
 
 
 def drop_toxic(spark, docs, sf_dir):
-    session.prepare(spark)
+    _prepare(spark)
     model = toxicity.fit(docs, session.table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model, docs.columns, "toxic_score_").filter(f"toxic_score_ < {TOXIC}").drop("toxic_score_")
 
 
 def keep_good(spark, docs, sf_dir):
-    session.prepare(spark)
+    _prepare(spark)
     return quality_rules.keep(docs)
 
 
 def drop_near_copies(spark, docs, sf_dir):
-    session.prepare(spark)
+    _prepare(spark)
     return minhash.keep(docs)
 
 
 def pack_sequences(spark, docs, sf_dir):
-    session.prepare(spark)
+    _prepare(spark)
     return packing.pack(docs, RANKS)
 
 

@@ -6,6 +6,7 @@ without a Python loop over words.
 """
 
 import base64
+import ctypes
 import functools
 
 import numpy as np
@@ -131,8 +132,25 @@ def _classes(codes: np.ndarray) -> np.ndarray:
     return k
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+
+
+def release() -> None:
+    """Give freed memory back to the system: Spark keeps a task's Python worker for the tasks of later stages."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def chunks(batches, limit: int = 1 << 21):
     """Arrow batches cut into chunks of at most about `limit` characters of their text column (one row at least)."""
+    try:
+        yield from _chunks(batches, limit)
+    finally:
+        release()
+
+
+def _chunks(batches, limit: int):
     for batch in batches:
         size = np.zeros(batch.num_rows, np.int64)
         size[:] = pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)

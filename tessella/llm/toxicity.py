@@ -37,6 +37,7 @@ TOP, LOW = 3, -1.0  # the word scores of a document that count, and the least va
 ODDS = 0.02  # what runs of characters have in clean documents against toxic ones, at most, to count as offending
 COVER = 3  # offending runs looked for in a toxic document
 SLICE = 20_000  # words whose subsequences are laid out at once
+CHARS = 1 << 19  # characters of the texts that are scored at once
 RIDGE, NEG = 0.05, 2.0  # of the machine: its ridge, and what a clean word weighs against an offending one
 
 
@@ -341,7 +342,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], name: str = "score") -
     schema = docs.select(*keep, F.lit(0.0).alias(name)).schema
 
     def run(batches):
-        for batch in T.chunks(batches):
+        for batch in T.chunks(batches, CHARS):
             s = shared.value.scores(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(s, pa.float64())], names=[*keep, name])
 
