@@ -143,6 +143,27 @@ def test_packing(docs, none):
     assert packing.pack(none, queries.RANKS).count() == 0
 
 
+def test_packing_program_places_the_pieces():
+    import numpy as np
+
+    capacity, rng = 256, np.random.default_rng(3)
+    sizes = np.clip(rng.lognormal(4, 1, 6000).astype(int), 1, 2000) % capacity + 1
+    demand = np.bincount(sizes[sizes < capacity], minlength=capacity + 1)
+    demand[1] = 5  # fewer than a sequence holds
+    found = packing.solve(demand, capacity)
+    assert (sum(use * int(n) for use, n in found) == demand).all()  # every piece, none twice
+    assert all(use @ np.arange(capacity + 1) <= capacity for use, _ in found)
+    room = []  # best-fit decreasing, piece by piece
+    for size in np.repeat(np.arange(capacity + 1), demand)[::-1].tolist():
+        fits = [i for i, r in enumerate(room) if r >= size]
+        if fits:
+            room[min(fits, key=room.__getitem__)] -= size
+        else:
+            room.append(capacity - size)
+    assert sum(int(n) for _, n in found) <= len(room)
+    assert sum(n for _, n in packing.plan(np.bincount([600, 700, 1024], minlength=1025), 1024)) == 3  # no full filling
+
+
 def components(ids_sets, least):
     parent = {i: i for i, _ in ids_sets}
 
