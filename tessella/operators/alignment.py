@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,6 +64,68 @@ def align_paths(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(*keys, "a", "b").mapInPandas(run, schema)
 
 
+def _next_row(row: np.ndarray, code: int, b: np.ndarray, i: int, forced: tuple[int, int] | None) -> tuple[np.ndarray, np.ndarray]:
+    """The alignment's row behind `row`, in twentieths, and its moves: 0 a pair, 1 an extra row, 2 a missing column."""
+    gain = np.where((b == code) & (b >= 0), 10, -10)
+    if forced and i == forced[0]:
+        gain[:] = -100
+    if forced:
+        gain[forced[1]] = 100 if i == forced[0] else -100
+    pair, extra, steps = row[:-1] + gain, row[1:] - 1, np.arange(len(row))
+    # each step to the right costs one twentieth: a running maximum of what is level with them
+    out = np.maximum.accumulate(np.concatenate(([row[0] - 1], np.maximum(pair, extra))) + steps) - steps
+    return out, np.where(out[1:] == pair, 0, np.where(out[1:] == extra, 1, 2)).astype(np.int8)
+
+
+def align_codes(a: np.ndarray, b: np.ndarray, forced: tuple[int, int] | None = None, path: bool = True) -> tuple[int, list[tuple[int, int]]]:
+    """Score in twentieths and pairs of the best global alignment of two sequences of codes of any length; codes below 0 equal nothing.
+
+    Equal codes gain 0.5, others lose 0.5, GAP for what stays alone, ties as in align(); in whole numbers, so ties are exact.
+    A forced pair's row and column lose 5, its cell gains 5. Only every sqrt(n)-th row is kept; the way back builds the
+    moves of one block of rows at a time from it.
+    """
+    n, m, out = len(a), len(b), []
+    block = max(1, int(np.ceil(np.sqrt(n))))
+    row, kept = -np.arange(m + 1), []
+    for i in range(n):
+        if path and i % block == 0:
+            kept.append(row)
+        row = _next_row(row, a[i], b, i, forced)[0]
+    j = m
+    for k in range(len(kept) - 1, -1, -1):
+        begin, moves, at = k * block, [], kept[k]
+        for i in range(begin, min(n, begin + block)):
+            at, move = _next_row(at, a[i], b, i, forced)
+            moves.append(move)
+        i = begin + len(moves)
+        while i > begin:
+            move = moves[i - begin - 1][j - 1] if j else 1
+            if move == 0:
+                out.append((i - 1, j - 1))
+            i, j = i - (move != 2), j - (move != 1)
+    return int(row[-1]), out[::-1]
+
+
+def align_whole(df: DataFrame, key: str, paths: bool = False) -> DataFrame:
+    """key and twentieths, or the paired places i, j (from 1), of the whole arrays a and b; columns fa and fb, if any, are the forced pair (from 0)."""
+    columns = [c for c in (key, "a", "b", "fa", "fb") if c in df.columns]
+    names = [key, "i", "j"] if paths else [key, "twentieths"]
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column("a"), batch.column("b")
+            codes = pa.concat_arrays([x.flatten() for x in lists]).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = np.cumsum(np.concatenate([x.value_lengths().fill_null(0).to_numpy(zero_copy_only=False) for x in lists])).tolist()
+            n, begins = batch.num_rows, [0, *ends]
+            forced = zip(batch.column("fa").to_pylist(), batch.column("fb").to_pylist()) if "fa" in columns else [(None, None)] * n
+            for r, (k, pair) in enumerate(zip(batch.column(key).to_pylist(), forced)):
+                score, found = align_codes(codes[begins[r] : ends[r]], codes[begins[n + r] : ends[n + r]], None if None in pair or min(pair) < 0 else pair, paths)
+                rows = [[k] * len(found), [i + 1 for i, _ in found], [j + 1 for _, j in found]] if paths else [[k], [score]]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in rows], names=names)
+
+    return df.select(F.col(key).cast("long"), *columns[1:]).mapInArrow(run, ", ".join(f"{c} long" for c in names))
+
+
 def marker_partition(df: DataFrame, key: str, parts: int) -> DataFrame:
     """One marker for each of `parts` parts so that the counts between chosen markers come closest to even ones.
 

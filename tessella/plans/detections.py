@@ -68,17 +68,18 @@ def run_pairs_bounded(spark, sf_dir):
     return I.run_pairs(runs, ["user_id"], int(1.2 * 24 * HOUR), int(2.25 * 24 * HOUR), int(0.9 * 24 * HOUR))
 
 
-def _typed(spark, sf_dir):
-    """The first 12 event types of each user, in order."""
+def _typed(spark, sf_dir, most=12):
+    """The first `most` event types of each user, in order; all of them where it is None."""
     from pyspark.sql import Window
 
-    df = _events(spark, sf_dir, "event_type").withColumn("r", F.row_number().over(Window.partitionBy("user_id").orderBy("us", "event_id"))).filter("r <= 12")
+    df = _events(spark, sf_dir, "event_type").withColumn("r", F.row_number().over(Window.partitionBy("user_id").orderBy("us", "event_id")))
+    df = df if most is None else df.filter(F.col("r") <= most)
     return df.groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "event_type"))), lambda x: x["event_type"]).alias("a"))
 
 
-def _paired(spark, sf_dir):
+def _paired(spark, sf_dir, most=12):
     """Each user's sequence with the next id's."""
-    df = _typed(spark, sf_dir)
+    df = _typed(spark, sf_dir, most)
     return df.join(df.select((F.col("user_id") - 1).alias("user_id"), F.col("a").alias("b")), "user_id")
 
 
@@ -113,6 +114,20 @@ def align_path(spark, sf_dir):
     return A.align_paths(_paired(spark, sf_dir), ["user_id"])
 
 
+def align_score_whole(spark, sf_dir):
+    """align_score over all events of each user; like the next two without SQL, which folds only short arrays in fair time."""
+    return A.align_whole(_paired(spark, sf_dir, None), "user_id").select("user_id", S.r6(F.col("twentieths") / 20).alias("score"))
+
+
+def align_forced_whole(spark, sf_dir):
+    fa, fb = ((F.array_position(c, "purchase") - 1).cast("int").alias(f"f{c}") for c in ("a", "b"))
+    return A.align_whole(_paired(spark, sf_dir, None).select("*", fa, fb), "user_id").select("user_id", S.r6(F.col("twentieths") / 20).alias("score"))
+
+
+def align_path_whole(spark, sf_dir):
+    return A.align_whole(_paired(spark, sf_dir, None), "user_id", paths=True)
+
+
 def marker_partition(spark, sf_dir):
     from pyspark.sql import Window
 
@@ -134,7 +149,7 @@ def sandwich_promote(spark, sf_dir):
     return df.select("o_orderkey", F.when(F.col("promoted"), "aligned").when(F.col("o_orderstatus") == "O", "inferred").otherwise("anchored").alias("status"))
 
 
-QUERIES = {f.__name__: f for f in (islands_gap, islands_threshold, nms_greedy, interval_overlap_pairs, interval_iou_label, box_iou_pairs, run_pairs_bounded, align_score, align_forced, align_path, marker_partition, neighbour_fill, sandwich_promote)}
+QUERIES = {f.__name__: f for f in (islands_gap, islands_threshold, nms_greedy, interval_overlap_pairs, interval_iou_label, box_iou_pairs, run_pairs_bounded, align_score, align_forced, align_path, align_score_whole, align_forced_whole, align_path_whole, marker_partition, neighbour_fill, sandwich_promote)}
 
 ORACLE_SQL = {
     "islands_gap": f"{_ISLANDS} SELECT * FROM islands",

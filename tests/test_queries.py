@@ -61,6 +61,55 @@ def test_alignment_ties_and_empty():
     assert all(a < c and b < d for (a, b), (c, d) in zip(path, path[1:]))
 
 
+def brute_alignment(a, b, forced=None):
+    best = [[-(i + j) if not i or not j else None for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+
+    def gain(i, j):
+        if forced and (i == forced[0] or j == forced[1]):
+            return 100 if (i, j) == forced else -100
+        return 10 if a[i] is not None and a[i] == b[j] else -10
+
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            best[i][j] = max(best[i - 1][j - 1] + gain(i - 1, j - 1), best[i - 1][j] - 1, best[i][j - 1] - 1)
+    out, i, j = [], len(a), len(b)
+    while i and j:
+        if best[i][j] == best[i - 1][j - 1] + gain(i - 1, j - 1):
+            i, j = i - 1, j - 1
+            out.append((i + 1, j + 1))
+        elif best[i][j] == best[i - 1][j] - 1:
+            i -= 1
+        else:
+            j -= 1
+    return best[-1][-1], out[::-1]
+
+
+def test_whole_alignments(spark):
+    events, seqs = spark.read.parquet(f"{SF}/events.parquet").orderBy("user_id", "ts", "event_id").collect(), {}
+    for e in events:
+        seqs.setdefault(e.user_id, []).append(e.event_type)
+    assert max(map(len, seqs.values())) > 12
+    first = lambda s: s.index("purchase") if "purchase" in s else -1
+    pairs = {u: (a, seqs[u + 1]) for u, a in seqs.items() if u + 1 in seqs}
+    forced = {u: (first(a), first(b)) for u, (a, b) in pairs.items()}
+    run = lambda name: registry.QUERIES[name](spark, SF).collect()
+    plain = {u: brute_alignment(a, b) for u, (a, b) in pairs.items()}
+    assert {r.user_id: r.score for r in run("align_score_whole")} == {u: s / 20 for u, (s, _) in plain.items()}
+    assert sorted((r.user_id, r.i, r.j) for r in run("align_path_whole")) == sorted((u, *p) for u, (_, path) in plain.items() for p in path)
+    assert {r.user_id: r.score for r in run("align_forced_whole")} == {u: brute_alignment(a, b, None if min(forced[u]) < 0 else forced[u])[0] / 20 for u, (a, b) in pairs.items()}
+
+
+def test_whole_alignment_of_odd_sequences(spark):
+    import random
+
+    rng = random.Random(1)
+    seq = lambda n: [rng.choice(["x", "y", "z", None]) for _ in range(n)]
+    cases = [(k, seq(n), seq(m)) for k, (n, m) in enumerate([(0, 0), (0, 3), (3, 0), (1, 1), (150, 220), (7, 90), (90, 7)])]
+    df = spark.createDataFrame(cases, "user_id long, a array<string>, b array<string>").coalesce(1)
+    assert {r.user_id: r.twentieths for r in alignment.align_whole(df, "user_id").collect()} == {k: brute_alignment(a, b)[0] for k, a, b in cases}
+    assert sorted(map(tuple, alignment.align_whole(df, "user_id", True).collect())) == sorted((k, *p) for k, a, b in cases for p in brute_alignment(a, b)[1])
+
+
 def test_overlay_order():
     box = (0, 0, 10, 10)
     act = lambda v, t=None, b=box: {"action": v, "box": b, "target": t}
