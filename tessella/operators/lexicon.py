@@ -1,15 +1,18 @@
 """Dictionaries: inversion, overrides, longest-match conversion, look-ups, character classes."""
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def invert(df: DataFrame, key: str, values: str, most: int = 8) -> DataFrame:
-    """value, n_keys, first key, and up to `most` smallest keys, from a column of blank-separated values."""
-    pairs = df.select(F.col(key).alias("k"), F.explode(F.split(values, " ")).alias("value")).filter("value != ''").distinct()
-    # the smallest keys come from a partial aggregate: no list of all keys of a value is ever built
-    small = pairs.groupBy("value").agg(F.count("*").alias("n_keys"), F.min("k").alias("first_key"))
-    return small
+def pairs(df: DataFrame, key: str, values: str) -> DataFrame:
+    """The inverted index, one row (value, k) for each value of a key, from a column of blank-separated values: no value's keys meet in one row."""
+    return df.select(F.col(key).alias("k"), F.explode(F.split(values, " ")).alias("value")).filter("value != ''").distinct()
+
+
+def invert(df: DataFrame, key: str, values: str) -> DataFrame:
+    """value, n_keys and first_key, its smallest key; pairs() has all keys."""
+    return pairs(df, key, values).groupBy("value").agg(F.count("*").alias("n_keys"), F.min("k").alias("first_key"))
 
 
 def min_with_override(candidates: DataFrame, prefer: DataFrame, key: str, value: str) -> DataFrame:
@@ -22,7 +25,7 @@ def min_with_override(candidates: DataFrame, prefer: DataFrame, key: str, value:
 def longest_match(text: Column, entries: dict[str, str], longest: int) -> Column:
     """Text with its keys converted from left to right, at each place the longest key that fits; other characters stay.
 
-    entries: a small dictionary (a map literal in the plan). For large ones use convert_joined's broadcast map.
+    entries: a small dictionary (a map literal in the plan). For large ones, or long texts, use convert_broadcast.
     """
     table = F.create_map(*[F.lit(x) for kv in entries.items() for x in kv])
     places = F.sequence(F.lit(1), F.length(text))
@@ -35,6 +38,27 @@ def longest_match(text: Column, entries: dict[str, str], longest: int) -> Column
     return F.when(F.length(text) == 0, F.lit("")).otherwise(F.aggregate(places, start, step)["out"])
 
 
+def convert_broadcast(df: DataFrame, text: str, entries: dict[str, str], name: str) -> DataFrame:
+    """Adds `name`: longest_match of a column of texts of any length, with a dictionary of any size that fits a worker."""
+    shared = df.sparkSession.sparkContext.broadcast((entries, sorted({len(k) for k in entries if k}, reverse=True)))
+
+    @F.pandas_udf("string")
+    def convert(texts: pd.Series) -> pd.Series:
+        table, sizes = shared.value
+
+        def one(t):
+            out, p = [], 0
+            while p < len(t):
+                n = next((n for n in sizes if p + n <= len(t) and t[p : p + n] in table), 0)
+                out.append(table[t[p : p + n]] if n else t[p])
+                p += n or 1
+            return "".join(out)
+
+        return texts.map(one, na_action="ignore")
+
+    return df.withColumn(name, convert(text))
+
+
 def resolve(wanted: DataFrame, names: DataFrame, word: str, ident: str, name: str) -> DataFrame:
     """For each wanted word the number of names that hold it as a word, and the smallest id: none, one or many."""
     words = names.select(F.col(ident).alias("id_"), F.explode(F.array_distinct(F.split(name, " "))).alias("w_"))

@@ -44,7 +44,7 @@ def feedback_to_actions(spark, sf_dir):
 
 def overlay_fold(spark, sf_dir):
     """The full fold: an order's lines are boxes, its lines of even number act on them in turn."""
-    df = table(prepare(spark), sf_dir, "lineitem").filter("l_orderkey % 2 = 0")
+    df = table(prepare(spark), sf_dir, "lineitem")
     x, y, w = F.col("l_partkey") % 40, F.col("l_suppkey") % 10, F.col("l_quantity").cast("long")
     box = df.select("l_orderkey", x.alias("x0"), y.alias("y0"), (x + w).alias("x1"), (y + 20).alias("y1"), F.col("l_linenumber").cast("long").alias("ord"), F.col("l_suppkey").alias("target"), "l_returnflag")
     verb = F.when(F.col("l_returnflag") == "N", "assign").when(F.col("l_returnflag") == "A", "reject").otherwise("not")
@@ -122,6 +122,11 @@ def invert_multivalue(spark, sf_dir):
     return L.invert(table(prepare(spark), sf_dir, "part"), "p_partkey", "p_type")
 
 
+def invert_pairs(spark, sf_dir):
+    """The whole inverted index."""
+    return L.pairs(table(prepare(spark), sf_dir, "part"), "p_partkey", "p_type").select("value", F.col("k").alias("p_partkey"))
+
+
 CONVERT = {"th": "T", "the": "D", "he": "H", "an": "A", "and": "&", "in": "I", "ing": "G", "er": "R", "o": "0"}
 
 
@@ -130,6 +135,12 @@ def greedy_convert(spark, sf_dir):
     return b.select("item_id", L.longest_match(F.col("t"), CONVERT, 3).alias("converted"))
 
 
+def greedy_convert_whole(spark, sf_dir):
+    """greedy_convert over whole texts."""
+    b = table(prepare(spark), sf_dir, "benchmark").select("item_id", "text")
+    return L.convert_broadcast(b, "text", CONVERT, "converted").select("item_id", "converted")
+
+
 def resolve_lookup(spark, sf_dir):
     part = table(prepare(spark), sf_dir, "part").select("p_partkey", "p_name", "p_size")
     wanted = part.select(F.element_at(F.split("p_name", " "), -1).alias("word")).union(part.filter("p_size = 1").select(F.concat(F.lit("no"), F.element_at(F.split("p_name", " "), 1)))).distinct()
@@ -205,7 +216,7 @@ def radical_check(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     status_classify, status_summary, running_total, overlay_lww, feedback_to_actions, overlay_fold, slice_replace, upsert_missing, missing_range, page_gaps, dup_keys, rule_violations, eav_pivot, first_by_order, min_with_override,
-    invert_multivalue, greedy_convert, resolve_lookup, char_class_counts, slugify_url, padded_keys, page_range, half_expansion, topk_per_group, page_worst_first, fingerprint_diff, unused_rules, radical_check,
+    invert_multivalue, invert_pairs, greedy_convert, greedy_convert_whole, resolve_lookup, char_class_counts, slugify_url, padded_keys, page_range, half_expansion, topk_per_group, page_worst_first, fingerprint_diff, unused_rules, radical_check,
 )}
 
 _STATUS = "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, CASE WHEN l_linestatus = 'F' AND l_tax = 0 THEN 'manual' WHEN round(1 - l_discount * 5, 4) >= CASE WHEN l_returnflag = 'N' THEN 0.65::DOUBLE ELSE 0.78::DOUBLE END THEN 'aligned' ELSE 'inferred' END AS status FROM lineitem"
@@ -229,6 +240,7 @@ UNION ALL SELECT 'segment_known', c_custkey, c_name FROM customer WHERE c_mktseg
     "first_by_order": "SELECT p_brand, p_partkey, p_name FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS r FROM part) WHERE r = 1",
     "min_with_override": "WITH w AS (SELECT CASE WHEN c_nationkey = 7 THEN 99 ELSE c_nationkey END AS nation, min(c_custkey) AS k FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey > 100 GROUP BY 1), l AS (SELECT c_nationkey AS nation, min(c_custkey) AS k FROM customer GROUP BY 1) SELECT coalesce(w.nation, l.nation)::BIGINT AS nation, coalesce(w.k, l.k) AS c_custkey FROM l FULL JOIN w ON l.nation = w.nation",
     "invert_multivalue": "SELECT value, count(DISTINCT p_partkey) AS n_keys, min(p_partkey) AS first_key FROM (SELECT p_partkey, unnest(string_split(p_type, ' ')) AS value FROM part) WHERE value <> '' GROUP BY value",
+    "invert_pairs": "SELECT DISTINCT value, p_partkey FROM (SELECT p_partkey, unnest(string_split(p_type, ' ')) AS value FROM part) WHERE value <> ''",
     "greedy_convert": f"""WITH RECURSIVE m AS (SELECT map([{', '.join(f"'{k}'" for k in CONVERT)}], [{', '.join(f"'{v}'" for v in CONVERT.values())}]) AS d), b AS (SELECT item_id, text[:120] AS t FROM benchmark),
 s AS (SELECT item_id, t, 1 AS p, '' AS o FROM b UNION ALL SELECT item_id, t, p + n, o || CASE WHEN v IS NULL THEN t[p:p] ELSE v END FROM (SELECT s.*,
 CASE WHEN p + 2 <= length(t) AND d[t[p:p+2]] IS NOT NULL THEN 3 WHEN p + 1 <= length(t) AND d[t[p:p+1]] IS NOT NULL THEN 2 ELSE 1 END AS n,

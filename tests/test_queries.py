@@ -7,8 +7,8 @@ import pytest
 
 import __spark_entry__ as entry
 from tessella.functions import scalars as S
-from tessella.operators import alignment, intervals, overlay
-from tessella.plans import registry
+from tessella.operators import alignment, intervals, lexicon, overlay
+from tessella.plans import records, registry
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -124,6 +124,35 @@ def test_overlay_query_runs(spark):
     assert registry.QUERIES["overlay_fold"](spark, SF).count() > 0
 
 
+def test_overlay_folds_every_order(spark):
+    got, lines, want = registry.QUERIES["overlay_fold"](spark, SF).collect(), {}, []
+    for r in spark.read.parquet(f"{SF}/lineitem.parquet").collect():
+        x, y = r.l_partkey % 40, r.l_suppkey % 10
+        lines.setdefault(r.l_orderkey, []).append((r.l_linenumber, (x, y, x + int(r.l_quantity), y + 20), r.l_suppkey, {"N": "assign", "A": "reject"}.get(r.l_returnflag, "not")))
+    for k, rows_ in lines.items():
+        rows_.sort(key=lambda r: (r[0], r[1][1], r[1][0], r[1][3], r[1][2], r[3], r[2]))  # line numbers come twice in some orders
+        boxes = [{"box": b} for b in sorted((b for n, b, _, _ in rows_ if n % 2), key=lambda b: (b[1], b[0], b[3], b[2]))]
+        actions = [{"action": v, "box": b, "target": t} for n, b, t, v in rows_ if n % 2 == 0]
+        want += [(k, *f["box"], f["target"]) for f in overlay.fold_actions(boxes, actions)]
+    assert {r.l_orderkey % 2 for r in got} == {0, 1}
+    assert sorted((r.l_orderkey, r.x0, r.y0, r.x1, r.y1, r.target or -1) for r in got) == sorted((*w[:5], w[5] or -1) for w in want)
+
+
+def test_conversion_of_whole_texts(spark):
+    def brute(t):
+        out = ""
+        while t:
+            n = next((n for n in (3, 2, 1) if len(t) >= n and t[:n] in records.CONVERT), 0)
+            out, t = out + (records.CONVERT[t[:n]] if n else t[0]), t[n or 1 :]
+        return out
+
+    texts = {r.item_id: r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    assert max(map(len, texts.values())) > 120
+    assert {r.item_id: r.converted for r in registry.QUERIES["greedy_convert_whole"](spark, SF).collect()} == {i: brute(t) for i, t in texts.items()}
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "thethin\U0001f642o" * 3000)], "i int, t string")
+    assert [r.c for r in lexicon.convert_broadcast(odd, "t", records.CONVERT, "c").orderBy("i").collect()] == [None, "", brute("thethin\U0001f642o" * 3000)]
+
+
 def test_code_points(spark):
     df = spark.createDataFrame([("3D000",), ("00041",)], "h string")
     assert [tuple(r) for r in df.select(S.character(S.code_point(df.h)), S.hex5(S.code_point(df.h))).collect()] == [("\U0003d000", "3D000"), ("A", "00041")]
