@@ -1,4 +1,4 @@
-"""Vector similarity over embeddings. Queries are the rows whose id is divisible by 50; a row meets those of its label, as detections meet what is expected in their block."""
+"""Vector similarity over embeddings. Queries are the rows whose id is divisible by 50. The *_all queries compare them with every other row, the others with rows of their own label only, as detections meet what is expected in their block."""
 
 from pyspark.sql import functions as F
 
@@ -15,27 +15,50 @@ def unit_vectors(spark, sf_dir):
     return _vectors(spark, sf_dir).select("vec_id", F.posexplode("v").alias("dim", "x")).select("vec_id", F.col("dim").cast("long").alias("dim"), S.r6(F.col("x")).alias("x"))
 
 
-def _pairs(spark, sf_dir):
+def _pairs(spark, sf_dir, every=False):
+    """Queries and the other rows of their label, or every other row: a product of both sides' partitions, or with the broadcast queries where Spark finds them small."""
     df = _vectors(spark, sf_dir)
     q = df.filter("vec_id % 50 = 0").select("label", F.col("vec_id").alias("query_id"), F.col("v").alias("qv"))
-    return q.join(df, "label").filter("query_id <> vec_id")
+    pairs = q.drop("label").crossJoin(df) if every else q.join(df, "label")
+    return pairs.filter("query_id <> vec_id")
 
 
 def similarity_pairs(spark, sf_dir):
     return _pairs(spark, sf_dir).select("query_id", "vec_id", S.r6(S.dot(F.col("qv"), F.col("v"))).alias("similarity"))
 
 
-def similarity_top1(spark, sf_dir):
-    best = similarity_pairs(spark, sf_dir).groupBy("query_id").agg(F.min(F.struct((-F.col("similarity")).alias("k"), "vec_id")).alias("b"))
+def _nearest(pairs):
+    best = pairs.groupBy("query_id").agg(F.min(F.struct((-F.col("similarity")).alias("k"), "vec_id")).alias("b"))
     return best.select("query_id", F.col("b.vec_id").alias("vec_id"), (-F.col("b.k")).alias("similarity"))
 
 
-def shift_max(spark, sf_dir):
+def similarity_top1(spark, sf_dir):
+    return _nearest(similarity_pairs(spark, sf_dir))
+
+
+def _shift_max(pairs):
     shifts = [F.coalesce(S.dot(S.unit(S.shift(F.col("v"), k)), F.col("qv")), F.lit(0.0)) for k in range(-2, 3)]
-    return _pairs(spark, sf_dir).select("query_id", "vec_id", S.r6(F.greatest(*shifts)).alias("similarity"))
+    return pairs.select("query_id", "vec_id", S.r6(F.greatest(*shifts)).alias("similarity"))
+
+
+def shift_max(spark, sf_dir):
+    return _shift_max(_pairs(spark, sf_dir))
+
+
+def similarity_pairs_all(spark, sf_dir):
+    return _pairs(spark, sf_dir, True).select("query_id", "vec_id", S.r6(S.dot(F.col("qv"), F.col("v"))).alias("similarity"))
+
+
+def similarity_top1_all(spark, sf_dir):
+    """The nearest of all other rows: each task keeps one row a query. Vectors without a direction are nobody's nearest."""
+    return _nearest(similarity_pairs_all(spark, sf_dir).filter("similarity is not null"))
+
+
+def shift_max_all(spark, sf_dir):
+    return _shift_max(_pairs(spark, sf_dir, True))
 
 
-QUERIES = {f.__name__: f for f in (unit_vectors, similarity_pairs, similarity_top1, shift_max)}
+QUERIES = {f.__name__: f for f in (unit_vectors, similarity_pairs, similarity_top1, shift_max, similarity_pairs_all, similarity_top1_all, shift_max_all)}
 
 _UNIT = """WITH d AS (SELECT vec_id, label, embedding::DOUBLE[] AS r FROM embeddings), c AS (SELECT vec_id, label, list_transform(r, lambda x: x - list_sum(r) / len(r)) AS c FROM d),
 u AS (SELECT vec_id, label, list_transform(c, lambda x: x / sqrt(list_inner_product(c, c))) AS v FROM c)"""
@@ -50,3 +73,5 @@ s AS (SELECT query_id, vec_id, qv, list_transform(range(1, len(v) + 1), lambda i
 m AS (SELECT query_id, vec_id, qv, list_transform(t, lambda x: x - list_sum(t) / len(t)) AS c FROM s)
 SELECT query_id, vec_id, round(max(list_inner_product(c, qv) / sqrt(list_inner_product(c, c))), 6) AS similarity FROM m GROUP BY query_id, vec_id""",
 }
+# the same over all rows: the SQL above without its condition on the label
+ORACLE_SQL |= {f"{k}_all": ORACLE_SQL[k].replace("q.label = w.label AND ", "") for k in ("similarity_pairs", "similarity_top1", "shift_max")}

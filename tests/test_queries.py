@@ -153,6 +153,14 @@ def test_conversion_of_whole_texts(spark):
     assert [r.c for r in lexicon.convert_broadcast(odd, "t", records.CONVERT, "c").orderBy("i").collect()] == [None, "", brute("thethin\U0001f642o" * 3000)]
 
 
+def test_searches_meet_all_rows(spark, tmp_path):
+    df = spark.createDataFrame([(50, "a", [1.0, 0.0, 0.0]), (100, None, [0.0, 1.0, 0.0]), (1, "a", [0.0, 0.1, 1.0]), (2, "b", [1.0, 0.1, 0.0]), (3, None, [0.1, 1.0, 0.0]), (4, "b", [1.0, 1.0, 1.0])], "vec_id long, label string, embedding array<double>")
+    df.write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert sorted((r.query_id, r.vec_id) for r in registry.QUERIES["similarity_top1_all"](spark, str(tmp_path)).collect()) == [(50, 2), (100, 3)]
+    for name in ("similarity_pairs_all", "shift_max_all"):
+        assert sorted((r.query_id, r.vec_id) for r in registry.QUERIES[name](spark, str(tmp_path)).collect()) == sorted((q, v) for q in (50, 100) for v in (1, 2, 3, 4, 50, 100) if q != v)
+
+
 def test_code_points(spark):
     df = spark.createDataFrame([("3D000",), ("00041",)], "h string")
     assert [tuple(r) for r in df.select(S.character(S.code_point(df.h)), S.hex5(S.code_point(df.h))).collect()] == [("\U0003d000", "3D000"), ("A", "00041")]
