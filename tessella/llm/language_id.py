@@ -1,6 +1,6 @@
 """Language of documents by a linear-chain conditional random field over their words.
 
-A word's features are its prefixes and suffixes of up to four characters, its two- and three-character
+A word's features are its prefixes and suffixes of up to four characters, all its two- and three-character
 runs and itself (the lexicon), hashed into one weight table with a column a language; transitions
 between the languages of neighbouring words are weights as well. Training rows have one language a
 document; so that the chain learns what a switch looks like, training sequences are spliced from
@@ -26,6 +26,8 @@ from tessella.llm import textops as T
 BITS = 18
 #: The most training rows of a language, taken by a hash of doc_id, and the most of their words used.
 SAMPLE_ROWS, SAMPLE_WORDS = 400, 120_000
+STEPS = 12  # runs of a word that are added in steps over all words; those behind them word by word
+WINDOW = 64  # characters of the pieces into which training words are cut
 BLOCK = 32  # words whose transfer matrices are multiplied up before documents are chained
 
 _letters = np.full(T.END + 1, 2, np.uint8)
@@ -56,12 +58,14 @@ def emissions(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np
     sums = np.zeros(len(codes) + 1, np.uint64)
     np.cumsum(T._char_table()[codes] * up[: len(codes)], out=sums[1:])
 
-    def add(rows, a, b, kind):
+    def add(rows, a, b, kind, count=None):
         h = ((sums[b] - sums[a]) * down[a]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(kind * 0xD6E8FEB86659FD93 & T.MASK)
         h ^= h >> np.uint64(29)
         f = ((h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - BITS)).astype(np.int64)
         if each:
-            each(rows, f)
+            each(rows if count is None else np.repeat(rows, count), f)
+        elif count is not None:
+            out[rows] += np.add.reduceat(table[f], np.cumsum(count) - count, axis=0)
         elif rows is None:
             out[:] += table[f]
         else:
@@ -73,12 +77,18 @@ def emissions(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np
         add(rows, starts[rows], starts[rows] + n, 1 + n)
         add(rows, ends[rows] - n, ends[rows], 5 + n)
     for n in (2, 3):
-        # the k-th run of all words at once, so that no row comes twice in one step; very long words give their first runs
-        for k in range(1, 12):
+        # the k-th run of all words at once, so that no row comes twice in one step
+        for k in range(1, STEPS):
             rows = np.flatnonzero(lens > n + k)
             if not len(rows):
                 break
             add(rows, starts[rows] + k, starts[rows] + k + n, 9 + n)
+        # all further runs of the long words side by side, added up word by word: a text without blanks is one word
+        rows = np.flatnonzero(lens > n + STEPS)
+        if len(rows):
+            count = lens[rows] - n - STEPS
+            at = T.ranges(starts[rows] + STEPS, count)
+            add(rows, at, at + n, 9 + n, count)
     return out
 
 
@@ -174,6 +184,7 @@ def train(rows: list, words_a_language: int = SAMPLE_WORDS, epochs: int = 4, str
         room = words_a_language
         own = [r[0].split() for r in rows if r[1] == lang]
         for w in (own[j] for j in rng.permutation(len(own))):
+            w = [x[a : a + WINDOW] for x in w for a in range(0, len(x), WINDOW)]
             w = [x for x in w if any(c.isalpha() for c in x)][: max(room, 0)]
             room -= len(w)
             pieces += [(" ".join(w[a : a + stretch]), i) for a in range(0, len(w), stretch)]
@@ -211,8 +222,8 @@ def train(rows: list, words_a_language: int = SAMPLE_WORDS, epochs: int = 4, str
 
 
 def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, longest: int = 100_000) -> Model:
-    """Train on at most `rows` rows of each language of docs(doc_id, text, lang), of at most `longest` characters each."""
-    known = docs.filter(F.col("lang").isNotNull() & (F.length("text") <= longest))
+    """Train on at most `rows` rows of each language of docs(doc_id, text, lang), and the first `longest` characters of longer ones."""
+    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("text", F.left("text", F.lit(longest)))
     langs = sorted(r.lang for r in known.select("lang").distinct().collect())  # one row a language
     ids = None
     for lang in langs:

@@ -213,3 +213,29 @@ def test_language_and_toxicity_held_out(spark, docs, none):
 def test_code_switching():
     model = language_id.train([("the cat sat on the mat with that other thing " * 40, "en"), ("der hund und die katze schlafen nicht " * 40, "de")])
     assert model.label_words("the cat with that thing und die katze schlafen nicht") == ["en"] * 5 + ["de"] * 5
+
+
+def test_language_of_long_words_and_texts(spark):
+    import numpy as np
+
+    en, de = "the cat sat on the mat with that other thing ", "der hund und die katze schlafen nicht "
+    model = language_id.train([(en * 40, "en"), (de * 40, "de")])
+    joined = lambda t, n: t.replace(" ", "") * n
+    langs, _ = model.predict([joined(en, 1) + joined(de, 200), joined(de, 1) + joined(en, 200), "x " + joined(en, 1) + joined(de, 200)])
+    assert langs == ["de", "en", "de"]
+    # every run of every word, one by one
+    table = np.random.default_rng(1).normal(size=model.table.shape).astype(np.float32)
+    chunk, codes, starts, ends, *_ = language_id.words(["short " + joined(en, 3) + " ab " + joined(de, 1), "twelve " + "q" * 15])
+    seen = [0] * len(starts)
+    sums = np.zeros((len(starts), table.shape[1]))
+
+    def each(rows, f):
+        for r, x in zip(range(len(starts)) if rows is None else rows, f):
+            seen[r] += 1
+            sums[r] += table[x]
+
+    language_id.emissions(codes, starts, ends, table, each)
+    assert seen == [1 + 2 * min(n, 4) + max(0, n - 3) + max(0, n - 4) for n in (ends - starts).tolist()]
+    assert np.allclose(sums, language_id.emissions(codes, starts, ends, table), atol=1e-3)
+    docs = spark.createDataFrame([(1, en * 9, "en"), (2, de * 9, "de"), (3, "kissa istui matolla ja koira nukkui " * 90, "fi")], "doc_id long, text string, lang string")
+    assert language_id.fit(docs, longest=1000).langs == ["de", "en", "fi"]
