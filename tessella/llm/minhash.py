@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tessella import session
 from tessella.llm import graph
@@ -186,7 +187,7 @@ def _candidates(docs: DataFrame, key: str, width: int, wanted: DataFrame) -> Dat
                 yield pa.RecordBatch.from_arrays([part.column(key), pa.array(node_ids(s, counts), pa.binary()), pa.array(data, pa.binary())], names=[key, "node", "shingles"])
 
     rows = docs.select(key, "text", h.alias("h_")).mapInArrow(run, f"`{key}` {kind}, node binary, shingles binary")
-    return rows.join(wanted.select(F.col(key).alias("k_"), F.col("node").alias("n_")), (F.col(key) == F.col("k_")) & (F.col("node") == F.col("n_"))).dropDuplicates(["node"]).select("node", "shingles")
+    return rows.join(wanted.select(F.col(key).alias("k_"), F.col("node").alias("n_")), F.col(key).eqNullSafe(F.col("k_")) & (F.col("node") == F.col("n_"))).dropDuplicates(["node"]).select("node", "shingles")
 
 
 def _chunk_of(n, total):
@@ -263,5 +264,24 @@ def keep(docs: DataFrame, width: int = 5, least: int = 80) -> DataFrame:
     A row without an id represents nothing: it stays, once a text, if no row with an id is linked to it.
     """
     found = find(docs, "doc_id", width, least)
-    good = found.filter("doc_id <=> component").select(F.col("doc_id").alias("good_")).distinct()
-    return docs.join(good, F.col("doc_id").eqNullSafe(F.col("good_")), "left_semi").dropDuplicates(["doc_id", "text"])
+    sets = session.cut(found.select(F.col("doc_id").alias("id_"), F.col("node").alias("set_"), F.expr("doc_id <=> component").alias("good_")).distinct())
+    ids = session.cut(sets.groupBy("id_").agg(F.bool_or("good_").alias("any_"), F.bool_and("good_").alias("all_")).filter("any_"))
+    same = F.col("doc_id").eqNullSafe(F.col("id_"))
+    out = docs.join(ids.filter("all_"), same, "left_semi")
+    mixed = ids.filter("not all_")
+    if not mixed.isEmpty():
+        # several texts under one id, or without any, of which not all stay: their sets tell which
+        some = _with_nodes(docs.join(mixed, same, "left_semi"), width)
+        out = out.unionByName(some.join(sets.filter("good_"), same & F.col("node_").eqNullSafe(F.col("set_")), "left_semi").drop("node_"))
+    return out.dropDuplicates(["doc_id", "text"])
+
+
+def _with_nodes(docs: DataFrame, width: int) -> DataFrame:
+    """docs and node_, the id of a row's set."""
+
+    def run(batches):
+        for batch in T.chunks(batches):
+            s, counts = shingle_sets(batch.column("text").to_pylist(), width)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(node_ids(s, counts), pa.binary())], names=[*batch.schema.names, "node_"])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("node_", BinaryType())]))

@@ -239,3 +239,16 @@ def test_language_of_long_words_and_texts(spark):
     assert np.allclose(sums, language_id.emissions(codes, starts, ends, table), atol=1e-3)
     docs = spark.createDataFrame([(1, en * 9, "en"), (2, de * 9, "de"), (3, "kissa istui matolla ja koira nukkui " * 90, "fi")], "doc_id long, text string, lang string")
     assert language_id.fit(docs, longest=1000).langs == ["de", "en", "fi"]
+
+
+def test_near_duplicates_without_or_with_one_id(spark, docs):
+    t = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, t), (None, t + " end"), (None, "some other text of a few words without an id"), (None, None), (7, t + " tail"), (7, "a text of its own with the same id as another"), (8, "one more text that stays as it is"), (None, "one more text that stays as it is")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = minhash.find(df, width=4).collect()
+    assert sorted(r.component for r in got if r.component) == [1, 1, 1, 7, 8, 8]
+    keep = sorted(map(tuple, minhash.keep(df, width=4).collect()), key=str)
+    assert keep == sorted([rows[i] for i in (0, 2, 3, 5, 6)], key=str)
+    # all rows, the one without an id too
+    sets = [(10**9 if r.doc_id is None else r.doc_id, shingles(r.text, 4)) for r in docs.collect()]
+    assert {10**9 if r.doc_id is None else r.doc_id: r.component for r in minhash.find(docs, width=4).collect()} == components(sets, 80)
