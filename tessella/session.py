@@ -1,6 +1,7 @@
 """Session helpers shared by the queries."""
 
 import os
+import tempfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,17 +23,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in spark.checkpoint.dir; a local one only where it is unset."""
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder the cluster names in spark.checkpoint.dir. Where it is unset, a local master takes a folder of its own; a cluster has no use for one."""
     sc = spark.sparkContext
-    if not conf and sc._jsc.sc().getCheckpointDir().isDefined():
-        return sc._jsc.sc().getCheckpointDir().get()
-    path = conf or f"{os.environ.get('TMPDIR', '/tmp')}/tessella-checkpoints"
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
+    conf = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    known = sc._jsc.sc().getCheckpointDir()
+    if not conf and known.isDefined():
+        return known.get()
+    if not conf and (not sc.master.startswith("local") or "cluster" in sc.master):
+        raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
+    path = conf or tempfile.mkdtemp(prefix="spark-checkpoints-")
+    if not known.isDefined():
         sc.setCheckpointDir(path)
     return path
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores behind it as make it no column of df."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write a frame to the shared checkpoint folder and go on from there: an iteration's lineage ends here."""
     checkpoint_dir(df.sparkSession)
