@@ -1,7 +1,9 @@
 """Connected components of a graph of edges, by alternating large-star and small-star steps.
 
-Both steps are an aggregate and a join, so that no neighbourhood is ever collected; the join's hot keys
-are left to adaptive skew handling. Each round is written to the checkpoint folder.
+Both steps are an aggregate and a join, so that no neighbourhood is ever collected. Nodes with more than a
+partition's share of the edges, of which there are at most two a partition, meet their edges by broadcast and the
+others by a shuffle, so no hub meets in one task. Each step is written to the checkpoint folder; a graph of few
+edges is read back in few partitions. The rounds end as soon as all that is left are stars.
 """
 
 from pyspark.sql import DataFrame
@@ -9,24 +11,40 @@ from pyspark.sql import functions as F
 
 from tessella import session
 
+EDGES = 50_000  # of a partition
+HEAVY = 1000  # edges of a node from which on it may be broadcast
+
+
+def _attach(edges: DataFrame, low: DataFrame, on: str, bound: int, most: int) -> DataFrame:
+    """edges(a, b) and m, the smallest neighbour of their end `on`, from low(v, m, deg)."""
+    named = lambda df: df.select(F.col("v").alias(on), "m")
+    if most <= bound:
+        return edges.join(named(low), on)
+    heavy = F.broadcast(named(low.filter(F.col("deg") > bound)))  # 2 * edges / bound rows at most, two a partition
+    light = edges.join(heavy.select(on), on, "left_anti").join(named(low.filter(F.col("deg") <= bound)), on)
+    return edges.join(heavy, on).select("a", "b", "m").unionByName(light.select("a", "b", "m"))
+
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, label (the smallest node that it reaches) of every node of edges(a, b); null ends are left out."""
-    e = edges.filter("a is not null and b is not null and a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    e = session.cut(e)
-    state = None
+    """node, label (the smallest node that it reaches) of every node of edges(a, b); null ends and loops are left out."""
+    parts = session.parts(edges.sparkSession)
+    e = session.cut(edges.filter("a is not null and b is not null and a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while True:
-        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        # large star: larger neighbours go to the smallest one
-        large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
-        # small star: smaller neighbours and the node go to the smallest one
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").unionByName(low.select("a", F.col("m").alias("b"))).distinct()
-        e = session.cut(small)
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
+        n = e.count()
+        few, bound = max(1, min(parts, n // EDGES)), max(HEAVY, n // parts)
+        if few < parts:
+            e = e.coalesce(few)
+        both = e.select(F.col("a").alias("v"), F.col("b").alias("w"), F.lit(1).alias("up")).unionByName(e.select(F.col("b").alias("v"), F.col("a").alias("w"), F.lit(0).alias("up")))
+        low = session.cut(both.groupBy("v").agg(F.min("w").alias("m"), F.count("*").alias("deg"), F.sum("up").alias("up")).select("v", F.least("v", "m").alias("m"), "deg", "up"))
+        # a star's outer nodes have its centre, which is smaller, and nothing else
+        open_, most = low.agg(F.count_if(F.expr("up > 0 and deg > 1")), F.max("deg")).first()
+        if not open_:
             break
-        state = now
+        # large star: the larger end of an edge goes to the smallest neighbour of the smaller one
+        large = session.cut(_attach(e, low.coalesce(few), "b", bound, most).select("a", F.col("m").alias("b")).distinct()).coalesce(few)
+        # small star: smaller neighbours and the node go to the smallest one
+        low = session.cut(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("deg")).withColumnRenamed("a", "v")).coalesce(few)
+        small = _attach(large, low, "a", bound, low.agg(F.max("deg")).first()[0]).filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        e = session.cut(small.unionByName(low.select(F.col("v").alias("a"), F.col("m").alias("b"))).distinct())
     star = e.select(F.col("a").alias("node"), F.col("b").alias("label"))
-    return session.cut(star.unionByName(star.select(F.col("label").alias("node"), "label")).distinct())
+    return session.cut(star.unionByName(star.select(F.col("label").alias("node"), "label").distinct()))

@@ -7,15 +7,19 @@ smallest values would. Bands of the signature make candidates; links are confirm
 No step pairs up the members of a group:
 
 1. Documents with equal sets are one class (a 128-bit hash of the set); only classes go on.
-2. Classes that share a band are tied to the smallest class of that band; the components of these ties are
-   the candidate groups. Every pair that shares a band is in one group.
+2. Classes that share a band meet the smallest class of that band, its hub, and are tied to it if their sketches (four
+   bits of each value) are alike enough. Those that are not all but equal to the hub stay in the band: up to FEW
+   of them are tied to the smallest of them; more (a passage that many documents share) are dealt anew by pairs of such
+   bands, so that a common passage alone ties nothing. The components of the ties are the candidate groups.
 3. Sets of candidates only are gathered (a fixed-size filter of their ids keeps the rest out of the
    shuffle). A group of up to CHUNK classes is linked exactly in one task. A larger one is dealt to chunks
    by hash, each with the same few hubs, which find most links of a large group of near copies.
 4. Where a large group has not become one component, classes outside its largest component meet every chunk
    of it, block by block, so that no link is lost.
 
-Of the pairs at the least similarity, (1 - s^ROWS)^BANDS share no band: 5e-8 at 0.8.
+Of the pairs at the least similarity, (1 - s^ROWS)^BANDS share no band: 5e-8 at 0.8; one in a million shares
+one band only, which matters where that band stays crowded. If x is all but equal (TIGHT) to a hub and y is like x, y is
+as like the hub as LOOSE asks, so leaving x out of the next deal parts no pair.
 
 Defined results: a null or blank text has an empty set, is linked with nothing and kept; a text of fewer
 words than a shingle is one shingle; repeated rows are linked; null ids count as larger than all others.
@@ -23,7 +27,7 @@ words than a shingle is one shingle; repeated rows are linked; null ids count as
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
@@ -33,6 +37,8 @@ from tessella.llm import textops as T
 
 PERMUTATIONS, ROWS = 64, 4  # 2 * 64 values in bands of 4: 32 bands
 BANDS = 2 * PERMUTATIONS // ROWS
+LOOSE, TIGHT = 0.55, 0.92  # estimated likeness to a hub from which on a class is tied to it, and is done with its band
+FEW = 64  # classes of a band that are tied without more evidence
 CHUNK, HUBS, SHINGLES = 256, 8, 400_000  # classes and shingles of a chunk, hubs of a large group
 FILTER_WORDS = 1 << 18  # of 64 bits: 2 MB whatever the corpus
 
@@ -81,28 +87,74 @@ def node_ids(s: np.ndarray, counts: np.ndarray) -> list:
     return [raw[16 * i : 16 * i + 16] if n else None for i, n in enumerate(counts.tolist())]
 
 
+def sketch(v: np.ndarray) -> np.ndarray:
+    """Four bits of each of the 128 values of signatures, in 8 words a set."""
+    bits = (T.mix(v) >> np.uint64(60)).reshape(8, 16, -1)
+    return np.bitwise_or.reduce(bits << (np.arange(16, dtype=np.uint64) * np.uint64(4))[None, :, None], axis=1)
+
+
+def estimate(a: str, b: str) -> Column:
+    """The likeness of two sets by their sketches: equal values, less those equal by chance."""
+    other = F.lit(0)
+    for k in range(8):
+        x = F.get(F.col(a), F.lit(k)).bitwiseXOR(F.get(F.col(b), F.lit(k)))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        other = other + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return 1 - other / (2 * PERMUTATIONS) * 16 / 15
+
+
 def signatures(docs: DataFrame, key: str, width: int) -> DataFrame:
-    """key, node, n_shingles, bands of every row of docs(key, text)."""
+    """key, node, n_shingles, bands, sketch of every row of docs(key, text)."""
     kind = docs.select(key).schema[0].dataType.simpleString()
 
     def run(batches):
         for batch in T.chunks(batches):
             s, counts = shingle_sets(batch.column("text").to_pylist(), width)
-            bands = None
+            bands = short = None
             if len(s):
-                v = signature(s, counts).reshape(BANDS, ROWS, -1)
+                values = signature(s, counts)
+                v = values.reshape(BANDS, ROWS, -1)
                 keys = T.mix(np.arange(BANDS, dtype=np.uint64))[:, None]
                 for r in range(ROWS):
                     keys = T.mix((keys * np.uint64(31)) ^ v[:, r])
-                bands = keys.T.astype(np.int64)
+                bands, short = keys.T.astype(np.int64), sketch(values).T.astype(np.int64)
             full = np.cumsum(counts > 0) - 1
-            lists = [bands[full[i]] if n else None for i, n in enumerate(counts.tolist())]
+            lists = lambda x: pa.array([x[full[i]] if n else None for i, n in enumerate(counts.tolist())], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(key), pa.array(node_ids(s, counts), pa.binary()), pa.array(counts, pa.int64()), pa.array(lists, pa.list_(pa.int64()))],
-                names=[key, "node", "n_shingles", "bands"],
+                [batch.column(key), pa.array(node_ids(s, counts), pa.binary()), pa.array(counts, pa.int64()), lists(bands), lists(short)],
+                names=[key, "node", "n_shingles", "bands", "sketch"],
             )
 
-    return docs.select(key, "text").mapInArrow(run, f"`{key}` {kind}, node binary, n_shingles long, bands array<long>")
+    return docs.select(key, "text").mapInArrow(run, f"`{key}` {kind}, node binary, n_shingles long, bands array<long>, sketch array<long>")
+
+
+def _meet_hubs(member: DataFrame, sketches: DataFrame) -> DataFrame:
+    """band, node, hub, alike (estimated) of member(band, node), without hubs and bands of one class."""
+    hubs = member.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1").select("band", "hub")
+    met = member.join(hubs, "band").filter("node != hub")
+    met = met.join(sketches, "node").join(sketches.select(F.col("node").alias("hub"), F.col("sketch").alias("of_hub")), "hub")
+    return session.cut(met.select("band", "node", "hub", estimate("sketch", "of_hub").alias("alike")))
+
+
+def ties(classes: DataFrame) -> DataFrame:
+    """Edges (a, b) whose components hold every candidate pair of classes(node, bands, sketch)."""
+    sketches = classes.select("node", "sketch")
+    out, member = None, classes.select(F.explode("bands").alias("band"), "node")
+    for last in (False, True):
+        met = _meet_hubs(member, sketches)
+        left = met.filter(F.col("alike") < TIGHT)
+        rest = left.groupBy("band").agg(F.min("node").alias("hub2"), F.count("*").alias("m"))
+        tied = left.join(rest if last else rest.filter(F.col("m") <= FEW), "band").select(F.col("node").alias("a"), F.col("hub2").alias("b"))
+        tied = tied.unionByName(met.filter(F.col("alike") >= LOOSE).select(F.col("node").alias("a"), F.col("hub").alias("b")))
+        out = tied if out is None else out.unionByName(tied)
+        crowded = rest.filter(F.col("m") > FEW)
+        if last or crowded.isEmpty():
+            return out
+        # a node has at most BANDS of them
+        own = left.join(crowded.select("band"), "band").groupBy("node").agg(F.sort_array(F.collect_set("band")).alias("bs"))
+        pairs = F.flatten(F.transform("bs", lambda x, i: F.transform(F.slice("bs", i + 2, BANDS), lambda y: F.xxhash64(x, y))))
+        member = own.select(F.explode(pairs).alias("band"), "node")
 
 
 def links(nodes: list, sets: list, least: int, group: list | None = None) -> list[tuple]:
@@ -160,15 +212,15 @@ def _link_group(least: int):
     return run
 
 
-def _candidates(docs: DataFrame, key: str, width: int, wanted: DataFrame) -> DataFrame:
-    """node, shingles (bytes of the sorted hashes) for the classes of wanted(key, node): each read from one document.
+def _sets(docs: DataFrame, key: str, width: int, wanted: DataFrame) -> DataFrame:
+    """The rows of wanted(rep, node, ...) and shingles, the bytes of the node's sorted hashes, read from a document rep.
 
     The ids of wanted go into a bit table of fixed size, so that few other texts are cut into shingles and none
-    travels; where it fills up, the join still finds the right rows.
+    travels; where it fills up, the join still finds the right rows. A document that occurs again gives its row again.
     """
     spark = docs.sparkSession
     h = F.xxhash64(F.col(key))
-    bits = wanted.select(F.pmod(h, F.lit(FILTER_WORDS)).cast("int").alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(h, 40), F.lit(64)).cast("int")).alias("v"))
+    bits = wanted.select(F.xxhash64("rep").alias("h")).select(F.pmod("h", F.lit(FILTER_WORDS)).cast("int").alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright("h", 40), F.lit(64)).cast("int")).alias("v"))
     table = np.zeros(FILTER_WORDS, np.int64)
     for w, v in bits.groupBy("w").agg(F.bit_or("v")).collect():  # FILTER_WORDS rows at most
         table[w] = v
@@ -184,10 +236,10 @@ def _candidates(docs: DataFrame, key: str, width: int, wanted: DataFrame) -> Dat
                 s, counts = shingle_sets(part.column("text").to_pylist(), width)
                 raw, ends = s.tobytes(), np.cumsum(counts)
                 data = [raw[8 * (e - n) : 8 * e] for n, e in zip(counts.tolist(), ends.tolist())]
-                yield pa.RecordBatch.from_arrays([part.column(key), pa.array(node_ids(s, counts), pa.binary()), pa.array(data, pa.binary())], names=[key, "node", "shingles"])
+                yield pa.RecordBatch.from_arrays([part.column(key), pa.array(node_ids(s, counts), pa.binary()), pa.array(data, pa.binary())], names=["k_", "n_", "shingles"])
 
-    rows = docs.select(key, "text", h.alias("h_")).mapInArrow(run, f"`{key}` {kind}, node binary, shingles binary")
-    return rows.join(wanted.select(F.col(key).alias("k_"), F.col("node").alias("n_")), F.col(key).eqNullSafe(F.col("k_")) & (F.col("node") == F.col("n_"))).dropDuplicates(["node"]).select("node", "shingles")
+    rows = docs.select(key, "text", h.alias("h_")).mapInArrow(run, f"k_ {kind}, n_ binary, shingles binary")
+    return rows.join(wanted, F.col("k_").eqNullSafe(F.col("rep")) & (F.col("node") == F.col("n_"))).drop("k_", "n_")
 
 
 def _chunk_of(n, total):
@@ -199,41 +251,40 @@ def _chunk_of(n, total):
 def find(docs: DataFrame, key: str = "doc_id", width: int = 4, least: int = 80) -> DataFrame:
     """key, node, n_shingles, component (the smallest key reachable) of every row of docs(key, text)."""
     sig = session.cut(signatures(docs, key, width))
-    classes = session.cut(sig.filter("node is not null").groupBy("node").agg(F.min(key).alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")))
-    member = classes.select(F.explode("bands").alias("band"), "node")
-    bands = member.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    ties = member.join(bands.select("band", "hub"), "band").filter("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    groups = graph.components(ties).withColumnRenamed("label", "grp")
-    named = session.cut(groups.join(classes.select("node", "rep", "n"), "node"))
-    sets = session.cut(_candidates(docs, key, width, named.select(F.col("rep").alias(key), "node")))
+    classes = session.cut(sig.filter("node is not null").groupBy("node").agg(F.min(key).alias("rep"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", "sketch")]))
+    named = session.cut(graph.components(ties(classes)).withColumnRenamed("label", "grp").join(classes.select("node", "rep", F.col("n_shingles").alias("n")), "node"))
     size = named.groupBy("grp").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
     pieces, chunk = _chunk_of(F.col("m"), F.col("total"))
-    placed = session.cut(named.join(size, "grp").withColumn("pieces", pieces).withColumn("chunk", chunk).select("node", "grp", "n", "pieces", "chunk"))
-    # the hubs of a large group: its first nodes by hash, found within chunks first so that no group is sorted as one
+    placed = session.cut(named.join(size, "grp").withColumn("pieces", pieces).withColumn("chunk", chunk).select("node", "rep", "grp", "n", "pieces", "chunk"))
     large = placed.filter("pieces > 1")
-    order = F.xxhash64("node", F.lit("hub"))
-    few = large.withColumn("r", F.row_number().over(Window.partitionBy("grp", "chunk").orderBy(order))).filter(F.col("r") <= HUBS)
-    hubs = few.withColumn("r", F.row_number().over(Window.partitionBy("grp").orderBy(order))).filter(F.col("r") <= HUBS)
-    everywhere = hubs.select("node", "grp", "pieces", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("chunk"))
-    rows = placed.select("node", "grp", "chunk").unionByName(everywhere.select("node", "grp", "chunk")).distinct()
-    plain = lambda df: df.join(sets, "node").select("grp", "chunk", "node", "shingles", F.hex("node").alias("label"))
-    found = session.cut(plain(rows).groupBy("grp", "chunk").applyInArrow(_link_group(least), "a binary, b binary"))
+    wanted = placed.select("rep", "node", "grp", "chunk")
+    crowd = not large.isEmpty()
+    if crowd:
+        # the hubs of a large group: its first nodes by hash, found within chunks first so that no group is sorted as one
+        order = F.xxhash64("node", F.lit("hub"))
+        few = large.withColumn("r", F.row_number().over(Window.partitionBy("grp", "chunk").orderBy(order))).filter(F.col("r") <= HUBS)
+        hubs = few.withColumn("r", F.row_number().over(Window.partitionBy("grp").orderBy(order))).filter(F.col("r") <= HUBS)
+        everywhere = hubs.withColumn("own", F.col("chunk")).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).filter("chunk != own")
+        wanted = wanted.unionByName(everywhere.select("rep", "node", "grp", "chunk"))
+    rows = _sets(docs, key, width, wanted).withColumn("label", F.hex("node"))
+    found = session.cut(rows.groupBy("grp", "chunk").applyInArrow(_link_group(least), "a binary, b binary"))
     labels = graph.components(found)
-    rest = _rest(large, labels, sets, least)
-    if rest is not None:
-        labels = graph.components(found.unionByName(rest))
-    lowest = labels.join(classes.select("node", "rep"), "node").groupBy("label").agg(F.min("rep").alias("component"))
-    linked = labels.join(lowest, "label").select("node", "component")
+    if crowd:
+        rest = _rest(docs, key, width, large, labels, least)
+        if rest is not None:
+            labels = graph.components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(rest))
+    linked = session.cut(labels.join(classes.select("node", "rep"), "node"))
+    lowest = linked.groupBy("label").agg(F.min("rep").alias("component"))
+    linked = linked.join(lowest, "label").select("node", "component")
     whole = classes.select("node", "rep").join(linked, "node", "left").select("node", F.coalesce("component", "rep").alias("component"))
     return sig.select(key, "node", "n_shingles").join(whole, "node", "left").select(key, "node", "n_shingles", F.coalesce("component", key).alias("component"))
 
 
-def _rest(large: DataFrame, labels: DataFrame, sets: DataFrame, least: int) -> DataFrame | None:
+def _rest(docs: DataFrame, key: str, width: int, large: DataFrame, labels: DataFrame, least: int) -> DataFrame | None:
     """Links in large groups between what is outside the largest component and everything else; None if there is nothing to compare."""
-    now = large.select("node", "grp", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    now = session.cut(now)
+    now = session.cut(large.select("node", "rep", "grp", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
     by = now.groupBy("grp", "label").agg(F.count("*").alias("m"))
-    top = by.groupBy("grp").agg(F.max_by("label", F.struct("m", "label")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
+    top = session.cut(by.groupBy("grp").agg(F.max_by("label", F.struct("m", "label")).alias("main"), F.count("*").alias("parts")).filter("parts > 1"))
     if top.isEmpty():
         return None
     side = now.join(top, "grp").withColumn("main", F.col("label") == F.col("main"))
@@ -253,8 +304,8 @@ def _rest(large: DataFrame, labels: DataFrame, sets: DataFrame, least: int) -> D
         F.transform(upto(F.col("gp")), lambda j: F.struct(c.alias("i"), j.alias("j"), F.lit(True).alias("m"))),
         F.transform(upto(F.col("rp")), lambda j: F.struct(F.least(c, j).alias("i"), F.greatest(c, j).alias("j"), F.lit(False).alias("m"))),
     )
-    blocks = side.select("node", "grp", "label", F.explode(F.when(F.col("main"), of_main).otherwise(of_rest)).alias("b"))
-    rows = blocks.join(sets, "node").select("grp", "b.i", "b.j", "b.m", "node", "shingles", F.hex("label").alias("label"))
+    side = session.cut(side.select("rep", "node", "grp", F.hex("label").alias("label"), F.when(F.col("main"), of_main).otherwise(of_rest).alias("blocks")))
+    rows = _sets(docs, key, width, side).select("grp", "node", "shingles", "label", F.inline("blocks"))
     return session.cut(rows.groupBy("grp", "i", "j", "m").applyInArrow(_link_group(least), "a binary, b binary"))
 
 
@@ -263,25 +314,28 @@ def keep(docs: DataFrame, width: int = 5, least: int = 80) -> DataFrame:
 
     A row without an id represents nothing: it stays, once a text, if no row with an id is linked to it.
     """
+    id_, node_ = session.fresh(docs, "id_"), session.fresh(docs, "node_")
     found = find(docs, "doc_id", width, least)
-    sets = session.cut(found.select(F.col("doc_id").alias("id_"), F.col("node").alias("set_"), F.expr("doc_id <=> component").alias("good_")).distinct())
-    ids = session.cut(sets.groupBy("id_").agg(F.bool_or("good_").alias("any_"), F.bool_and("good_").alias("all_")).filter("any_"))
-    same = F.col("doc_id").eqNullSafe(F.col("id_"))
-    out = docs.join(ids.filter("all_"), same, "left_semi")
-    mixed = ids.filter("not all_")
-    if not mixed.isEmpty():
-        # several texts under one id, or without any, of which not all stay: their sets tell which
-        some = _with_nodes(docs.join(mixed, same, "left_semi"), width)
-        out = out.unionByName(some.join(sets.filter("good_"), same & F.col("node_").eqNullSafe(F.col("set_")), "left_semi").drop("node_"))
-    return out.dropDuplicates(["doc_id", "text"])
-
-
-def _with_nodes(docs: DataFrame, width: int) -> DataFrame:
-    """docs and node_, the id of a row's set."""
+    sets = session.cut(found.groupBy(F.col("doc_id").alias(id_), F.col("node").alias("set")).agg(F.count("*").alias("rows"), F.first(F.expr("doc_id <=> component")).alias("good")))
+    ids = session.cut(sets.groupBy(id_).agg(F.bool_or("good").alias("good"), F.sum("rows").alias("rows")).filter("good"))
+    same = F.col("doc_id").eqNullSafe(F.col(id_))
+    out = docs.join(ids.filter("rows = 1").select(id_), same, "left_semi")
+    again = ids.filter("rows > 1").select(id_)
+    if again.isEmpty():
+        return out
+    # several rows under one id, or without any: their sets tell which texts stay, each once
+    some = _with_nodes(docs.join(again, same, "left_semi"), width, node_)
+    stay = sets.filter("good").select(id_, F.col("set").alias(session.fresh(docs, "set_")))
+    some = some.join(stay, same & F.col(node_).eqNullSafe(stay[stay.columns[1]]), "left_semi").drop(node_)
+    return out.unionByName(some.dropDuplicates(["doc_id", "text"]))
+
+
+def _with_nodes(docs: DataFrame, width: int, name: str) -> DataFrame:
+    """docs and a column of the given name, the id of a row's set."""
 
     def run(batches):
         for batch in T.chunks(batches):
             s, counts = shingle_sets(batch.column("text").to_pylist(), width)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(node_ids(s, counts), pa.binary())], names=[*batch.schema.names, "node_"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(node_ids(s, counts), pa.binary())], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("node_", BinaryType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, BinaryType())]))
