@@ -1,5 +1,6 @@
 """Session helpers shared by the queries."""
 
+import contextlib
 import os
 import tempfile
 from pathlib import Path
@@ -53,3 +54,17 @@ def cut(df: DataFrame) -> DataFrame:
 
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@contextlib.contextmanager
+def settings(spark: SparkSession, **values):
+    """Settings of spark.sql for the plans that are run inside, by name with _ for a dot."""
+    names = {f"spark.sql.{k.replace('_', '.')}": str(v) for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
