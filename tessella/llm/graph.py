@@ -2,8 +2,8 @@
 
 Both steps are an aggregate and a join, so that no neighbourhood is ever collected. Nodes with more than a
 partition's share of the edges, of which there are at most two a partition, meet their edges by broadcast and the
-others by a shuffle, so no hub meets in one task. Each step is written to the checkpoint folder; a graph of few
-edges is read back in few partitions. The rounds end as soon as all that is left are stars.
+others by a shuffle, so no hub meets in one task and no plan needs to be changed while it runs. Each step is written to
+the checkpoint folder; partitions follow the number of edges. The rounds end as soon as all that is left are stars.
 """
 
 from pyspark.sql import DataFrame
@@ -27,24 +27,28 @@ def _attach(edges: DataFrame, low: DataFrame, on: str, bound: int, most: int) ->
 
 def components(edges: DataFrame) -> DataFrame:
     """node, label (the smallest node that it reaches) of every node of edges(a, b); null ends and loops are left out."""
-    parts = session.parts(edges.sparkSession)
+    spark = edges.sparkSession
+    parts = session.parts(spark)
     e = session.cut(edges.filter("a is not null and b is not null and a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    while True:
-        n = e.count()
-        few, bound = max(1, min(parts, n // EDGES)), max(HEAVY, n // parts)
-        if few < parts:
+    n = e.count()
+    few = max(1, min(parts, n // EDGES))
+    # adaptive execution starts a thread an exchange, and these are many and small
+    with session.settings(spark, adaptive_enabled="false", shuffle_partitions=min(parts, max(8, few))):
+        while n:
+            bound = max(HEAVY, n // parts)
             e = e.coalesce(few)
-        both = e.select(F.col("a").alias("v"), F.col("b").alias("w"), F.lit(1).alias("up")).unionByName(e.select(F.col("b").alias("v"), F.col("a").alias("w"), F.lit(0).alias("up")))
-        low = session.cut(both.groupBy("v").agg(F.min("w").alias("m"), F.count("*").alias("deg"), F.sum("up").alias("up")).select("v", F.least("v", "m").alias("m"), "deg", "up"))
-        # a star's outer nodes have its centre, which is smaller, and nothing else
-        open_, most = low.agg(F.count_if(F.expr("up > 0 and deg > 1")), F.max("deg")).first()
-        if not open_:
-            break
-        # large star: the larger end of an edge goes to the smallest neighbour of the smaller one
-        large = session.cut(_attach(e, low.coalesce(few), "b", bound, most).select("a", F.col("m").alias("b")).distinct()).coalesce(few)
-        # small star: smaller neighbours and the node go to the smallest one
-        low = session.cut(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("deg")).withColumnRenamed("a", "v")).coalesce(few)
-        small = _attach(large, low, "a", bound, low.agg(F.max("deg")).first()[0]).filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        e = session.cut(small.unionByName(low.select(F.col("v").alias("a"), F.col("m").alias("b"))).distinct())
-    star = e.select(F.col("a").alias("node"), F.col("b").alias("label"))
-    return session.cut(star.unionByName(star.select(F.col("label").alias("node"), "label").distinct()))
+            both = e.select(F.col("a").alias("v"), F.col("b").alias("w"), F.lit(1).alias("up")).unionByName(e.select(F.col("b").alias("v"), F.col("a").alias("w"), F.lit(0).alias("up")))
+            low = session.cut(both.groupBy("v").agg(F.min("w").alias("m"), F.count("*").alias("deg"), F.sum("up").alias("up")).select("v", F.least("v", "m").alias("m"), "deg", "up").coalesce(few))
+            # a star's outer nodes have its centre, which is smaller, and nothing else
+            open_, most = low.agg(F.count_if(F.expr("up > 0 and deg > 1")), F.max("deg")).first()
+            if not open_:
+                break
+            # large star: the larger end of an edge goes to the smallest neighbour of the smaller one
+            large = session.cut(_attach(e, low, "b", bound, most).select("a", F.col("m").alias("b")).distinct().coalesce(few))
+            # small star: smaller neighbours and the node go to the smallest one
+            low = session.cut(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("deg")).withColumnRenamed("a", "v").coalesce(few))
+            small = _attach(large, low, "a", bound, low.agg(F.max("deg")).first()[0]).filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            e = session.cut(small.unionByName(low.select(F.col("v").alias("a"), F.col("m").alias("b"))).distinct().coalesce(few))
+            n = e.count()
+        star = e.select(F.col("a").alias("node"), F.col("b").alias("label"))
+        return session.cut(star.unionByName(star.select(F.col("label").alias("node"), "label").distinct()).coalesce(few))

@@ -222,8 +222,8 @@ def _sets(docs: DataFrame, key: str, width: int, wanted: DataFrame) -> DataFrame
     h = F.xxhash64(F.col(key))
     bits = wanted.select(F.xxhash64("rep").alias("h")).select(F.pmod("h", F.lit(FILTER_WORDS)).cast("int").alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright("h", 40), F.lit(64)).cast("int")).alias("v"))
     table = np.zeros(FILTER_WORDS, np.int64)
-    for w, v in bits.groupBy("w").agg(F.bit_or("v")).collect():  # FILTER_WORDS rows at most
-        table[w] = v
+    words = bits.groupBy("w").agg(F.bit_or("v").alias("v")).toArrow()  # FILTER_WORDS rows at most
+    table[words["w"].to_numpy()] = words["v"].to_numpy()
     shared = spark.sparkContext.broadcast(table)
     kind = docs.select(key).schema[0].dataType.simpleString()
 
