@@ -4,7 +4,8 @@ Five rates of a document (symbols, capitals, repeated lines, repeated words, wor
 are compared with fences around the quartiles of its language and source. Quartiles come from mergeable
 KLL sketches: one a (language, source), merged into one a language and one of all; a group of fewer than
 `least` documents takes its language's fences, a language of fewer those of all. The fences then meet the
-documents in a join, and what lies outside goes.
+documents in a join, and what lies outside goes: the fences are broadcast if their groups are counted to be few, else
+dealt with the documents by group and salt, so that a large group has no task of its own.
 
 A fence is `reach` quartile distances beyond the quartile. Where almost all documents have the same rate
 the distance is about 0; it is then taken as `spread` of the rate's unit, so that a single symbol in a
@@ -25,9 +26,11 @@ BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 #: rate: (least distance between quartiles, fence below as well)
-RATES = {"symbol_rate": (0.05, False), "capital_rate": (0.05, False), "line_rate": (0.1, False), "repeat_rate": (0.1, False), "same_rate": (0.05, False), "word_length": (1.0, True)}
+RATES = {"symbol_rate": (0.05, False), "capital_rate": (0.05, False), "line_rate": (0.05, False), "repeat_rate": (0.02, False), "same_rate": (0.05, False), "word_length": (1.0, True)}
 SKETCH_K = 1024
 REACH, LEAST = 4.0, 200
+GROUPS = 20_000  # groups whose fences are broadcast (some 200 bytes each)
+SALTS = 32
 
 
 def counts(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -97,22 +100,40 @@ def fences(measured: DataFrame, reach: float = REACH, least: int = LEAST) -> Dat
     return groups.filter("a_n > 0").select("lang", "source", *out)
 
 
-def judge(docs: DataFrame, key: str = "doc_id", reach: float = REACH, least: int = LEAST) -> DataFrame:
-    """key, lang, source, the counts, base_failed and kept of every row of docs(key, text, lang, source)."""
-    measured = session.cut(counts(docs.select(key, "text", "lang", "source"), [key, "lang", "source"]))
-    limits = fences(measured, reach, least)
-    joined = measured.alias("d").join(limits.alias("f"), F.col("d.lang").eqNullSafe(F.col("f.lang")) & F.col("d.source").eqNullSafe(F.col("f.source")), "left")
+def _with_fences(measured: DataFrame, limits: DataFrame) -> DataFrame:
+    """measured and the fences of a row's group, null where there are none."""
+    same = F.col("d.lang").eqNullSafe(F.col("f.lang")) & F.col("d.source").eqNullSafe(F.col("f.source"))
+    limits = session.cut(limits)
+    if limits.count() <= GROUPS:
+        return measured.alias("d").join(F.broadcast(limits).alias("f"), same, "left")
+    left = measured.withColumn("salt_", F.pmod(F.xxhash64("n_words", "word_chars", "n_symbols"), F.lit(SALTS)).cast("int"))
+    right = limits.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return left.alias("d").join(right.alias("f"), same & (F.col("d.salt_") == F.col("f.salt_")), "left")
+
+
+def _measured(docs: DataFrame, row: list[Column]) -> DataFrame:
+    """The columns of row in a struct, lang, source and the counts of every row of docs(text, lang, source)."""
+    return session.cut(counts(docs.select(F.struct(*row).alias("row"), "text", "lang", "source"), ["row", "lang", "source"]))
+
+
+def _verdict(measured: DataFrame, reach: float, least: int) -> DataFrame:
+    """measured, base_failed and kept."""
+    joined = _with_fences(measured, fences(measured, reach, least))
     inside = F.lit(True)
     for k, c in rates().items():
         inside &= F.coalesce(c.between(F.col(f"{k}_low"), F.col(f"{k}_high")), F.lit(True))
-    return joined.select("d.*", base_failed().alias("base_failed"), (~base_failed() & inside).alias("kept"))
+    return joined.select(*[F.col(f"d.{c}") for c in measured.columns], base_failed().alias("base_failed"), (~base_failed() & inside).alias("kept"))
+
+
+def judge(docs: DataFrame, key: str = "doc_id", reach: float = REACH, least: int = LEAST) -> DataFrame:
+    """key, lang, source, the counts, base_failed and kept of every row of docs(key, text, lang, source)."""
+    out = _verdict(_measured(docs, [F.col(key)]), reach, least)
+    return out.select(f"row.{key}", *[c for c in out.columns if c != "row"])
+
 
+def keep(docs: DataFrame, reach: float = REACH, least: int = LEAST) -> DataFrame:
+    """The rows of docs that the rules keep, whole; repeated rows each get their verdict.
 
-def keep(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs that the rules keep, whole; rows are told apart by their content, so repeated ones share their verdict."""
-    if "row_" in docs.columns:
-        raise ValueError("docs has a column row_")
-    row = F.xxhash64("doc_id", "text", "lang", "source")
-    marked = docs.withColumn("row_", row)
-    good = judge(marked, "row_", **options).filter("kept").select("row_").distinct()
-    return marked.join(good, "row_", "left_semi").drop("row_")
+    The counts are taken once and written with the rows, so that no join has to find the rows again.
+    """
+    return _verdict(_measured(docs, [F.col(f"`{c}`") for c in docs.columns]), reach, least).filter("kept").select("row.*")
