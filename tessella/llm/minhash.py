@@ -8,18 +8,18 @@ No step pairs up the members of a group:
 
 1. Documents with equal sets are one class (a 128-bit hash of the set); only classes go on.
 2. Classes that share a band meet the smallest class of that band, its hub, and are tied to it if their sketches (four
-   bits of each value) are alike enough. Those that are not all but equal to the hub stay in the band: up to FEW
-   of them are tied to the smallest of them; more (a passage that many documents share) are dealt anew by pairs of such
-   bands, so that a common passage alone ties nothing. The components of the ties are the candidate groups.
+   bits of each value) are alike enough. Up to FEW others of a band are tied to the hub as well. Where there are more (a
+   passage that many documents share), those that are not all but equal to the hub are dealt anew by the rarest of their
+   shingles, so many that two sets that are alike enough share one, and meet the hubs of these: a common passage alone
+   ties nothing. The components of the ties are the candidate groups.
 3. Sets of candidates only are gathered (a fixed-size filter of their ids keeps the rest out of the
    shuffle). A group of up to CHUNK classes is linked exactly in one task. A larger one is dealt to chunks
    by hash, each with the same few hubs, which find most links of a large group of near copies.
 4. Where a large group has not become one component, classes outside its largest component meet every chunk
    of it, block by block, so that no link is lost.
 
-Of the pairs at the least similarity, (1 - s^ROWS)^BANDS share no band: 5e-8 at 0.8; one in a million shares
-one band only, which matters where that band stays crowded. If x is all but equal (TIGHT) to a hub and y is like x, y is
-as like the hub as LOOSE asks, so leaving x out of the next deal parts no pair.
+Of the pairs at the least similarity, (1 - s^ROWS)^BANDS share no band: 5e-8 at 0.8. If x is all but equal (TIGHT) to
+a hub and y is like x, y is as like the hub as LOOSE asks, so leaving x out of the next deal parts no pair.
 
 Defined results: a null or blank text has an empty set, is linked with nothing and kept; a text of fewer
 words than a shingle is one shingle; repeated rows are linked; null ids count as larger than all others.
@@ -38,7 +38,7 @@ from tessella.llm import textops as T
 PERMUTATIONS, ROWS = 64, 4  # 2 * 64 values in bands of 4: 32 bands
 BANDS = 2 * PERMUTATIONS // ROWS
 LOOSE, TIGHT = 0.55, 0.92  # estimated likeness to a hub from which on a class is tied to it, and is done with its band
-FEW = 64  # classes of a band that are tied without more evidence
+FEW = 64  # classes of a band that are tied to its hub without more evidence
 CHUNK, HUBS, SHINGLES = 256, 8, 400_000  # classes and shingles of a chunk, hubs of a large group
 FILTER_WORDS = 1 << 18  # of 64 bits: 2 MB whatever the corpus
 
@@ -129,32 +129,48 @@ def signatures(docs: DataFrame, key: str, width: int) -> DataFrame:
     return docs.select(key, "text").mapInArrow(run, f"`{key}` {kind}, node binary, n_shingles long, bands array<long>, sketch array<long>")
 
 
-def _meet_hubs(member: DataFrame, sketches: DataFrame) -> DataFrame:
-    """band, node, hub, alike (estimated) of member(band, node), without hubs and bands of one class."""
-    hubs = member.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1").select("band", "hub")
-    met = member.join(hubs, "band").filter("node != hub")
-    met = met.join(sketches, "node").join(sketches.select(F.col("node").alias("hub"), F.col("sketch").alias("of_hub")), "hub")
-    return session.cut(met.select("band", "node", "hub", estimate("sketch", "of_hub").alias("alike")))
+def _hubs(member: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """band, hub (its smallest node), n of the bands that several nodes of member(band, node) have; and band, node, hub of the others in them."""
+    hubs = session.cut(member.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1"))
+    return hubs, session.cut(graph.meet(member, hubs, "band", "n").filter("node != hub").select("band", "node", "hub"))
 
 
-def ties(classes: DataFrame) -> DataFrame:
-    """Edges (a, b) whose components hold every candidate pair of classes(node, bands, sketch)."""
+def _rarest(sets: DataFrame, least: int) -> DataFrame:
+    """band, node: the rarest shingles of each of sets(node, n_shingles, shingles), so many that two sets alike enough have one of them in common.
+
+    Shingles are in one order for all sets: by the number of sets that have them, then by hash. Those of a single set tie nothing.
+    """
+
+    def each(batches):
+        for batch in batches:
+            data = batch.column("shingles").to_pylist()
+            own = np.repeat(np.arange(len(data)), [len(x) // 8 for x in data])
+            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(own)), batch.column("n_shingles").take(pa.array(own)), pa.array(np.frombuffer(b"".join(data), np.int64))], names=["node", "size", "band"])
+
+    flat = sets.select("node", "n_shingles", "shingles").mapInArrow(each, "node binary, size long, band long")
+    count = session.cut(flat.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"))
+    own = Window.partitionBy("node")
+    ranked = graph.meet(flat, count, "band", "n").select("*", F.row_number().over(own.orderBy("n", F.xxhash64("band"))).alias("r"), F.count("*").over(own).alias("shared"))
+    return ranked.filter(F.col("r") <= F.col("shared") + 1 - F.ceil(F.col("size") * least / 100)).select("band", "node")
+
+
+def ties(docs: DataFrame, key: str, width: int, least: int, classes: DataFrame) -> DataFrame:
+    """Edges (a, b) whose components hold every candidate pair of classes(node, rep, n_shingles, bands, sketch)."""
+    edge = lambda df: df.select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    hubs, met = _hubs(classes.select(F.explode("bands").alias("band"), "node"))
     sketches = classes.select("node", "sketch")
-    out, member = None, classes.select(F.explode("bands").alias("band"), "node")
-    for last in (False, True):
-        met = _meet_hubs(member, sketches)
-        left = met.filter(F.col("alike") < TIGHT)
-        rest = left.groupBy("band").agg(F.min("node").alias("hub2"), F.count("*").alias("m"))
-        tied = left.join(rest if last else rest.filter(F.col("m") <= FEW), "band").select(F.col("node").alias("a"), F.col("hub2").alias("b"))
-        tied = tied.unionByName(met.filter(F.col("alike") >= LOOSE).select(F.col("node").alias("a"), F.col("hub").alias("b")))
-        out = tied if out is None else out.unionByName(tied)
-        crowded = rest.filter(F.col("m") > FEW)
-        if last or crowded.isEmpty():
-            return out
-        # a node has at most BANDS of them
-        own = left.join(crowded.select("band"), "band").groupBy("node").agg(F.sort_array(F.collect_set("band")).alias("bs"))
-        pairs = F.flatten(F.transform("bs", lambda x, i: F.transform(F.slice("bs", i + 2, BANDS), lambda y: F.xxhash64(x, y))))
-        member = own.select(F.explode(pairs).alias("band"), "node")
+    pairs = met.select("node", "hub").distinct().join(sketches, "node").join(sketches.select(F.col("node").alias("hub"), F.col("sketch").alias("of_hub")), "hub")
+    pairs = session.cut(pairs.select("node", "hub", estimate("sketch", "of_hub").alias("alike")))
+    far = session.cut(met.join(pairs.filter(F.col("alike") < LOOSE), ["node", "hub"]).select("band", "node", "hub"))
+    others = session.cut(far.groupBy("band").agg(F.count("*").alias("m")))
+    out = edge(pairs.filter(F.col("alike") >= LOOSE)).unionByName(edge(far.join(others.filter(F.col("m") <= FEW), "band")))
+    crowded = others.filter(F.col("m") > FEW)
+    if crowded.isEmpty():
+        return out
+    again = graph.meet(met, session.cut(crowded.join(hubs.select("band", "n"), "band")), "band", "n").select("node", "hub").distinct()
+    again = again.join(pairs.filter(F.col("alike") < TIGHT), ["node", "hub"]).select("node").distinct()
+    sets = session.cut(_sets(docs, key, width, classes.select("node", "rep", "n_shingles").join(again, "node")).dropDuplicates(["node"]))
+    return out.unionByName(edge(_hubs(_rarest(sets, least))[1]))
 
 
 def links(nodes: list, sets: list, least: int, group: list | None = None) -> list[tuple]:
@@ -251,11 +267,11 @@ def _chunk_of(n, total):
 def find(docs: DataFrame, key: str = "doc_id", width: int = 4, least: int = 80) -> DataFrame:
     """key, node, n_shingles, component (the smallest key reachable) of every row of docs(key, text)."""
     sig = session.cut(signatures(docs, key, width))
-    classes = session.cut(sig.filter("node is not null").groupBy("node").agg(F.min(key).alias("rep"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", "sketch")]))
-    named = session.cut(graph.components(ties(classes)).withColumnRenamed("label", "grp").join(classes.select("node", "rep", F.col("n_shingles").alias("n")), "node"))
-    size = named.groupBy("grp").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
+    classes = session.cut(sig.filter("node is not null").groupBy("node").agg(F.min(key).alias("rep"), F.count("*").alias("docs"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", "sketch")]))
+    named = session.cut(graph.components(ties(docs, key, width, least, classes)).withColumnRenamed("label", "grp").join(classes.select("node", "rep", F.col("n_shingles").alias("n")), "node"))
+    size = session.cut(named.groupBy("grp").agg(F.count("*").alias("m"), F.sum("n").alias("total")))
     pieces, chunk = _chunk_of(F.col("m"), F.col("total"))
-    placed = session.cut(named.join(size, "grp").withColumn("pieces", pieces).withColumn("chunk", chunk).select("node", "rep", "grp", "n", "pieces", "chunk"))
+    placed = session.cut(graph.meet(named, size, "grp", "m").withColumn("pieces", pieces).withColumn("chunk", chunk).select("node", "rep", "grp", "n", "pieces", "chunk"))
     large = placed.filter("pieces > 1")
     wanted = placed.select("rep", "node", "grp", "chunk")
     crowd = not large.isEmpty()
@@ -274,10 +290,11 @@ def find(docs: DataFrame, key: str = "doc_id", width: int = 4, least: int = 80)
         if rest is not None:
             labels = graph.components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(rest))
     linked = session.cut(labels.join(classes.select("node", "rep"), "node"))
-    lowest = linked.groupBy("label").agg(F.min("rep").alias("component"))
-    linked = linked.join(lowest, "label").select("node", "component")
-    whole = classes.select("node", "rep").join(linked, "node", "left").select("node", F.coalesce("component", "rep").alias("component"))
-    return sig.select(key, "node", "n_shingles").join(whole, "node", "left").select(key, "node", "n_shingles", F.coalesce("component", key).alias("component"))
+    lowest = session.cut(linked.groupBy("label").agg(F.min("rep").alias("component"), F.count("*").alias("m")))
+    linked = graph.meet(linked, lowest, "label", "m").select("node", "component")
+    whole = session.cut(classes.select("node", "rep", "docs").join(linked, "node", "left").select("node", "docs", F.coalesce("component", "rep").alias("component")))
+    out = graph.meet(sig.filter("node is not null").select(key, "node", "n_shingles"), whole, "node", "docs").select(key, "node", "n_shingles", "component")
+    return out.unionByName(sig.filter("node is null").select(key, "node", "n_shingles", F.col(key).alias("component")))
 
 
 def _rest(docs: DataFrame, key: str, width: int, large: DataFrame, labels: DataFrame, least: int) -> DataFrame | None:
