@@ -301,15 +301,16 @@ def _rest(docs: DataFrame, key: str, width: int, large: DataFrame, labels: DataF
     """Links in large groups between what is outside the largest component and everything else; None if there is nothing to compare."""
     now = session.cut(large.select("node", "rep", "grp", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
     by = now.groupBy("grp", "label").agg(F.count("*").alias("m"))
-    top = session.cut(by.groupBy("grp").agg(F.max_by("label", F.struct("m", "label")).alias("main"), F.count("*").alias("parts")).filter("parts > 1"))
+    top = session.cut(by.groupBy("grp").agg(F.max_by("label", F.struct("m", "label")).alias("main"), F.count("*").alias("parts"), F.sum("m").alias("rows")).filter("parts > 1"))
     if top.isEmpty():
         return None
-    side = now.join(top, "grp").withColumn("main", F.col("label") == F.col("main"))
+    side = session.cut(graph.meet(now, top, "grp", "rows").withColumn("main", F.col("label") == F.col("main")).drop("rows"))
     size = side.groupBy("grp").agg(
+        F.count("*").alias("rows"),
         F.count_if("main").alias("gm"), F.sum(F.when(F.col("main"), F.col("n")).otherwise(0)).alias("gt"),
         F.count_if(~F.col("main")).alias("rm"), F.sum(F.when(F.col("main"), 0).otherwise(F.col("n"))).alias("rt"),
     )
-    side = side.join(size, "grp")
+    side = graph.meet(side, session.cut(size), "grp", "rows")
     gp, gc = _chunk_of(F.col("gm"), F.col("gt"))
     rp, rc = _chunk_of(F.col("rm"), F.col("rt"))
     side = side.withColumn("gp", gp).withColumn("rp", rp).withColumn("c", F.when(F.col("main"), gc).otherwise(rc))

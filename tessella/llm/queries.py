@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessella.llm import bpe, fingerprints, html_extract, language_id, lm_scoring, minhash, packing, quality_rules, token_counts, toxicity
+from tessella.llm import bpe, fingerprints, html_extract, language_id, lm_scoring, minhash, oracles, packing, quality_rules, token_counts, toxicity
 from tessella.session import prepare, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -45,7 +45,7 @@ def op5_document_fingerprints(spark, sf_dir):
 def op6_lm_scoring(spark, sf_dir):
     scored = lm_scoring.score(table(prepare(spark), sf_dir, "documents"), _fold(7) != 2)
     held = F.coalesce(_fold(7) == 2, F.lit(False)).alias("held_out")
-    return scored.select("doc_id", held, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scored.select("doc_id", held, "n_tokens", "n_known", "train_tokens", F.round("base_score", 6).alias("base_score"), F.round("score", 6).alias("score"))
 
 
 def op7_byte_bpe(spark, sf_dir):
@@ -69,4 +69,4 @@ def op10_minhash_near_dedup(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_language_id, op3_toxicity, op4_token_counts, op5_document_fingerprints, op6_lm_scoring, op7_byte_bpe, op8_quality_rules, op9_best_fit_packing, op10_minhash_near_dedup)}
-ORACLE_SQL = {}
+ORACLE_SQL = oracles.ORACLE_SQL
