@@ -7,6 +7,8 @@ text that is in links. The best container is kept, as are siblings that have a f
 are paragraphs of running text, and the headings before it; an article around it is taken whole.
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and readers' comments are left
 out by their elements, roles and class or id words; lists and boxes that are mostly links are left out of what is kept.
+Words that are about content as often as not (tools, related, search) lower an element's points only; it is left out if it is
+not running text: for the most part blocks of a sentence's length outside of links.
 
 Defined results: a null or empty page, or one without text, gives an empty string; markup may be broken off
 anywhere; unclosed elements end where HTML ends them; beyond a depth of DEEPEST elements are siblings; white space (any sign of it, <br> too) inside a
@@ -47,25 +49,28 @@ IMPLIED = {
 }
 BARRIERS = frozenset("article aside blockquote body button caption details dialog div dl fieldset figure footer form header html li main nav object ol section table td th ul".split())
 #: Words of class, id and role values that mark what is no part of an article, and those that mark one.
-UNLIKELY = frozenset("""ad ads advert adverts advertisement advertising adbox adsense banner billboard breadcrumb breadcrumbs byline captcha comment comments commentlist respond
-    consent cookie cookies gdpr disclaimer disqus feedback footer footnav header masthead topbar toolbar login signin signup menu menus submenu nav navbar navigation
-    newsletter notice notices alert alerts notification outbrain taboola pager paging pagination paywall popup modal overlay promo promos promotion promoted recommend recommended recommendations related
-    replies reply remark rss search share sharing sharebar shoutbox sidebar sidebars sidenav rail skip skyscraper social sponsor sponsored sponsors subscribe subscription supplemental tags tagcloud teaser tools
+UNLIKELY = frozenset("""ad ads advert adverts advertisement advertising adbox adsense banner billboard breadcrumb breadcrumbs byline captcha comment comments commentlist
+    consent cookie cookies gdpr disclaimer disqus footer footnav header masthead topbar toolbar login signin signup menu menus submenu nav navbar navigation
+    newsletter notice notices alert alerts notification outbrain taboola pager pagination paywall popup modal overlay promo promos promotion promoted
+    replies reply sharebar shoutbox sidebar sidebars sidenav skyscraper sponsor sponsored sponsors subscribe subscription tagcloud
     widget widgets complementary contentinfo toc userform""".split())
+DOUBTFUL = frozenset("feedback paging rail recommend recommended recommendations related remark respond rss search share sharing skip social supplemental tags teaser tools".split())
 LIKELY = frozenset("article articlebody body content entry hentry main page post story text".split())
 ROLES = frozenset("navigation banner complementary contentinfo search form dialog alert menu menubar toolbar".split())
+SENTENCE, RUNNING = 80, 0.5  # characters of a block of running text; its share of an element's text that clears it of doubt
 DEEPEST = 512  # elements inside one another; deeper ones are taken as siblings, as browsers do
 SPLIT = re.compile(r"(?:\b|_)(?:has|with|without|no)[-_][a-zA-Z0-9]+|[^a-zA-Z0-9]+|(?<=[a-z0-9])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "depth", "dropped", "likely", "points", "text", "linked", "first", "last", "kids", "links")
+    __slots__ = ("tag", "parent", "depth", "dropped", "likely", "points", "text", "linked", "first", "last", "kids", "links", "doubt", "running")
 
     def __init__(self, tag: str, parent, first: int):
         self.tag, self.parent, self.first, self.last = tag, parent, first, first
         self.depth = parent.depth + 1 if parent else 0
         self.dropped = bool(parent and parent.dropped)
         self.likely, self.points, self.text, self.linked, self.links = 0, 0.0, 0, 0, 0
+        self.doubt, self.running = False, 0
         self.kids: list = []
 
 
@@ -103,6 +108,8 @@ def _judge(node: Node, raw: str) -> None:
     if words & UNLIKELY and tag not in ("article", "main") or words & {"comment", "comments", "reply", "replies"}:
         # "post-header" and the like name parts of an article; what lies in links or notices is still found by density
         node.dropped = True
+    elif words & DOUBTFUL and tag not in ("article", "main"):
+        node.doubt, node.likely = True, -25
     elif words & LIKELY:
         node.likely = max(node.likely, 15)
 
@@ -262,13 +269,33 @@ def _density(node: Node) -> float:
     return node.linked / node.text if node.text else 0.0
 
 
+def _above(node: Node):
+    while node is not None:
+        yield node
+        node = node.parent
+
+
+def _cleared(blocks: list) -> list[bool]:
+    """For each block whether no doubtful element around it is other than running text."""
+    doubtful = [[y for y in _above(x) if y.doubt] for x, _, _ in blocks]
+    size: dict[int, int] = {}
+    for (_, text, linked), around in zip(blocks, doubtful):
+        for y in around:
+            size[id(y)] = size.get(id(y), 0) + len(text)
+            y.running += len(text) - linked if len(text) >= SENTENCE and linked < 0.25 * len(text) else 0
+    return [all(y.running >= RUNNING * size[id(y)] for y in around) for around in doubtful]
+
+
 def extract(page: str | None) -> str:
     """The main text of a page."""
     if not page:
         return ""
     root, blocks = parse(page)
+    out_of_doubt = _cleared(blocks)
     seen: list[Node] = []
-    for x, text, linked in blocks:
+    for (x, text, linked), clear in zip(blocks, out_of_doubt):
+        if not clear:
+            continue
         points = 1 + text.count(",") + text.count("，") + text.count("、") + min(len(text) / 100, 3.0)
         share, y = 1, x
         while y is not None:
@@ -305,7 +332,7 @@ def extract(page: str | None) -> str:
     # lists, tables and boxes that are mostly links go
     out, bad = [], {}
     for k, (x, text, _) in enumerate(blocks):
-        if not any(a <= k < b for a, b in inside):
+        if not out_of_doubt[k] or not any(a <= k < b for a, b in inside):
             continue
         y, drop, path = x, False, []
         while y is not None and y is not root:
