@@ -18,7 +18,7 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.llm import textops as T
@@ -28,6 +28,7 @@ BITS = 18
 SAMPLE_ROWS, SAMPLE_WORDS = 400, 120_000
 STEPS = 12  # runs of a word that are added in steps over all words; those behind them word by word
 WINDOW = 64  # characters of the pieces into which training words are cut
+SALTS = 64  # parts of a language from which its training rows are picked
 BLOCK = 32  # words whose transfer matrices are multiplied up before documents are chained
 
 _letters = np.full(T.END + 1, 2, np.uint8)
@@ -222,16 +223,16 @@ def train(rows: list, words_a_language: int = SAMPLE_WORDS, epochs: int = 4, str
 
 
 def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, longest: int = 100_000) -> Model:
-    """Train on at most `rows` rows of each language of docs(doc_id, text, lang), and the first `longest` characters of longer ones."""
-    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("text", F.left("text", F.lit(longest)))
-    langs = sorted(r.lang for r in known.select("lang").distinct().collect())  # one row a language
-    ids = None
-    for lang in langs:
-        own = known.filter(F.col("lang") == lang).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-        ids = own if ids is None else ids.unionByName(own)
-    if ids is None:
-        return Model([], np.zeros((1 << BITS, 1)), np.zeros((1, 1)))
-    sample = known.select("doc_id", "lang", "text").join(F.broadcast(ids), "doc_id")
+    """Train on at most `rows` rows of each language of docs(doc_id, text, lang), and the first `longest` characters of longer ones.
+
+    The rows are the first by a hash of doc_id, found in one pass: within salts of each language first, so that a common language is no single task's.
+    """
+    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", F.left("text", F.lit(longest)).alias("text"))
+    picked = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"), F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SALTS)).alias("salt"))
+    for by in (["lang", "salt"], ["lang"]):
+        picked = picked.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy("h", "doc_id"))).filter(F.col("r") <= rows)
+    # `rows` rows a language
+    sample = known.join(F.broadcast(picked.select("doc_id", "lang").distinct()), ["doc_id", "lang"])
     got = sorted(sample.collect(), key=lambda r: (r.lang, r.doc_id, r.text))
     return train([(r.text, r.lang) for r in got])
 
