@@ -322,14 +322,14 @@ def train(rows: list, landmarks: int = LANDMARKS, seed: int = 7) -> Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, longest: int = 100_000) -> Model:
-    """Train on at most `rows` labelled rows of docs(doc_id, text) and labels(doc_id, toxic), half of each class where there are so many, of at most `longest` characters each."""
+    """Train on at most `rows` labelled rows of docs(doc_id, text) and labels(doc_id, toxic), half of each class where there are so many, and the first `longest` characters of longer ones."""
     marked = labels.filter("toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     pick = F.xxhash64("doc_id")
     # the ids are chosen before any text is read
     ids = [marked.filter(f"toxic = {k}").select("doc_id", "toxic").orderBy(pick, "doc_id").limit(rows // 2) for k in (0, 1)]
-    sample = docs.select("doc_id", "text").join(F.broadcast(ids[0].unionByName(ids[1])), "doc_id").filter(F.length("text") <= longest)
+    sample = docs.select("doc_id", F.left("text", F.lit(longest)).alias("text"), pick.alias("h")).filter("text is not null").join(F.broadcast(ids[0].unionByName(ids[1])), "doc_id")
     got, used = [], [0, 0]
-    for r in sorted(sample.collect(), key=lambda r: (hash(r.doc_id), r.text)):
+    for r in sorted(sample.collect(), key=lambda r: (r.h, str(r.doc_id), r.text)):
         if used[r.toxic] < chars:
             used[r.toxic] += len(r.text)
             got.append((r.text, r.toxic))
