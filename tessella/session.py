@@ -1,8 +1,10 @@
 """Session helpers shared by the queries."""
 
 import contextlib
+import contextvars
 import os
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,10 +48,34 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+_scratch: contextvars.ContextVar = contextvars.ContextVar("scratch", default=None)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """A folder below the checkpoint folder for the tables that cut() writes inside; it goes at the end, so what is to last is to be checkpointed before."""
+    folder = f"{checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    token = _scratch.set(folder)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Write a frame to the shared checkpoint folder and go on from there: an iteration's lineage ends here."""
+    """Write a frame to the shared checkpoint folder and go on from there: an iteration's lineage ends here.
+
+    In a scratch block it is a table, whose plan and size start anew: a checkpointed frame takes its estimated size along,
+    and estimates are multiplied by every join, which an iteration must not do.
+    """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    if not _scratch.get():
+        return df.checkpoint(eager=True)
+    path = f"{_scratch.get()}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def parts(spark: SparkSession) -> int:
