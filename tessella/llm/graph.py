@@ -33,7 +33,10 @@ def meet(left: DataFrame, right: DataFrame, on: str, weight: str) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, label (the smallest node that it reaches) of every node of edges(a, b); null ends and loops are left out."""
+    """node, label (the smallest node that it reaches) of every node of edges(a, b); null ends and loops are left out.
+
+    To be called in a scratch block, where the tables of the rounds are deleted at the end.
+    """
     spark = edges.sparkSession
     parts = session.parts(spark)
     e = session.cut(edges.filter("a is not null and b is not null and a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
@@ -42,7 +45,6 @@ def components(edges: DataFrame) -> DataFrame:
     # adaptive execution starts a thread an exchange, and these are many and small
     with session.settings(spark, adaptive_enabled="false", shuffle_partitions=min(parts, max(8, few))):
         while n:
-            e = e.coalesce(few)
             both = e.select(F.col("a").alias("v"), F.col("b").alias("w"), F.lit(1).alias("up")).unionByName(e.select(F.col("b").alias("v"), F.col("a").alias("w"), F.lit(0).alias("up")))
             low = both.groupBy("v").agg(F.min("w").alias("m"), F.count("*").alias("deg"), F.sum("up").alias("up")).select("v", F.least("v", "m").alias("m"), "deg", "up")
             low = session.cut(low.coalesce(few))

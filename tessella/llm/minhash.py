@@ -266,6 +266,11 @@ def _chunk_of(n, total):
 
 def find(docs: DataFrame, key: str = "doc_id", width: int = 4, least: int = 80) -> DataFrame:
     """key, node, n_shingles, component (the smallest key reachable) of every row of docs(key, text)."""
+    with session.scratch(docs.sparkSession):
+        return _find(docs, key, width, least).checkpoint(eager=True)
+
+
+def _find(docs: DataFrame, key: str, width: int, least: int) -> DataFrame:
     sig = session.cut(signatures(docs, key, width))
     classes = session.cut(sig.filter("node is not null").groupBy("node").agg(F.min(key).alias("rep"), F.count("*").alias("docs"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", "sketch")]))
     named = session.cut(graph.components(ties(docs, key, width, least, classes)).withColumnRenamed("label", "grp").join(classes.select("node", "rep", F.col("n_shingles").alias("n")), "node"))
