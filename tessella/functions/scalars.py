@@ -47,15 +47,19 @@ def interval_iou(s1, e1, s2, e2) -> Column:
     return common / F.greatest((e1 - s1) + (e2 - s2) - common, F.lit(1))
 
 
-def box_iou(a: str, b: str) -> Column:
-    """Of two boxes with the columns x0, y0, x1, y1 behind the prefixes a and b; the union counts as 1 at least."""
-    p, q = ({k: F.col(f"{z}{k}") for k in ("x0", "y0", "x1", "y1")} for z in (a, b))
+def iou(p, q) -> Column:
+    """Of two boxes with the fields x0, y0, x1, y1 (structs, or dicts of columns); the union counts as 1 at least."""
     w = F.greatest(F.least(p["x1"], q["x1"]) - F.greatest(p["x0"], q["x0"]), F.lit(0))
     h = F.greatest(F.least(p["y1"], q["y1"]) - F.greatest(p["y0"], q["y0"]), F.lit(0))
     area = lambda z: (z["x1"] - z["x0"]) * (z["y1"] - z["y0"])
     return w * h / F.greatest(area(p) + area(q) - w * h, F.lit(1))
 
 
+def box_iou(a: str, b: str) -> Column:
+    """Of two boxes with the columns x0, y0, x1, y1 behind the prefixes a and b."""
+    return iou(*({k: F.col(f"{z}{k}") for k in ("x0", "y0", "x1", "y1")} for z in (a, b)))
+
+
 def slugify(c: Column) -> Column:
     """A title as a file name: no namespace before the first colon, no .pdf or .djvu, other signs to one underscore, 80 characters."""
     bare = F.regexp_replace(F.regexp_replace(c, r"^[^:]*:", ""), r"(?i)\.(pdf|djvu)$", "")

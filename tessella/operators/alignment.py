@@ -30,38 +30,67 @@ def _numbered(a: Column) -> Column:
     return F.transform(a, lambda v, i: F.struct(v.alias("v"), i.alias("i")))
 
 
-def align(gains: np.ndarray, gap: float = GAP) -> list[tuple[int, int]]:
-    """Pairs (i, j) of the best global alignment of a gain matrix; at ties a pair goes before an extra row, that before a missing column."""
-    n, m = gains.shape
-    best, move = np.zeros((n + 1, m + 1)), np.zeros((n + 1, m + 1), np.int8)
-    best[:, 0], best[0, :] = np.arange(n + 1) * gap, np.arange(m + 1) * gap
-    move[1:, 0], move[0, 1:] = 1, 2
-    for i in range(1, n + 1):
-        for j in range(1, m + 1):
-            options = (best[i - 1, j - 1] + gains[i - 1, j - 1], best[i - 1, j] + gap, best[i, j - 1] + gap)
-            move[i, j] = int(np.argmax(options))
-            best[i, j] = options[move[i, j]]
-    out, i, j = [], n, m
-    while i or j:
-        if move[i, j] == 0:
-            out.append((i - 1, j - 1))
-        i, j = i - (move[i, j] != 2), j - (move[i, j] != 1)
-    return out[::-1]
-
-
-def align_paths(df: DataFrame, keys: list[str]) -> DataFrame:
-    """The paired places i, j (from 1) of arrays a and b of each row: equal values gain 0.5, others lose 0.5."""
-    schema = df.select(*keys, F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j")).schema
-
-    def run(frames):
-        for f in frames:
-            rows = []
-            for r in f.itertuples(index=False):
-                gains = np.where(np.asarray(r.a)[:, None] == np.asarray(r.b)[None, :], 0.5, -0.5) if len(r.a) and len(r.b) else np.zeros((len(r.a), len(r.b)))
-                rows += [(*(getattr(r, k) for k in keys), i + 1, j + 1) for i, j in align(gains)]
-            yield pd.DataFrame(rows, columns=[*keys, "i", "j"])
+CELLS = 4_000_000  # of the tables that are swept side by side
+
+
+def _sweep(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Moves (0 a pair, 1 an extra row, 2 a missing column) of the tables of many padded pairs of code arrays, an anti-diagonal of all of them at a time."""
+    rows, n, m = len(a), a.shape[1], b.shape[1]
+    best, moves = np.zeros((rows, n + 1, m + 1)), np.zeros((rows, n + 1, m + 1), np.int8)
+    best[:, :, 0], best[:, 0, :] = np.arange(n + 1) * GAP, np.arange(m + 1) * GAP
+    moves[:, 1:, 0], moves[:, 0, 1:] = 1, 2
+    for d in range(2, n + m + 1):
+        i = np.arange(max(1, d - m), min(n, d - 1) + 1)
+        j = d - i
+        x = a[:, i - 1]
+        pair = best[:, i - 1, j - 1] + np.where((x == b[:, j - 1]) & (x >= 0), 0.5, -0.5)
+        extra, missing = best[:, i - 1, j], best[:, i, j - 1]
+        alone = np.maximum(extra, missing) + GAP
+        best[:, i, j] = np.maximum(pair, alone)
+        moves[:, i, j] = np.where(pair >= alone, 0, np.where(extra >= missing, 1, 2))
+    return moves
+
+
+def _walk(moves: np.ndarray, n: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, i, j), from 1, of the pairs on the way back from the ends of all tables at once."""
+    row, i, j, out = np.arange(len(n)), n.copy(), m.copy(), []
+    while (open_ := (i > 0) | (j > 0)).any():
+        row, i, j = row[open_], i[open_], j[open_]
+        move = moves[row, i, j]
+        hit = move == 0
+        out.append((row[hit], i[hit], j[hit]))
+        i, j = i - (move != 2), j - (move != 1)
+    return tuple(np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*out) if out else ((), (), ())))
+
+
+def align_paths(df: DataFrame, key: str) -> DataFrame:
+    """The paired places i, j (from 1) of the short arrays a and b of each row: equal values gain 0.5, others lose 0.5, GAP for what stays alone.
+
+    At ties a pair goes before an extra row, that before a missing column. For long arrays use align_whole.
+    """
 
-    return df.select(*keys, "a", "b").mapInPandas(run, schema)
+    def run(batches):
+        for batch in batches:
+            lists = batch.column("a"), batch.column("b")
+            codes = pa.concat_arrays([x.flatten() for x in lists]).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+            size = np.stack([x.value_lengths().fill_null(0).to_numpy(zero_copy_only=False) for x in lists]).astype(np.int64)
+            first = (np.cumsum(size) - size.ravel()).reshape(2, -1)
+            order = np.argsort(size.max(0), kind="stable")
+            step = 0
+            while step < len(order):
+                # as many rows as their padded tables have room for: rows are in the order of their longer side
+                edge = size.max(0)[order[step:]] + 1
+                part = order[step : step + max(1, int(np.searchsorted(np.arange(1, len(edge) + 1) * edge * edge, CELLS, side="right")))]
+                step += len(part)
+                padded = []
+                for k in range(2):
+                    at = np.arange(int(size[k, part].max()))
+                    there = at < size[k, part][:, None]
+                    padded.append(np.where(there, codes[np.where(there, first[k, part][:, None] + at, 0)] if len(codes) else -1, -1))
+                row, i, j = _walk(_sweep(*padded), size[0, part], size[1, part])
+                yield pa.RecordBatch.from_arrays([batch.column(key).take(pa.array(part[row])), pa.array(i), pa.array(j)], names=[key, "i", "j"])
+
+    return df.select(F.col(key).cast("long"), "a", "b").mapInArrow(run, f"{key} long, i long, j long")
 
 
 def _next_row(row: np.ndarray, code: int, b: np.ndarray, i: int, forced: tuple[int, int] | None) -> tuple[np.ndarray, np.ndarray]:
@@ -80,7 +109,8 @@ def _next_row(row: np.ndarray, code: int, b: np.ndarray, i: int, forced: tuple[i
 def align_codes(a: np.ndarray, b: np.ndarray, forced: tuple[int, int] | None = None, path: bool = True) -> tuple[int, list[tuple[int, int]]]:
     """Score in twentieths and pairs of the best global alignment of two sequences of codes of any length; codes below 0 equal nothing.
 
-    Equal codes gain 0.5, others lose 0.5, GAP for what stays alone, ties as in align(); in whole numbers, so ties are exact.
+    Equal codes gain 0.5, others lose 0.5, GAP for what stays alone; at ties a pair goes before an extra row, that before a missing column; in
+    whole numbers, so ties are exact.
     A forced pair's row and column lose 5, its cell gains 5. Only every sqrt(n)-th row is kept; the way back builds the
     moves of one block of rows at a time from it.
     """
@@ -126,6 +156,47 @@ def align_whole(df: DataFrame, key: str, paths: bool = False) -> DataFrame:
     return df.select(F.col(key).cast("long"), *columns[1:]).mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
+def _range_least(values: np.ndarray, begin: np.ndarray, end: np.ndarray, none: int) -> np.ndarray:
+    """The least of values[begin:end] for each pair, `none` for empty ones: from the least values of all stretches of 2, 4, 8, ... places."""
+    out, size, step, table = np.full(len(begin), none), end - begin, 1, values
+    while len(table):
+        on = (size >= step) & (size < 2 * step)
+        out[on] = np.minimum(table[begin[on]], table[end[on] - step])
+        table = np.minimum(table[:-step], table[step:]) if len(table) > step else table[:0]
+        step *= 2
+    return out
+
+
+def even_markers(seen: np.ndarray, total: int, parts: int) -> tuple[list[int], int] | None:
+    """Numbers, from 1, and cost of the markers that part a total most evenly; seen: counts before each marker, rising.
+
+    A part's cost |s_j - s_i - each| is s_j - each - s_i for the markers up to s_j - each and the negative of it behind them, so
+    the best one before j is the first of a prefix's least cost - s_i and a stretch's least cost + s_i. Numbers of markers ride
+    in the lower digits, so that the earliest one wins a tie.
+    """
+    m, each = len(seen), total // (parts + 1)
+    if m < parts:
+        return None
+    place, none = np.arange(m), np.int64(1) << 60
+    cost, ok, back = np.abs(seen - each), np.ones(m, bool), []
+    near = np.minimum(np.searchsorted(seen, seen - each, side="right"), place)  # markers before j that lie up to s_j - each
+    for _ in range(parts - 1):
+        low, high = (np.where(ok, (cost + sign * seen) * m + place, none) for sign in (-1, 1))
+        left = np.concatenate([[none], np.minimum.accumulate(low)])[near]
+        right = _range_least(high, near, place, none)
+        from_left = np.where(left < none, left // m + seen - each, none)
+        from_right = np.where(right < none, right // m - seen + each, none)
+        first = from_left <= from_right
+        cost, ok = np.where(first, from_left, from_right), np.minimum(from_left, from_right) < none
+        back.append(np.where(first, left, right) % m)
+    cost = np.where(ok, cost + np.abs(total - seen - (total - parts * each)), none)
+    path = [int(cost.argmin())]
+    value = int(cost[path[0]])
+    for b in reversed(back):
+        path.append(int(b[path[-1]]))
+    return [x + 1 for x in reversed(path)], value
+
+
 def marker_partition(df: DataFrame, key: str, parts: int) -> DataFrame:
     """One marker for each of `parts` parts so that the counts between chosen markers come closest to even ones.
 
@@ -137,35 +208,17 @@ def marker_partition(df: DataFrame, key: str, parts: int) -> DataFrame:
 
     def run(frames):
         for f in frames:
-            rows = []
-            for k, seen, total in zip(f[key], f["markers"], f["total"]):
-                seen = np.asarray(seen, np.int64)
-                each, m = int(total) // (parts + 1), len(seen)
-                if m < parts:
-                    rows.append((k, None, None))
-                    continue
-                cost, back = np.abs(seen - each).astype(float), []
-                for _ in range(parts - 1):
-                    step = cost[:, None] + np.abs(seen[None, :] - seen[:, None] - each)
-                    step[np.tril_indices(m)] = np.inf
-                    back.append(step.argmin(0))
-                    cost = step.min(0)
-                cost = cost + np.abs(total - seen - (total - parts * each))
-                j = int(cost.argmin())
-                path, value = [j], int(cost[j])
-                for b in reversed(back):
-                    path.append(int(b[path[-1]]))
-                rows.append((k, [x + 1 for x in reversed(path)], value))
-            yield pd.DataFrame(rows, columns=[key, "chosen", "cost"])
+            found = [even_markers(np.asarray(seen, np.int64), int(total), parts) or (None, None) for seen, total in zip(f["markers"], f["total"])]
+            yield pd.DataFrame({key: f[key], "chosen": [c for c, _ in found], "cost": pd.array([v for _, v in found], "Int64")})
 
     return df.select(key, "markers", "total").mapInPandas(run, schema)
 
 
 def neighbours(df: DataFrame, keys: list[str], order: list[str], value: Column) -> DataFrame:
     """Adds before and after: the nearest non-null value among the rows before and behind."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    before = F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    after = F.first(value, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    # the rows behind are those before in the other direction: a frame that only grows
+    ahead, behind = Window.partitionBy(*keys).orderBy(*order), Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
+    before, after = (F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)) for w in (ahead, behind))
     return df.withColumn("before", before).withColumn("after", after)
 
 

@@ -1,9 +1,9 @@
 """Logs of corrections over tables: last writer wins, full folds, slice replacement, snapshots."""
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+
+from tessella.functions import scalars as S
 
 
 def last_writer(log: DataFrame, keys: list[str], order: str, *columns: str) -> DataFrame:
@@ -27,66 +27,51 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str, value: str) -> DataF
     return a.join(b, key, "full_outer").select(key, status.alias("status"))
 
 
-def _iou(a, b) -> float:
-    w, h = min(a[2], b[2]) - max(a[0], b[0]), min(a[3], b[3]) - max(a[1], b[1])
-    common = max(w, 0) * max(h, 0)
-    return common / max(1, (a[2] - a[0]) * (a[3] - a[1]) + (b[2] - b[0]) * (b[3] - b[1]) - common)
+#: How much of a box an action must cover to concern it (IoU above): targets settle on what is roughly there.
+THERE, PINNED = 0.5, 0.3
+BOX = ("x0", "y0", "x1", "y1")
+
+
+def _row(box: Column, target: Column, forbid: Column) -> Column:
+    return F.struct(*[box[c].alias(c) for c in BOX], target.alias("target"), forbid.alias("forbid"))
+
+
+def _apply(rows: Column, act: Column) -> Column:
+    """A page's rows after one action, which is an effect on the rows that its box meets."""
+    none = F.lit(None).cast("long")
+    nothing = F.array().cast("array<bigint>")
+    meets = lambda least: lambda r: S.iou(r, act) > least
+    forbidden = F.transform(rows, lambda r: F.when(meets(THERE)(r), _row(r, F.when(~r["target"].eqNullSafe(act["target"]), r["target"]), F.array_append(r["forbid"], act["target"]))).otherwise(r))
+    gone = F.filter(rows, lambda r: ~meets(THERE)(r))
+    first = F.array_position(F.transform(rows, meets(PINNED)), True)
+    pinned = F.when(first > 0, F.transform(rows, lambda r, i: F.when(i + 1 == first, _row(act, act["target"], r["forbid"])).otherwise(r))).otherwise(F.array_append(rows, _row(act, act["target"], nothing)))
+    added = F.when(F.exists(rows, meets(THERE)), rows).otherwise(F.array_append(rows, _row(act, none, nothing)))
+    verb, named = act["action"], act["target"].isNotNull()
+    return F.when(verb == "not", forbidden).when(verb == "reject", gone).when(verb.isin("assign", "add", "locked") & named, pinned).when(verb == "add", added).otherwise(rows)
+
 
+def overlay(boxes: DataFrame, actions: DataFrame, keys: list[str], locked: DataFrame | None = None) -> DataFrame:
+    """keys, box, target, forbid of every page's boxes after its actions in their order, and then its locked rows.
 
-def fold_actions(boxes: list[dict], actions: list[dict], locked: list[dict] = ()) -> list[dict]:
-    """Boxes of one page after its actions, in their order: not, reject, assign, add; locked rows are pinned last.
+    boxes: keys, x0, y0, x1, y1; actions: keys, ord, action, x0, y0, x1, y1, target; locked: keys, x0, y0, x1, y1, target.
+    not: what is there may not have that target, and gives it up if it has it. reject: what is there goes. assign, or add with a
+    target: the first row in its place takes box and target, or a new one is put in. add without a target: a new row if none is
+    there. locked: as assign. Other verbs do nothing; rows and actions of one page in the order of (ord, y0, x0, y1, x1, action, target).
 
-    not: the box may not have that target; an equal target pinned before is withdrawn (IoU > 0.5). reject: boxes
-    there (IoU > 0.5) go. assign, or add with a target: the first box there (IoU > 0.3) gets the target, or a new
-    one is put in. add without a target: a new box if nothing overlaps (IoU > 0.5).
+    A page is a bounded unit, so its rows meet in one array and the actions are folded over it.
     """
-    out = [dict(b, target=b.get("target"), forbid=list(b.get("forbid") or ())) for b in boxes]
-
-    def pin(box, target):
-        for b in out:
-            if _iou(b["box"], box) > 0.3:
-                b.update(box=box, target=target)
-                return
-        out.append({"box": box, "target": target, "forbid": []})
-
-    for a in actions:
-        box, target, verb = a["box"], a.get("target"), a["action"]
-        if verb == "not":
-            for b in out:
-                if _iou(b["box"], box) > 0.5:
-                    b["forbid"].append(target)
-                    if b["target"] == target:
-                        b["target"] = None
-        elif verb == "reject":
-            out = [b for b in out if _iou(b["box"], box) <= 0.5]
-        elif verb in ("assign", "add") and target is not None:
-            pin(box, target)
-        elif verb == "add" and not any(_iou(b["box"], box) > 0.5 for b in out):
-            out.append({"box": box, "target": None, "forbid": []})
-    for row in locked:
-        pin(row["box"], row["target"])
-    return out
-
-
-def overlay(boxes: DataFrame, actions: DataFrame, keys: list[str]) -> DataFrame:
-    """fold_actions for every page. boxes: keys, x0, y0, x1, y1; actions: keys, ord, action, x0, y0, x1, y1, target."""
-    pick = lambda df, extra: df.select(*keys, "x0", "y0", "x1", "y1", *extra)
-    none = lambda c, t: F.lit(None).cast(t).alias(c)
-    both = pick(boxes, [none("ord", "long"), none("action", "string"), none("target", "long")]).unionByName(pick(actions, ["ord", "action", "target"]))
-    # boxes come first (no ordinal), by place; then the actions in turn. A page is a bounded unit, so its rows meet in one array
-    row = F.struct("ord", "y0", "x0", "y1", "x1", "action", "target")
-    pages = both.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    schema = StructType([StructField(f.name, f.dataType) for f in boxes.select(*keys).schema] + [StructField(c, LongType()) for c in ("x0", "y0", "x1", "y1", "target")])
-
-    def run(batches):
-        for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                box = lambda x: (x["x0"], x["y0"], x["x1"], x["y1"])
-                old = [{"box": box(x)} for x in r["rows"] if x["ord"] is None]
-                acts = [{"action": x["action"], "box": box(x), "target": x["target"]} for x in r["rows"] if x["ord"] is not None]
-                out += [{k: r[k] for k in keys} | dict(zip(("x0", "y0", "x1", "y1", "target"), (*b["box"], b["target"]))) for b in fold_actions(old, acts)]
-            kinds = pa.schema([batch.schema.field(k) for k in keys] + [pa.field(c, pa.int64()) for c in ("x0", "y0", "x1", "y1", "target")])
-            yield pa.RecordBatch.from_pylist(out, kinds)
-
-    return pages.mapInArrow(run, schema)
+    base = boxes.select(*keys, F.lit(0).alias("kind"), F.lit(None).cast("long").alias("ord"), F.lit("").alias("action"), *BOX, F.lit(None).cast("long").alias("target"))
+    acts = actions.select(*keys, F.lit(1).alias("kind"), "ord", "action", *BOX, "target")
+    both = base.unionByName(acts)
+    if locked is not None:
+        both = both.unionByName(locked.select(*keys, F.lit(2).alias("kind"), F.lit(None).cast("long").alias("ord"), F.lit("locked").alias("action"), *BOX, "target"))
+    pages = both.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("kind", "ord", "y0", "x0", "y1", "x1", "action", "target"))).alias("all"))
+    start = F.transform(F.filter("all", lambda r: r["kind"] == 0), lambda r: _row(r, r["target"], F.array().cast("array<bigint>")))
+    done = F.aggregate(F.filter("all", lambda r: r["kind"] > 0), start, _apply)
+    return pages.select(*keys, F.inline(done))
+
+
+def forbidden_pairs(rows: DataFrame, ident: list[str], scores: DataFrame, target: str, score: str) -> DataFrame:
+    """scores(ident, target, score) with -1 for the targets in the row's forbid."""
+    bad = rows.select(*ident, F.explode("forbid").alias(target)).distinct().withColumn("bad_", F.lit(True))
+    return scores.join(bad, [*ident, target], "left").withColumn(score, F.when(F.col("bad_"), F.lit(-1.0)).otherwise(F.col(score))).drop("bad_")

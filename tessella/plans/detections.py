@@ -111,7 +111,7 @@ _MATRIX = """list_reduce(list_prepend(list_transform(range(0, len(b) + 1), lambd
 
 
 def align_path(spark, sf_dir):
-    return A.align_paths(_paired(spark, sf_dir), ["user_id"])
+    return A.align_paths(_paired(spark, sf_dir), "user_id")
 
 
 def align_score_whole(spark, sf_dir):

@@ -48,7 +48,7 @@ def overlay_fold(spark, sf_dir):
     x, y, w = F.col("l_partkey") % 40, F.col("l_suppkey") % 10, F.col("l_quantity").cast("long")
     box = df.select("l_orderkey", x.alias("x0"), y.alias("y0"), (x + w).alias("x1"), (y + 20).alias("y1"), F.col("l_linenumber").cast("long").alias("ord"), F.col("l_suppkey").alias("target"), "l_returnflag")
     verb = F.when(F.col("l_returnflag") == "N", "assign").when(F.col("l_returnflag") == "A", "reject").otherwise("not")
-    return O.overlay(box.filter("ord % 2 = 1").select("l_orderkey", "x0", "y0", "x1", "y1"), box.filter("ord % 2 = 0").withColumn("action", verb), ["l_orderkey"])
+    return O.overlay(box.filter("ord % 2 = 1").select("l_orderkey", "x0", "y0", "x1", "y1"), box.filter("ord % 2 = 0").withColumn("action", verb), ["l_orderkey"]).drop("forbid")
 
 
 def _orders(spark, sf_dir):
@@ -76,13 +76,20 @@ def missing_range(spark, sf_dir):
     return wanted.join(li, ["l_orderkey", "line"], "left_anti")
 
 
+def _gaps(keys, width=1000, levels=2):
+    """start, end (half-open) of what is absent between present values of k: within ranges of `width` keys, then between the ranges' ends in the same way."""
+    w = Window.partitionBy("b").orderBy("lo") if levels else Window.orderBy("lo")
+    rows = keys.withColumn("b", F.floor(F.col("lo") / width))
+    inside = rows.withColumn("next", F.lead("lo").over(w)).filter("next > hi + 1").select((F.col("hi") + 1).alias("start"), F.col("next").alias("end"))
+    if not levels:
+        return inside
+    return inside.unionByName(_gaps(rows.groupBy("b").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), width * 1000, levels - 1))
+
+
 def page_gaps(spark, sf_dir):
-    """Half-open ranges of order keys that are absent between present ones, found within ranges of 1000 keys and across their ends."""
-    o = table(prepare(spark), sf_dir, "orders").select(F.col("o_orderkey").alias("k")).withColumn("b", F.floor(F.col("k") / 1000))
-    inside = o.withColumn("next", F.lead("k").over(Window.partitionBy("b").orderBy("k"))).filter("next > k + 1").select((F.col("k") + 1).alias("start"), F.col("next").alias("end"))
-    ends = o.groupBy("b").agg(F.min("k").alias("lo"), F.max("k").alias("hi"))
-    after = ends.withColumn("next", F.lead("lo").over(Window.orderBy("b"))).filter("next > hi + 1").select((F.col("hi") + 1).alias("start"), F.col("next").alias("end"))
-    return inside.unionByName(after)
+    """Half-open ranges of customer keys without an order between those with one."""
+    k = table(prepare(spark), sf_dir, "orders").select(F.col("o_custkey").alias("lo"), F.col("o_custkey").alias("hi")).distinct()
+    return _gaps(k)
 
 
 def dup_keys(spark, sf_dir):
@@ -232,7 +239,7 @@ ORACLE_SQL = {
     "slice_replace": f"WITH o AS ({_Y}), n AS (SELECT o_orderkey, o_custkey, y, round(o_totalprice * 2, 2) AS price FROM o WHERE o_orderstatus = 'F') SELECT * FROM n UNION ALL SELECT o_orderkey, o_custkey, y, round(o_totalprice, 6) FROM o WHERE NOT EXISTS (FROM n WHERE n.o_custkey = o.o_custkey AND n.y = o.y)",
     "upsert_missing": f"WITH o AS ({_Y}) SELECT y, o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'new' ELSE 'O' END AS o_orderstatus FROM o WHERE o_orderstatus IN ('O', 'P')",
     "missing_range": "SELECT l_orderkey, line FROM (SELECT DISTINCT l_orderkey FROM lineitem), range(1, 8) t(line) EXCEPT SELECT l_orderkey, l_linenumber FROM lineitem",
-    "page_gaps": "WITH n AS (SELECT o_orderkey AS k, lead(o_orderkey) OVER (ORDER BY o_orderkey) AS x FROM orders) SELECT k + 1 AS start, x AS \"end\" FROM n WHERE x > k + 1",
+    "page_gaps": "WITH n AS (SELECT k, lead(k) OVER (ORDER BY k) AS x FROM (SELECT DISTINCT o_custkey AS k FROM orders)) SELECT k + 1 AS start, x AS \"end\" FROM n WHERE x > k + 1",
     "dup_keys": "SELECT min(doc_id) AS first_id, max(doc_id) AS last_id, count(*) AS n FROM documents GROUP BY coalesce(text, '') HAVING count(*) > 1",
     "rule_violations": """SELECT 'name_syntax' AS rule, c_custkey AS key, c_name AS detail FROM customer WHERE NOT regexp_full_match(c_name, 'Customer#[0-9]{9}') UNION ALL SELECT 'balance_range', c_custkey, c_name FROM customer WHERE c_acctbal NOT BETWEEN -900 AND 9900
 UNION ALL SELECT 'segment_known', c_custkey, c_name FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE') UNION ALL SELECT 'too_many_suppliers', s_nationkey, count(*)::VARCHAR FROM supplier GROUP BY s_nationkey HAVING count(*) > 5""",

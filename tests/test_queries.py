@@ -53,14 +53,6 @@ def test_true_runs_merge_before_the_length(spark):
     assert sorted(map(tuple, intervals.true_runs(df, ["k"], "at", 2, 3).collect())) == [(1, 0, 4)]
 
 
-def test_alignment_ties_and_empty():
-    import numpy as np
-
-    assert alignment.align(np.zeros((0, 3))) == [] and alignment.align(np.full((1, 1), -0.1)) == [(0, 0)]
-    path = alignment.align(np.random.default_rng(1).normal(size=(9, 7)))
-    assert all(a < c and b < d for (a, b), (c, d) in zip(path, path[1:]))
-
-
 def brute_alignment(a, b, forced=None):
     best = [[-(i + j) if not i or not j else None for j in range(len(b) + 1)] for i in range(len(a) + 1)]
 
@@ -110,18 +102,45 @@ def test_whole_alignment_of_odd_sequences(spark):
     assert sorted(map(tuple, alignment.align_whole(df, "user_id", True).collect())) == sorted((k, *p) for k, a, b in cases for p in brute_alignment(a, b)[1])
 
 
-def test_overlay_order():
-    box = (0, 0, 10, 10)
-    act = lambda v, t=None, b=box: {"action": v, "box": b, "target": t}
-    assert overlay.fold_actions([{"box": box}], [act("assign", 7), act("not", 7)])[0]["target"] is None
-    assert overlay.fold_actions([{"box": box}], [act("not", 7), act("assign", 7)])[0]["target"] == 7
-    assert overlay.fold_actions([{"box": box}], [act("reject", b=(0, 0, 10, 5))]) != []  # IoU of exactly a half stays
-    assert len(overlay.fold_actions([{"box": box}], [act("add")])) == 1
-    assert overlay.fold_actions([{"box": box}], [act("reject")], [{"box": box, "target": 3}])[0]["target"] == 3
+def overlaid(boxes, actions, locked=()):
+    """(box, target, forbid) of one page's rows, by the rules read one by one."""
+    area = lambda b: (b[2] - b[0]) * (b[3] - b[1])
+
+    def iou(a, b):
+        both = max(0, min(a[2], b[2]) - max(a[0], b[0])) * max(0, min(a[3], b[3]) - max(a[1], b[1]))
+        return both / max(1, area(a) + area(b) - both)
+
+    page = [[b, None, []] for b in boxes]
+    for verb, box, target in [*actions, *(("assign", b, t) for b, t in locked)]:
+        there = [r for r in page if iou(r[0], box) > 0.5]
+        near = [r for r in page if iou(r[0], box) > 0.3]
+        if verb == "reject":
+            page = [r for r in page if r not in there]
+        elif verb == "not":
+            for r in there:
+                r[1:] = [None if r[1] == target else r[1], [*r[2], target]]
+        elif target is not None and near:
+            near[0][:2] = [box, target]
+        elif target is not None or not there:
+            page.append([box, target, []])
+    return [(b, t, tuple(f)) for b, t, f in page]
 
 
-def test_overlay_query_runs(spark):
-    assert registry.QUERIES["overlay_fold"](spark, SF).count() > 0
+def test_overlay_order(spark):
+    box = (0, 0, 10, 10)
+    cases = {
+        1: ([("assign", box, 7), ("not", box, 7)], []), 2: ([("not", box, 7), ("assign", box, 7)], []), 3: ([("reject", (0, 0, 10, 5), None)], []),  # IoU of exactly a half stays
+        4: ([("add", box, None)], []), 5: ([("reject", box, None)], [(box, 3)]), 6: ([("add", (50, 50, 60, 60), None), ("assign", (90, 0, 95, 9), 4)], []), 7: ([("sing", box, 7)], []),
+    }
+    b = spark.createDataFrame([(k, *box) for k in cases], "k long, x0 long, y0 long, x1 long, y1 long")
+    a = spark.createDataFrame([(k, n, v, *x, t) for k, (acts, _) in cases.items() for n, (v, x, t) in enumerate(acts)], "k long, ord long, action string, x0 long, y0 long, x1 long, y1 long, target long")
+    locked = spark.createDataFrame([(k, *x, t) for k, (_, rows_) in cases.items() for x, t in rows_], "k long, x0 long, y0 long, x1 long, y1 long, target long")
+    got = {k: [] for k in cases}
+    for r in overlay.overlay(b, a, ["k"], locked).collect():
+        got[r.k].append(((r.x0, r.y0, r.x1, r.y1), r.target, tuple(r.forbid)))
+    assert got == {k: overlaid([box], [x for x in acts if x[0] != "sing"], rows_) for k, (acts, rows_) in cases.items()}
+    scores = spark.createDataFrame([(1, 7, 0.9), (1, 8, 0.9)], "k long, t long, s double")
+    assert sorted(map(tuple, overlay.forbidden_pairs(overlay.overlay(b, a, ["k"]).filter("k < 3"), ["k"], scores, "t", "s").collect())) == [(1, 7, -1.0), (1, 8, 0.9)]
 
 
 def test_overlay_folds_every_order(spark):
@@ -131,13 +150,32 @@ def test_overlay_folds_every_order(spark):
         lines.setdefault(r.l_orderkey, []).append((r.l_linenumber, (x, y, x + int(r.l_quantity), y + 20), r.l_suppkey, {"N": "assign", "A": "reject"}.get(r.l_returnflag, "not")))
     for k, rows_ in lines.items():
         rows_.sort(key=lambda r: (r[0], r[1][1], r[1][0], r[1][3], r[1][2], r[3], r[2]))  # line numbers come twice in some orders
-        boxes = [{"box": b} for b in sorted((b for n, b, _, _ in rows_ if n % 2), key=lambda b: (b[1], b[0], b[3], b[2]))]
-        actions = [{"action": v, "box": b, "target": t} for n, b, t, v in rows_ if n % 2 == 0]
-        want += [(k, *f["box"], f["target"]) for f in overlay.fold_actions(boxes, actions)]
+        boxes = sorted((b for n, b, _, _ in rows_ if n % 2), key=lambda b: (b[1], b[0], b[3], b[2]))
+        want += [(k, *b, t) for b, t, _ in overlaid(boxes, [(v, b, t) for n, b, t, v in rows_ if n % 2 == 0])]
     assert {r.l_orderkey % 2 for r in got} == {0, 1}
     assert sorted((r.l_orderkey, r.x0, r.y0, r.x1, r.y1, r.target or -1) for r in got) == sorted((*w[:5], w[5] or -1) for w in want)
 
 
+def test_even_markers():
+    import itertools
+    import random
+
+    import numpy as np
+
+    rng = random.Random(4)
+    for _ in range(60):
+        total = rng.randrange(1, 60)
+        seen, parts = sorted(rng.randrange(total + 1) for _ in range(rng.randrange(9))), rng.randrange(1, 4)
+        each = total // (parts + 1)
+        costs = []
+        for pick in itertools.combinations(range(len(seen)), parts):
+            s = [0, *(seen[i] for i in pick)]
+            costs.append((sum(abs(b - a - each) for a, b in zip(s, s[1:])) + abs(total - s[-1] - (total - parts * each)), pick[::-1]))
+        want = min(costs) if costs else None
+        got = alignment.even_markers(np.array(seen, np.int64), total, parts)
+        assert got == (want and ([i + 1 for i in want[1][::-1]], want[0]))
+
+
 def test_conversion_of_whole_texts(spark):
     def brute(t):
         out = ""
