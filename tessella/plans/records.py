@@ -87,8 +87,8 @@ def _gaps(keys, width=1000, levels=2):
 
 
 def page_gaps(spark, sf_dir):
-    """Half-open ranges of customer keys without an order between those with one."""
-    k = table(prepare(spark), sf_dir, "orders").select(F.col("o_custkey").alias("lo"), F.col("o_custkey").alias("hi")).distinct()
+    """Half-open ranges of document ids without a label between those with one."""
+    k = table(prepare(spark), sf_dir, "labels").select(F.col("doc_id").alias("lo"), F.col("doc_id").alias("hi")).distinct()
     return _gaps(k)
 
 
@@ -239,7 +239,7 @@ ORACLE_SQL = {
     "slice_replace": f"WITH o AS ({_Y}), n AS (SELECT o_orderkey, o_custkey, y, round(o_totalprice * 2, 2) AS price FROM o WHERE o_orderstatus = 'F') SELECT * FROM n UNION ALL SELECT o_orderkey, o_custkey, y, round(o_totalprice, 6) FROM o WHERE NOT EXISTS (FROM n WHERE n.o_custkey = o.o_custkey AND n.y = o.y)",
     "upsert_missing": f"WITH o AS ({_Y}) SELECT y, o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'new' ELSE 'O' END AS o_orderstatus FROM o WHERE o_orderstatus IN ('O', 'P')",
     "missing_range": "SELECT l_orderkey, line FROM (SELECT DISTINCT l_orderkey FROM lineitem), range(1, 8) t(line) EXCEPT SELECT l_orderkey, l_linenumber FROM lineitem",
-    "page_gaps": "WITH n AS (SELECT k, lead(k) OVER (ORDER BY k) AS x FROM (SELECT DISTINCT o_custkey AS k FROM orders)) SELECT k + 1 AS start, x AS \"end\" FROM n WHERE x > k + 1",
+    "page_gaps": "WITH n AS (SELECT k, lead(k) OVER (ORDER BY k) AS x FROM (SELECT DISTINCT doc_id AS k FROM labels)) SELECT k + 1 AS start, x AS \"end\" FROM n WHERE x > k + 1",
     "dup_keys": "SELECT min(doc_id) AS first_id, max(doc_id) AS last_id, count(*) AS n FROM documents GROUP BY coalesce(text, '') HAVING count(*) > 1",
     "rule_violations": """SELECT 'name_syntax' AS rule, c_custkey AS key, c_name AS detail FROM customer WHERE NOT regexp_full_match(c_name, 'Customer#[0-9]{9}') UNION ALL SELECT 'balance_range', c_custkey, c_name FROM customer WHERE c_acctbal NOT BETWEEN -900 AND 9900
 UNION ALL SELECT 'segment_known', c_custkey, c_name FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE') UNION ALL SELECT 'too_many_suppliers', s_nationkey, count(*)::VARCHAR FROM supplier GROUP BY s_nationkey HAVING count(*) > 5""",
