@@ -11,7 +11,8 @@ No step pairs up the members of a group:
    bits of each value) are alike enough. Up to FEW others of a band are tied to the hub as well. Where there are more (a
    passage that many documents share), those that are not all but equal to the hub are dealt anew by the rarest of their
    shingles, so many that two sets that are alike enough share one, and meet the hubs of these: a common passage alone
-   ties nothing. The components of the ties are the candidate groups.
+   ties nothing. The components of the ties are the candidate groups. A quarter of the bands is dealt in this way first; of
+   the rest those whose classes are of one component already have nothing to add and are passed over.
 3. Sets of candidates only are gathered (a fixed-size filter of their ids keeps the rest out of the
    shuffle). A group of up to CHUNK classes is linked exactly in one task. A larger one is dealt to chunks
    by hash, each with the same few hubs, which find most links of a large group of near copies.
@@ -25,6 +26,8 @@ Defined results: a null or blank text has an empty set, is linked with nothing a
 words than a shingle is one shingle; repeated rows are linked; null ids count as larger than all others.
 """
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -37,6 +40,7 @@ from tessella.llm import textops as T
 
 PERMUTATIONS, ROWS = 64, 4  # 2 * 64 values in bands of 4: 32 bands
 BANDS = 2 * PERMUTATIONS // ROWS
+FIRST = 8  # bands that are dealt whole
 LOOSE, TIGHT = 0.55, 0.92  # estimated likeness to a hub from which on a class is tied to it, and is done with its band
 FEW = 64  # classes of a band that are tied to its hub without more evidence
 CHUNK, HUBS, SHINGLES = 256, 8, 400_000  # classes and shingles of a chunk, hubs of a large group
@@ -130,9 +134,29 @@ def signatures(docs: DataFrame, key: str, width: int) -> DataFrame:
 
 
 def _hubs(member: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """band, hub (its smallest node), n of the bands that several nodes of member(band, node) have; and band, node, hub of the others in them."""
-    hubs = session.cut(member.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1"))
-    return hubs, session.cut(graph.meet(member, hubs, "band", "n").filter("node != hub").select("band", "node", "hub"))
+    """band, hub (its smallest node), n of the bands in which nodes of several labels meet; and band, node, hub of the others in them. member: band, node, label."""
+    hubs = member.groupBy("band").agg(F.min("node").alias("hub"), F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
+    hubs = session.cut(hubs.select("band", "hub", "n"))
+    return hubs, session.cut(graph.meet(member.select("band", "node"), hubs, "band", "n").filter("node != hub").select("band", "node", "hub"))
+
+
+def _edge(df: DataFrame) -> DataFrame:
+    return df.select(F.col("node").alias("a"), F.col("hub").alias("b"))
+
+
+def _tie(member: DataFrame, sketches: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Ties (a, b) to the hubs of the bands of member(band, node, label); the nodes of crowded bands to be dealt anew, None if there are none."""
+    hubs, met = _hubs(member)
+    pairs = met.select("node", "hub").distinct().join(sketches, "node").join(sketches.select(F.col("node").alias("hub"), F.col("sketch").alias("of_hub")), "hub")
+    pairs = session.cut(pairs.select("node", "hub", estimate("sketch", "of_hub").alias("alike")))
+    far = session.cut(met.join(pairs.filter(F.col("alike") < LOOSE), ["node", "hub"]).select("band", "node", "hub"))
+    others = session.cut(far.groupBy("band").agg(F.count("*").alias("m")))
+    out = _edge(pairs.filter(F.col("alike") >= LOOSE)).unionByName(_edge(far.join(others.filter(F.col("m") <= FEW), "band")))
+    crowded = others.filter(F.col("m") > FEW)
+    if crowded.isEmpty():
+        return out, None
+    again = graph.meet(met, session.cut(crowded.join(hubs.select("band", "n"), "band")), "band", "n").select("node", "hub").distinct()
+    return out, again.join(pairs.filter(F.col("alike") < TIGHT), ["node", "hub"]).select("node")
 
 
 def _rarest(sets: DataFrame, least: int) -> DataFrame:
@@ -155,22 +179,23 @@ def _rarest(sets: DataFrame, least: int) -> DataFrame:
 
 
 def ties(docs: DataFrame, key: str, width: int, least: int, classes: DataFrame) -> DataFrame:
-    """Edges (a, b) whose components hold every candidate pair of classes(node, rep, n_shingles, bands, sketch)."""
-    edge = lambda df: df.select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    hubs, met = _hubs(classes.select(F.explode("bands").alias("band"), "node"))
+    """Edges (a, b) whose components hold every candidate pair of classes(node, rep, n_shingles, bands, sketch).
+
+    The first bands find most of what is alike; of the others only those in which several components meet are dealt.
+    """
     sketches = classes.select("node", "sketch")
-    pairs = met.select("node", "hub").distinct().join(sketches, "node").join(sketches.select(F.col("node").alias("hub"), F.col("sketch").alias("of_hub")), "hub")
-    pairs = session.cut(pairs.select("node", "hub", estimate("sketch", "of_hub").alias("alike")))
-    far = session.cut(met.join(pairs.filter(F.col("alike") < LOOSE), ["node", "hub"]).select("band", "node", "hub"))
-    others = session.cut(far.groupBy("band").agg(F.count("*").alias("m")))
-    out = edge(pairs.filter(F.col("alike") >= LOOSE)).unionByName(edge(far.join(others.filter(F.col("m") <= FEW), "band")))
-    crowded = others.filter(F.col("m") > FEW)
-    if crowded.isEmpty():
-        return out
-    again = graph.meet(met, session.cut(crowded.join(hubs.select("band", "n"), "band")), "band", "n").select("node", "hub").distinct()
-    again = again.join(pairs.filter(F.col("alike") < TIGHT), ["node", "hub"]).select("node").distinct()
-    sets = session.cut(_sets(docs, key, width, classes.select("node", "rep", "n_shingles").join(again, "node")).dropDuplicates(["node"]))
-    return out.unionByName(edge(_hubs(_rarest(sets, least))[1]))
+    member = lambda df, bands: df.select(F.explode(bands).alias("band"), "node", "label")
+    out, again = _tie(member(classes.withColumn("label", F.col("node")), F.slice("bands", 1, FIRST)), sketches)
+    known = graph.components(out)
+    labelled = classes.select("node", "bands").join(known, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    more, rest = _tie(member(labelled, F.slice("bands", FIRST + 1, BANDS)), sketches)
+    out = known.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more)
+    open_ = [x for x in (again, rest) if x is not None]
+    if open_:
+        nodes = reduce(DataFrame.unionByName, open_).distinct()
+        sets = session.cut(_sets(docs, key, width, classes.select("node", "rep", "n_shingles").join(nodes, "node")).dropDuplicates(["node"]))
+        out = out.unionByName(_edge(_hubs(_rarest(sets, least).withColumn("label", F.col("node")))[1]))
+    return out
 
 
 def links(nodes: list, sets: list, least: int, group: list | None = None) -> list[tuple]:
