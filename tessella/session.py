@@ -48,6 +48,12 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the shared store."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _scratch: contextvars.ContextVar = contextvars.ContextVar("scratch", default=None)
 
 
@@ -60,8 +66,7 @@ def scratch(spark: SparkSession):
         yield
     finally:
         _scratch.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, folder)
 
 
 def cut(df: DataFrame) -> DataFrame:
