@@ -2,6 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each one's rows as Parquet into
 the shared checkpoint folder and reads them again for the next, so a lost executor costs at most one stage's tasks.
+Rows without an id, repeated rows, null and empty texts are treated as the operators say; extra columns stay to the last stage
+but one, whatever their names; an empty table gives no rows.
 Labels for the toxicity machine come from the table `labels` of sf_dir and the documents that reach the stage.
 """
 
@@ -25,7 +27,9 @@ def _prepare(spark):
 def drop_toxic(spark, docs, sf_dir):
     _prepare(spark)
     model = toxicity.fit(docs, session.table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, docs.columns, "toxic_score_").filter(f"toxic_score_ < {TOXIC}").drop("toxic_score_")
+    name = session.fresh(docs, "toxic_score")
+    scored = toxicity.score(docs, model, docs.columns, name)
+    return scored.filter(scored[name] < TOXIC).drop(name)
 
 
 def keep_good(spark, docs, sf_dir):
@@ -50,7 +54,10 @@ ORACLE_SQL = None  # a trained machine and tokens are nothing that SQL expresses
 def run(spark, sf_dir):
     docs = session.table(spark, sf_dir, "documents")
     folder = f"{session.checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    try:
+        for name, stage in STAGES[:-1]:
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+            docs = spark.read.parquet(f"{folder}/{name}")
+        return STAGES[-1][1](spark, docs, sf_dir).checkpoint(eager=True)  # the rows of the result; the stages' texts go
+    finally:
+        session.remove(spark, folder)
