@@ -202,3 +202,46 @@ def test_searches_meet_all_rows(spark, tmp_path):
 def test_code_points(spark):
     df = spark.createDataFrame([("3D000",), ("00041",)], "h string")
     assert [tuple(r) for r in df.select(S.character(S.code_point(df.h)), S.hex5(S.code_point(df.h))).collect()] == [("\U0003d000", "3D000"), ("A", "00041")]
+
+
+def test_common_characters_by_their_codecs(spark):
+    from tessella.operators import review
+
+    def lead(c, codec):
+        try:
+            b = c.encode(codec)
+        except UnicodeEncodeError:
+            return 0
+        return b[0] if len(b) == 2 else 0
+
+    common = lambda t: any(0xA4 <= lead(c, "big5") <= 0xC6 or 0xB0 <= lead(c, "gb2312") <= 0xD7 for c in t or "")
+    rows_ = registry.QUERIES["common_flags"](spark, SF).collect()
+    assert all(r.common == common(r.ch) for r in rows_) and {r.common for r in rows_} == {True, False}
+    df = spark.createDataFrame([(None,), ("",), ("x\u4e00",), ("x\u3400",)], "t string")
+    assert [r.common for r in review.with_common(df, "t").orderBy("t").collect()] == [False, False, False, True] and common("\u4e00") and not common("\u3400")
+
+
+def test_rewrite_once_is_strict(spark):
+    from tessella.operators import review
+
+    df = spark.createDataFrame([("a.b",), (None,)], "u string")
+    assert [r.x for r in df.select(review.rewrite_once(df.u, "[.]", "/").alias("x")).collect()] == ["a/b", None]
+    with pytest.raises(Exception, match="just one match"):
+        spark.createDataFrame([("a.b.c",)], "u string").select(review.rewrite_once(df.u, "[.]", "/")).collect()
+
+
+def test_headwords_one_by_one(spark):
+    from tessella.operators import layout
+
+    cases = {1: [(0, 25)], 2: [(0, 10), (12, 42), (50, 60)], 3: [(10, 40)], 4: [(0, 20)], 5: [(2, 60)], 6: [], 7: None, 8: [(9, 33)]}
+    df = spark.createDataFrame(list(cases.items()), "k int, runs array<struct<s:long,e:long>>")
+    got = {r.k: r.h and tuple(r.h) for r in df.select("k", layout.headword(df.runs, 20).alias("h")).collect()}
+    assert got == {1: (0, 25), 2: (0, 42), 3: None, 4: None, 5: (2, 42), 6: None, 7: None, 8: (9, 33)}
+
+
+def test_stacked_classifier(spark):
+    got = registry.QUERIES["stacked_classifier"](spark, SF).collect()
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    assert {r.doc_id: r.quality for r in got} == labels
+    assert all(0 <= r.score <= 1 and 0 <= r.oof <= 1 for r in got)
+    assert sum((r.score >= 0.5) == (r.quality == 1) for r in got) >= 0.8 * len(got)
