@@ -19,10 +19,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessella import session
 from tessella.llm import textops as T
 
 EXCHANGE = "block long, bucket int, payload binary, ids binary"
 DOCS = -1  # the bucket of a block's documents
+BUCKET_CHARS = 8 << 20  # of the corpus a bucket, at most
 
 
 def _block(batch, n_buckets: int):
@@ -139,7 +141,8 @@ def encode(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
     cut the lineage of anything else first. A null doc_id comes back as null.
     """
     spark = docs.sparkSession
-    n_buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    n_buckets = max(2 * session.parts(spark), -(-chars // BUCKET_CHARS))
     null_id = -(1 << 63)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(null_id)).alias("doc_key"), F.col("text"))
     words = rows.mapInArrow(_emit(n_buckets, True), EXCHANGE)

@@ -10,7 +10,7 @@ import pytest
 
 import corpus_pipeline
 from tests.llm.test_operators import WORD, components, shingles
-from tessella.llm import fingerprints, html_extract, language_id, lm_scoring, minhash, oracles, packing, quality_rules, queries, token_counts, toxicity
+from tessella.llm import bpe, fingerprints, html_extract, language_id, lm_scoring, minhash, oracles, packing, quality_rules, queries, token_counts, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -187,3 +187,12 @@ def test_quality_rows_differ_by_nulls(spark):
     text = " ".join(f"word{i}" for i in range(40))
     df = spark.createDataFrame([(1, text, None, "x"), (1, text, "x", None), (1, text, "x", None)], "doc_id long, text string, lang string, source string")
     assert sorted(quality_rules.keep(df).collect(), key=str) == sorted(df.collect(), key=str)
+
+
+def test_bpe_decodes_what_it_encodes(spark):
+    texts = ["", None, "Don't stop!  \n\n", "漢字 é 🙂 1234567", "x" * 3000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    ids = bpe.encode(df, queries.RANKS, with_ids=True)
+    got = {r.doc_id: bytes(r.data) for r in bpe.decode(ids, queries.RANKS).collect()}
+    assert got == {i: (t or "").encode() for i, t in enumerate(texts)}
+    assert bytes(bpe.decode(spark.createDataFrame([(1, None)], "doc_id long, ids array<int>"), queries.RANKS).first().data) == b""
