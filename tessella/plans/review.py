@@ -235,6 +235,13 @@ def log_tails(spark, sf_dir):
     return table(prepare(spark), sf_dir, "documents").select("doc_id", F.right(F.coalesce("text", F.lit("")), F.lit(80)).alias("tail"))
 
 
+def character_classes(spark, sf_dir):
+    """Characters of whole texts by class, counted [P25]: in the block and covered (a to m), in it and not covered (n to z), passed through (digits), other."""
+    b = table(prepare(spark), sf_dir, "benchmark").select(F.col("item_id").cast("long").alias("item_id"), F.explode(F.split("text", "")).alias("ch"))
+    kind = F.when(F.col("ch").between("a", "m"), "covered").when(F.col("ch").between("n", "z"), "uncovered").when(F.col("ch").between("0", "9"), "passed").otherwise("other")
+    return b.groupBy("item_id").agg(*[F.count_if(kind == k).alias(k) for k in ("covered", "uncovered", "passed", "other")])
+
+
 _STAGES = [{"a": "1", "e": "2"}, {"e": "x", "o": "3"}, {"t": "7"}]
 
 
@@ -247,7 +254,7 @@ def conversion_chain(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     review_rows, traced, approvals, review_counts, state_document, wanted_pages, rewritten_urls, touched_blocks, resolved_texts, common_flags, output_rows, exempt_rows, forced_gains, forbidden_similarity, between_neighbours, labels_above,
-    missing_candidates, overriding_files, feedback_corrections, dirty_blocks, adjusted_counts, ordered_lists, merged_entries, held_out_accuracy, cleaned_positives, half_neighbours, book_order, last_page, log_tails, conversion_chain,
+    missing_candidates, overriding_files, feedback_corrections, dirty_blocks, adjusted_counts, ordered_lists, merged_entries, held_out_accuracy, cleaned_positives, half_neighbours, book_order, last_page, log_tails, character_classes, conversion_chain,
 )}
 
 _STATUS = "st AS (SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, CASE WHEN l_linestatus = 'F' AND l_tax = 0 THEN 'manual' WHEN round(1 - l_discount * 5, 4) >= CASE WHEN l_returnflag = 'N' THEN 0.65::DOUBLE ELSE 0.78::DOUBLE END THEN 'aligned' ELSE 'inferred' END AS status FROM lineitem)"
@@ -292,5 +299,6 @@ SELECT doc_id, toxic, round(share, 6) AS share FROM s WHERE toxic <> 1 OR share
     "book_order": "SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE o_orderpriority WHEN '5-LOW' THEN 0 WHEN '1-URGENT' THEN 1 WHEN '3-MEDIUM' THEN 2 ELSE 99 END, o_orderkey) AS place FROM orders",
     "last_page": "SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal, c_custkey LIMIT 120 OFFSET (SELECT (greatest(count(*), 1) - 1) // 120 * 120 FROM customer)",
     "log_tails": "SELECT doc_id, right(coalesce(text, ''), 80) AS tail FROM documents",
+    "character_classes": "WITH c AS (SELECT item_id, unnest(string_split(text, '')) AS ch FROM benchmark), k AS (SELECT item_id, CASE WHEN regexp_full_match(ch, '[a-m]') THEN 1 WHEN regexp_full_match(ch, '[n-z]') THEN 2 WHEN regexp_full_match(ch, '[0-9]') THEN 3 ELSE 4 END AS k FROM c) SELECT item_id::BIGINT AS item_id, count_if(k = 1)::BIGINT AS covered, count_if(k = 2)::BIGINT AS uncovered, count_if(k = 3)::BIGINT AS passed, count_if(k = 4)::BIGINT AS other FROM k GROUP BY item_id",
     "conversion_chain": f"SELECT item_id::BIGINT AS item_id, array_to_string(list_transform(string_split(text, ''), lambda c: CASE{_CHAIN} ELSE c END), '') AS converted FROM benchmark",
 }
