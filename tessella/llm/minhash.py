@@ -44,6 +44,7 @@ FIRST = 8  # bands that are dealt whole
 LOOSE, TIGHT = 0.55, 0.92  # estimated likeness to a hub from which on a class is tied to it, and is done with its band
 FEW = 64  # classes of a band that are tied to its hub without more evidence
 CHUNK, HUBS, SHINGLES = 256, 8, 400_000  # classes and shingles of a chunk, hubs of a large group
+SLOT_BITS, PARTS = 22, 256  # counters of shingles (4 MB), and the parts in which they are added up
 FILTER_WORDS = 1 << 18  # of 64 bits: 2 MB whatever the corpus
 
 _a = T.mix(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -160,22 +161,44 @@ def _tie(member: DataFrame, sketches: DataFrame) -> tuple[DataFrame, DataFrame |
 
 
 def _rarest(sets: DataFrame, least: int) -> DataFrame:
-    """band, node: the rarest shingles of each of sets(node, n_shingles, shingles), so many that two sets alike enough have one of them in common.
+    """band, node: the rarest shingles of each of sets(node, shingles), so many that two sets alike enough have one of them in common.
 
-    Shingles are in one order for all sets: by the number of sets that have them, then by hash. Those of a single set tie nothing.
+    Shingles are in one order for all sets: by a count of the sets that have them, then by hash. Counts are kept in SLOTS
+    counters, whatever the corpus, each task's first and then their sums; shingles that share one are taken for commoner than they
+    are, which changes the order and no result. A shingle that no other set has ties nothing and is left out.
     """
+    slot = lambda s: (s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
-    def each(batches):
+    def count(batches):
+        seen = np.zeros(1 << SLOT_BITS, np.uint32)
         for batch in batches:
-            data = batch.column("shingles").to_pylist()
-            own = np.repeat(np.arange(len(data)), [len(x) // 8 for x in data])
-            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(own)), batch.column("n_shingles").take(pa.array(own)), pa.array(np.frombuffer(b"".join(data), np.int64))], names=["node", "size", "band"])
+            np.add.at(seen, slot(np.frombuffer(b"".join(batch.column("shingles").to_pylist()), np.uint64)), np.uint32(1))
+        parts = np.minimum(seen, 255).astype(np.uint8).reshape(PARTS, -1)
+        on = np.flatnonzero(parts.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(on, pa.int32()), pa.array([T.press(parts[k]) for k in on], pa.binary())], names=["part", "data"])
+
+    def add(table):
+        total = sum(T.unpress(x, np.uint8).astype(np.uint32) for x in table["data"].to_pylist())
+        return pa.table({"part": table["part"][:1], "data": pa.array([T.press(np.minimum(total, 255).astype(np.uint8))], pa.binary())})
+
+    sums = sets.select("shingles").mapInArrow(count, "part int, data binary").groupBy("part").applyInArrow(add, "part int, data binary").toArrow()  # PARTS rows, a byte a counter
+    counts = np.zeros((PARTS, (1 << SLOT_BITS) // PARTS), np.uint8)
+    for k, data in zip(sums["part"].to_pylist(), sums["data"].to_pylist()):
+        counts[k] = T.unpress(data, np.uint8)
+    shared = sets.sparkSession.sparkContext.broadcast(counts.ravel())
+
+    def rare(batches):
+        for batch in batches:
+            out, own = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            for i, data in enumerate(batch.column("shingles").to_pylist()):
+                s = np.frombuffer(data, np.uint64)
+                c = shared.value[slot(s)]
+                first = np.lexsort((T.mix(s), c))[: len(s) - -(-least * len(s) // 100) + 1]
+                out.append(s[first[c[first] > 1]])
+                own.append(np.full(len(out[-1]), i))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64)), batch.column("node").take(pa.array(np.concatenate(own)))], names=["band", "node"])
 
-    flat = sets.select("node", "n_shingles", "shingles").mapInArrow(each, "node binary, size long, band long")
-    count = session.cut(flat.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"))
-    own = Window.partitionBy("node")
-    ranked = graph.meet(flat, count, "band", "n").select("*", F.row_number().over(own.orderBy("n", F.xxhash64("band"))).alias("r"), F.count("*").over(own).alias("shared"))
-    return ranked.filter(F.col("r") <= F.col("shared") + 1 - F.ceil(F.col("size") * least / 100)).select("band", "node")
+    return sets.select("node", "shingles").mapInArrow(rare, "band long, node binary")
 
 
 def ties(docs: DataFrame, key: str, width: int, least: int, classes: DataFrame) -> DataFrame:
@@ -193,7 +216,7 @@ def ties(docs: DataFrame, key: str, width: int, least: int, classes: DataFrame)
     open_ = [x for x in (again, rest) if x is not None]
     if open_:
         nodes = reduce(DataFrame.unionByName, open_).distinct()
-        sets = session.cut(_sets(docs, key, width, classes.select("node", "rep", "n_shingles").join(nodes, "node")).dropDuplicates(["node"]))
+        sets = session.cut(_sets(docs, key, width, classes.select("node", "rep").join(nodes, "node")).dropDuplicates(["node"]))
         out = out.unionByName(_edge(_hubs(_rarest(sets, least).withColumn("label", F.col("node")))[1]))
     return out
 
