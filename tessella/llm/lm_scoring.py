@@ -15,7 +15,7 @@ until there is one. The automaton knows no more than two tokens of the past, so
 stretches, each from the root over the two tokens before it, all stretches of a block side by side.
 
 Counting and scoring share one exchange, as no model of the whole corpus fits a task: documents are taken in
-blocks; a block sends its distinct n-grams, as hashes (64 bits of a token, 55 of a longer n-gram), with their counts in
+blocks; a block sends its distinct n-grams, as hashes (64 bits of a token, 52 of a longer n-gram), with their counts in
 its training rows, to the bucket of their key; a bucket adds the counts of equal n-grams up and answers every block; the
 block builds its own part of the automaton and runs its documents. A frequent n-gram has one entry a block; the number of
 buckets follows the corpus's size.
@@ -45,7 +45,7 @@ _NULL_ID = -(1 << 63)
 
 
 def ngrams(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """56-bit keys of the pairs and triples that end at each token, in two rows; the last bit tells which. Both begin with the end token before each text; what reaches before that is 0."""
+    """53-bit keys of the pairs and triples that end at each token, in two rows; the last bit tells which. Both begin with the end token before each text; what reaches before that is 0."""
     before = np.empty_like(tokens)
     before[1:] = tokens[:-1]
     before[first] = _END
@@ -55,7 +55,7 @@ def ngrams(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
     three = T.mix(third) * np.uint64(0xA0761D6478BD642F) + two
     out = np.stack([two, three])
     for k in range(2):
-        out[k] = (T.mix(out[k]) >> np.uint64(9) << np.uint64(1)) | np.uint64(k)
+        out[k] = (T.mix(out[k]) >> np.uint64(12) << np.uint64(1)) | np.uint64(k)
     out[1, first] = 0
     return out
 
@@ -97,7 +97,7 @@ def _emit_counts(n_buckets: int):
             sign, tokens, n, _, train = _tokens(batch)
             learn = np.repeat(train, n)
             rows = []
-            for values, shift, base in ((tokens[None], 32, 0), (ngrams(tokens, np.cumsum(n) - n), 24, n_buckets)):
+            for values, shift, base in ((tokens[None], 32, 0), (ngrams(tokens, np.cumsum(n) - n), 21, n_buckets)):
                 keys, inverse = np.unique(values, return_inverse=True)
                 seen = np.bincount(inverse.reshape(len(values), -1)[:, learn].ravel(), minlength=len(keys)).astype(np.uint64)
                 del inverse
