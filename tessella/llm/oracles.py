@@ -115,4 +115,12 @@ lowest AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
 SELECT s.doc_id, c.n AS n_shingles, CASE WHEN c.n = 0 THEN s.doc_id ELSE lowest.b END AS component_id, s.doc_id = CASE WHEN c.n = 0 THEN s.doc_id ELSE lowest.b END AS kept
 FROM s JOIN c ON c.g = s.g JOIN lowest ON lowest.a = c.rep"""
 
-ORACLE_SQL = {"op5_document_fingerprints": OP5, "op6_lm_scoring": OP6, "op8_quality_rules": _op8(), "op10_minhash_near_dedup": OP10}
+OP13 = """WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS w, [CAST('0x' || h[8 * k + 1:8 * k + 8] AS BIGINT) FOR k IN range(4)] AS g FROM d),
+c AS (SELECT *, least(g[1] % (len(w) + 1), g[2] % (len(w) + 1)) AS a, greatest(g[1] % (len(w) + 1), g[2] % (len(w) + 1)) AS b,
+ CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR g[3] % 100 >= 50 THEN 'plain' WHEN g[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, coalesce(array_to_string(w[1:a], ''), '') AS pre, coalesce(array_to_string(w[a + 1:b], ''), '') AS mid, coalesce(array_to_string(w[b + 1:], ''), '') AS suf FROM c)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+ sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256 FROM p"""
+
+ORACLE_SQL = {"op5_document_fingerprints": OP5, "op6_lm_scoring": OP6, "op8_quality_rules": _op8(), "op10_minhash_near_dedup": OP10, "op13_fill_in_middle": OP13}

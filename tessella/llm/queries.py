@@ -3,10 +3,11 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tessella.llm import bpe, fingerprints, html_extract, language_id, lm_scoring, minhash, oracles, packing, quality_rules, token_counts, toxicity
+from tessella.llm import bpe, fill_in_middle, fingerprints, html_extract, language_id, lm_scoring, minhash, oracles, packing, personal_data, quality_rules, token_alignment, token_counts, toxicity
 from tessella.session import prepare, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 END_OF_TEXT = 50256
 
 
@@ -68,5 +69,19 @@ def op10_minhash_near_dedup(spark, sf_dir):
     return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"), kept.alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_language_id, op3_toxicity, op4_token_counts, op5_document_fingerprints, op6_lm_scoring, op7_byte_bpe, op8_quality_rules, op9_best_fit_packing, op10_minhash_near_dedup)}
+def op11_personal_data(spark, sf_dir):
+    return personal_data.digest(personal_data.find(table(prepare(spark), sf_dir, "documents"), "doc_id"))
+
+
+def op12_token_alignment(spark, sf_dir):
+    # the .json file holds the same vocabulary and merges as these ranks, so the ids are the same
+    out = token_alignment.align_documents(table(prepare(spark), sf_dir, "documents"), RANKS, PIECES)
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_overlaps")
+
+
+def op13_fill_in_middle(spark, sf_dir):
+    return fill_in_middle.transform(table(prepare(spark), sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_language_id, op3_toxicity, op4_token_counts, op5_document_fingerprints, op6_lm_scoring, op7_byte_bpe, op8_quality_rules, op9_best_fit_packing, op10_minhash_near_dedup, op11_personal_data, op12_token_alignment, op13_fill_in_middle)}
 ORACLE_SQL = oracles.ORACLE_SQL
