@@ -71,6 +71,84 @@ def overlay(boxes: DataFrame, actions: DataFrame, keys: list[str], locked: DataF
     return pages.select(*keys, F.inline(done))
 
 
+def _placed(act: Column, rules: Column) -> Column:
+    """The column that an action's middle lies in, counted from the right, between the page's rules (rising); null outside of them."""
+    before = F.size(F.filter(rules, lambda r: r <= (act["x0"] + act["x1"]) / 2))
+    return F.when((before > 0) & (before < F.size(rules)), (F.size(rules) - before).cast("long"))
+
+
+FIELDS = {"column": "bigint", "kind": "string", "target": "bigint", "forbid": "array<bigint>", "locked": "bigint"}
+
+
+def _seal(box: Column, **fields) -> Column:
+    return F.struct(*[box[c].cast("long").alias(c) for c in BOX], *[fields[c].cast(t).alias(c) for c, t in FIELDS.items()])
+
+
+def _with(row: Column, **fields) -> Column:
+    """A page's row with some fields changed."""
+    return _seal(fields.pop("box", row), **{c: fields.get(c, row[c]) for c in FIELDS})
+
+
+def _ruled(state: Column, act: Column, rules: Column) -> Column:
+    """A page's rows, and the numbers of the actions that took effect, after one action."""
+    rows, target, verb = state["rows"], act["target"], act["action"]
+    meets = lambda least: lambda r: S.iou(r, act) > least
+    at, there = _placed(act, rules), F.exists(rows, meets(THERE))
+    none, kind = F.lit(None), F.when(verb == "locked", "approved").otherwise("manual")
+    forbidden = F.transform(rows, lambda r: F.when(meets(THERE)(r), _with(r, target=F.when(~r["target"].eqNullSafe(target), r["target"]), forbid=F.array_append(r["forbid"], target))).otherwise(r))
+    gone = F.filter(rows, lambda r: ~meets(THERE)(r))
+    first = F.coalesce(F.array_position(F.transform(rows, meets(PINNED)), True), F.lit(0))
+    put = lambda t: F.concat(rows, F.array(_seal(act, column=at, kind=kind, target=t, forbid=F.array(), locked=none)))
+    pinned = F.when(first > 0, F.transform(rows, lambda r, i: F.when(i + 1 == first, _with(r, box=act, target=target, kind=kind)).otherwise(r))).when(at.isNotNull(), put(target)).otherwise(rows)
+    held = F.transform(pinned, lambda r: F.when((r["kind"] == "approved") & r["target"].eqNullSafe(target), _with(r, locked=act["ident"])).otherwise(r))
+    named, bare = verb.isin("assign", "add", "locked") & target.isNotNull(), (verb == "add") & target.isNull()
+    now = F.when(verb == "not", forbidden).when(verb == "reject", gone).when(named & (verb == "locked"), held).when(named, pinned).when(bare & ~there & at.isNotNull(), put(none)).otherwise(rows)
+    used = F.when(verb.isin("not", "reject"), there).when(named, (first > 0) | at.isNotNull()).when(bare, ~there & at.isNotNull()).otherwise(False)
+    return F.struct(now.alias("rows"), F.when(used, F.array_append(state["used"], act["n"])).otherwise(state["used"]).alias("used"))
+
+
+def ruled_pages(boxes: DataFrame, actions: DataFrame, rules: DataFrame, keys: list[str], locked: DataFrame | None = None) -> DataFrame:
+    """keys, rows and acts of every page: its rows after its actions in their order and then its locked rows, and all of these actions with whether they took effect.
+
+    boxes: keys, x0, y0, x1, y1, column, kind; actions: keys, ord, action, x0, y0, x1, y1, target; locked: keys, ident, x0, y0, x1, y1, target;
+    rules: keys, rules (rising places between which the page's columns lie), one row a page. Rows hold the box, column, kind, target (null: none), forbid and
+    locked (the ident of a locked row); acts hold n (from 1), ord, action, box, target, ident and used.
+
+    not: what an action's box meets by more than a half may not have its target, and gives it up if it has it. reject: what it meets so goes.
+    assign, or add with a target: the first row met by more than 0.3 takes box and target and becomes manual; if there is none, a new row
+    goes into the column that the box's middle lies in, and outside all columns nothing happens. add without a target: a new row if none is met by more than a half
+    and a column holds its middle. locked: as assign, but the row becomes approved, and approved rows of its target take its ident. Other verbs, and assign without a target, do nothing.
+    An action took effect if it met, changed or put in a row; an effect may repeat what was so before.
+
+    Actions of one page are taken in the order of (ord, y0, x0, y1, x1, action, target); a page without rules has no columns; pages of
+    actions alone begin empty. A page is a bounded unit, so its rows meet in one array and the actions are folded over it.
+    """
+    none = {"ord": "long", "action": "string", "target": "long", "column": "long", "kind": "string", "ident": "long"}
+    names = ["ord", *BOX, "action", "target", "column", "kind", "ident"]
+    lack = lambda df, part, **given: df.select(*keys, F.lit(part).alias("part"), *[given[c].cast(none[c]).alias(c) if c in given else F.col(c).cast(none.get(c, "long")).alias(c) if c in df.columns else F.lit(None).cast(none[c]).alias(c) for c in names])
+    both = lack(boxes, 0, ord=F.lit(None)).unionByName(lack(actions, 1))
+    if locked is not None:
+        both = both.unionByName(lack(locked, 2, ord=F.lit(None), action=F.lit("locked")))
+    order = ["part", "ord", "y0", "x0", "y1", "x1", "action", "target", "column", "kind", "ident"]
+    pages = both.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*order))).alias("all")).join(rules.select(*keys, "rules"), keys, "left")
+    rows = F.transform(F.filter("all", lambda r: r["part"] == 0), lambda r: _seal(r, column=r["column"], kind=r["kind"], target=r["target"], forbid=F.array(), locked=F.lit(None)))
+    acts = F.transform(F.filter("all", lambda r: r["part"] > 0), lambda r, i: r.withField("n", (i + 1).cast("long")))
+    pages = pages.select(*keys, rows.alias("rows"), acts.alias("acts"), F.coalesce("rules", F.array().cast("array<bigint>")).alias("rules"))
+    done = F.aggregate("acts", F.struct(F.col("rows"), F.array().cast("array<bigint>").alias("used")), lambda state, act: _ruled(state, act, F.col("rules")))
+    marked = F.transform("acts", lambda a: F.struct(a["n"], a["ord"], a["action"], *[a[c] for c in BOX], a["target"], a["ident"], F.array_contains("done.used", a["n"]).alias("used")))
+    return pages.withColumn("done", done).select(*keys, F.col("done.rows").alias("rows"), marked.alias("acts"))
+
+
+def ruled_rows(pages: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of ruled_pages, one by one."""
+    return pages.select(*keys, F.inline("rows"))
+
+
+def ruled_actions(pages: DataFrame, keys: list[str]) -> DataFrame:
+    """The actions of ruled_pages, one by one; those that are not used had no effect."""
+    return pages.select(*keys, F.inline("acts"))
+
+
 def forbidden_pairs(rows: DataFrame, ident: list[str], scores: DataFrame, target: str, score: str) -> DataFrame:
     """scores(ident, target, score) with -1 for the targets in the row's forbid."""
     bad = rows.select(*ident, F.explode("forbid").alias(target)).distinct().withColumn("bad_", F.lit(True))

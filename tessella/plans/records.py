@@ -51,6 +51,30 @@ def overlay_fold(spark, sf_dir):
     return O.overlay(box.filter("ord % 2 = 1").select("l_orderkey", "x0", "y0", "x1", "y1"), box.filter("ord % 2 = 0").withColumn("action", verb), ["l_orderkey"]).drop("forbid")
 
 
+def _ruled(spark, sf_dir):
+    """An order is a page: lines 1, 4, 7, ... are its boxes, 2, 5, 8, ... its actions, the open ones of 3, 6, ... its locked rows; rules stand at even distances."""
+    df = table(prepare(spark), sf_dir, "lineitem")
+    x, y, w = F.col("l_partkey") % 40, F.col("l_suppkey") % 10, F.col("l_quantity").cast("long")
+    verb = F.when(F.col("l_returnflag") == "A", "reject").when(F.col("l_returnflag") == "R", "not").when(F.col("l_linestatus") == "O", "assign").otherwise("add")
+    line, target = F.col("l_linenumber").cast("long"), F.col("l_suppkey") % 4
+    kind = F.when(F.col("l_quantity") > 25, "headword").otherwise("inline")
+    df = df.select("l_orderkey", x.alias("x0"), y.alias("y0"), (x + w).alias("x1"), (y + 20).alias("y1"), line.alias("ord"), verb.alias("action"), F.when((verb != "add") | (F.col("l_suppkey") % 3 > 0), target).alias("target"), (F.col("l_partkey") % 5 + 1).alias("column"), kind.alias("kind"), "l_linestatus")
+    rules = df.select("l_orderkey").distinct().withColumn("rules", F.transform(F.sequence(F.lit(0), F.lit(4)), lambda k: F.col("l_orderkey") % 7 + k * (8 + F.col("l_orderkey") % 5)))
+    locked = df.filter("ord % 3 = 0 and l_linestatus = 'O'").select("l_orderkey", F.col("ord").alias("ident"), *O.BOX, F.coalesce("target", F.lit(0)).alias("target"))
+    return O.ruled_pages(df.filter("ord % 3 = 1").select("l_orderkey", *O.BOX, "column", "kind"), df.filter("ord % 3 = 2").select("l_orderkey", "ord", "action", *O.BOX, "target"), rules, ["l_orderkey"], locked)
+
+
+def overlay_ruled(spark, sf_dir):
+    """The overlay with placement between rules, kinds and locked rows."""
+    rows = O.ruled_rows(_ruled(spark, sf_dir), ["l_orderkey"])
+    return rows.withColumn("forbid", F.array_join(F.transform("forbid", lambda x: x.cast("string")), ","))
+
+
+def overlay_effects(spark, sf_dir):
+    """Every action of the overlay, locked rows included, and whether it took effect."""
+    return O.ruled_actions(_ruled(spark, sf_dir), ["l_orderkey"]).drop("ident")
+
+
 def _orders(spark, sf_dir):
     o = table(prepare(spark), sf_dir, "orders")
     return o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.year("o_orderdate").cast("long").alias("y"))
@@ -222,7 +246,7 @@ def radical_check(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    status_classify, status_summary, running_total, overlay_lww, feedback_to_actions, overlay_fold, slice_replace, upsert_missing, missing_range, page_gaps, dup_keys, rule_violations, eav_pivot, first_by_order, min_with_override,
+    status_classify, status_summary, running_total, overlay_lww, feedback_to_actions, overlay_fold, overlay_ruled, overlay_effects, slice_replace, upsert_missing, missing_range, page_gaps, dup_keys, rule_violations, eav_pivot, first_by_order, min_with_override,
     invert_multivalue, invert_pairs, greedy_convert, greedy_convert_whole, resolve_lookup, char_class_counts, slugify_url, padded_keys, page_range, half_expansion, topk_per_group, page_worst_first, fingerprint_diff, unused_rules, radical_check,
 )}
 
@@ -230,7 +254,50 @@ _STATUS = "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, CASE WHEN l_
 _Y = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, year(o_orderdate) AS y FROM orders"
 _WHEN = lambda d, c: "CASE " + " ".join(f"WHEN {c} = '{k}' THEN '{v}'" for k, v in d.items()) + " END"
 
+_BOXES = "SELECT l_orderkey AS p, l_linenumber::BIGINT AS ord, l_partkey % 40 AS x0, l_suppkey % 10 AS y0, l_partkey % 40 + l_quantity::BIGINT AS x1, l_suppkey % 10 + 20 AS y1, * FROM lineitem"
+_BOTH = "(greatest(least(r.x1, a.x1) - greatest(r.x0, a.x0), 0) * greatest(least(r.y1, a.y1) - greatest(r.y0, a.y0), 0))"
+_IOU = f"({_BOTH}::DOUBLE / greatest((r.x1 - r.x0) * (r.y1 - r.y0) + (a.x1 - a.x0) * (a.y1 - a.y0) - {_BOTH}, 1))"
+_SEAL = "{{'x0': {0}.x0, 'y0': {0}.y0, 'x1': {0}.x1, 'y1': {0}.y1, 'column': {column}, 'kind': {kind}, 'target': {target}, 'forbid': {forbid}, 'locked': {locked}}}"
+# one action after the other over each page's list of rows
+_RULED = f"""WITH RECURSIVE b AS (SELECT p, ord, x0, y0, x1, y1, l_partkey % 5 + 1 AS "column", CASE WHEN l_quantity > 25 THEN 'headword' ELSE 'inline' END AS kind, l_linestatus,
+ CASE WHEN l_returnflag = 'A' THEN 'reject' WHEN l_returnflag = 'R' THEN 'not' WHEN l_linestatus = 'O' THEN 'assign' ELSE 'add' END AS action, l_suppkey FROM ({_BOXES})),
+t AS (SELECT *, CASE WHEN action <> 'add' OR l_suppkey % 3 > 0 THEN l_suppkey % 4 END AS target FROM b),
+u AS (SELECT p, 1 AS part, ord, x0, y0, x1, y1, action, target, NULL::BIGINT AS ident FROM t WHERE ord % 3 = 2
+ UNION ALL SELECT p, 2, NULL, x0, y0, x1, y1, 'locked', coalesce(target, 0), ord FROM t WHERE ord % 3 = 0 AND l_linestatus = 'O'),
+acts AS (SELECT *, row_number() OVER (PARTITION BY p ORDER BY part, ord, y0, x0, y1, x1, action, target NULLS FIRST, ident) AS n FROM u),
+pages AS (SELECT DISTINCT p FROM (SELECT p FROM t WHERE ord % 3 = 1 UNION ALL SELECT p FROM acts)),
+start AS (SELECT p, list({_SEAL.format('t', column='t."column"', kind='t.kind', target='NULL::BIGINT', forbid='[]::BIGINT[]', locked='NULL::BIGINT')} ORDER BY y0, x0, y1, x1, "column", kind) AS rows FROM t WHERE ord % 3 = 1 GROUP BY p),
+st AS (SELECT p, 0::BIGINT AS n, coalesce(rows, []) AS rows, []::BIGINT[] AS used FROM pages LEFT JOIN start USING (p)
+UNION ALL
+SELECT p, n, CASE
+ WHEN a.action = 'not' THEN list_transform(rows, lambda r: CASE WHEN {_IOU} > 0.5 THEN {_SEAL.format('r', column='r."column"', kind='r.kind', target='CASE WHEN r.target IS DISTINCT FROM a.target THEN r.target END', forbid='list_append(r.forbid, a.target)', locked='r.locked')} ELSE r END)
+ WHEN a.action = 'reject' THEN list_filter(rows, lambda r: {_IOU} <= 0.5)
+ WHEN a.target IS NOT NULL THEN list_transform(CASE WHEN hit > 0 THEN list_transform(rows, lambda r, i: CASE WHEN i = hit THEN {_SEAL.format('a', column='r."column"', kind='made', target='a.target', forbid='r.forbid', locked='r.locked')} ELSE r END)
+  WHEN col IS NOT NULL THEN list_append(rows, {_SEAL.format('a', column='col', kind='made', target='a.target', forbid='[]::BIGINT[]', locked='NULL::BIGINT')}) ELSE rows END,
+  lambda r: CASE WHEN a.action = 'locked' AND r.kind = 'approved' AND r.target = a.target THEN {_SEAL.format('r', column='r."column"', kind='r.kind', target='r.target', forbid='r.forbid', locked='a.ident')} ELSE r END)
+ WHEN a.action = 'add' AND met = 0 AND col IS NOT NULL THEN list_append(rows, {_SEAL.format('a', column='col', kind='made', target='NULL::BIGINT', forbid='[]::BIGINT[]', locked='NULL::BIGINT')}) ELSE rows END,
+ CASE WHEN CASE WHEN a.action IN ('not', 'reject') THEN met > 0 WHEN a.target IS NOT NULL THEN hit > 0 OR col IS NOT NULL ELSE a.action = 'add' AND met = 0 AND col IS NOT NULL END THEN list_append(used, n) ELSE used END
+FROM (SELECT st.p, acts.n, st.rows, st.used, acts AS a, CASE WHEN acts.action = 'locked' THEN 'approved' ELSE 'manual' END AS made,
+  coalesce(list_position(list_transform(st.rows, lambda r: {_IOU.replace("a.", "acts.")} > 0.3), true), 0) AS hit, len(list_filter(st.rows, lambda r: {_IOU.replace("a.", "acts.")} > 0.5)) AS met,
+  list_max(list_transform(range(4), lambda c: CASE WHEN st.p % 7 + c * (8 + st.p % 5) <= (acts.x0 + acts.x1) / 2 AND (acts.x0 + acts.x1) / 2 < st.p % 7 + (c + 1) * (8 + st.p % 5) THEN 4 - c END)) AS col
+  FROM st JOIN acts ON acts.p = st.p AND acts.n = st.n + 1)),
+ends AS (SELECT p, max(n) AS n FROM st GROUP BY p), done AS (SELECT st.* FROM st JOIN ends USING (p, n))"""
+
 ORACLE_SQL = {
+    "overlay_ruled": f"""{_RULED}, r AS (SELECT p, unnest(rows) AS r FROM done)
+SELECT p AS l_orderkey, r.x0, r.y0, r.x1, r.y1, r."column", r.kind, r.target, array_to_string(r.forbid, ',') AS forbid, r.locked FROM r""",
+    "overlay_effects": f"{_RULED} SELECT acts.p AS l_orderkey, acts.n, ord, action, x0, y0, x1, y1, target, list_contains(used, acts.n) AS used FROM acts JOIN done ON done.p = acts.p",
+    "overlay_fold": f"""WITH RECURSIVE b AS (SELECT *, l_suppkey AS target, CASE l_returnflag WHEN 'N' THEN 'assign' WHEN 'A' THEN 'reject' ELSE 'not' END AS action FROM ({_BOXES})),
+acts AS (SELECT p, x0, y0, x1, y1, action, target, row_number() OVER (PARTITION BY p ORDER BY ord, y0, x0, y1, x1, action, target) AS n FROM b WHERE ord % 2 = 0),
+st AS (SELECT p, 0::BIGINT AS n, coalesce(list({{'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1, 'target': NULL::BIGINT}} ORDER BY y0, x0, y1, x1) FILTER (ord % 2 = 1), []) AS rows FROM b GROUP BY p
+UNION ALL
+SELECT p, n, CASE WHEN a.action = 'not' THEN list_transform(rows, lambda r: {{'x0': r.x0, 'y0': r.y0, 'x1': r.x1, 'y1': r.y1, 'target': CASE WHEN {_IOU} <= 0.5 OR r.target IS DISTINCT FROM a.target THEN r.target END}})
+ WHEN a.action = 'reject' THEN list_filter(rows, lambda r: {_IOU} <= 0.5)
+ WHEN hit > 0 THEN list_transform(rows, lambda r, i: CASE WHEN i = hit THEN {{'x0': a.x0, 'y0': a.y0, 'x1': a.x1, 'y1': a.y1, 'target': a.target}} ELSE r END)
+ ELSE list_append(rows, {{'x0': a.x0, 'y0': a.y0, 'x1': a.x1, 'y1': a.y1, 'target': a.target}}) END
+FROM (SELECT st.p, acts.n, st.rows, acts AS a, coalesce(list_position(list_transform(st.rows, lambda r: {_IOU.replace("a.", "acts.")} > 0.3), true), 0) AS hit FROM st JOIN acts ON acts.p = st.p AND acts.n = st.n + 1)),
+ends AS (SELECT p, max(n) AS n FROM st GROUP BY p), done AS (SELECT st.p, unnest(st.rows) AS r FROM st JOIN ends USING (p, n))
+SELECT p AS l_orderkey, r.x0, r.y0, r.x1, r.y1, r.target FROM done""",
     "status_classify": _STATUS,
     "status_summary": f"SELECT status, count(*) AS n, count(DISTINCT l_orderkey) AS orders FROM ({_STATUS}) GROUP BY status",
     "running_total": "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, round(sum(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity ROWS UNBOUNDED PRECEDING), 6) AS total FROM lineitem",

@@ -156,6 +156,41 @@ def test_overlay_folds_every_order(spark):
     assert sorted((r.l_orderkey, r.x0, r.y0, r.x1, r.y1, r.target or -1) for r in got) == sorted((*w[:5], w[5] or -1) for w in want)
 
 
+def test_ruled_overlay_case_by_case(spark):
+    box, right = (0, 0, 10, 10), (12, 0, 18, 10)
+    seal = lambda b, column, kind, target=None, forbid=(), locked=None: (b, column, kind, target, forbid, locked)
+    kept = seal(box, 9, "head")
+    cases = {
+        "pinned, the column stays": ([("assign", (0, 0, 10, 9), 7)], [], [seal((0, 0, 10, 9), 9, "manual", 7)], [True]),
+        "put in by its middle, counted from the right": ([("assign", right, 7)], [], [kept, seal(right, 1, "manual", 7)], [True]),
+        "outside the rules": ([("assign", (40, 0, 60, 9), 7), ("add", (-9, 0, -2, 9), None), ("add", (15, 0, 25, 9), None)], [], [kept], [False] * 3),
+        "the last rule is outside, the first inside": ([("add", (19, 20, 21, 29), None), ("add", (-1, 20, 1, 29), None)], [], [kept, seal((-1, 20, 1, 29), 2, "manual")], [False, True]),
+        "something is there": ([("add", box, None)], [], [kept], [False]),
+        "withdrawn, in this order only": ([("assign", box, 7), ("not", box, 7)], [], [seal(box, 9, "manual", None, (7,))], [True, True]),
+        "forbidden, then assigned": ([("not", box, 7), ("assign", box, 7)], [], [seal(box, 9, "manual", 7, (7,))], [True, True]),
+        "without a target": ([("assign", box, None), ("sing", box, 7)], [], [kept], [False, False]),
+        "rejected, then locked": ([("reject", box, None), ("reject", box, None)], [(5, box, 3)], [seal(box, 2, "approved", 3, (), 5)], [True, False, True]),
+        "locked last, outside": ([("assign", right, 3)], [(5, (50, 0, 60, 9), 3)], [kept, seal(right, 1, "manual", 3)], [True, False]),
+        "the last locked row of a target": ([], [(4, box, 3), (5, right, 3)], [seal(box, 9, "approved", 3, (), 5), seal(right, 1, "approved", 3, (), 5)], [True, True]),
+    }
+    boxes = spark.createDataFrame([(k, *box, 9, "head") for k in cases], "k string, x0 long, y0 long, x1 long, y1 long, column long, kind string")
+    acts = spark.createDataFrame([(k, n, v, *b, t) for k, (a, _, _, _) in cases.items() for n, (v, b, t) in enumerate(a)], "k string, ord long, action string, x0 long, y0 long, x1 long, y1 long, target long")
+    locked = spark.createDataFrame([(k, i, *b, t) for k, (_, a, _, _) in cases.items() for i, b, t in a], "k string, ident long, x0 long, y0 long, x1 long, y1 long, target long")
+    rules = spark.createDataFrame([(k, [0, 11, 20]) for k in cases], "k string, rules array<long>")
+    for r in overlay.ruled_pages(boxes, acts, rules, ["k"], locked).collect():
+        rows_ = [((x.x0, x.y0, x.x1, x.y1), x.column, x.kind, x.target, tuple(x.forbid), x.locked) for x in r.rows]
+        assert (rows_, [a.used for a in r.acts]) == cases[r.k][2:], r.k
+    bare = overlay.ruled_pages(boxes, acts, rules.limit(0), ["k"]).collect()  # no rules: nothing can be put in
+    assert len(bare) == len(cases) and all(len(r.rows) <= 1 for r in bare)
+
+
+def test_ruled_overlay_reaches_all_kinds(spark):
+    rows_ = registry.QUERIES["overlay_ruled"](spark, SF).collect()
+    assert {r.kind for r in rows_} == {"headword", "inline", "manual", "approved"} and any(r.forbid for r in rows_) and any(r.locked for r in rows_)
+    used = {(r.action, r.used) for r in registry.QUERIES["overlay_effects"](spark, SF).collect()}
+    assert used == {(a, u) for a in ("assign", "add", "not", "reject", "locked") for u in (True, False)}
+
+
 def test_even_markers():
     import itertools
     import random
