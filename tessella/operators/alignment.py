@@ -6,46 +6,25 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-GAP = -0.05
-
-
-def align_score(a: Column, b: Column, gain) -> Column:
-    """Score of the best global alignment of two arrays: gain(x, y, i, j) for a pair, GAP for what stays alone.
-
-    A fold over rows carries the row before; an inner fold builds the next one. Meant for short arrays.
-    """
-    first = F.transform(F.sequence(F.lit(0), F.size(b)), lambda j: j.cast("double") * GAP)
-
-    def row(prev, x):
-        def cell(acc, y):
-            j = y["i"]
-            return F.concat(acc, F.array(F.greatest(F.get(prev, j) + gain(x["v"], y["v"], x["i"], j), F.get(prev, j + 1) + GAP, F.get(acc, j) + GAP)))
-
-        return F.aggregate(_numbered(b), F.array((x["i"].cast("double") + 1) * GAP), cell)
-
-    return F.element_at(F.aggregate(_numbered(a), first, row), -1)
-
-
-def _numbered(a: Column) -> Column:
-    return F.transform(a, lambda v, i: F.struct(v.alias("v"), i.alias("i")))
+MATCH, MISMATCH, FORBIDDEN, FORCED = 10, -10, -30, 100  # gains in twentieths; what stays alone loses one; a forced pair's row and column lose as much as its cell gains
 
 
 CELLS = 4_000_000  # of the tables that are swept side by side
 
 
 def _sweep(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Moves (0 a pair, 1 an extra row, 2 a missing column) of the tables of many padded pairs of code arrays, an anti-diagonal of all of them at a time."""
+    """Moves (0 a pair, 1 an extra row, 2 a missing column) of the tables of many padded pairs of code arrays, an anti-diagonal of all of them at a time; in twentieths, so that ties are exact."""
     rows, n, m = len(a), a.shape[1], b.shape[1]
-    best, moves = np.zeros((rows, n + 1, m + 1)), np.zeros((rows, n + 1, m + 1), np.int8)
-    best[:, :, 0], best[:, 0, :] = np.arange(n + 1) * GAP, np.arange(m + 1) * GAP
+    best, moves = np.zeros((rows, n + 1, m + 1), np.int32), np.zeros((rows, n + 1, m + 1), np.int8)
+    best[:, :, 0], best[:, 0, :] = -np.arange(n + 1), -np.arange(m + 1)
     moves[:, 1:, 0], moves[:, 0, 1:] = 1, 2
     for d in range(2, n + m + 1):
         i = np.arange(max(1, d - m), min(n, d - 1) + 1)
         j = d - i
         x = a[:, i - 1]
-        pair = best[:, i - 1, j - 1] + np.where((x == b[:, j - 1]) & (x >= 0), 0.5, -0.5)
-        extra, missing = best[:, i - 1, j], best[:, i, j - 1]
-        alone = np.maximum(extra, missing) + GAP
+        pair = best[:, i - 1, j - 1] + np.where((x == b[:, j - 1]) & (x >= 0), MATCH, MISMATCH)
+        extra, missing = best[:, i - 1, j] - 1, best[:, i, j - 1] - 1
+        alone = np.maximum(extra, missing)
         best[:, i, j] = np.maximum(pair, alone)
         moves[:, i, j] = np.where(pair >= alone, 0, np.where(extra >= missing, 1, 2))
     return moves
@@ -64,9 +43,9 @@ def _walk(moves: np.ndarray, n: np.ndarray, m: np.ndarray) -> tuple[np.ndarray,
 
 
 def align_paths(df: DataFrame, key: str) -> DataFrame:
-    """The paired places i, j (from 1) of the short arrays a and b of each row: equal values gain 0.5, others lose 0.5, GAP for what stays alone.
+    """The paired places i, j (from 1) of the short arrays a and b of each row: equal values gain 0.5, others lose 0.5, 0.05 are lost for what stays alone.
 
-    At ties a pair goes before an extra row, that before a missing column. For long arrays use align_whole.
+    At ties a pair goes before an extra row, that before a missing column. Whole tables are held for as many rows as CELLS allows; for long arrays use align_whole.
     """
 
     def run(batches):
@@ -93,26 +72,52 @@ def align_paths(df: DataFrame, key: str) -> DataFrame:
     return df.select(F.col(key).cast("long"), "a", "b").mapInArrow(run, f"{key} long, i long, j long")
 
 
-def _next_row(row: np.ndarray, code: int, b: np.ndarray, i: int, forced: tuple[int, int] | None) -> tuple[np.ndarray, np.ndarray]:
+class Anchors:
+    """Gains that do not come from values: a sparse table over an alignment's cells.
+
+    forbidden: cells that gain FORBIDDEN. forced: pairs (i, j) in their order of application: each one sets its row and its column to -FORCED
+    and then its cell to FORCED, so a later pair of the same row or column takes an earlier one's gain away. Places are from 0; pairs and
+    cells outside of the table are left out.
+    """
+
+    def __init__(self, n: int, m: int, forced=(), forbidden=()):
+        inside = [(i, j) for i, j in forced if 0 <= i < n and 0 <= j < m]
+        last_row, last_column = ({p[k]: t for t, p in enumerate(inside)} for k in (0, 1))
+        self.rows = set(last_row)
+        self.columns = np.array(sorted(last_column), np.int64)
+        self.cells = {i: j for t, (i, j) in enumerate(inside) if last_row[i] == t == last_column[j]}
+        self.barred: dict = {}
+        for i, j in forbidden:
+            if 0 <= i < n and 0 <= j < m:
+                self.barred.setdefault(i, []).append(j)
+
+    def set(self, i: int, gain: np.ndarray) -> None:
+        """Change the gains of row i."""
+        gain[self.barred.get(i, [])] = FORBIDDEN
+        if i in self.rows:
+            gain[:] = -FORCED
+        gain[self.columns] = -FORCED
+        if i in self.cells:
+            gain[self.cells[i]] = FORCED
+
+
+def _next_row(row: np.ndarray, code: int, b: np.ndarray, i: int, anchors: Anchors | None) -> tuple[np.ndarray, np.ndarray]:
     """The alignment's row behind `row`, in twentieths, and its moves: 0 a pair, 1 an extra row, 2 a missing column."""
-    gain = np.where((b == code) & (b >= 0), 10, -10)
-    if forced and i == forced[0]:
-        gain[:] = -100
-    if forced:
-        gain[forced[1]] = 100 if i == forced[0] else -100
+    gain = np.where((b == code) & (b >= 0), MATCH, MISMATCH)
+    if anchors:
+        anchors.set(i, gain)
     pair, extra, steps = row[:-1] + gain, row[1:] - 1, np.arange(len(row))
     # each step to the right costs one twentieth: a running maximum of what is level with them
     out = np.maximum.accumulate(np.concatenate(([row[0] - 1], np.maximum(pair, extra))) + steps) - steps
     return out, np.where(out[1:] == pair, 0, np.where(out[1:] == extra, 1, 2)).astype(np.int8)
 
 
-def align_codes(a: np.ndarray, b: np.ndarray, forced: tuple[int, int] | None = None, path: bool = True) -> tuple[int, list[tuple[int, int]]]:
+def align_codes(a: np.ndarray, b: np.ndarray, anchors: Anchors | None = None, path: bool = True) -> tuple[int, list[tuple[int, int]]]:
     """Score in twentieths and pairs of the best global alignment of two sequences of codes of any length; codes below 0 equal nothing.
 
-    Equal codes gain 0.5, others lose 0.5, GAP for what stays alone; at ties a pair goes before an extra row, that before a missing column; in
-    whole numbers, so ties are exact.
-    A forced pair's row and column lose 5, its cell gains 5. Only every sqrt(n)-th row is kept; the way back builds the
-    moves of one block of rows at a time from it.
+    Equal codes gain 0.5, others lose 0.5, 0.05 are lost for what stays alone, anchored cells as Anchors says; at ties a pair goes before an extra row, that
+    before a missing column; in whole numbers, so ties are exact.
+    Only every sqrt(n)-th row is kept; the way back builds the moves of one block of rows at a time from it.
     """
     n, m, out = len(a), len(b), []
     block = max(1, int(np.ceil(np.sqrt(n))))
@@ -120,12 +125,12 @@ def align_codes(a: np.ndarray, b: np.ndarray, forced: tuple[int, int] | None = N
     for i in range(n):
         if path and i % block == 0:
             kept.append(row)
-        row = _next_row(row, a[i], b, i, forced)[0]
+        row = _next_row(row, a[i], b, i, anchors)[0]
     j = m
     for k in range(len(kept) - 1, -1, -1):
         begin, moves, at = k * block, [], kept[k]
         for i in range(begin, min(n, begin + block)):
-            at, move = _next_row(at, a[i], b, i, forced)
+            at, move = _next_row(at, a[i], b, i, anchors)
             moves.append(move)
         i = begin + len(moves)
         while i > begin:
@@ -137,8 +142,12 @@ def align_codes(a: np.ndarray, b: np.ndarray, forced: tuple[int, int] | None = N
 
 
 def align_whole(df: DataFrame, key: str, paths: bool = False) -> DataFrame:
-    """key and twentieths, or the paired places i, j (from 1), of the whole arrays a and b; columns fa and fb, if any, are the forced pair (from 0)."""
-    columns = [c for c in (key, "a", "b", "fa", "fb") if c in df.columns]
+    """key and twentieths, or the paired places i, j (from 1), of the whole arrays a and b.
+
+    Columns of df, if there are any: fa and fb, a forced pair (null or below 0: none); forced and forbidden, arrays of structs i, j (null: none),
+    forced pairs in their order of application and cells that may not be paired, all from 0.
+    """
+    columns = [c for c in (key, "a", "b", "fa", "fb", "forced", "forbidden") if c in df.columns]
     names = [key, "i", "j"] if paths else [key, "twentieths"]
 
     def run(batches):
@@ -147,9 +156,13 @@ def align_whole(df: DataFrame, key: str, paths: bool = False) -> DataFrame:
             codes = pa.concat_arrays([x.flatten() for x in lists]).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
             ends = np.cumsum(np.concatenate([x.value_lengths().fill_null(0).to_numpy(zero_copy_only=False) for x in lists])).tolist()
             n, begins = batch.num_rows, [0, *ends]
-            forced = zip(batch.column("fa").to_pylist(), batch.column("fb").to_pylist()) if "fa" in columns else [(None, None)] * n
-            for r, (k, pair) in enumerate(zip(batch.column(key).to_pylist(), forced)):
-                score, found = align_codes(codes[begins[r] : ends[r]], codes[begins[n + r] : ends[n + r]], None if None in pair or min(pair) < 0 else pair, paths)
+            cells = {c: [[(x["i"], x["j"]) for x in row or ()] for row in batch.column(c).to_pylist()] for c in ("forced", "forbidden") if c in columns}
+            single = list(zip(batch.column("fa").to_pylist(), batch.column("fb").to_pylist())) if "fa" in columns else [(None, None)] * n
+            for r, k in enumerate(batch.column(key).to_pylist()):
+                a, b = codes[begins[r] : ends[r]], codes[begins[n + r] : ends[n + r]]
+                forced = [single[r]] * (None not in single[r]) + cells.get("forced", {r: []})[r]
+                forbidden = cells.get("forbidden", {r: []})[r]
+                score, found = align_codes(a, b, Anchors(len(a), len(b), forced, forbidden) if forced or forbidden else None, paths)
                 rows = [[k] * len(found), [i + 1 for i, _ in found], [j + 1 for _, j in found]] if paths else [[k], [score]]
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in rows], names=names)
 

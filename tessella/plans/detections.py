@@ -68,64 +68,70 @@ def run_pairs_bounded(spark, sf_dir):
     return I.run_pairs(runs, ["user_id"], int(1.2 * 24 * HOUR), int(2.25 * 24 * HOUR), int(0.9 * 24 * HOUR))
 
 
-def _typed(spark, sf_dir, most=12):
-    """The first `most` event types of each user, in order; all of them where it is None."""
+def _typed(spark, sf_dir):
+    """The event types of each user, in order."""
     from pyspark.sql import Window
 
     df = _events(spark, sf_dir, "event_type").withColumn("r", F.row_number().over(Window.partitionBy("user_id").orderBy("us", "event_id")))
-    df = df if most is None else df.filter(F.col("r") <= most)
     return df.groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "event_type"))), lambda x: x["event_type"]).alias("a"))
 
 
-def _paired(spark, sf_dir, most=12):
+def _paired(spark, sf_dir):
     """Each user's sequence with the next id's."""
-    df = _typed(spark, sf_dir, most)
+    df = _typed(spark, sf_dir)
     return df.join(df.select((F.col("user_id") - 1).alias("user_id"), F.col("a").alias("b")), "user_id")
 
 
-_PAIRED = """WITH e AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events),
-t AS (SELECT user_id, list(event_type ORDER BY r) AS a FROM e WHERE r <= 12 GROUP BY user_id),
+_PAIRED = """WITH RECURSIVE e AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events),
+t AS (SELECT user_id, list(event_type ORDER BY r) AS a FROM e GROUP BY user_id),
 p AS (SELECT x.user_id, x.a, y.a AS b FROM t x JOIN t y ON y.user_id = x.user_id + 1)"""
 
 
 def align_score(spark, sf_dir):
-    gain = lambda x, y, i, j: F.when(x == y, 0.5).otherwise(-0.5)
-    return _paired(spark, sf_dir).select("user_id", S.r6(A.align_score(F.col("a"), F.col("b"), gain)).alias("score"))
+    """Score of the global alignment of each user's events with the next id's."""
+    return A.align_whole(_paired(spark, sf_dir), "user_id").select("user_id", S.r6(F.col("twentieths") / 20).alias("score"))
 
 
 def align_forced(spark, sf_dir):
-    """The first purchases of both are forced together: their row and column lose 5, their cell gets 5 back twice."""
-    fa, fb = (F.array_position(c, "purchase") - 1 for c in ("a", "b"))
-    df = _paired(spark, sf_dir).withColumn("fa", fa.cast("int")).withColumn("fb", fb.cast("int")).withColumn("both", (F.col("fa") >= 0) & (F.col("fb") >= 0))
-
-    def gain(x, y, i, j):
-        plain = F.when(x == y, 0.5).otherwise(-0.5)
-        return F.when(~F.col("both"), plain).when((i == F.col("fa")) & (j == F.col("fb")), 5.0).when((i == F.col("fa")) | (j == F.col("fb")), -5.0).otherwise(plain)
+    """The first purchases of both are forced together: their row and column lose 5, their cell gains 5."""
+    fa, fb = ((F.array_position(c, "purchase") - 1).cast("int").alias(f"f{c}") for c in ("a", "b"))
+    return A.align_whole(_paired(spark, sf_dir).select("*", fa, fb), "user_id").select("user_id", S.r6(F.col("twentieths") / 20).alias("score"))
 
-    return df.select("user_id", S.r6(A.align_score(F.col("a"), F.col("b"), gain)).alias("score"))
 
+def align_path(spark, sf_dir):
+    """The paired places, by anti-diagonals of whole tables; align_path_whole keeps a block of rows at a time."""
+    return A.align_paths(_paired(spark, sf_dir), "user_id")
 
-_MATRIX = """list_reduce(list_prepend(list_transform(range(0, len(b) + 1), lambda j: j * -0.05::DOUBLE), list_transform(range(1, len(a) + 1), lambda i: [i::DOUBLE])),
- lambda prev, x: list_reduce(list_prepend([x[1] * -0.05::DOUBLE], list_transform(range(1, len(b) + 1), lambda j: [j::DOUBLE])),
- lambda acc, y: list_append(acc, greatest(prev[y[1]::BIGINT] + {gain}, prev[y[1]::BIGINT + 1] - 0.05::DOUBLE, acc[y[1]::BIGINT] - 0.05::DOUBLE))))"""
 
+def align_path_whole(spark, sf_dir):
+    return A.align_whole(_paired(spark, sf_dir), "user_id", paths=True)
 
-def align_path(spark, sf_dir):
-    return A.align_paths(_paired(spark, sf_dir), "user_id")
 
+def _anchored(spark, sf_dir):
+    """Each user's whole sequence with the next id's; every third purchase and signup (by event id) is assigned a place of the other one, whole value by
+    whole value, and errors may not be paired with the place that their value names. Values beyond the other sequence assign nothing."""
+    from pyspark.sql import Window
 
-def align_score_whole(spark, sf_dir):
-    """align_score over all events of each user; like the next two without SQL, which folds only short arrays in fair time."""
-    return A.align_whole(_paired(spark, sf_dir, None), "user_id").select("user_id", S.r6(F.col("twentieths") / 20).alias("score"))
+    df = _events(spark, sf_dir, "event_type", "value").withColumn("r", F.row_number().over(Window.partitionBy("user_id").orderBy("us", "event_id")))
+    at, to = (F.col("r") - 1).cast("long"), F.floor(F.col("value") / 3).cast("long")
+    cell = F.struct(at.alias("i"), to.alias("j"))
+    anchor = F.col("event_type").isin("purchase", "signup") & (F.col("event_id") % 3 == 0)
+    whole = df.groupBy("user_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("r", "event_type"))), lambda x: x["event_type"]).alias("a"),
+        F.array_sort(F.collect_list(F.when(anchor, cell))).alias("forced"),
+        F.array_sort(F.collect_list(F.when(F.col("event_type") == "error", cell))).alias("forbidden"),
+    )
+    known = lambda c: F.filter(c, lambda x: x["j"] < F.size("b")).alias(c)
+    return whole.join(whole.select((F.col("user_id") - 1).alias("user_id"), F.col("a").alias("b")), "user_id").select("user_id", "a", "b", known("forced"), known("forbidden"))
 
 
-def align_forced_whole(spark, sf_dir):
-    fa, fb = ((F.array_position(c, "purchase") - 1).cast("int").alias(f"f{c}") for c in ("a", "b"))
-    return A.align_whole(_paired(spark, sf_dir, None).select("*", fa, fb), "user_id").select("user_id", S.r6(F.col("twentieths") / 20).alias("score"))
+def align_anchored(spark, sf_dir):
+    """Alignment under many forced pairs, conflicts by order, and forbidden cells."""
+    return A.align_whole(_anchored(spark, sf_dir), "user_id").select("user_id", S.r6(F.col("twentieths") / 20).alias("score"))
 
 
-def align_path_whole(spark, sf_dir):
-    return A.align_whole(_paired(spark, sf_dir, None), "user_id", paths=True)
+def align_anchored_path(spark, sf_dir):
+    return A.align_whole(_anchored(spark, sf_dir), "user_id", paths=True)
 
 
 def marker_partition(spark, sf_dir):
@@ -149,9 +155,39 @@ def sandwich_promote(spark, sf_dir):
     return df.select("o_orderkey", F.when(F.col("promoted"), "aligned").when(F.col("o_orderstatus") == "O", "inferred").otherwise("anchored").alias("status"))
 
 
-QUERIES = {f.__name__: f for f in (islands_gap, islands_threshold, nms_greedy, interval_overlap_pairs, interval_iou_label, box_iou_pairs, run_pairs_bounded, align_score, align_forced, align_path, align_score_whole, align_forced_whole, align_path_whole, marker_partition, neighbour_fill, sandwich_promote)}
+QUERIES = {f.__name__: f for f in (islands_gap, islands_threshold, nms_greedy, interval_overlap_pairs, interval_iou_label, box_iou_pairs, run_pairs_bounded, align_score, align_forced, align_path, align_path_whole, align_anchored, align_anchored_path, marker_partition, neighbour_fill, sandwich_promote)}
+QUERIES |= {"align_score_whole": align_score, "align_forced_whole": align_forced}  # their earlier names, when the others took the first events only
+
+# the table of an alignment a row at a time, in twentieths: level with the steps to the right, a row is a running maximum; `gain` is of row i and column j
+_ROWS = """,
+tab AS (SELECT user_id, 0 AS i, list_transform(range(len(b) + 1), lambda j: -j) AS cur, []::BIGINT[] AS pairs, []::BIGINT[] AS prev FROM q
+UNION ALL
+SELECT user_id, i, list_transform(range(m + 1), lambda j: list_max(level[1:j + 1]) - j), pairs, cur FROM (
+ SELECT *, list_transform(range(m + 1), lambda j: CASE WHEN j = 0 THEN cur[1] - 1 ELSE greatest(pairs[j], cur[j + 1] - 1) + j END) AS level FROM (
+ SELECT q.user_id, tab.i + 1 AS i, tab.cur, len(q.b) AS m, list_transform(range(1, len(q.b) + 1), lambda j: tab.cur[j] + {gain}) AS pairs FROM tab JOIN q ON q.user_id = tab.user_id WHERE tab.i < len(q.a))))"""
+_WAY = """,
+walk AS (SELECT user_id, len(a) AS i, len(b) AS j, 1 AS step FROM q UNION ALL
+SELECT w.user_id, w.i - CASE WHEN w.move <> 2 THEN 1 ELSE 0 END, w.j - CASE WHEN w.move <> 1 THEN 1 ELSE 0 END, step + 1 FROM (
+ SELECT walk.user_id, walk.i, walk.j, step, CASE WHEN walk.i = 0 THEN 2 WHEN walk.j = 0 THEN 1 WHEN tab.cur[walk.j + 1] = tab.pairs[walk.j] THEN 0 WHEN tab.cur[walk.j + 1] = tab.prev[walk.j + 1] - 1 THEN 1 ELSE 2 END AS move
+ FROM walk JOIN tab ON tab.user_id = walk.user_id AND tab.i = walk.i WHERE walk.i > 0 OR walk.j > 0) w),
+hit AS (SELECT walk.user_id, walk.i, walk.j FROM walk JOIN tab ON tab.user_id = walk.user_id AND tab.i = walk.i WHERE walk.i > 0 AND walk.j > 0 AND tab.cur[walk.j + 1] = tab.pairs[walk.j])"""
+_SCORE = " SELECT q.user_id, round(tab.cur[-1] / 20::DOUBLE, 6) AS score FROM tab JOIN q ON q.user_id = tab.user_id AND tab.i = len(q.a)"
+_PLAIN = "CASE WHEN q.a[tab.i + 1] = q.b[j] THEN 10 ELSE -10 END"
+# the last forced pair of a cell's row or column says what it gains
+_ANCHORED = """WITH RECURSIVE e AS (SELECT user_id, event_id, event_type, CAST(floor(value / 3) AS BIGINT) AS j, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events),
+t AS (SELECT user_id, list(event_type ORDER BY r) AS a, coalesce(list({{'i': r, 'j': j + 1}} ORDER BY r) FILTER (event_type IN ('purchase', 'signup') AND event_id % 3 = 0), []) AS forced,
+ coalesce(list({{'i': r, 'j': j + 1}}) FILTER (event_type = 'error'), []) AS barred FROM e GROUP BY user_id),
+q AS (SELECT x.user_id, x.a, y.a AS b, list_filter(x.forced, lambda f: f.j <= len(y.a)) AS forced, x.barred FROM t x JOIN t y ON y.user_id = x.user_id + 1)"""
+_CELL = """CASE WHEN len(list_filter(q.forced, lambda f: f.i = tab.i + 1 OR f.j = j)) > 0 THEN CASE WHEN list_filter(q.forced, lambda f: f.i = tab.i + 1 OR f.j = j)[-1] = {'i': tab.i + 1, 'j': j} THEN 100 ELSE -100 END
+ WHEN list_contains(q.barred, {'i': tab.i + 1, 'j': j}) THEN -30 ELSE """ + _PLAIN + " END"
+_FIRSTS = "CASE WHEN fa > 0 AND fb > 0 AND tab.i + 1 = fa AND j = fb THEN 100 WHEN fa > 0 AND fb > 0 AND (tab.i + 1 = fa OR j = fb) THEN -100 ELSE " + _PLAIN + " END"
 
 ORACLE_SQL = {
+    "align_score_whole": _PAIRED + ", q AS (SELECT * FROM p)" + _ROWS.format(gain=_PLAIN) + _SCORE,
+    "align_path_whole": _PAIRED + ", q AS (SELECT * FROM p)" + _ROWS.format(gain=_PLAIN) + _WAY + " SELECT user_id, i, j FROM hit",
+    "align_forced_whole": _PAIRED + ", q AS (SELECT *, coalesce(list_position(a, 'purchase'), 0) AS fa, coalesce(list_position(b, 'purchase'), 0) AS fb FROM p)" + _ROWS.format(gain=_FIRSTS) + _SCORE,
+    "align_anchored": _ANCHORED.format() + _ROWS.format(gain=_CELL) + _SCORE,
+    "align_anchored_path": _ANCHORED.format() + _ROWS.format(gain=_CELL) + _WAY + " SELECT user_id, i, j FROM hit",
     "islands_gap": f"{_ISLANDS} SELECT * FROM islands",
     "islands_threshold": """WITH h AS (SELECT event_type, CAST(floor(epoch_us(ts) / 3600000000) AS BIGINT) AS h, count(*) AS n FROM events GROUP BY ALL HAVING count(*) >= 2),
 f AS (SELECT *, CASE WHEN h - lag(h) OVER (PARTITION BY event_type ORDER BY h) > 3 THEN 1 ELSE 0 END AS b FROM h),
@@ -176,22 +212,6 @@ SELECT l_orderkey, la::BIGINT AS line_a, lb::BIGINT AS line_b, round(c::DOUBLE /
     "run_pairs_bounded": f"""{_ISLANDS}, o AS (SELECT user_id, start_us AS s, end_us AS e, CASE WHEN start_us - lag(end_us) OVER (PARTITION BY user_id ORDER BY start_us) > 77760000000 THEN 1 ELSE 0 END AS b FROM islands),
 c AS (SELECT *, sum(b) OVER (PARTITION BY user_id ORDER BY s ROWS UNBOUNDED PRECEDING) AS chain FROM o)
 SELECT x.user_id, x.s, y.e FROM c x JOIN c y ON x.user_id = y.user_id AND x.chain = y.chain AND y.s >= x.s AND y.e - x.s BETWEEN 103680000000 AND 194400000000""",
-    "align_score": f"{_PAIRED} SELECT user_id, round({_MATRIX.format(gain='CASE WHEN a[x[1]::BIGINT] = b[y[1]::BIGINT] THEN 0.5::DOUBLE ELSE -0.5::DOUBLE END')}[-1], 6) AS score FROM p",
-    "align_forced": f"""{_PAIRED}, q AS (SELECT *, coalesce(list_position(a, 'purchase'), 0) AS fa, coalesce(list_position(b, 'purchase'), 0) AS fb FROM p)
-SELECT user_id, round({_MATRIX.format(gain='''CASE WHEN fa > 0 AND fb > 0 AND x[1]::BIGINT = fa AND y[1]::BIGINT = fb THEN 5.0::DOUBLE WHEN fa > 0 AND fb > 0 AND (x[1]::BIGINT = fa OR y[1]::BIGINT = fb) THEN -5.0::DOUBLE WHEN a[x[1]::BIGINT] = b[y[1]::BIGINT] THEN 0.5::DOUBLE ELSE -0.5::DOUBLE END''')}[-1], 6) AS score FROM q""",
-    "align_path": _PAIRED.replace("WITH e", "WITH RECURSIVE e", 1) + """,
-cell AS (SELECT user_id, a, b, 0 AS i, 0 AS j, [0.0::DOUBLE] AS cur, []::DOUBLE[] AS prev, [0] AS mv, []::INT[][] AS moves FROM p
-UNION ALL
-SELECT user_id, a, b, CASE WHEN j = len(b) THEN i + 1 ELSE i END, CASE WHEN j = len(b) THEN 0 ELSE j + 1 END,
-CASE WHEN j = len(b) THEN [(i + 1) * -0.05::DOUBLE] WHEN i = 0 THEN list_append(cur, (j + 1) * -0.05::DOUBLE)
-ELSE list_append(cur, greatest(prev[j + 1] + g, prev[j + 2] - 0.05::DOUBLE, cur[j + 1] - 0.05::DOUBLE)) END,
-CASE WHEN j = len(b) THEN cur ELSE prev END,
-CASE WHEN j = len(b) THEN [1] WHEN i = 0 THEN list_append(mv, 2) ELSE list_append(mv, CASE WHEN prev[j + 1] + g >= prev[j + 2] - 0.05::DOUBLE AND prev[j + 1] + g >= cur[j + 1] - 0.05::DOUBLE THEN 0 WHEN prev[j + 2] >= cur[j + 1] THEN 1 ELSE 2 END) END,
-CASE WHEN j = len(b) THEN list_append(moves, mv) ELSE moves END
-FROM (SELECT *, CASE WHEN i > 0 AND j < len(b) AND a[i] = b[j + 1] THEN 0.5::DOUBLE ELSE -0.5::DOUBLE END AS g FROM cell WHERE i <= len(a))),
-done AS (SELECT user_id, len(a) AS i, len(b) AS j, moves FROM cell WHERE i = len(a) + 1),
-walk AS (SELECT user_id, i, j, moves FROM done UNION ALL SELECT user_id, i - CASE WHEN moves[i + 1][j + 1] <> 2 THEN 1 ELSE 0 END, j - CASE WHEN moves[i + 1][j + 1] <> 1 THEN 1 ELSE 0 END, moves FROM walk WHERE i > 0 OR j > 0)
-SELECT user_id, i::BIGINT AS i, j::BIGINT AS j FROM walk WHERE (i > 0 AND j > 0) AND moves[i + 1][j + 1] = 0""",
     "marker_partition": """WITH e AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS seen, count(*) OVER (PARTITION BY user_id) AS total FROM events),
 m AS (SELECT user_id, seen, total, total // 4 AS p, row_number() OVER (PARTITION BY user_id ORDER BY seen) AS k FROM e WHERE event_type = 'signup'),
 c AS (SELECT a.user_id, a.k AS m1, b.k AS m2, c.k AS m3, abs(a.seen - a.p) + abs(b.seen - a.seen - a.p) + abs(c.seen - b.seen - a.p) + abs(a.total - c.seen - (a.total - 3 * a.p)) AS cost
@@ -203,3 +223,4 @@ first_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OV
     "sandwich_promote": """WITH o AS (SELECT *, lag(o_orderstatus) OVER w AS p, lead(o_orderstatus) OVER w AS n FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey))
 SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' AND o_totalprice >= 50000 AND p <> 'O' AND n <> 'O' THEN 'aligned' WHEN o_orderstatus = 'O' THEN 'inferred' ELSE 'anchored' END AS status FROM o""",
 }
+ORACLE_SQL |= {name: ORACLE_SQL[f"{name}_whole"] for name in ("align_score", "align_forced", "align_path")}

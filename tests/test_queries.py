@@ -102,6 +102,49 @@ def test_whole_alignment_of_odd_sequences(spark):
     assert sorted(map(tuple, alignment.align_whole(df, "user_id", True).collect())) == sorted((k, *p) for k, a, b in cases for p in brute_alignment(a, b)[1])
 
 
+def test_anchors_one_by_one():
+    """Any number of forced pairs, set into a whole table of gains in their order, and forbidden cells."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(7)
+    for _ in range(150):
+        n, m = rng.randrange(1, 9), rng.randrange(1, 9)
+        a, b = ([rng.choice("xyz") for _ in range(k)] for k in (n, m))
+        forced, forbidden = ([(rng.randrange(-1, n + 1), rng.randrange(-1, m + 1)) for _ in range(rng.randrange(4))] for _ in range(2))
+        gain = [[10 if x == y else -10 for y in b] for x in a]
+        for i, j in forbidden:
+            if 0 <= i < n and 0 <= j < m:
+                gain[i][j] = -30
+        for i, j in forced:
+            if 0 <= i < n and 0 <= j < m:
+                gain[i] = [-100] * m
+                for r in gain:
+                    r[j] = -100
+                gain[i][j] = 100
+        score, pairs = alignment.align_codes(*(np.array([ord(c) for c in s]) for s in (a, b)), alignment.Anchors(n, m, forced, forbidden))
+        best = {(i, 0): -i for i in range(n + 1)} | {(0, j): -j for j in range(m + 1)}
+        for i in range(1, n + 1):
+            for j in range(1, m + 1):
+                best[i, j] = max(best[i - 1, j - 1] + gain[i - 1][j - 1], best[i - 1, j] - 1, best[i, j - 1] - 1)
+        want, i, j = [], n, m
+        while i and j:
+            if best[i, j] == best[i - 1, j - 1] + gain[i - 1][j - 1]:
+                i, j = i - 1, j - 1
+                want.append((i, j))
+            elif best[i, j] == best[i - 1, j] - 1:
+                i -= 1
+            else:
+                j -= 1
+        assert (score, pairs) == (best[n, m], want[::-1])
+
+
+def test_anchors_without_any(spark):
+    df = spark.createDataFrame([(1, ["x", "y"], ["x"], None, None), (2, [], ["x"], [], [(0, 0)]), (3, ["x"], ["x"], [(0, 5)], [(0, 0)])], "k long, a array<string>, b array<string>, forced array<struct<i:long,j:long>>, forbidden array<struct<i:long,j:long>>")
+    assert {r.k: r.twentieths for r in alignment.align_whole(df, "k").collect()} == {1: 9, 2: -1, 3: -2}
+
+
 def overlaid(boxes, actions, locked=()):
     """(box, target, forbid) of one page's rows, by the rules read one by one."""
     area = lambda b: (b[2] - b[0]) * (b[3] - b[1])
