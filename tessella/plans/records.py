@@ -1,6 +1,8 @@
 """Logs, overlays, dictionaries and work queues: queries over the star schema's tables."""
 
-from pyspark.sql import Window
+import functools
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions import scalars as S
@@ -162,16 +164,45 @@ CONVERT = {"th": "T", "the": "D", "he": "H", "an": "A", "and": "&", "in": "I", "
 
 
 def greedy_convert(spark, sf_dir):
-    b = table(prepare(spark), sf_dir, "benchmark").select("item_id", F.left("text", F.lit(120)).alias("t"))
-    return b.select("item_id", L.longest_match(F.col("t"), CONVERT, 3).alias("converted"))
+    b = table(prepare(spark), sf_dir, "benchmark").select("item_id", "text")
+    return b.select("item_id", L.longest_match(F.col("text"), CONVERT, 3).alias("converted"))
 
 
 def greedy_convert_whole(spark, sf_dir):
-    """greedy_convert over whole texts."""
+    """greedy_convert by a trie over batches of texts."""
     b = table(prepare(spark), sf_dir, "benchmark").select("item_id", "text")
     return L.convert_broadcast(b, "text", CONVERT, "converted").select("item_id", "converted")
 
 
+def _dictionaries(spark, sf_dir):
+    """Lines of four dictionaries from the words of the texts, each in the order of its words: characters, phrases, variants, and one that is read the other way."""
+    words = table(prepare(spark), sf_dir, "benchmark").select(F.explode(F.split("text", "[^A-Za-z]+")).alias("n")).filter("length(n) >= 5").distinct()
+    w, tab = F.col("n"), F.lit("\t")
+    cut = lambda a, n: F.substring(w, a, n)
+    lines = {
+        "characters": F.when(w.startswith("w"), F.concat(F.lit("# "), w)).when(w.startswith("s"), w).otherwise(F.concat(cut(1, 2), tab, F.upper(cut(3, 2)), F.lit(" "), cut(1, 1))),
+        "phrases": F.when(w < "n", F.concat(cut(1, 4), tab, F.reverse(cut(1, 4)))),
+        "variants": F.concat(F.upper(cut(3, 2)), tab, cut(3, 2), F.lit("+ ?")),
+        "reversed": F.when(w.startswith("t"), F.concat(F.lit("# @reverse-prefer: "), cut(2, 3), F.lit(" <"), cut(1, 2), F.lit(">"))).otherwise(F.concat(cut(1, 3), tab, cut(2, 2), F.lit(" "), cut(2, 3))),
+    }
+    return {k: words.select("n", c.alias("line")).filter("line is not null") for k, c in lines.items()}
+
+
+def convert_dictionaries(spark, sf_dir):
+    """A chain of three conversions: characters with phrases over them, variants, and a reversed dictionary."""
+    d = _dictionaries(spark, sf_dir)
+    stages = [L.merged(L.dictionary(d["characters"]), L.dictionary(d["phrases"])), L.dictionary(d["variants"]), L.reversed_dictionary(d["reversed"])]
+    b = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return L.convert_chain(b, "text", stages, "converted").select("item_id", "converted")
+
+
+def dictionary_entries(spark, sf_dir):
+    """What the dictionaries' lines say, by dictionary."""
+    d = _dictionaries(spark, sf_dir)
+    out = [L.dictionary(d[k]).withColumn("name", F.lit(k)) for k in ("characters", "phrases", "variants")] + [L.reversed_dictionary(d["reversed"]).withColumn("name", F.lit("reversed"))]
+    return functools.reduce(DataFrame.unionByName, out)
+
+
 def resolve_lookup(spark, sf_dir):
     part = table(prepare(spark), sf_dir, "part").select("p_partkey", "p_name", "p_size")
     wanted = part.select(F.element_at(F.split("p_name", " "), -1).alias("word")).union(part.filter("p_size = 1").select(F.concat(F.lit("no"), F.element_at(F.split("p_name", " "), 1)))).distinct()
@@ -247,13 +278,29 @@ def radical_check(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     status_classify, status_summary, running_total, overlay_lww, feedback_to_actions, overlay_fold, overlay_ruled, overlay_effects, slice_replace, upsert_missing, missing_range, page_gaps, dup_keys, rule_violations, eav_pivot, first_by_order, min_with_override,
-    invert_multivalue, invert_pairs, greedy_convert, greedy_convert_whole, resolve_lookup, char_class_counts, slugify_url, padded_keys, page_range, half_expansion, topk_per_group, page_worst_first, fingerprint_diff, unused_rules, radical_check,
+    invert_multivalue, invert_pairs, greedy_convert, greedy_convert_whole, convert_dictionaries, dictionary_entries, resolve_lookup, char_class_counts, slugify_url, padded_keys, page_range, half_expansion, topk_per_group, page_worst_first, fingerprint_diff, unused_rules, radical_check,
 )}
 
 _STATUS = "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, CASE WHEN l_linestatus = 'F' AND l_tax = 0 THEN 'manual' WHEN round(1 - l_discount * 5, 4) >= CASE WHEN l_returnflag = 'N' THEN 0.65::DOUBLE ELSE 0.78::DOUBLE END THEN 'aligned' ELSE 'inferred' END AS status FROM lineitem"
 _Y = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, year(o_orderdate) AS y FROM orders"
 _WHEN = lambda d, c: "CASE " + " ".join(f"WHEN {c} = '{k}' THEN '{v}'" for k, v in d.items()) + " END"
 
+_GREEDY = f"""WITH RECURSIVE m AS (SELECT map([{', '.join(f"'{k}'" for k in CONVERT)}], [{', '.join(f"'{v}'" for v in CONVERT.values())}]) AS d), b AS (SELECT item_id, text AS t FROM benchmark),
+s AS (SELECT item_id, t, 1 AS p, '' AS o FROM b UNION ALL SELECT item_id, t, p + n, o || CASE WHEN v IS NULL THEN t[p:p] ELSE v END FROM (SELECT s.*,
+CASE WHEN p + 2 <= length(t) AND d[t[p:p+2]] IS NOT NULL THEN 3 WHEN p + 1 <= length(t) AND d[t[p:p+1]] IS NOT NULL THEN 2 ELSE 1 END AS n,
+CASE WHEN p + 2 <= length(t) AND d[t[p:p+2]] IS NOT NULL THEN d[t[p:p+2]] WHEN p + 1 <= length(t) AND d[t[p:p+1]] IS NOT NULL THEN d[t[p:p+1]] ELSE d[t[p:p]] END AS v FROM s, m WHERE p <= length(t)))
+SELECT item_id, o AS converted FROM s WHERE p > length(t)"""
+# what dictionary lines say: the last line of a key; read the other way the first key of a value, preferences before it
+_LEXICON = """w AS (SELECT DISTINCT unnest(regexp_split_to_array(text, '[^A-Za-z]+')) AS n FROM benchmark),
+l AS (SELECT 'characters' AS name, n, CASE WHEN n LIKE 'w%' THEN '# ' || n WHEN n LIKE 's%' THEN n ELSE n[1:2] || chr(9) || upper(n[3:4]) || ' ' || n[1:1] END AS line FROM w WHERE length(n) >= 5
+ UNION ALL SELECT 'phrases', n, n[1:4] || chr(9) || reverse(n[1:4]) FROM w WHERE length(n) >= 5 AND n < 'n'
+ UNION ALL SELECT 'variants', n, upper(n[3:4]) || chr(9) || n[3:4] || '+ ?' FROM w WHERE length(n) >= 5
+ UNION ALL SELECT 'reversed', n, CASE WHEN n LIKE 't%' THEN '# @reverse-prefer: ' || n[2:4] || ' <' || n[1:2] || '>' ELSE n[1:3] || chr(9) || n[2:3] || ' ' || n[2:4] END FROM w WHERE length(n) >= 5),
+x AS (SELECT name, n, split_part(line, chr(9), 1) AS k, string_split(split_part(line, chr(9), 2), ' ') AS v FROM l WHERE line NOT LIKE '#%' AND contains(line, chr(9))),
+f AS (SELECT v AS key, min_by(k, n) AS k FROM (SELECT n, k, unnest(v) AS v FROM x WHERE name = 'reversed') GROUP BY v),
+g AS (SELECT split_part(line, ' ', 3) AS key, max_by(split_part(line, ' ', 4), n) AS k FROM l WHERE line LIKE '# @reverse-prefer:%' GROUP BY 1),
+entries AS (SELECT name, k AS key, max_by(v[1], n) AS value FROM x WHERE name <> 'reversed' GROUP BY name, k
+ UNION ALL SELECT 'reversed', coalesce(f.key, g.key), coalesce(g.k, f.k) FROM f FULL JOIN g ON f.key = g.key)"""
 _BOXES = "SELECT l_orderkey AS p, l_linenumber::BIGINT AS ord, l_partkey % 40 AS x0, l_suppkey % 10 AS y0, l_partkey % 40 + l_quantity::BIGINT AS x1, l_suppkey % 10 + 20 AS y1, * FROM lineitem"
 _BOTH = "(greatest(least(r.x1, a.x1) - greatest(r.x0, a.x0), 0) * greatest(least(r.y1, a.y1) - greatest(r.y0, a.y0), 0))"
 _IOU = f"({_BOTH}::DOUBLE / greatest((r.x1 - r.x0) * (r.y1 - r.y0) + (a.x1 - a.x0) * (a.y1 - a.y0) - {_BOTH}, 1))"
@@ -315,11 +362,18 @@ UNION ALL SELECT 'segment_known', c_custkey, c_name FROM customer WHERE c_mktseg
     "min_with_override": "WITH w AS (SELECT CASE WHEN c_nationkey = 7 THEN 99 ELSE c_nationkey END AS nation, min(c_custkey) AS k FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey > 100 GROUP BY 1), l AS (SELECT c_nationkey AS nation, min(c_custkey) AS k FROM customer GROUP BY 1) SELECT coalesce(w.nation, l.nation)::BIGINT AS nation, coalesce(w.k, l.k) AS c_custkey FROM l FULL JOIN w ON l.nation = w.nation",
     "invert_multivalue": "SELECT value, count(DISTINCT p_partkey) AS n_keys, min(p_partkey) AS first_key FROM (SELECT p_partkey, unnest(string_split(p_type, ' ')) AS value FROM part) WHERE value <> '' GROUP BY value",
     "invert_pairs": "SELECT DISTINCT value, p_partkey FROM (SELECT p_partkey, unnest(string_split(p_type, ' ')) AS value FROM part) WHERE value <> ''",
-    "greedy_convert": f"""WITH RECURSIVE m AS (SELECT map([{', '.join(f"'{k}'" for k in CONVERT)}], [{', '.join(f"'{v}'" for v in CONVERT.values())}]) AS d), b AS (SELECT item_id, text[:120] AS t FROM benchmark),
-s AS (SELECT item_id, t, 1 AS p, '' AS o FROM b UNION ALL SELECT item_id, t, p + n, o || CASE WHEN v IS NULL THEN t[p:p] ELSE v END FROM (SELECT s.*,
-CASE WHEN p + 2 <= length(t) AND d[t[p:p+2]] IS NOT NULL THEN 3 WHEN p + 1 <= length(t) AND d[t[p:p+1]] IS NOT NULL THEN 2 ELSE 1 END AS n,
-CASE WHEN p + 2 <= length(t) AND d[t[p:p+2]] IS NOT NULL THEN d[t[p:p+2]] WHEN p + 1 <= length(t) AND d[t[p:p+1]] IS NOT NULL THEN d[t[p:p+1]] ELSE d[t[p:p]] END AS v FROM s, m WHERE p <= length(t)))
-SELECT item_id, o AS converted FROM s WHERE p > length(t)""",
+    "dictionary_entries": f"WITH RECURSIVE {_LEXICON} SELECT name, key, value FROM entries",
+    "convert_dictionaries": f"""WITH RECURSIVE {_LEXICON},
+e AS (SELECT 1 AS stage, key, value FROM entries WHERE name = 'phrases' UNION ALL SELECT 1, key, value FROM entries c WHERE name = 'characters' AND NOT EXISTS (FROM entries p WHERE p.name = 'phrases' AND p.key = c.key)
+ UNION ALL SELECT 2, key, value FROM entries WHERE name = 'variants' UNION ALL SELECT 3, key, value FROM entries WHERE name = 'reversed'),
+d AS MATERIALIZED (SELECT stage, map(list(key ORDER BY key), list(value ORDER BY key)) AS m FROM e GROUP BY stage),
+s AS (SELECT item_id, 1 AS stage, text AS t, 1 AS p, '' AS o FROM benchmark
+UNION ALL
+SELECT item_id, CASE WHEN p > length(t) THEN stage + 1 ELSE stage END, CASE WHEN p > length(t) THEN o ELSE t END, CASE WHEN p > length(t) THEN 1 ELSE p + n END, CASE WHEN p > length(t) THEN '' ELSE o || coalesce(m[t[p:p + n - 1]], t[p:p]) END
+FROM (SELECT s.*, m, coalesce(list_max(list_filter([1, 2, 3, 4], lambda n: p + n - 1 <= length(t) AND m[t[p:p + n - 1]] IS NOT NULL)), 1) AS n FROM s JOIN d USING (stage)))
+SELECT item_id, t AS converted FROM s WHERE stage = 4""",
+    "greedy_convert": _GREEDY,
+    "greedy_convert_whole": _GREEDY,
     "resolve_lookup": """WITH w AS (SELECT DISTINCT string_split(p_name, ' ')[-1] AS word FROM part UNION SELECT DISTINCT 'no' || string_split(p_name, ' ')[1] FROM part WHERE p_size = 1),
 x AS (SELECT DISTINCT p_partkey, unnest(string_split(p_name, ' ')) AS v FROM part)
 SELECT word, count(p_partkey) AS n, min(p_partkey) AS first_id, CASE count(p_partkey) WHEN 0 THEN 'none' WHEN 1 THEN 'one' ELSE 'many' END AS outcome FROM w LEFT JOIN x ON v = word GROUP BY word""",

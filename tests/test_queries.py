@@ -269,6 +269,56 @@ def test_conversion_of_whole_texts(spark):
     assert [r.c for r in lexicon.convert_broadcast(odd, "t", records.CONVERT, "c").orderBy("i").collect()] == [None, "", brute("thethin\U0001f642o" * 3000)]
 
 
+def chained(text, tables):
+    for table in tables:
+        longest, out, k = max(map(len, table), default=1), [], 0
+        while k < len(text):
+            n = next((n for n in range(min(longest, len(text) - k), 0, -1) if text[k : k + n] in table), 0)
+            out.append(table[text[k : k + n]] if n else text[k])
+            k += n or 1
+        text = "".join(out)
+    return text
+
+
+def test_tries_against_a_walk():
+    import random
+
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abé漢🙂") for _ in range(n))
+    for size in (0, 1, 5, 40, 400):
+        tables = [{word(rng.randrange(1, 6)): word(rng.randrange(4)) for _ in range(size)} for _ in range(3)]
+        texts = ["", *(word(rng.randrange(60)) for _ in range(30)), ""]
+        assert lexicon.convert_texts(texts, [lexicon.Trie(t) for t in tables]) == [chained(t, tables) for t in texts]
+    assert lexicon.convert_texts(["ab"], [lexicon.Trie({"": "x", "b": ""})]) == ["a"]
+
+
+def test_large_dictionary_and_whole_texts(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()} | {-1: None, -2: ""}
+    letters = sorted({c for t in texts.values() for c in t or ""})[:50]
+    keys = [a + b + c + d for a in letters[:20] for b in letters[:20] for c in letters for d in letters[:6]]
+    grams = {t[k : k + n] for t in texts.values() for n in (2, 5) for k in range(0, len(t or "") - n, 3)}
+    table = {k: k[::-1] + "!" for k in keys} | {g: g.upper() for g in grams}
+    assert len(table) > 100_000
+    df = spark.createDataFrame(list(texts.items()), "i long, t string")
+    entries = spark.createDataFrame(list(table.items()), "key string, value string")
+    got = {r.i: r.c for r in lexicon.convert_chain(df, "t", [entries, spark.createDataFrame([("!", "?")], "key string, value string")], "c").collect()}
+    assert got == {i: t if t is None else chained(t, [table, {"!": "?"}]) for i, t in texts.items()}
+
+
+def test_dictionary_lines(spark):
+    lines = ["# a comment\tx", "a\tA AA", "b\t", "ab\tZ", "a\tQ", "", "no tab", "c\tA  Q", "# @reverse-prefer: Z zz", "# @reverse-prefer: N new", "# @reverse-prefer: Z last"]
+    df = spark.createDataFrame(list(enumerate(lines)), "n long, line string")
+    assert {r.key: r.value for r in lexicon.dictionary(df).collect()} == {"a": "Q", "ab": "Z", "c": "A"}
+    back = lexicon.reversed_dictionary(df)
+    assert {r.key: r.value for r in back.collect()} == {"A": "a", "AA": "a", "Q": "a", "Z": "last", "N": "new"}
+    assert {r.key: r.value for r in lexicon.merged(lexicon.dictionary(df), back).collect()} == {"a": "Q", "ab": "Z", "c": "A", "A": "a", "AA": "a", "Q": "a", "Z": "last", "N": "new"}
+    text, none = spark.createDataFrame([("abc\U0001f642",)], "t string"), lexicon.dictionary(df.limit(0))
+    fallback = spark.createDataFrame([("a", "1"), ("bc", "2")], "key string, value string")
+    assert [r.x for r in lexicon.convert_chain(text, "t", [lexicon.dictionary(df)], "x", fallback).collect()] == ["ZA\U0001f642"]
+    assert [r.x for r in lexicon.convert_chain(text, "t", [none, none], "x", fallback).collect()] == ["1bc\U0001f642"]
+    assert [r.x for r in lexicon.convert_chain(text, "t", [none, none], "x").collect()] == ["abc\U0001f642"]
+
+
 def test_searches_meet_all_rows(spark, tmp_path):
     df = spark.createDataFrame([(50, "a", [1.0, 0.0, 0.0]), (100, None, [0.0, 1.0, 0.0]), (1, "a", [0.0, 0.1, 1.0]), (2, "b", [1.0, 0.1, 0.0]), (3, None, [0.1, 1.0, 0.0]), (4, "b", [1.0, 1.0, 1.0])], "vec_id long, label string, embedding array<double>")
     df.write.parquet(f"{tmp_path}/embeddings.parquet")
