@@ -1,8 +1,11 @@
 """Runs, intervals and boxes: islands, overlaps, greedy suppression."""
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessella import session
 from tessella.functions import scalars as S
 
 
@@ -40,6 +43,32 @@ def suppress(df: DataFrame, keys: list[str], start: str, end: str, score: str, i
     return groups.select(*keys, F.explode(kept).alias("x")).select(*keys, F.col("x.id").alias(ident), F.col("x.s").alias(start), F.col("x.e").alias(end), (-F.col("x.k")).alias(score))
 
 
+def suppress_rounds(df: DataFrame, keys: list[str], start: str, end: str, score: str, ident: str, limit: float) -> DataFrame:
+    """suppress() in rounds, for clusters of any size: in each one, the intervals that are the best of every bucket they reach stay,
+    and what overlaps one of them by more than `limit` of the shorter one goes.
+
+    Whatever overlaps an interval shares a bucket with it, so such an interval beats all that it overlaps and a fold would keep it; a bucket has
+    one best interval, so each interval meets one other a bucket and no pairs of a cluster are made. Buckets are as wide as intervals are on average, so that there are at
+    most some three rows an interval. The best of a key is always kept, so rounds come to an end; keys and ids are not null, and ids are unique in a key.
+    """
+    rank = F.struct((-F.col(score)).alias("k_"), F.col(ident).alias("id_"), F.col(start).alias("s_"), F.col(end).alias("e_"))
+    with session.scratch(df.sparkSession):
+        alive = session.cut(df.select(*keys, ident, start, end, score))
+        width = max(1, int(alive.agg(F.avg(F.col(end) - F.col(start))).first()[0] or 1))
+        reached = F.floor(F.greatest(F.col("b.e_") - 1, F.col("b.s_")) / width) - F.floor(F.col("b.s_") / width) + 1
+        kept = []
+        while not alive.isEmpty():
+            spread = bucketed(alive, start, end, width)
+            best = session.cut(spread.groupBy(*keys, "bucket").agg(F.min(rank).alias("b")))
+            stay = session.cut(best.groupBy(*keys, "b").agg(F.count("*").alias("n")).filter(F.col("n") == reached).select(*keys, "b.*"))
+            kept.append(stay)
+            near = bucketed(stay, "s_", "e_", width)  # at most one a bucket
+            met = spread.join(near, [*keys, "bucket"]).filter((F.col(ident) == F.col("id_")) | (S.overlap_shorter(F.col(start), F.col(end), F.col("s_"), F.col("e_")) > limit))
+            alive = session.cut(alive.join(met.select(*keys, ident).distinct(), [*keys, ident], "left_anti"))
+        out = functools.reduce(DataFrame.unionByName, kept) if kept else alive.select(*keys, (-F.col(score)).alias("k_"), F.col(ident).alias("id_"), F.col(start).alias("s_"), F.col(end).alias("e_"))
+        return out.select(*keys, F.col("id_").alias(ident), F.col("s_").alias(start), F.col("e_").alias(end), (-F.col("k_")).alias(score)).checkpoint(eager=True)
+
+
 def bucketed(df: DataFrame, start: str, end: str, width: int) -> DataFrame:
     """One row for each bucket of `width` that an interval reaches, which makes overlap joins equi-joins."""
     first, last = F.floor(F.col(start) / width), F.floor(F.greatest(F.col(end) - 1, F.col(start)) / width)

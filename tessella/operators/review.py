@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessella.operators import fit
+
 TRACED = ("aligned", "manual", "approved")
 #: What an event becomes: the corrections, and whether each is for the event's own target or its new one.
 CORRECTIONS = {"delete": [("not", "target")], "reject": [("reject", None)], "rebox": [("assign", "target")], "locate": [("assign", "target")], "reassign": [("not", "target"), ("assign", "new_target")]}
@@ -50,10 +52,38 @@ def forced_cells(pairs: DataFrame, keys: list[str]) -> DataFrame:
     return pairs.select(*keys, "i", "j").distinct().withColumn("gain", F.when(later("i") | later("j"), -5.0).otherwise(5.0))
 
 
-def page_of(df: DataFrame, order: list, size: int, page: int) -> DataFrame:
-    """Page `page` (from 1) of the rows in an order, clamped to the last one and the first."""
-    last = max(1, -(-df.count() // size))
-    return df.orderBy(*order).offset((min(max(page, 1), last) - 1) * size).limit(size)
+SMALL = 100_000  # rows that are sorted for a page
+
+
+def page_of(df: DataFrame, order: list[str], size: int, page: int, small: int = SMALL) -> DataFrame:
+    """Page `page` (from 1) of the rows in an order of columns, clamped to the last one and the first.
+
+    The columns are numbers without nulls. The values at the page's first and last row are found by exact selection; only rows between them are sorted, so a deep page costs no sort of what is
+    before it. Among the rows of one value the next column decides in the same way.
+    """
+    n = df.count()
+    first = (min(max(page, 1), max(1, -(-n // size))) - 1) * size
+    return _stretch(df, order, first, min(size, n - first), n, small)
+
+
+def _stretch(df: DataFrame, order: list[str], first: int, size: int, n: int, small: int) -> DataFrame:
+    """Rows first, ..., first + size - 1 of n rows in an order."""
+    if size <= 0:
+        return df.limit(0)
+    if not order:
+        return df.limit(size)  # rows that are level in every column
+    if n <= small:
+        return df.orderBy(*order).offset(first).limit(size)
+    lo, hi = fit.values_at(df, order[0], [first, first + size - 1])
+    key = F.col(order[0]).cast("double")
+    below, low, high = df.agg(F.count_if(key < lo), F.count_if(key == lo), F.count_if(key == hi)).first()
+    if lo == hi:
+        return _stretch(df.filter(key == lo), order[1:], first - below, size, low, small)
+    head = low - (first - below)  # rows of the least value that the page has
+    between = df.filter((key > lo) & (key < hi))  # all on the page
+    parts = [(lo, first - below, head, low), (hi, 0, size - head - between.count(), high)]
+    ends = [_stretch(df.filter(key == v), order[1:], f, k, m, small) for v, f, k, m in parts]
+    return between.unionByName(ends[0]).unionByName(ends[1]).orderBy(*order)
 
 
 def resolve_text(wanted: DataFrame, known: DataFrame, text: str, code: str, name: str, most: int = 8) -> DataFrame:

@@ -41,6 +41,11 @@ def nms_greedy(spark, sf_dir):
     return I.suppress(_spans(spark, sf_dir), ["user_id"], "s", "e", "value", "event_id", 0.25)
 
 
+def nms_rounds(spark, sf_dir):
+    """nms_greedy by rounds of local maxima."""
+    return I.suppress_rounds(_spans(spark, sf_dir), ["user_id"], "s", "e", "value", "event_id", 0.25)
+
+
 def interval_overlap_pairs(spark, sf_dir):
     from pyspark.sql import Window
 
@@ -155,7 +160,7 @@ def sandwich_promote(spark, sf_dir):
     return df.select("o_orderkey", F.when(F.col("promoted"), "aligned").when(F.col("o_orderstatus") == "O", "inferred").otherwise("anchored").alias("status"))
 
 
-QUERIES = {f.__name__: f for f in (islands_gap, islands_threshold, nms_greedy, interval_overlap_pairs, interval_iou_label, box_iou_pairs, run_pairs_bounded, align_score, align_forced, align_path, align_path_whole, align_anchored, align_anchored_path, marker_partition, neighbour_fill, sandwich_promote)}
+QUERIES = {f.__name__: f for f in (islands_gap, islands_threshold, nms_greedy, nms_rounds, interval_overlap_pairs, interval_iou_label, box_iou_pairs, run_pairs_bounded, align_score, align_forced, align_path, align_path_whole, align_anchored, align_anchored_path, marker_partition, neighbour_fill, sandwich_promote)}
 QUERIES |= {"align_score_whole": align_score, "align_forced_whole": align_forced}  # their earlier names, when the others took the first events only
 
 # the table of an alignment a row at a time, in twentieths: level with the steps to the right, a row is a running maximum; `gain` is of row i and column j
@@ -223,4 +228,5 @@ first_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OV
     "sandwich_promote": """WITH o AS (SELECT *, lag(o_orderstatus) OVER w AS p, lead(o_orderstatus) OVER w AS n FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey))
 SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' AND o_totalprice >= 50000 AND p <> 'O' AND n <> 'O' THEN 'aligned' WHEN o_orderstatus = 'O' THEN 'inferred' ELSE 'anchored' END AS status FROM o""",
 }
+ORACLE_SQL["nms_rounds"] = ORACLE_SQL["nms_greedy"]
 ORACLE_SQL |= {name: ORACLE_SQL[f"{name}_whole"] for name in ("align_score", "align_forced", "align_path")}

@@ -56,6 +56,21 @@ def grid_search(spark, sf_dir):
     return out.select("event_type", F.col("pitch").cast("long").alias("pitch"), "origin", "score")
 
 
+def straddle_repair(spark, sf_dir):
+    """Grids of eight columns fitted to hours, and what their repair makes of them. A type's strokes are heavy at midnight, and its text is at midday; of views
+    and errors the strokes of the text at midday are the heavier ones, so that the grid is half a column off; of errors the text is everywhere, so no grid is better."""
+    hour, kind = F.col("h") % 24, F.col("event_type")
+    off = kind.isin("view", "error")
+    near = lambda x: (F.least(F.abs(hour - x), 24 - F.abs(hour - x)) == 0)
+    stroke = F.when(near(0), F.when(off, 8).otherwise(20)).when(near(12), F.when(off, 20).otherwise(2)).otherwise(0)
+    ink = F.when(kind == "error", 2).when(hour.between(6, 17), 6).otherwise(1)
+    profile = _profile(spark, sf_dir).filter("h >= 0").select("event_type", "h", (F.col("n") * stroke).cast("long").alias("v"), (F.col("n") * ink).cast("long").alias("ink"))
+    strokes = profile.filter("v > 0")
+    grids = P.grid_search(strokes, ["event_type"], "h", "v", [23, 24, 25], 9).select("event_type", "origin", "pitch")
+    out = P.repair_straddle(strokes, profile, grids, ["event_type"], "h", "v", "ink", 8)
+    return out.select("event_type", S.r6(F.col("origin")).alias("origin"), S.r6(F.col("pitch")).alias("pitch"), S.r6(F.col("ratio")).alias("ratio"), "repaired")
+
+
 def band_ratio(spark, sf_dir):
     """Events in the inner half of the day over those in the outer half, which count as 1 at least."""
     inner = F.col("h") % 24
@@ -65,7 +80,9 @@ def band_ratio(spark, sf_dir):
 
 def group_statistics(spark, sf_dir):
     li = table(prepare(spark), sf_dir, "lineitem")
-    return li.groupBy("l_returnflag").agg(S.r6(F.median("l_quantity")).alias("mid"), S.r6(F.percentile("l_quantity", 0.9)).alias("p90"), F.round(F.stddev_pop("l_quantity"), 5).alias("sd"), F.count_if(F.col("l_quantity") > 25).alias("large"))
+    q = P.quantiles(li, ["l_returnflag"], "l_quantity", mid=0.5, p90=0.9)
+    rest = li.groupBy("l_returnflag").agg(F.round(F.stddev_pop("l_quantity"), 5).alias("sd"), F.count_if(F.col("l_quantity") > 25).alias("large"))
+    return rest.join(q, "l_returnflag").select("l_returnflag", S.r6(F.col("mid")).alias("mid"), S.r6(F.col("p90")).alias("p90"), "sd", "large")
 
 
 def largest_gap(spark, sf_dir):
@@ -80,11 +97,28 @@ def stacked_classifier(spark, sf_dir):
     return ml.stacked_scores(table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (outlier_guard, contrast_filter, smooth_cap, local_argmax, adjacent_pair, trimmed_regression, grid_search, band_ratio, group_statistics, largest_gap, stacked_classifier)}
+QUERIES = {f.__name__: f for f in (outlier_guard, contrast_filter, smooth_cap, local_argmax, adjacent_pair, trimmed_regression, grid_search, straddle_repair, band_ratio, group_statistics, largest_gap, stacked_classifier)}
 
 _FIT = "SELECT event_type, regr_slope(value, day) AS s, regr_intercept(value, day) AS i, count(*) AS n FROM {} GROUP BY event_type"
 
+_RATIO = """{name} AS (SELECT event_type, origin, pitch, coalesce(sum(ink) FILTER (mid), 0)::DOUBLE / greatest(coalesce(sum(ink) FILTER (NOT mid), 0), 1)::DOUBLE AS ratio FROM (
+ SELECT g.event_type, g.origin, g.pitch, p.ink, p.h >= trunc(a + (b - a) / 4) AND p.h < trunc(b - (b - a) / 4) AS mid
+ FROM (SELECT *, origin + pitch * k AS a, origin + pitch * (k + 1) AS b FROM {grids}, range(8) t(k)) g LEFT JOIN inked p ON p.event_type = g.event_type AND p.h >= trunc(g.a) AND p.h < trunc(g.b)) GROUP BY ALL)"""
+_STRADDLE = f"""WITH p AS ({_PROFILE}),
+inked AS (SELECT event_type, h, n * CASE WHEN h % 24 = 0 THEN CASE WHEN event_type IN ('view', 'error') THEN 8 ELSE 20 END WHEN h % 24 = 12 THEN CASE WHEN event_type IN ('view', 'error') THEN 20 ELSE 2 END ELSE 0 END AS v,
+ n * CASE WHEN event_type = 'error' THEN 2 WHEN h % 24 BETWEEN 6 AND 17 THEN 6 ELSE 1 END AS ink FROM p WHERE h >= 0),
+s AS (SELECT event_type, pitch, h - k * pitch AS origin, sum(v * CASE WHEN k IN (0, 8) THEN 2 ELSE 1 END) AS score FROM inked, (VALUES (23), (24), (25)) a(pitch), range(0, 9) b(k) WHERE v > 0 GROUP BY ALL),
+g0 AS (SELECT event_type, pitch::DOUBLE AS pitch, origin::DOUBLE AS origin FROM s QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY score DESC, pitch, origin) = 1),
+{_RATIO.format(name="own", grids="g0")},
+tried AS (SELECT event_type, side, (pitch * 10 - 15 + i) / 10 AS p2, origin + side * pitch - 10 + j AS o2, w.last FROM own JOIN (SELECT event_type, max(h) AS last FROM inked WHERE v > 0 GROUP BY 1) w USING (event_type), (VALUES (-0.5::DOUBLE), (0.5::DOUBLE)) a(side), range(30) b(i), range(20) c(j) WHERE ratio < 1.4::DOUBLE),
+scored AS (SELECT t.event_type, side, p2, o2, sum(coalesce(v, 0) * CASE WHEN k IN (0, 8) THEN 2 ELSE 1 END) AS score FROM (SELECT * FROM tried, range(9) d(k) WHERE o2 >= 0 AND o2 + p2 * 8 <= last) t LEFT JOIN (FROM inked WHERE v > 0) x ON x.event_type = t.event_type AND x.h = CAST(round_even(o2 + p2 * k, 0) AS BIGINT) GROUP BY ALL),
+g1 AS (SELECT event_type, o2 AS origin, p2 AS pitch FROM scored QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY score DESC, side, p2, o2) = 1),
+{_RATIO.format(name="other", grids="g1")},
+j AS (SELECT own.*, other.origin AS o2, other.pitch AS p2, other.ratio AS r2, coalesce(other.ratio > greatest(1.5::DOUBLE, own.ratio * 1.3::DOUBLE), false) AS repaired FROM own LEFT JOIN other USING (event_type))
+SELECT event_type, round(CASE WHEN repaired THEN o2 ELSE origin END, 6) AS origin, round(CASE WHEN repaired THEN p2 ELSE pitch END, 6) AS pitch, round(CASE WHEN repaired THEN r2 ELSE ratio END, 6) AS ratio, repaired FROM j"""
+
 ORACLE_SQL = {
+    "straddle_repair": _STRADDLE,
     "outlier_guard": "WITH m AS (SELECT l_returnflag, median(l_extendedprice) AS mid FROM lineitem GROUP BY 1) SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_returnflag, round(mid, 6) AS mid FROM lineitem JOIN m USING (l_returnflag) WHERE abs(l_extendedprice - mid) > 0.9::DOUBLE * mid",
     "contrast_filter": "WITH m AS (SELECT l_returnflag, quantile_cont(l_extendedprice, 0.02) AS p, median(l_extendedprice) AS mid FROM lineitem GROUP BY 1) SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_returnflag FROM lineitem JOIN m USING (l_returnflag) WHERE l_extendedprice <= p + (mid - p) * 0.62::DOUBLE",
     "smooth_cap": f"WITH p AS ({_PROFILE}), s AS (SELECT event_type, h, sum(n) OVER (PARTITION BY event_type ORDER BY h ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS t FROM p) SELECT event_type, h, round(least(t::DOUBLE, 0.75::DOUBLE * max(t) OVER (PARTITION BY event_type)), 6) AS smoothed FROM s",

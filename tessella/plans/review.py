@@ -227,7 +227,13 @@ def book_order(spark, sf_dir):
 
 def last_page(spark, sf_dir):
     """A page beyond the last one is the last one [S4]."""
-    return V.page_of(table(prepare(spark), sf_dir, "customer").select("c_custkey", "c_acctbal"), ["c_acctbal", "c_custkey"], 120, 10**6)
+    return V.page_of(table(prepare(spark), sf_dir, "customer").select("c_custkey", "c_acctbal"), ["c_acctbal", "c_custkey"], 120, 10**6, small=1000)
+
+
+def deep_page(spark, sf_dir):
+    """A page from the middle of the line items by quantity, of which every value has a fiftieth of all rows, then order and part [S4]."""
+    li = table(prepare(spark), sf_dir, "lineitem").select("l_quantity", "l_orderkey", "l_partkey")
+    return V.page_of(li, ["l_quantity", "l_orderkey", "l_partkey"], 120, 37, small=1000)
 
 
 def log_tails(spark, sf_dir):
@@ -254,7 +260,7 @@ def conversion_chain(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     review_rows, traced, approvals, review_counts, state_document, wanted_pages, rewritten_urls, touched_blocks, resolved_texts, common_flags, output_rows, exempt_rows, forced_gains, forbidden_similarity, between_neighbours, labels_above,
-    missing_candidates, overriding_files, feedback_corrections, dirty_blocks, adjusted_counts, ordered_lists, merged_entries, held_out_accuracy, cleaned_positives, half_neighbours, book_order, last_page, log_tails, character_classes, conversion_chain,
+    missing_candidates, overriding_files, feedback_corrections, dirty_blocks, adjusted_counts, ordered_lists, merged_entries, held_out_accuracy, cleaned_positives, half_neighbours, book_order, last_page, deep_page, log_tails, character_classes, conversion_chain,
 )}
 
 _STATUS = "st AS (SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, CASE WHEN l_linestatus = 'F' AND l_tax = 0 THEN 'manual' WHEN round(1 - l_discount * 5, 4) >= CASE WHEN l_returnflag = 'N' THEN 0.65::DOUBLE ELSE 0.78::DOUBLE END THEN 'aligned' ELSE 'inferred' END AS status FROM lineitem)"
@@ -297,6 +303,7 @@ SELECT coalesce(l.nation, r.nation) AS nation, first, last, coalesce(n_name, las
 SELECT doc_id, toxic, round(share, 6) AS share FROM s WHERE toxic <> 1 OR share >= 0.1::DOUBLE""",
     "half_neighbours": 'SELECT o_orderkey, coalesce(lag(o_orderkey) OVER w, o_orderkey) AS back, coalesce(lead(o_orderkey) OVER w, o_orderkey) AS "on" FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)',
     "book_order": "SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE o_orderpriority WHEN '5-LOW' THEN 0 WHEN '1-URGENT' THEN 1 WHEN '3-MEDIUM' THEN 2 ELSE 99 END, o_orderkey) AS place FROM orders",
+    "deep_page": "SELECT l_quantity, l_orderkey, l_partkey FROM lineitem ORDER BY l_quantity, l_orderkey, l_partkey LIMIT 120 OFFSET 4320",
     "last_page": "SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal, c_custkey LIMIT 120 OFFSET (SELECT (greatest(count(*), 1) - 1) // 120 * 120 FROM customer)",
     "log_tails": "SELECT doc_id, right(coalesce(text, ''), 80) AS tail FROM documents",
     "character_classes": "WITH c AS (SELECT item_id, unnest(string_split(text, '')) AS ch FROM benchmark), k AS (SELECT item_id, CASE WHEN regexp_full_match(ch, '[a-m]') THEN 1 WHEN regexp_full_match(ch, '[n-z]') THEN 2 WHEN regexp_full_match(ch, '[0-9]') THEN 3 ELSE 4 END AS k FROM c) SELECT item_id::BIGINT AS item_id, count_if(k = 1)::BIGINT AS covered, count_if(k = 2)::BIGINT AS uncovered, count_if(k = 3)::BIGINT AS passed, count_if(k = 4)::BIGINT AS other FROM k GROUP BY item_id",
