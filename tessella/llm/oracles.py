@@ -3,7 +3,7 @@
 op6 is rounded to six digits on both sides, as sums of logarithms depend on their order in the last ones.
 """
 
-from tessella.llm import fingerprints, lm_scoring, quality_rules
+from tessella.llm import fingerprints, lm_scoring
 
 WORD = r"[^\x20\x09-\x0D]+"
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -73,19 +73,21 @@ SELECT doc_id, held_out, count(*) AS n_tokens, CAST(count_if(a > 0) AS BIGINT) A
 
 
 def _op8() -> str:
-    rates, out = quality_rules.RATES, []
+    """Fences 6 quartile distances beyond the quartiles of a language and source with 200 documents, else of a language with as many, else of all; the numbers stand here on their own."""
     value = {
         "symbol_rate": "n_symbols / w", "capital_rate": "n_capitals / greatest(word_chars, 1)", "line_rate": "n_dup_lines / greatest(n_lines, 1)",
-        "repeat_rate": "n_repeat_words / w", "same_rate": "n_same_words / w", "word_length": "word_chars / w",
+        "same_rate": "n_same_words / w", "word_length": "word_chars / w",
     }
-    quart = ", ".join(f"quantile_disc({k}, {q}) AS {k}_{n}" for k in rates for q, n in ((0.25, "a"), (0.75, "b")))
+    least = {"symbol_rate": "3 / greatest({n_words}, 1)", "capital_rate": "4 / greatest({word_chars}, 1)", "line_rate": "0.5 / greatest({n_lines}, 1)", "same_rate": "2 / greatest({n_words}, 1)", "word_length": "0.05::DOUBLE * {word_length}"}
+    quart = ", ".join([f"quantile_disc({k}, {q}) AS {k}_{n}" for k in value for q, n in ((0.25, "a"), (0.75, "b"))] + [f"quantile_disc({k}::DOUBLE, 0.5) AS {k}_m" for k in ("n_words", "word_chars", "n_lines", "word_length")])
     levels = ("g", "count(*) AS n, lang, source", "lang, source"), ("l", "count(*) AS n, lang", "lang"), ("o", "count(*) AS n", "")
     ctes = ",\n".join(f"{t} AS (SELECT {c}, {quart} FROM fit" + (f" GROUP BY {by}" if by else "") + ")" for t, c, by in levels)
-    for k, (spread, below) in rates.items():
-        a, b = (f"CASE WHEN g.n >= {quality_rules.LEAST} THEN g.{k}_{n} WHEN l.n >= {quality_rules.LEAST} THEN l.{k}_{n} ELSE o.{k}_{n} END" for n in "ab")
-        width = f"greatest(({b}) - ({a}), {spread}::DOUBLE)"
-        out.append(f"coalesce(r.{k} <= ({b}) + {quality_rules.REACH}::DOUBLE * {width}" + (f" AND r.{k} >= ({a}) - {quality_rules.REACH}::DOUBLE * {width}" if below else "") + ", true)")
-    n = quality_rules.WINDOW
+    own = lambda k, n: f"CASE WHEN g.n >= 200 THEN g.{k}_{n} WHEN l.n >= 200 THEN l.{k}_{n} ELSE o.{k}_{n} END"
+    out = []
+    for k, unit in least.items():
+        width = f"greatest(({own(k, 'b')}) - ({own(k, 'a')}), {unit.format(**{c: '(' + own(c, 'm') + ')' for c in ('n_words', 'word_chars', 'n_lines', 'word_length')})})"
+        out.append(f"coalesce(r.{k} <= ({own(k, 'b')}) + 6::DOUBLE * {width}" + (f" AND r.{k} >= ({own(k, 'a')}) - 6::DOUBLE * {width}" if k == "word_length" else "") + ", true)")
+    n = 8
     return f"""WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, regexp_extract_all(t, '{WORD}') AS ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS ls FROM d),
 m AS (SELECT *, len(ws) AS n_words, list_transform(range(1, len(ws) - {n} + 2), lambda i: array_to_string(ws[i:i + {n - 1}], ' ')) AS win FROM w),
@@ -93,7 +95,7 @@ wins AS (SELECT doc_id, unnest(win) AS g, unnest(range(1, len(win) + 1)) AS i FR
 again AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM wins) WHERE c > 1),
 rep AS (SELECT doc_id, sum(least({n}, coalesce(nxt - i, {n}))) AS n FROM (SELECT *, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM again) GROUP BY doc_id),
 c AS (SELECT m.doc_id, lang, source, n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
- length(t) - length(translate(t, '{quality_rules.SYMBOLS}', '')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+ length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
  length(t) - length(regexp_replace(t, '\\p{{Lu}}', '', 'g')) AS n_capitals, len(ls) AS n_lines, len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) AS n_same_words
  FROM m LEFT JOIN rep ON rep.doc_id = m.doc_id),
 f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, greatest(n_words, 1) AS w FROM c),

@@ -1,15 +1,15 @@
 """Quality rules whose thresholds come from the corpus, with DataFrame functions only.
 
-Five rates of a document (symbols, capitals, repeated lines, repeated words, words equal to the one before) and its mean word length
-are compared with fences around the quartiles of its language and source. Quartiles come from mergeable
+Four rates of a document (symbols, capitals, repeated lines, words equal to the one before) and its mean word length
+are compared with fences around the quartiles of its language and source. Quantiles come from mergeable
 KLL sketches: one a (language, source), merged into one a language and one of all; a group of fewer than
 `least` documents takes its language's fences, a language of fewer those of all. The fences then meet the
 documents in a join, and what lies outside goes: the fences are broadcast if their groups are counted to be few, else
 dealt with the documents by group and salt, so that a large group has no task of its own.
 
-A fence is `reach` quartile distances beyond the quartile. Where almost all documents have the same rate
-the distance is about 0; it is then taken as `spread` of the rate's unit, so that a single symbol in a
-group of documents without any is no outlier.
+A fence is `reach` quartile distances beyond the quartile. Where almost all documents of a group have the same rate, as in groups of copies or of
+texts without any symbol, that distance says nothing; then the least distance is what a few more symbols, capitals or words make in the group's
+typical text, so that it too comes from a quantile of the group: from the median of its words, signs or lines, or of its word length. No fence is a constant.
 
 Defined results: a null text has no words; null languages and sources are groups of their own; repeated
 rows count each; an empty table gives no rows; documents below the base rules are not kept and do not
@@ -25,10 +25,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
-#: rate: (least distance between quartiles, fence below as well)
-RATES = {"symbol_rate": (0.05, False), "capital_rate": (0.05, False), "line_rate": (0.1, False), "repeat_rate": (0.1, False), "same_rate": (0.05, False), "word_length": (1.0, True)}
+#: rate: (how many of its events in a typical text are the least distance between quartiles, the size of a text that they are divided by, fence below as well); a word length by a part of the typical one
+RATES = {"symbol_rate": (3.0, "n_words", False), "capital_rate": (4.0, "word_chars", False), "line_rate": (0.5, "n_lines", False), "same_rate": (2.0, "n_words", False), "word_length": (0.05, None, True)}
+SIZES = ("n_words", "word_chars", "n_lines")
 SKETCH_K = 1024
-REACH, LEAST = 4.0, 200
+REACH, LEAST = 6.0, 200
 GROUPS = 20_000  # groups whose fences are broadcast (some 200 bytes each)
 SALTS = 32
 
@@ -72,7 +73,6 @@ def rates() -> dict[str, Column]:
         "symbol_rate": F.col("n_symbols") / words,
         "capital_rate": F.col("n_capitals") / F.greatest(F.col("word_chars"), F.lit(1)),
         "line_rate": F.col("n_dup_lines") / lines,
-        "repeat_rate": F.col("n_repeat_words") / words,
         "same_rate": F.col("n_same_words") / words,
         "word_length": F.col("word_chars") / words,
     }
@@ -80,22 +80,28 @@ def rates() -> dict[str, Column]:
 
 def fences(measured: DataFrame, reach: float = REACH, least: int = LEAST) -> DataFrame:
     """lang, source and {rate}_low, {rate}_high for every group of measured(lang, source, n_words, ...)."""
-    fit = measured.filter(~base_failed()).select("lang", "source", *[c.alias(k) for k, c in rates().items()])
-    by_group = session.cut(fit.groupBy("lang", "source").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(k, SKETCH_K).alias(k) for k in RATES]))
-    merged = lambda df: df.agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(k, SKETCH_K).alias(k) for k in RATES])
+    drawn = (*RATES, *SIZES)
+    fit = measured.filter(~base_failed()).select("lang", "source", *[c.alias(k) for k, c in rates().items()], *[F.col(c).cast("double").alias(c) for c in SIZES])
+    by_group = session.cut(fit.groupBy("lang", "source").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(k, SKETCH_K).alias(k) for k in drawn]))
+    merged = lambda df: df.agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(k, SKETCH_K).alias(k) for k in drawn])
     by_lang = merged(by_group.groupBy("lang"))
     whole = merged(by_group.groupBy())
     named = lambda df, p: df.select(*[F.col(c).alias(c if c in ("lang", "source") else f"{p}{c}") for c in df.columns])
     all_groups = measured.select("lang", "source").distinct()
     groups = all_groups.alias("m").join(named(by_group, "g_").alias("g"), F.col("m.lang").eqNullSafe(F.col("g.lang")) & F.col("m.source").eqNullSafe(F.col("g.source")), "left")
-    groups = groups.select("m.lang", "m.source", *[f"g_{c}" for c in ("n", *RATES)])
-    groups = groups.alias("m").join(named(by_lang, "l_").alias("l"), F.col("m.lang").eqNullSafe(F.col("l.lang")), "left").select("m.*", *[f"l_{c}" for c in ("n", *RATES)])
+    groups = groups.select("m.lang", "m.source", *[f"g_{c}" for c in ("n", *drawn)])
+    groups = groups.alias("m").join(named(by_lang, "l_").alias("l"), F.col("m.lang").eqNullSafe(F.col("l.lang")), "left").select("m.*", *[f"l_{c}" for c in ("n", *drawn)])
     groups = groups.join(F.broadcast(named(whole, "a_")))  # one row
     out = []
-    for k, (spread, below) in RATES.items():
+
+    def quantile(k, q):
         sketch = F.when(F.col("g_n") >= least, F.col(f"g_{k}")).when(F.col("l_n") >= least, F.col(f"l_{k}")).otherwise(F.col(f"a_{k}"))
-        low, high = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.25, 0.75))
-        width = F.greatest(high - low, F.lit(spread))
+        return F.kll_sketch_get_quantile_double(sketch, F.lit(q))
+
+    for k, (events, size, below) in RATES.items():
+        low, high = quantile(k, 0.25), quantile(k, 0.75)
+        typical = events / F.greatest(quantile(size, 0.5), F.lit(1.0)) if size else events * quantile(k, 0.5)
+        width = F.greatest(high - low, typical)
         out += [(low - reach * width).alias(f"{k}_low") if below else F.lit(-1.0).alias(f"{k}_low"), (high + reach * width).alias(f"{k}_high")]
     return groups.filter("a_n > 0").select("lang", "source", *out)
 

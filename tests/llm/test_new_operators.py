@@ -11,7 +11,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from tessella.llm import fill_in_middle, personal_data, queries, token_alignment
+from tessella.llm import fill_in_middle, personal_data, quality_rules, queries, token_alignment
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = "doc_id long, text string, found string, pairs string, n long, text_ string, plain_ int"
@@ -236,3 +236,33 @@ def test_bits_by_brute_force():
     for form in ("plain", "psm", "spm"):
         for data in (b"<x<P", b"<<S", b"M>", "é".encode()):
             assert all(fill_in_middle.restore(fill_in_middle.arrange(data, form, a, b), form) == data for a in range(len(data) + 1) for b in range(a, len(data) + 1) if not any(m in data for m in (b"<P>", b"<S>", b"<M>")))
+
+
+# fences of the quality rules
+
+
+def test_fences_move_with_their_group(spark):
+    """Symbols that are usual in one source are outliers in another one, and so are long words; a group of equal texts keeps its small differences."""
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    prose = lambda n, long=5, signs=0: " ".join(word(rng.randrange(long - 2, long + 3)) + ("#" if rng.random() < signs else "") for _ in range(n))
+    same = prose(150)
+    rows = [(s, t) for _ in range(220) for s, t in (("plain", prose(150)), ("marked", prose(150, signs=0.2)), ("long", prose(150, long=11).replace(" ", "\n", 6)), ("copies", same))]
+    probes = {"plain": [prose(150, signs=0.2), prose(150, long=11), prose(150) + " #"], "marked": [prose(150, signs=0.2), prose(150, signs=0.95)], "long": [prose(150, long=11), prose(150)], "copies": [same + " abc def", same[:-3], prose(150, signs=0.5)]}
+    rows += [(s, t) for s, ts in probes.items() for t in ts]
+    df = spark.createDataFrame([(i, t, "en", s) for i, (s, t) in enumerate(rows)], "doc_id long, text string, lang string, source string")
+    out = {r.doc_id: r.kept for r in quality_rules.judge(df).collect()}
+    verdicts = [out[i] for i in range(880, len(rows))]
+    assert verdicts == [False, False, True, True, False, True, False, True, True, False]
+    assert sum(out[i] for i in range(880)) >= 0.99 * 880
+    limits = {r.source: r for r in quality_rules.fences(quality_rules.counts(df, ["lang", "source"])).collect()}
+    for k in quality_rules.RATES:
+        assert len({round(r[f"{k}_high"], 9) for r in limits.values()}) > 1, k
+
+
+def test_fences_keep_good_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
+    out = [(labels[r.doc_id], r.kept) for r in quality_rules.judge(docs).collect() if not r.base_failed and labels.get(r.doc_id) is not None]
+    good, poor = ([kept for q, kept in out if q == x] for x in (1, 0))
+    assert sum(good) >= 0.995 * len(good) and sum(poor) <= 0.02 * len(poor)
