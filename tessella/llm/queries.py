@@ -59,7 +59,7 @@ def op8_quality_rules(spark, sf_dir):
 
 
 def op9_best_fit_packing(spark, sf_dir):
-    # the .json file holds the same vocabulary and merges as these ranks, so the ids are the same
+    # the .json file holds the same vocabulary and merges as these ranks; its special token is packing's affair
     return packing.pack(table(prepare(spark), sf_dir, "documents"), RANKS)
 
 
