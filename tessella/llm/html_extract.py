@@ -8,7 +8,8 @@ are paragraphs of running text, and the headings before it; an article around it
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and readers' comments are left
 out by their elements, roles and class or id words; lists and boxes that are mostly links are left out of what is kept.
 Words that are about content as often as not (tools, related, search) lower an element's points only; it is left out if it is
-not running text: for the most part blocks of a sentence's length outside of links.
+not running text: for the most part blocks of a sentence's length outside of links. So are forms, which some sites put around a whole page,
+and parts of an article with a name that only begins like a menu's or a notice's (notice-period).
 
 Defined results: a null or empty page, or one without text, gives an empty string; markup may be broken off
 anywhere; unclosed elements end where HTML ends them; beyond a depth of DEEPEST elements are siblings; white space (any sign of it, <br> too) inside a
@@ -27,9 +28,10 @@ from tessella.llm import textops as T
 #: Comments, then declarations, then tags; quotes count after an equals sign only, and nothing is tried twice.
 TOKEN = re.compile(r"""<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]|=\s*+"[^"]*+"?|=\s*+'[^']*+'?|=)*+)>?""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden|style)\s*+=\s*+("[^"]*+"?|'[^']*+'?|[^\s>]++)""", re.I)
+QUOTED = re.compile(r""""[^"]*"?|'[^']*'?""")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noframes xmp iframe noembed".split())
-DROPPED = frozenset("script style textarea title noframes iframe noembed noscript template svg math canvas object audio video map head nav footer aside form button select option input menu dialog fieldset label datalist".split())
+DROPPED = frozenset("script style textarea title noframes iframe noembed noscript template svg math canvas object audio video map head nav footer aside button select option input menu dialog fieldset label datalist".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split())
 ENDS_P = BLOCKS - frozenset("body html td th tr tbody thead tfoot caption option optgroup legend".split())
 CONTAINERS = frozenset("article main section div body html td blockquote center details root".split())
@@ -57,20 +59,24 @@ UNLIKELY = frozenset("""ad ads advert adverts advertisement advertising adbox ad
 DOUBTFUL = frozenset("feedback paging rail recommend recommended recommendations related remark respond rss search share sharing skip social supplemental tags teaser tools".split())
 LIKELY = frozenset("article articlebody body content entry hentry main page post story text".split())
 ROLES = frozenset("navigation banner complementary contentinfo search form dialog alert menu menubar toolbar".split())
+#: Words that say where or what an element is and not what it is about: beside a word of UNLIKELY they clear nothing.
+NEUTRAL = frozenset("""area bar block bottom box col column container content desktop element field footer form frame group header heading holder inline inner item items label large left
+    line link links list main message mini mobile outer page panel part post row section site slot small sticky sub text title top right unit view wide wrap wrapper zone""".split())
+PROSE = 400  # characters of running text from which on a form is a page's frame
 SENTENCE, RUNNING = 80, 0.5  # characters of a block of running text; its share of an element's text that clears it of doubt
 DEEPEST = 512  # elements inside one another; deeper ones are taken as siblings, as browsers do
 SPLIT = re.compile(r"(?:\b|_)(?:has|with|without|no)[-_][a-zA-Z0-9]+|[^a-zA-Z0-9]+|(?<=[a-z0-9])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "depth", "dropped", "likely", "points", "text", "linked", "first", "last", "kids", "links", "doubt", "running")
+    __slots__ = ("tag", "parent", "depth", "dropped", "likely", "points", "text", "linked", "first", "last", "kids", "links", "doubt", "running", "need")
 
     def __init__(self, tag: str, parent, first: int):
         self.tag, self.parent, self.first, self.last = tag, parent, first, first
         self.depth = parent.depth + 1 if parent else 0
         self.dropped = bool(parent and parent.dropped)
         self.likely, self.points, self.text, self.linked, self.links = 0, 0.0, 0, 0, 0
-        self.doubt, self.running = False, 0
+        self.doubt, self.running, self.need = False, 0, 0
         self.kids: list = []
 
 
@@ -83,10 +89,12 @@ def _judge(node: Node, raw: str) -> None:
     if tag == "header":
         # an article's own header has its title: only headings of it are read (see parse)
         node.dropped = not _inside(node, ("article", "main"))
+    if tag == "form":  # around a whole page on some sites, else a few fields
+        node.doubt, node.need = True, PROSE
     node.likely = 25 if tag in ("article", "main") else 5 if tag in ("div", "section", "td", "blockquote") else 0
     if not raw or tag in ("html", "body"):
         return
-    words = set()
+    words, unlikely = set(), set()
     for name, value in ATTRIBUTE.findall(raw):
         name, value = name.lower(), value.strip("\"' ")
         if name == "role":
@@ -100,14 +108,22 @@ def _judge(node: Node, raw: str) -> None:
             elif value.lower() == "comment":
                 node.dropped = True
         elif name in ("class", "id"):
-            words.update(w.lower() for w in SPLIT.split(value))
+            for name_ in value.split():
+                own = {w.lower() for w in SPLIT.split(name_) if w}
+                words |= own
+                if own & UNLIKELY:
+                    unlikely.add(all(w in UNLIKELY or w in NEUTRAL or w.isdigit() for w in own))
         elif name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             node.dropped = True
-    if re.search(r"\shidden(?=[\s/>]|\Z)", raw, re.I):
+    if "hidden" in raw.lower() and re.search(r"(?:\s|^)hidden(?=[\s/>=]|\Z)", QUOTED.sub('""', raw), re.I):
         node.dropped = True
-    if words & UNLIKELY and tag not in ("article", "main") or words & {"comment", "comments", "reply", "replies"}:
+    # inside an article, "notice-period" and the like may be what it is about: then running text decides
+    about = unlikely == {False} and _inside(node, ("article", "main"))
+    if unlikely and not about and tag not in ("article", "main") or words & {"comment", "comments", "reply", "replies"}:
         # "post-header" and the like name parts of an article; what lies in links or notices is still found by density
         node.dropped = True
+    elif about and tag not in ("article", "main"):
+        node.doubt = True
     elif words & DOUBTFUL and tag not in ("article", "main"):
         node.doubt, node.likely = True, -25
     elif words & LIKELY:
@@ -283,7 +299,7 @@ def _cleared(blocks: list) -> list[bool]:
         for y in around:
             size[id(y)] = size.get(id(y), 0) + len(text)
             y.running += len(text) - linked if len(text) >= SENTENCE and linked < 0.25 * len(text) else 0
-    return [all(y.running >= RUNNING * size[id(y)] for y in around) for around in doubtful]
+    return [all(y.running >= max(RUNNING * size[id(y)], y.need) for y in around) for around in doubtful]
 
 
 def extract(page: str | None) -> str:

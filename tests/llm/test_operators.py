@@ -36,6 +36,17 @@ def test_html():
     assert x("<nav>m</nav><div id=sidebar><p>s, s</p></div><article><h1>T &amp; U</h1><p>One <b>two<br>three<p>four</p><div class='comments'><p>c</p></div></article><footer>f</footer>") == "T & U\n\nOne two three\n\nfour"
     assert x("<script>var p='</p><p>no'</script><p>yes") == "yes"
     assert x("<body class='has-sidebar'><form>q</form><aside>a</aside><div class=notice>n</div><div><p>Long text, with commas, and more of them, to count.</p></div>") == "Long text, with commas, and more of them, to count."
+    prose = "<p>" + "Running text of a sentence or two, with commas, that goes on. " * 4 + "</p>"
+    plain = prose[3:-4].strip()
+    assert x(f"<body><form method=post>{prose * 3}<input name=q><label>q</label></form></body>") == "\n\n".join([plain] * 3)
+    assert x(f"<div>{prose}</div><form><p>Your name, please, so that we can write to you about it.</p><input></form>") == plain
+    assert x(f"<section title='the hidden valley'>{prose}</section><div hidden>{prose}</div><div class=a hidden=''>{prose}</div>") == plain
+    assert x(f"<div data-t=\"a hidden b\">{prose}</div>") == plain
+    for name in ("id='notice-period'", "class='subscription-model'", "id=promotion-rules", "class='menu-history'"):
+        assert x(f"<article>{prose}<div {name}>{prose}</div></article>") == f"{plain}\n\n{plain}"
+        assert x(f"<article>{prose}<div {name}><p>Subscribe!</p><a href=x>All of them</a></div></article>") == plain
+    for name in ("class=notice", "class='cookie-notice top'", "class=menu-bar", "id=newsletter_signup", "class='side-menu sidebar'"):
+        assert x(f"<article>{prose}<div {name}>{prose}</div></article>") == plain
     deep = "<div>" * 3000 + "text"
     assert x(deep) == "text"
 
@@ -124,7 +135,11 @@ def test_packing(docs, none):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
+    special = ["a<|endoftext|>b", "<|endoftext|><|endoftext|>", "a <|endoftext|> b", "<|endoftext|", "", None, "x " * 3000 + "<|endoftext|>"]
+    flat, counts = packing.encode(special, queries.RANKS)
+    ends = counts.cumsum()
+    assert [flat[e - c : e].tolist() for c, e in zip(counts, ends)] == [t.encode(x or "", add_special_tokens=False).ids for x in special]
+    assert flat[: counts[0]].tolist() == [64, 50256, 65]
     whole = {r.doc_id: t.encode(r.text or "", add_special_tokens=False).ids + [2] for r in docs.collect()}
     rows = packing.pack(docs, queries.RANKS).collect()
     seen = collections.defaultdict(list)
