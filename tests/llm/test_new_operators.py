@@ -247,7 +247,7 @@ def test_fences_move_with_their_group(spark):
     word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
     prose = lambda n, long=5, signs=0: " ".join(word(rng.randrange(long - 2, long + 3)) + ("#" if rng.random() < signs else "") for _ in range(n))
     same = prose(150)
-    rows = [(s, t) for _ in range(220) for s, t in (("plain", prose(150)), ("marked", prose(150, signs=0.2)), ("long", prose(150, long=11).replace(" ", "\n", 6)), ("copies", same))]
+    rows = [(s, t) for _ in range(220) for s, t in (("plain", prose(150)), ("marked", prose(150, signs=0.2)), ("long", prose(110, long=11).replace(" ", "\n", 6)), ("copies", same))]
     probes = {"plain": [prose(150, signs=0.2), prose(150, long=11), prose(150) + " #"], "marked": [prose(150, signs=0.2), prose(150, signs=0.95)], "long": [prose(150, long=11), prose(150)], "copies": [same + " abc def", same[:-3], prose(150, signs=0.5)]}
     rows += [(s, t) for s, ts in probes.items() for t in ts]
     df = spark.createDataFrame([(i, t, "en", s) for i, (s, t) in enumerate(rows)], "doc_id long, text string, lang string, source string")
