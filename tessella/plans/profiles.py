@@ -97,7 +97,12 @@ def stacked_classifier(spark, sf_dir):
     return ml.stacked_scores(table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (outlier_guard, contrast_filter, smooth_cap, local_argmax, adjacent_pair, trimmed_regression, grid_search, straddle_repair, band_ratio, group_statistics, largest_gap, stacked_classifier)}
+def cleaned_classifier(spark, sf_dir):
+    """The stacked classifier without the positives that models of other folds reject."""
+    return ml.cleaned_scores(table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (outlier_guard, contrast_filter, smooth_cap, local_argmax, adjacent_pair, trimmed_regression, grid_search, straddle_repair, band_ratio, group_statistics, largest_gap, stacked_classifier, cleaned_classifier)}
 
 _FIT = "SELECT event_type, regr_slope(value, day) AS s, regr_intercept(value, day) AS i, count(*) AS n FROM {} GROUP BY event_type"
 

@@ -436,3 +436,42 @@ def test_stacked_classifier(spark):
     assert {r.doc_id: r.quality for r in got} == labels
     assert all(0 <= r.score <= 1 and 0 <= r.oof <= 1 for r in got)
     assert sum((r.score >= 0.5) == (r.quality == 1) for r in got) >= 0.8 * len(got)
+
+
+def test_cleaned_classifier_drops_planted_labels(spark):
+    import random
+
+    from pyspark.ml.linalg import Vectors
+
+    from tessella import session
+    from tessella.operators import ml
+
+    rng = random.Random(3)
+    rows_, wrong = [], set()
+    for i in range(600):
+        true = i % 2
+        y = 1 if true == 0 and rng.random() < 0.08 else true  # negatives that are labelled as positives
+        wrong |= {i} if y != true else set()
+        rows_.append((i, float(y), i % 7 % 5, Vectors.dense([rng.gauss(true, 0.7), rng.gauss(-true, 0.7), rng.gauss(0, 1)]), rng.gauss(2 * true, 0.7)))
+    df = spark.createDataFrame(rows_, ["id", "y", "fold", "x", "extra"])
+    with session.scratch(spark):
+        df = session.cut(df)
+        model, judged = ml.fit_clean(df, ["extra"])
+        dropped = {r.id for r in judged.filter("not kept").collect()}
+        assert all(r.y == 1 for r in judged.filter("not kept").collect())
+        assert len(dropped & wrong) >= 0.8 * len(wrong) and len(dropped - wrong) <= 0.05 * 600
+        assert model.held.count() == 600 - len(dropped) and model.accuracy() > ml.fit_stacked(df, ["extra"]).accuracy()
+        # a margin out of fold is that of a model without the fold
+        part = ml.with_margin(ml.linear(df.filter("fold != 2")), df.filter("fold = 2")).collect()
+        held = {r.id: r.margin for r in judged.collect()}
+        assert all(abs(held[r.id] - r.margin) < 1e-6 for r in part)
+        scores = {r.id: r.score for r in model.score(df).collect()}
+    assert sum((scores[i] >= 0.5) == (i % 2 == 1) for i in range(600)) >= 0.95 * 600
+
+
+def test_cleaned_classifier_of_documents(spark):
+    got = registry.QUERIES["cleaned_classifier"](spark, SF).collect()
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    assert {r.doc_id: r.quality for r in got} == labels
+    assert all(r.kept or (r.quality == 1 and r.oof < 0.3) for r in got) and all(not r.kept for r in got if r.quality == 1 and r.oof < 0.3)
+    assert all(0 <= r.score <= 1 and 0 <= r.oof <= 1 for r in got)
