@@ -1,12 +1,15 @@
 """Logs, overlays, dictionaries and work queues: queries over the star schema's tables."""
 
 import functools
+import uuid
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessella import session
 from tessella.functions import scalars as S
 from tessella.operators import lexicon as L
+from tessella.operators import logs as G
 from tessella.operators import overlay as O
 from tessella.session import prepare, table
 
@@ -89,6 +92,35 @@ def slice_replace(spark, sf_dir):
     return O.replace_slice(o, new, ["o_custkey", "y"]).select("o_orderkey", "o_custkey", "y", S.r6(F.col("o_totalprice")).alias("price"))
 
 
+def slice_sink(spark, sf_dir):
+    """A table of orders by year in a folder, of which a second write replaces the odd years: their finished orders, repriced, read from the folder itself."""
+    folder = f"{session.checkpoint_dir(spark)}/sink-{uuid.uuid4().hex}"
+    try:
+        o = _orders(spark, sf_dir).select("o_orderkey", "o_orderstatus", F.col("o_totalprice").alias("price"), "y")
+        G.write_slices(o, folder, ["y"])
+        there = spark.read.schema(o.schema).parquet(folder)
+        G.write_slices(there.filter("y % 2 = 1 and o_orderstatus = 'F'").withColumn("price", F.round(F.col("price") * 2, 2)), folder, ["y"])
+        return spark.read.schema(o.schema).parquet(folder).withColumn("price", S.r6(F.col("price"))).checkpoint(eager=True)
+    finally:
+        session.remove(spark, folder)
+
+
+def followed_log(spark, sf_dir):
+    """Events that arrive in four files, every tenth of them twice, followed as a stream: the last entry of each user and slot, and how many entries of the log it has."""
+    folder = f"{session.checkpoint_dir(prepare(spark))}/follow-{uuid.uuid4().hex}"
+    try:
+        ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", (F.col("event_id") % 7).alias("slot"))
+        twice = ev.withColumn("copy", F.lit(0)).unionByName(ev.filter("event_id % 10 = 0").withColumn("copy", F.lit(1)))
+        twice.repartitionByRange(4, F.xxhash64("event_id", "copy")).drop("copy").write.parquet(f"{folder}/in")
+        stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        G.follow(stream, folder, ["event_id"], ["user_id", "slot"], "event_id", ["event_type", "value"]).awaitTermination()
+        last = G.state(spark, folder, "user_id long, slot long, event_id long, event_type string, value double")
+        n = G.log(spark, folder, "event_id long, user_id long, slot long").groupBy("user_id", "slot").agg(F.count("*").alias("n"))
+        return last.join(n, ["user_id", "slot"]).select("user_id", "slot", "event_id", "event_type", "value", "n").checkpoint(eager=True)
+    finally:
+        session.remove(spark, folder)
+
+
 def upsert_missing(spark, sf_dir):
     o = _orders(spark, sf_dir).select("y", "o_orderkey", "o_orderstatus")
     new = o.filter("o_orderstatus = 'P'").select("y", "o_orderkey", F.lit("new").alias("o_orderstatus"))
@@ -277,7 +309,7 @@ def radical_check(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    status_classify, status_summary, running_total, overlay_lww, feedback_to_actions, overlay_fold, overlay_ruled, overlay_effects, slice_replace, upsert_missing, missing_range, page_gaps, dup_keys, rule_violations, eav_pivot, first_by_order, min_with_override,
+    status_classify, status_summary, running_total, overlay_lww, feedback_to_actions, overlay_fold, overlay_ruled, overlay_effects, slice_replace, slice_sink, followed_log, upsert_missing, missing_range, page_gaps, dup_keys, rule_violations, eav_pivot, first_by_order, min_with_override,
     invert_multivalue, invert_pairs, greedy_convert, greedy_convert_whole, convert_dictionaries, dictionary_entries, resolve_lookup, char_class_counts, slugify_url, padded_keys, page_range, half_expansion, topk_per_group, page_worst_first, fingerprint_diff, unused_rules, radical_check,
 )}
 
@@ -351,6 +383,8 @@ SELECT p AS l_orderkey, r.x0, r.y0, r.x1, r.y1, r.target FROM done""",
     "overlay_lww": "SELECT user_id, event_id % 7 AS slot, max_by(event_type, event_id) AS event_type, max_by(value, event_id) AS value FROM events GROUP BY ALL",
     "feedback_to_actions": f"WITH v AS (SELECT *, {_WHEN(VERBS, 'event_type')} AS verb FROM events), a AS (SELECT *, {_WHEN(ACTIONS, 'verb')} AS action FROM v) SELECT event_id, user_id, action, CASE WHEN action <> 'reject' THEN printf('%05X', user_id) END AS target FROM a WHERE action IS NOT NULL",
     "slice_replace": f"WITH o AS ({_Y}), n AS (SELECT o_orderkey, o_custkey, y, round(o_totalprice * 2, 2) AS price FROM o WHERE o_orderstatus = 'F') SELECT * FROM n UNION ALL SELECT o_orderkey, o_custkey, y, round(o_totalprice, 6) FROM o WHERE NOT EXISTS (FROM n WHERE n.o_custkey = o.o_custkey AND n.y = o.y)",
+    "slice_sink": f"WITH o AS ({_Y}) SELECT o_orderkey, o_orderstatus, round(CASE WHEN y % 2 = 1 THEN round(o_totalprice * 2, 2) ELSE o_totalprice END, 6) AS price, y FROM o WHERE y % 2 = 0 OR o_orderstatus = 'F'",
+    "followed_log": "SELECT user_id, event_id % 7 AS slot, max(event_id) AS event_id, max_by(event_type, event_id) AS event_type, max_by(value, event_id) AS value, count(*) AS n FROM events GROUP BY ALL",
     "upsert_missing": f"WITH o AS ({_Y}) SELECT y, o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'new' ELSE 'O' END AS o_orderstatus FROM o WHERE o_orderstatus IN ('O', 'P')",
     "missing_range": "SELECT l_orderkey, line FROM (SELECT DISTINCT l_orderkey FROM lineitem), range(1, 8) t(line) EXCEPT SELECT l_orderkey, l_linenumber FROM lineitem",
     "page_gaps": "WITH n AS (SELECT k, lead(k) OVER (ORDER BY k) AS x FROM (SELECT DISTINCT doc_id AS k FROM labels)) SELECT k + 1 AS start, x AS \"end\" FROM n WHERE x > k + 1",

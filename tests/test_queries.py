@@ -475,3 +475,48 @@ def test_cleaned_classifier_of_documents(spark):
     assert {r.doc_id: r.quality for r in got} == labels
     assert all(r.kept or (r.quality == 1 and r.oof < 0.3) for r in got) and all(not r.kept for r in got if r.quality == 1 and r.oof < 0.3)
     assert all(0 <= r.score <= 1 and 0 <= r.oof <= 1 for r in got)
+
+
+def test_slices_keep_their_files(spark, tmp_path):
+    import os
+
+    from tessella.operators import logs
+
+    path = f"{tmp_path}/t"
+    files = lambda: {os.path.relpath(os.path.join(d, f), path) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+    schema = "v long, s string, k string"
+    first = spark.createDataFrame([(1, "a", "x"), (2, None, "x"), (3, "c", "y"), (4, "d", None)], schema)
+    assert logs.write_slices(first, path, ["k"]) == 3
+    before = files()
+    assert logs.write_slices(first, path, ["k"]) == 0 and files() == before  # a second run changes nothing
+    read = lambda: spark.read.schema(schema).parquet(path)
+    assert logs.write_slices(read().filter("v in (1, 2)").selectExpr("v * 10 v", "s", "k"), path, ["k"]) == 1  # the table itself is read
+    after = files()
+    assert {f for f in before if not f.startswith("k=x")} == {f for f in after if not f.startswith("k=x")} and not {f for f in before & after if f.startswith("k=x")}
+    assert rows(map(tuple, read().collect())) == rows([(10, "a", "x"), (20, None, "x"), (3, "c", "y"), (4, "d", None)])
+    assert logs.write_slices(spark.createDataFrame([(4, None, None), (7, "n", "z")], schema), path, ["k"]) == 2  # a null slice is replaced, too
+    assert rows(map(tuple, read().collect())) == rows([(10, "a", "x"), (20, None, "x"), (3, "c", "y"), (4, None, None), (7, "n", "z")])
+    assert logs.write_slices(first.limit(0), path, ["k"]) == 0
+
+
+def test_followed_log_goes_on_after_a_restart(spark, tmp_path, monkeypatch):
+    from tessella.operators import logs
+
+    schema, folder = "id long, k string, v double", str(tmp_path)
+    parts = [[(1, "a", 1.0), (2, "b", 2.0), (2, "b", 2.0), (5, "a", 5.0)], [(3, "b", 3.0), (1, "a", 1.0), (4, None, 4.0)], [(2, "b", 2.0), (9, "c", None)]]
+    follow = lambda: logs.follow(spark.readStream.schema(schema).parquet(f"{folder}/in"), folder, ["id"], ["k"], "id", ["v"])
+    seen = []
+    for n, part in enumerate(parts):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        if n == 1:  # the batch breaks off between the log and the state, and is run again
+            real = logs.upsert_last
+            monkeypatch.setattr(logs, "upsert_last", lambda *a: 1 / 0)
+            with pytest.raises(Exception, match="division"):
+                follow().awaitTermination()
+            monkeypatch.setattr(logs, "upsert_last", real)
+        follow().awaitTermination()
+        seen += part
+        once = {r[0]: r for r in seen}
+        assert rows(map(tuple, logs.log(spark, folder, schema).collect())) == rows(once.values())
+        last = {k: max(r for r in once.values() if r[1] == k) for _, k, _ in once.values()}
+        assert rows((r.id, r.k, r.v) for r in logs.state(spark, folder, "k string, id long, v double").collect()) == rows(last.values())
