@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tessella.functions import scalars as S
 from tessella.operators import alignment as A
+from tessella.operators import components as C
 from tessella.operators import intervals as I
 from tessella.session import prepare, table
 
@@ -46,6 +47,13 @@ def nms_rounds(spark, sf_dir):
     return I.suppress_rounds(_spans(spark, sf_dir), ["user_id"], "s", "e", "value", "event_id", 0.25)
 
 
+def cell_components(spark, sf_dir):
+    """Each user's events as cells of a page, a day a row and an hour a column: areas and boxes of their components."""
+    hour = F.floor(F.col("us") / HOUR)
+    cells = _events(spark, sf_dir).select("user_id", (hour % 24).alias("x"), F.floor(hour / 24).alias("y"))
+    return C.cell_components(cells, ["user_id"], "x", "y")
+
+
 def interval_overlap_pairs(spark, sf_dir):
     from pyspark.sql import Window
 
@@ -160,7 +168,7 @@ def sandwich_promote(spark, sf_dir):
     return df.select("o_orderkey", F.when(F.col("promoted"), "aligned").when(F.col("o_orderstatus") == "O", "inferred").otherwise("anchored").alias("status"))
 
 
-QUERIES = {f.__name__: f for f in (islands_gap, islands_threshold, nms_greedy, nms_rounds, interval_overlap_pairs, interval_iou_label, box_iou_pairs, run_pairs_bounded, align_score, align_forced, align_path, align_path_whole, align_anchored, align_anchored_path, marker_partition, neighbour_fill, sandwich_promote)}
+QUERIES = {f.__name__: f for f in (islands_gap, islands_threshold, nms_greedy, nms_rounds, cell_components, interval_overlap_pairs, interval_iou_label, box_iou_pairs, run_pairs_bounded, align_score, align_forced, align_path, align_path_whole, align_anchored, align_anchored_path, marker_partition, neighbour_fill, sandwich_promote)}
 QUERIES |= {"align_score_whole": align_score, "align_forced_whole": align_forced}  # their earlier names, when the others took the first events only
 
 # the table of an alignment a row at a time, in twentieths: level with the steps to the right, a row is a running maximum; `gain` is of row i and column j
@@ -193,6 +201,10 @@ ORACLE_SQL = {
     "align_forced_whole": _PAIRED + ", q AS (SELECT *, coalesce(list_position(a, 'purchase'), 0) AS fa, coalesce(list_position(b, 'purchase'), 0) AS fb FROM p)" + _ROWS.format(gain=_FIRSTS) + _SCORE,
     "align_anchored": _ANCHORED.format() + _ROWS.format(gain=_CELL) + _SCORE,
     "align_anchored_path": _ANCHORED.format() + _ROWS.format(gain=_CELL) + _WAY + " SELECT user_id, i, j FROM hit",
+    "cell_components": """WITH RECURSIVE c AS (SELECT DISTINCT user_id, epoch_us(ts) // 3600000000 % 24 AS x, epoch_us(ts) // 86400000000 AS y FROM events),
+reach AS (SELECT user_id, x, y, x AS rx, y AS ry FROM c UNION SELECT r.user_id, r.x, r.y, c.x, c.y FROM reach r JOIN c ON c.user_id = r.user_id AND c.x BETWEEN r.rx - 1 AND r.rx + 1 AND c.y BETWEEN r.ry - 1 AND r.ry + 1),
+m AS (SELECT user_id, x, y, min(ry * 24 + rx) AS k FROM reach GROUP BY ALL)
+SELECT user_id, count(*) AS area, min(x) AS x0, min(y) AS y0, max(x) + 1 AS x1, max(y) + 1 AS y1 FROM m GROUP BY user_id, k""",
     "islands_gap": f"{_ISLANDS} SELECT * FROM islands",
     "islands_threshold": """WITH h AS (SELECT event_type, CAST(floor(epoch_us(ts) / 3600000000) AS BIGINT) AS h, count(*) AS n FROM events GROUP BY ALL HAVING count(*) >= 2),
 f AS (SELECT *, CASE WHEN h - lag(h) OVER (PARTITION BY event_type ORDER BY h) > 3 THEN 1 ELSE 0 END AS b FROM h),

@@ -520,3 +520,41 @@ def test_followed_log_goes_on_after_a_restart(spark, tmp_path, monkeypatch):
         assert rows(map(tuple, logs.log(spark, folder, schema).collect())) == rows(once.values())
         last = {k: max(r for r in once.values() if r[1] == k) for _, k, _ in once.values()}
         assert rows((r.id, r.k, r.v) for r in logs.state(spark, folder, "k string, id long, v double").collect()) == rows(last.values())
+
+
+def test_components_one_by_one(spark):
+    import random
+
+    from tessella import session
+    from tessella.operators import components
+
+    rng = random.Random(2)
+    links = [(k, k + 1) for k in range(60)] + [(100, x) for x in range(101, 180)] + [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(60)] + [(400, 400)]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    with session.scratch(spark):
+        got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
+    assert got == {x: root(x) for x in list(parent)}
+    cells = [(k, rng.randrange(12), rng.randrange(12)) for k in range(4) for _ in range(25 + 15 * k)]
+    for diagonal in (True, False):
+        want, open_ = [], {(k, x, y) for k, x, y in cells}
+        while open_:
+            part, todo = set(), [next(iter(open_))]
+            while todo:
+                c = todo.pop()
+                if c in open_:
+                    open_.discard(c)
+                    part.add(c)
+                    todo += [(c[0], c[1] + i, c[2] + j) for i in (-1, 0, 1) for j in (-1, 0, 1) if diagonal or not i * j]
+            xs, ys = [[c[n] for c in part] for n in (1, 2)]
+            want.append((next(iter(part))[0], len(part), min(xs), min(ys), max(xs) + 1, max(ys) + 1))
+        got = components.cell_components(spark.createDataFrame(cells, "k long, x long, y long"), ["k"], "x", "y", diagonal).collect()
+        assert rows(map(tuple, got)) == rows(want)
