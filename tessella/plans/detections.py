@@ -6,6 +6,7 @@ from tessella.functions import scalars as S
 from tessella.operators import alignment as A
 from tessella.operators import components as C
 from tessella.operators import intervals as I
+from tessella.operators import recovery as R
 from tessella.session import prepare, table
 
 HOUR = 3_600_000_000
@@ -156,6 +157,34 @@ def marker_partition(spark, sf_dir):
     return out.select("user_id", *[F.element_at("chosen", k).alias(f"m{k}") for k in (1, 2, 3)], "cost")
 
 
+def _wanted(spark, sf_dir):
+    """Each user's events in order as wanted items: errors are missing, the others paired with a place (three-day columns, rows by the hour); views of little
+    similarity are doubtful. Candidates of an item are the places of the events up to four before and behind it, as similar as their ids say."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("user_id").orderBy("us", "event_id")
+    e = _events(spark, sf_dir, "event_type", "value").withColumn("j", F.row_number().over(w).cast("long"))
+    hour = F.floor((F.col("us") - 1_704_067_200_000_000) / HOUR)
+    e = e.select("user_id", "event_id", "event_type", "j", F.floor(hour / 72).alias("pos"), (hour % 72 * 10).alias("y0"), (hour % 72 * 10 + 8).alias("y1"), (F.col("event_id") % 97 / 100).alias("sim"))
+    pairs = e.filter("event_type <> 'error'").withColumn("doubtful", (F.col("event_type") == "view") & (F.round("sim", 4) < 0.65))
+    near = e.select("user_id", F.col("event_id").alias("c"), F.explode(F.sequence(F.col("j") - 4, F.col("j") + 4)).alias("j"), "pos", (F.col("y0") + F.col("event_id") % 3).alias("y0"), (F.col("y1") + F.col("event_id") % 3).alias("y1"))
+    candidates = near.join(e.select("user_id", "j", "event_id"), ["user_id", "j"]).select("user_id", "j", "pos", "y0", "y1", ((F.col("event_id") * 31 + F.col("c") * 17) % 100 / 100).alias("sim"))
+    return pairs, e.filter("event_type = 'error'").select("user_id", "j"), candidates
+
+
+def search_replace(spark, sf_dir):
+    """Doubtful pairs and the better places that were found for them between their neighbours."""
+    pairs, _, candidates = _wanted(spark, sf_dir)
+    return R.replaced(pairs, candidates, ["user_id"], 0, 720, 20).withColumn("sim", S.r6(F.col("sim")))
+
+
+def search_recover(spark, sf_dir):
+    """Places found for missing items between the pairs as the first search left them."""
+    pairs, missing, candidates = _wanted(spark, sf_dir)
+    out = R.recovered(missing, R.replaced(pairs, candidates, ["user_id"], 0, 720, 20), candidates, ["user_id"], 0, 720, 20)
+    return out.withColumn("sim", S.r6(F.col("sim")))
+
+
 def neighbour_fill(spark, sf_dir):
     df = _events(spark, sf_dir, "event_type")
     return A.neighbours(df, ["user_id"], ["us", "event_id"], F.when(F.col("event_type") == "purchase", F.col("event_id"))).select("event_id", "user_id", "before", "after")
@@ -168,7 +197,7 @@ def sandwich_promote(spark, sf_dir):
     return df.select("o_orderkey", F.when(F.col("promoted"), "aligned").when(F.col("o_orderstatus") == "O", "inferred").otherwise("anchored").alias("status"))
 
 
-QUERIES = {f.__name__: f for f in (islands_gap, islands_threshold, nms_greedy, nms_rounds, cell_components, interval_overlap_pairs, interval_iou_label, box_iou_pairs, run_pairs_bounded, align_score, align_forced, align_path, align_path_whole, align_anchored, align_anchored_path, marker_partition, neighbour_fill, sandwich_promote)}
+QUERIES = {f.__name__: f for f in (islands_gap, islands_threshold, nms_greedy, nms_rounds, cell_components, interval_overlap_pairs, interval_iou_label, box_iou_pairs, run_pairs_bounded, align_score, align_forced, align_path, align_path_whole, align_anchored, align_anchored_path, marker_partition, search_replace, search_recover, neighbour_fill, sandwich_promote)}
 QUERIES |= {"align_score_whole": align_score, "align_forced_whole": align_forced}  # their earlier names, when the others took the first events only
 
 # the table of an alignment a row at a time, in twentieths: level with the steps to the right, a row is a running maximum; `gain` is of row i and column j
@@ -195,7 +224,27 @@ _CELL = """CASE WHEN len(list_filter(q.forced, lambda f: f.i = tab.i + 1 OR f.j
  WHEN list_contains(q.barred, {'i': tab.i + 1, 'j': j}) THEN -30 ELSE """ + _PLAIN + " END"
 _FIRSTS = "CASE WHEN fa > 0 AND fb > 0 AND tab.i + 1 = fa AND j = fb THEN 100 WHEN fa > 0 AND fb > 0 AND (tab.i + 1 = fa OR j = fb) THEN -100 ELSE " + _PLAIN + " END"
 
+_ALLOWED = """({b}.pos IS NULL OR {n}.pos IS NULL OR {n}.pos - {b}.pos <= 12) AND ({b}.pos IS NULL OR c.pos >= {b}.pos) AND ({n}.pos IS NULL OR c.pos <= {n}.pos) AND c.sim > 0.5::DOUBLE
+ AND CASE WHEN c.pos = {n}.pos THEN {n}.y0 ELSE 720 END - CASE WHEN c.pos = {b}.pos THEN {b}.y1 ELSE 0 END >= 20 AND c.y0 >= CASE WHEN c.pos = {b}.pos THEN {b}.y1 ELSE 0 END AND c.y1 <= CASE WHEN c.pos = {n}.pos THEN {n}.y0 ELSE 720 END"""
+# pair by pair: the place before is where the search has put it, the one behind where it was
+_SEARCH = f"""WITH RECURSIVE h AS (SELECT user_id, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS j, (epoch_us(ts) - 1704067200000000) // 3600000000 AS h FROM events),
+e AS (SELECT *, h // 72 AS pos, h % 72 * 10 AS y0, h % 72 * 10 + 8 AS y1, event_id % 97 / 100 AS sim FROM h),
+cand AS MATERIALIZED (SELECT t.user_id, t.j, x.pos, x.y0 + x.event_id % 3 AS y0, x.y1 + x.event_id % 3 AS y1, (t.event_id * 31 + x.event_id * 17) % 100 / 100 AS sim FROM e t JOIN e x ON x.user_id = t.user_id AND x.j BETWEEN t.j - 4 AND t.j + 4),
+p AS MATERIALIZED (SELECT user_id, j, pos, y0, y1, sim, event_type = 'view' AND round(sim, 4) < 0.65::DOUBLE AS doubtful, row_number() OVER w AS n, lead(pos) OVER w AS npos, lead(y0) OVER w AS ny0 FROM e WHERE event_type <> 'error' WINDOW w AS (PARTITION BY user_id ORDER BY j)),
+st AS (SELECT user_id, 0::BIGINT AS n, NULL::BIGINT AS j, NULL::BIGINT AS pos, NULL::BIGINT AS y0, NULL::BIGINT AS y1, NULL::DOUBLE AS sim, false AS moved FROM (SELECT DISTINCT user_id FROM p)
+UNION ALL
+SELECT user_id, n, j, CASE WHEN ok THEN f.pos ELSE pos END, CASE WHEN ok THEN f.y0 ELSE y0 END, CASE WHEN ok THEN f.y1 ELSE y1 END, CASE WHEN ok THEN -f.k ELSE sim END, ok FROM (
+ SELECT *, coalesce(doubtful AND -f.k > sim, false) AS ok FROM (
+ SELECT p.user_id, p.n, p.j, p.pos, p.y0, p.y1, p.sim, p.doubtful, m.f FROM st JOIN p ON p.user_id = st.user_id AND p.n = st.n + 1
+ LEFT JOIN (SELECT st.user_id, p.n, min({{'k': -c.sim, 'pos': c.pos, 'y0': c.y0, 'y1': c.y1}}) AS f FROM st JOIN p ON p.user_id = st.user_id AND p.n = st.n + 1 JOIN cand c ON c.user_id = p.user_id AND c.j = p.j
+  WHERE {_ALLOWED.replace("{n}.pos", "p.npos").replace("{n}.y0", "p.ny0").format(b="st")} GROUP BY ALL) m ON m.user_id = p.user_id AND m.n = p.n)))"""
+
 ORACLE_SQL = {
+    "search_replace": f"{_SEARCH} SELECT user_id, j, pos, y0, y1, round(sim, 6) AS sim, moved FROM st WHERE n > 0",
+    "search_recover": f"""{_SEARCH}, q AS (SELECT user_id, j, false AS lost, {{'pos': pos, 'y0': y0, 'y1': y1}} AS place FROM st WHERE n > 0 UNION ALL SELECT user_id, j, true, NULL FROM e WHERE event_type = 'error'),
+g AS (SELECT user_id, j, lost, last_value(place IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b, first_value(place IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY j ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS n FROM q),
+r AS (SELECT g.user_id, g.j, min({{'k': -c.sim, 'pos': c.pos, 'y0': c.y0, 'y1': c.y1}}) AS f FROM g JOIN cand c ON c.user_id = g.user_id AND c.j = g.j WHERE lost AND {_ALLOWED.format(b="g.b", n="g.n")} GROUP BY ALL)
+SELECT g.user_id, g.j, f.pos, f.y0, f.y1, round(-f.k, 6) AS sim FROM g LEFT JOIN r USING (user_id, j) WHERE lost""",
     "align_score_whole": _PAIRED + ", q AS (SELECT * FROM p)" + _ROWS.format(gain=_PLAIN) + _SCORE,
     "align_path_whole": _PAIRED + ", q AS (SELECT * FROM p)" + _ROWS.format(gain=_PLAIN) + _WAY + " SELECT user_id, i, j FROM hit",
     "align_forced_whole": _PAIRED + ", q AS (SELECT *, coalesce(list_position(a, 'purchase'), 0) AS fa, coalesce(list_position(b, 'purchase'), 0) AS fb FROM p)" + _ROWS.format(gain=_FIRSTS) + _SCORE,

@@ -558,3 +558,28 @@ def test_components_one_by_one(spark):
             want.append((next(iter(part))[0], len(part), min(xs), min(ys), max(xs) + 1, max(ys) + 1))
         got = components.cell_components(spark.createDataFrame(cells, "k long, x long, y long"), ["k"], "x", "y", diagonal).collect()
         assert rows(map(tuple, got)) == rows(want)
+
+
+def test_searches_between_neighbours(spark):
+    from tessella.operators import recovery
+
+    # key, j, pos, y0, y1, sim, doubtful
+    pairs = [
+        (1, 1, 0, 0, 8, 0.9, False), (1, 2, 0, 100, 108, 0.3, True), (1, 3, 0, 200, 208, 0.4, True), (1, 4, 1, 0, 8, 0.9, False),  # the third must stay below where the second was put
+        (2, 1, 0, 0, 8, 0.9, False), (2, 2, 5, 0, 8, 0.3, True), (2, 3, 13, 0, 8, 0.9, False),  # too far apart
+        (3, 1, 0, 0, 8, 0.9, False), (3, 2, 5, 0, 8, 0.3, True), (3, 3, 12, 0, 8, 0.9, False),  # just not
+        (4, 2, 3, 50, 58, 0.6, True), (5, 1, 0, 10, 18, 0.1, True), (5, 2, 0, 45, 53, 0.9, False),
+    ]
+    cands = [
+        (1, 2, 0, 150, 158, 0.8), (1, 2, 0, 250, 258, 0.95), (1, 3, 0, 120, 128, 0.99), (1, 3, 0, 160, 168, 0.7), (1, 3, 0, 170, 178, 0.7),
+        (2, 2, 4, 0, 8, 0.9), (3, 2, 4, 0, 8, 0.9), (3, 2, 4, 20, 28, 0.9), (4, 2, 9, 0, 8, 0.6), (4, 2, 0, 0, 8, 0.61), (5, 1, 0, 0, 8, 0.5), (5, 1, 0, 46, 54, 0.9),
+    ]
+    place = "pos long, y0 long, y1 long, sim double"
+    p, c = spark.createDataFrame(pairs, f"k long, j long, {place}, doubtful boolean"), spark.createDataFrame(cands, f"k long, j long, {place}")
+    out = recovery.replaced(p, c, ["k"], 0, 720, 20)
+    got = {(r.k, r.j): (r.pos, r.y0, r.sim) for r in out.collect() if r.moved}
+    assert got == {(1, 2): (0, 150, 0.8), (1, 3): (0, 160, 0.7), (3, 2): (4, 0, 0.9), (4, 2): (0, 0, 0.61)} and out.count() == len(pairs)
+    lost = spark.createDataFrame([(1, 9), (1, 3), (6, 1), (7, 1)], "k long, j long")
+    more = c.unionByName(spark.createDataFrame([(1, 9, 0, 5, 13, 0.9), (1, 9, 1, 8, 16, 0.6), (6, 1, 90, 0, 8, 0.51)], c.schema))
+    found = {(r.k, r.j): None if r.pos is None else (r.pos, r.y0) for r in recovery.recovered(lost, out.filter("j <> 3"), more, ["k"], 0, 720, 20).collect()}
+    assert found == {(1, 9): (1, 8), (1, 3): (0, 160), (6, 1): (90, 0), (7, 1): None}
