@@ -1,13 +1,16 @@
 """Review work: state rows, approvals, corrections from feedback, look-ups with defaults, paging, forced pairs."""
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessella import session
 from tessella.operators import fit
 
 TRACED = ("aligned", "manual", "approved")
 #: What an event becomes: the corrections, and whether each is for the event's own target or its new one.
-CORRECTIONS = {"delete": [("not", "target")], "reject": [("reject", None)], "rebox": [("assign", "target")], "locate": [("assign", "target")], "reassign": [("not", "target"), ("assign", "new_target")]}
+CORRECTIONS = {"delete": [("not", "target")], "reject": [("reject", None)], "rebox": [("assign", "target")], "locate": [("assign", "target")], "reassign": [("assign", "new_target")]}
 
 
 def with_default(df: DataFrame, lookup: DataFrame, key: str, value: str, default) -> DataFrame:
@@ -33,7 +36,7 @@ def unapprove(approved: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 
 
 def corrections(events: DataFrame) -> DataFrame:
-    """events (verb, target, new_target, ...) as corrections: action and target; a comment or an unknown verb gives none, a reassignment two. nth counts an event's."""
+    """events (verb, target, new_target, ...) as corrections: action and target; a comment or an unknown verb gives none. nth counts an event's."""
     made = F.coalesce(*[F.when(F.col("verb") == verb, F.array(*[F.struct(F.lit(n).alias("nth"), F.lit(a).alias("action"), (F.col(t) if t else F.lit(None).cast(events.schema["target"].dataType)).alias("to")) for n, (a, t) in enumerate(acts)])) for verb, acts in CORRECTIONS.items()])
     keep = [c for c in events.columns if c not in ("verb", "target", "new_target")]
     return events.select(*keep, F.inline(made)).withColumnRenamed("to", "target")
@@ -86,15 +89,21 @@ def _stretch(df: DataFrame, order: list[str], first: int, size: int, n: int, sma
     return between.unionByName(ends[0]).unionByName(ends[1]).orderBy(*order)
 
 
+TEXTS = 10_000  # wanted texts that meet the names at a time
+
+
 def resolve_text(wanted: DataFrame, known: DataFrame, text: str, code: str, name: str, most: int = 8) -> DataFrame:
     """text, n, hits (codes, the first `most`): the code itself if it is known and looks like one; else every code whose name holds the text.
 
-    wanted is a list of queries, small by its use; it is sent to all names, so that these are read once and never shuffled.
+    The wanted texts are counted and sent to the names in blocks of at most TEXTS, so that the names are never shuffled and no broadcast grows with the list. Inside a scratch block.
     """
     w, k = wanted.select(text).distinct(), known.select(code, name)
-    exact = w.join(k.select(F.col(code).alias(text)).distinct(), text, "left_semi").filter(F.col(text).rlike("^3[0-9A-F]{4}$"))
-    rest = w.join(exact, text, "left_anti")
-    found = k.join(F.broadcast(rest), F.contains(F.col(name), F.col(text))).select(text, code)
+    exact = session.cut(w.join(k.select(F.col(code).alias(text)).distinct(), text, "left_semi").filter(F.col(text).rlike("^3[0-9A-F]{4}$")))
+    rest = session.cut(w.join(exact, text, "left_anti"))
+    blocks = max(1, -(-rest.count() // TEXTS))
+    of = F.pmod(F.xxhash64(text), F.lit(2 * blocks))  # twice as many as needed, so that uneven blocks stay small enough
+    parts = [rest.filter(of == b) for b in range(2 * blocks)] if blocks > 1 else [rest]
+    found = functools.reduce(DataFrame.unionByName, [k.join(F.broadcast(part), F.contains(F.col(name), F.col(text))).select(text, code) for part in parts])
     # the first ones of each: ranked within a text, so that a word that all names have is sorted but not collected
     ranked = found.withColumn("r", F.row_number().over(Window.partitionBy(text).orderBy(code)))
     few = ranked.groupBy(text).agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.when(F.col("r") <= most, F.col(code)))).alias("hits"))

@@ -3,6 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tessella import session
 from tessella.functions import scalars as S
 from tessella.operators import fit as P
 from tessella.operators import ml
@@ -67,8 +68,9 @@ def straddle_repair(spark, sf_dir):
     profile = _profile(spark, sf_dir).filter("h >= 0").select("event_type", "h", (F.col("n") * stroke).cast("long").alias("v"), (F.col("n") * ink).cast("long").alias("ink"))
     strokes = profile.filter("v > 0")
     grids = P.grid_search(strokes, ["event_type"], "h", "v", [23, 24, 25], 9).select("event_type", "origin", "pitch")
-    out = P.repair_straddle(strokes, profile, grids, ["event_type"], "h", "v", "ink", 8)
-    return out.select("event_type", S.r6(F.col("origin")).alias("origin"), S.r6(F.col("pitch")).alias("pitch"), S.r6(F.col("ratio")).alias("ratio"), "repaired")
+    with session.scratch(spark):
+        out = P.repair_straddle(strokes, profile, grids, ["event_type"], "h", "v", "ink", 8)
+        return out.select("event_type", S.r6(F.col("origin")).alias("origin"), S.r6(F.col("pitch")).alias("pitch"), S.r6(F.col("ratio")).alias("ratio"), "repaired").checkpoint(eager=True)
 
 
 def band_ratio(spark, sf_dir):

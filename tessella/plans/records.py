@@ -228,6 +228,12 @@ def convert_dictionaries(spark, sf_dir):
     return L.convert_chain(b, "text", stages, "converted").select("item_id", "converted")
 
 
+def converted_lengths(spark, sf_dir):
+    """Texts whose number of characters the chain of conversions changes, so that what goes with their characters one by one would drift."""
+    both = convert_dictionaries(spark, sf_dir).join(table(spark, sf_dir, "benchmark").select("item_id", "text"), "item_id")
+    return both.select("item_id", F.length("text").cast("long").alias("before"), F.length("converted").cast("long").alias("after"), (F.length("text") != F.length("converted")).alias("drifts"))
+
+
 def dictionary_entries(spark, sf_dir):
     """What the dictionaries' lines say, by dictionary."""
     d = _dictionaries(spark, sf_dir)
@@ -310,7 +316,7 @@ def radical_check(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     status_classify, status_summary, running_total, overlay_lww, feedback_to_actions, overlay_fold, overlay_ruled, overlay_effects, slice_replace, slice_sink, followed_log, upsert_missing, missing_range, page_gaps, dup_keys, rule_violations, eav_pivot, first_by_order, min_with_override,
-    invert_multivalue, invert_pairs, greedy_convert, greedy_convert_whole, convert_dictionaries, dictionary_entries, resolve_lookup, char_class_counts, slugify_url, padded_keys, page_range, half_expansion, topk_per_group, page_worst_first, fingerprint_diff, unused_rules, radical_check,
+    invert_multivalue, invert_pairs, greedy_convert, greedy_convert_whole, convert_dictionaries, converted_lengths, dictionary_entries, resolve_lookup, char_class_counts, slugify_url, padded_keys, page_range, half_expansion, topk_per_group, page_worst_first, fingerprint_diff, unused_rules, radical_check,
 )}
 
 _STATUS = "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, CASE WHEN l_linestatus = 'F' AND l_tax = 0 THEN 'manual' WHEN round(1 - l_discount * 5, 4) >= CASE WHEN l_returnflag = 'N' THEN 0.65::DOUBLE ELSE 0.78::DOUBLE END THEN 'aligned' ELSE 'inferred' END AS status FROM lineitem"
@@ -424,3 +430,4 @@ SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN b.o_orderke
     "unused_rules": "SELECT n_nationkey::BIGINT AS nation, n_name FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000)",
     "radical_check": "WITH w AS (SELECT o_orderkey, left(o_orderpriority, 1)::BIGINT AS expected, (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS found FROM orders) SELECT *, CASE WHEN expected = found THEN 'ok' ELSE 'CONFLICT' END AS state FROM w",
 }
+ORACLE_SQL["converted_lengths"] = f"SELECT item_id, length(text) AS before, length(converted) AS after, length(text) <> length(converted) AS drifts FROM ({ORACLE_SQL['convert_dictionaries']}) JOIN benchmark USING (item_id)"

@@ -3,6 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tessella import session
 from tessella.functions import scalars as S
 from tessella.operators import review as V
 from tessella.plans.records import status_classify, status_summary
@@ -80,7 +81,8 @@ def resolved_texts(spark, sf_dir):
     """Texts as codes or as parts of names: none, one or many, the first eight listed [P18]."""
     i = _items(spark, sf_dir)
     wanted = i.filter("p_partkey <= 12").select(F.substring("p_name", 2, 4).alias("text")).unionByName(i.filter("p_partkey % 500 = 7").select(F.col("code").alias("text"))).unionByName(i.filter("p_partkey = 1").select(F.lit("30G").alias("text")))
-    return V.resolve_text(wanted, i, "text", "code", "p_name").select("text", "n", F.array_join("hits", " ").alias("hits"))
+    with session.scratch(spark):
+        return V.resolve_text(wanted, i, "text", "code", "p_name").select("text", "n", F.array_join("hits", " ").alias("hits")).checkpoint(eager=True)
 
 
 def common_flags(spark, sf_dir):
@@ -164,7 +166,7 @@ _VERBS = {"click": "rebox", "view": "comment", "purchase": "reject", "signup": "
 
 
 def feedback_corrections(spark, sf_dir):
-    """A log's events as corrections; a reassignment becomes two [J22]."""
+    """A log's events as corrections [J22]."""
     ev = table(prepare(spark), sf_dir, "events")
     verb = F.coalesce(*[F.when(F.col("event_type") == k, v) for k, v in _VERBS.items()])
     return V.corrections(ev.select("event_id", verb.alias("verb"), F.col("user_id").alias("target"), (F.col("user_id") + 1).alias("new_target"))).withColumn("nth", F.col("nth").cast("long"))
@@ -291,8 +293,7 @@ SELECT g.l_orderkey, g.x, g.y, max(t.y) AS label FROM l g LEFT JOIN l t ON t.l_o
     "missing_candidates": """WITH o AS (SELECT *, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS p FROM orders), j AS (SELECT o_orderkey, CASE l_returnflag WHEN 'R' THEN 'rejected' ELSE 'near' END AS kind, l_linenumber::BIGINT AS line, l_partkey, l_suppkey FROM o JOIN lineitem ON l_orderkey = p WHERE o_orderstatus = 'P' AND l_returnflag IN ('R', 'A'))
 SELECT o_orderkey, kind, line, l_partkey, row_number() OVER (PARTITION BY o_orderkey ORDER BY kind DESC, line, l_partkey, l_suppkey) AS r FROM j QUALIFY r <= 8""",
     "overriding_files": "SELECT p_name, coalesce(max(CASE WHEN p_size = 7 THEN p_partkey END), min(p_partkey)) AS file FROM part GROUP BY p_name",
-    "feedback_corrections": """SELECT event_id, 0::BIGINT AS nth, CASE event_type WHEN 'click' THEN 'assign' WHEN 'purchase' THEN 'reject' ELSE 'not' END AS action, CASE WHEN event_type <> 'purchase' THEN user_id END AS target FROM events WHERE event_type IN ('click', 'purchase', 'signup', 'error')
-UNION ALL SELECT event_id, 1, 'assign', user_id + 1 FROM events WHERE event_type = 'error'""",
+    "feedback_corrections": """SELECT event_id, 0::BIGINT AS nth, CASE event_type WHEN 'purchase' THEN 'reject' WHEN 'signup' THEN 'not' ELSE 'assign' END AS action, CASE event_type WHEN 'purchase' THEN NULL WHEN 'error' THEN user_id + 1 ELSE user_id END AS target FROM events WHERE event_type IN ('click', 'purchase', 'signup', 'error')""",
     "dirty_blocks": "WITH e AS (SELECT * FROM events WHERE event_type = 'error' AND event_id % 40 = 0) SELECT event_id % 25 AS block FROM e UNION SELECT p_partkey % 25 FROM part WHERE p_partkey IN (SELECT user_id FROM e UNION SELECT user_id + 1 FROM e)",
     "adjusted_counts": f"WITH {_STATUS}, p AS (SELECT count(*) AS p FROM st WHERE status = 'inferred' AND l_linenumber = 2) SELECT status, count(*) + CASE status WHEN 'aligned' THEN any_value(p) WHEN 'inferred' THEN -any_value(p) ELSE 0 END AS n FROM st, p GROUP BY status",
     "ordered_lists": f"WITH {_ITEMS} SELECT block, string_agg(code, ' ' ORDER BY p_partkey) AS codes FROM i GROUP BY block",
