@@ -45,6 +45,7 @@ LOOSE, TIGHT = 0.55, 0.92  # estimated likeness to a hub from which on a class i
 FEW = 64  # classes of a band that are tied to its hub without more evidence
 CHUNK, HUBS, SHINGLES = 256, 8, 400_000  # classes and shingles of a chunk, hubs of a large group
 SLOT_BITS, PARTS = 22, 256  # counters of shingles (4 MB), and the parts in which they are added up
+GONE = 4_000_000  # ids of rows that go, which are sent to all tasks (some 30 bytes each); beyond, rows travel to the ids that stay
 FILTER_WORDS = 1 << 18  # of 64 bits: 2 MB whatever the corpus
 
 _a = T.mix(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -388,14 +389,17 @@ def keep(docs: DataFrame, width: int = 5, least: int = 80) -> DataFrame:
     id_, node_ = session.fresh(docs, "id_"), session.fresh(docs, "node_")
     found = find(docs, "doc_id", width, least)
     sets = session.cut(found.groupBy(F.col("doc_id").alias(id_), F.col("node").alias("set")).agg(F.count("*").alias("rows"), F.first(F.expr("doc_id <=> component")).alias("good")))
-    ids = session.cut(sets.groupBy(id_).agg(F.bool_or("good").alias("good"), F.sum("rows").alias("rows")).filter("good"))
+    ids = session.cut(sets.groupBy(id_).agg(F.bool_or("good").alias("good"), F.sum("rows").alias("rows")))
     same = F.col("doc_id").eqNullSafe(F.col(id_))
-    out = docs.join(ids.filter("rows = 1").select(id_), same, "left_semi")
-    again = ids.filter("rows > 1").select(id_)
+    gone, again = ids.filter("not good or rows > 1").select(id_), ids.filter("good and rows > 1").select(id_)
+    if few := gone.limit(GONE + 1).count() <= GONE:  # texts stay where they are
+        out = docs.join(F.broadcast(gone), same, "left_anti")
+    else:
+        out = docs.join(ids.filter("good and rows = 1").select(id_), same, "left_semi")
     if again.isEmpty():
         return out
     # several rows under one id, or without any: their sets tell which texts stay, each once
-    some = _with_nodes(docs.join(again, same, "left_semi"), width, node_)
+    some = _with_nodes(docs.join(F.broadcast(again) if few else again, same, "left_semi"), width, node_)
     stay = sets.filter("good").select(id_, F.col("set").alias(session.fresh(docs, "set_")))
     some = some.join(stay, same & F.col(node_).eqNullSafe(stay[stay.columns[1]]), "left_semi").drop(node_)
     return out.unionByName(some.dropDuplicates(["doc_id", "text"]))

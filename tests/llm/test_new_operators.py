@@ -11,7 +11,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from tessella.llm import fill_in_middle, personal_data, quality_rules, queries, token_alignment
+from tessella.llm import fill_in_middle, minhash, personal_data, quality_rules, queries, token_alignment
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = "doc_id long, text string, found string, pairs string, n long, text_ string, plain_ int"
@@ -266,3 +266,14 @@ def test_fences_keep_good_documents(spark):
     out = [(labels[r.doc_id], r.kept) for r in quality_rules.judge(docs).collect() if not r.base_failed and labels.get(r.doc_id) is not None]
     good, poor = ([kept for q, kept in out if q == x] for x in (1, 0))
     assert sum(good) >= 0.995 * len(good) and sum(poor) <= 0.02 * len(poor)
+
+
+def test_rows_that_go_by_either_way(spark, monkeypatch, tmp_path):
+    """Few ids are sent to the texts, many meet them in a shuffle: the same rows stay."""
+    base = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen"
+    rows = [(k, f"{base} {k // 3}" if k % 2 else f"text {k} of its own with some more words {k * 7}") for k in range(30)] + [(None, base), (None, f"{base} 0"), (5, "another text under the same id as an earlier one"), (5, f"{base} 1"), (40, None), (41, "")]
+    spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, id_ int").write.parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    few = sorted(map(str, minhash.keep(docs).collect()))
+    monkeypatch.setattr(minhash, "GONE", 0)
+    assert sorted(map(str, minhash.keep(docs).collect())) == few and 15 < len(few) < len(rows)
