@@ -104,6 +104,43 @@ def accepted(spark, sf_dir):
     return j.select("l_orderkey", "nth", state.alias("state"))
 
 
+def _scored(spark, sf_dir):
+    """Runs as windows, every third one moved up into the one before, scored by their supplier."""
+    return _runs(spark, sf_dir).select("l_orderkey", "nth", F.when(F.col("nth") % 3 == 0, F.col("s") - 9).otherwise(F.col("s")).cast("double").alias("s"), F.col("e").cast("double").alias("e"), ((F.col("l_suppkey") % 100) / 100).alias("score"), "l_partkey")
+
+
+def detections(spark, sf_dir):
+    """What is found in each column, from top to bottom, and what nearly was [D1 D2 D3]: the layout's headword from a score of 0.1, windows that do not meet it by more than a
+    quarter from 0.8, a flat headword at 0.5 if it is wider than 0.45 of the column; the best of what overlaps; then near misses from 0.15 beside them."""
+    x = _scored(spark, sf_dir)
+    head = headwords(spark, sf_dir).select("l_orderkey", "s", "e", (F.col("l_orderkey") % 10 / 10).alias("score"))
+    first = x.filter("nth = 1").select("l_orderkey", "s", "e", (F.col("l_partkey") % 50).alias("width"))
+    flat = column_kinds(spark, sf_dir).filter("flat").select("l_orderkey").join(first.filter("width > 0.45 * 50"), "l_orderkey").select("l_orderkey", "s", "e", F.lit(0.5).alias("score"))
+    meets = S.overlap_shorter(*map(F.col, ("s", "e", "hs", "he"))) > 0.25
+    free = x.join(head.select("l_orderkey", F.col("s").alias("hs"), F.col("e").alias("he")), "l_orderkey", "left").filter(F.col("hs").isNull() | ~meets).select("l_orderkey", "s", "e", "score", (F.col("nth") + 1).alias("id"))
+    sure = head.filter("score >= 0.1").withColumn("id", F.lit(0).cast("long")).unionByName(flat.withColumn("id", F.lit(1).cast("long"))).unionByName(free.filter("score >= 0.8"))
+    taken = I.suppress(sure, ["l_orderkey"], "s", "e", "score", "id", 0.25)
+    near = Y.suppress_seeded(free.filter("score >= 0.15 and score < 0.8"), taken.select("l_orderkey", "s", "e"), ["l_orderkey"], "score", "id", 0.25, S.overlap_shorter)
+    w = Window.partitionBy("l_orderkey").orderBy("s", "e", "id")
+    out = taken.withColumn("ord", F.row_number().over(w).cast("long")).unionByName(near.withColumn("ord", F.lit(None).cast("long")).select("l_orderkey", "id", "s", "e", "score", "ord"))
+    kind = F.when(F.col("ord").isNull(), "near").when(F.col("id") < 2, "headword").otherwise("inline")
+    return out.select("l_orderkey", "s", "e", S.r6(F.col("score")).alias("score"), kind.alias("kind"), "ord")
+
+
+def training_labels(spark, sf_dir):
+    """Windows with labels and where these come from [M4 U1 J9 J21]: in verified columns those that are like a known place (IoU from 0.8 on) or unlike all (to 0.3); in other columns
+    with a headword that one, and windows up to 6.2 slots that do not meet it by more than half; and small print of nine tenths of a slot or more wherever it is."""
+    x, known = _scored(spark, sf_dir), F.col("l_orderkey") % 10 == 3
+    places = _runs(spark, sf_dir).filter(known & (F.col("nth") % 2 == 1)).select("l_orderkey", "s", "e")
+    verified = I.iou_label(x.filter(known), places, ["l_orderkey"], "nth", SLOT).select("l_orderkey", "nth", "label", F.lit("verified").alias("source"))
+    head = headwords(spark, sf_dir).filter(~known)
+    heads = head.select("l_orderkey", F.lit(0).cast("long").alias("nth"), F.lit(1).cast("long").alias("label"), F.lit("layout").alias("source"))
+    below = x.filter(F.col("e") <= 6.2 * SLOT).join(head.select("l_orderkey", F.col("s").alias("hs"), F.col("e").alias("he")), "l_orderkey").filter(S.overlap_shorter(*map(F.col, ("s", "e", "hs", "he"))) <= 0.5)
+    no = lambda df, source: df.select("l_orderkey", "nth", F.lit(0).cast("long").alias("label"), F.lit(source).alias("source"))
+    small = x.filter((F.col("e") - F.col("s") >= 0.9 * SLOT) & (F.col("l_partkey") % 5 == 0))
+    return verified.unionByName(heads).unionByName(no(below, "layout")).unionByName(no(small, "small print"))
+
+
 def box_columns(spark, sf_dir):
     """The column of a page, counted from the right, that holds a box's centre [P17]."""
     rules = F.array(*[F.lit(x) for x in (3, 10, 20, 28, 41)])
@@ -149,7 +186,7 @@ def labelled_union(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    headwords, column_kinds, run_windows, projection_profile, valley_cuts, strong_ends, snapped_rules, fold_between, near_misses, accepted, box_columns, view_boxes, ink_boxes, reading_order, labelled_union,
+    headwords, column_kinds, run_windows, projection_profile, valley_cuts, strong_ends, snapped_rules, fold_between, near_misses, accepted, detections, training_labels, box_columns, view_boxes, ink_boxes, reading_order, labelled_union,
 )}
 
 _PROFILE = "p AS (SELECT event_type, CAST(floor(epoch_us(ts) / 3600000000) AS BIGINT) AS h, sum(floor(value))::BIGINT AS v FROM events GROUP BY ALL)"
@@ -158,7 +195,26 @@ _OVER = "greatest(least({0}.e, {1}.e) - greatest({0}.s, {1}.s), 0)::DOUBLE / gre
 _SCORED = "x AS (SELECT l_orderkey, nth, CASE WHEN nth % 3 = 0 THEN s - 9 ELSE s END AS s, e, (l_suppkey % 100)::DOUBLE / 100 AS score FROM r)"
 _TALLY = "t AS (SELECT l_orderkey, min_by(s, s) >= 5 AND count(*) >= 2 AS tally FROM r GROUP BY l_orderkey)"
 
+_KIND = f"a AS (SELECT l_orderkey, list(s ORDER BY s) AS s, list(e ORDER BY s) AS e FROM r GROUP BY l_orderkey), flats AS (SELECT l_orderkey FROM a WHERE coalesce(e[1] - s[1] < {0.35 * SLOT} AND (s[1] + e[1]) / 2.0 BETWEEN {0.6 * SLOT} AND {1.25 * SLOT} AND s[2] >= {1.8 * SLOT}, false))"
+_WINDOWS = "x AS (SELECT l_orderkey, nth, (CASE WHEN nth % 3 = 0 THEN s - 9 ELSE s END)::DOUBLE AS s, e::DOUBLE AS e, (l_suppkey % 100)::DOUBLE / 100 AS score, l_partkey FROM r)"
+
 ORACLE_SQL = {
+    "detections": f"""WITH RECURSIVE {_R}, {_HEADS}, {_KIND}, {_WINDOWS},
+free AS (SELECT x.l_orderkey, x.s, x.e, x.score, x.nth + 1 AS id FROM x LEFT JOIN heads h ON h.l_orderkey = x.l_orderkey WHERE h.s IS NULL OR {_OVER.format('x', 'h')} <= 0.25),
+c0 AS (SELECT 0 AS late, l_orderkey, s, e, l_orderkey % 10 / 10 AS score, 0::BIGINT AS id FROM heads WHERE l_orderkey % 10 / 10 >= 0.1::DOUBLE
+ UNION ALL SELECT 0, x.l_orderkey, x.s, x.e, 0.5, 1 FROM x JOIN flats USING (l_orderkey) WHERE nth = 1 AND l_partkey % 50 > 22.5
+ UNION ALL SELECT CASE WHEN score >= 0.8::DOUBLE THEN 0 ELSE 1 END, l_orderkey, s, e, score, id FROM free WHERE score >= 0.15::DOUBLE),
+c AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY late, score DESC, id) AS k FROM c0),
+st AS (SELECT l_orderkey, 0::BIGINT AS k, []::STRUCT(s DOUBLE, e DOUBLE)[] AS seen, 0 AS late, 0::BIGINT AS id, 0::DOUBLE AS s, 0::DOUBLE AS e, 0::DOUBLE AS score, false AS ok FROM (SELECT DISTINCT l_orderkey FROM c)
+UNION ALL SELECT l_orderkey, k, CASE WHEN ok THEN list_append(seen, {{'s': s, 'e': e}}) ELSE seen END, late, id, s, e, score, ok FROM (SELECT st.l_orderkey, c.k, st.seen, c.late, c.id, c.s, c.e, c.score, len(list_filter(st.seen, lambda q: {_OVER.format('c', 'q')} > 0.25)) = 0 AS ok FROM st JOIN c ON c.l_orderkey = st.l_orderkey AND c.k = st.k + 1))
+SELECT l_orderkey, s, e, round(score, 6) AS score, CASE WHEN late = 1 THEN 'near' WHEN id < 2 THEN 'headword' ELSE 'inline' END AS kind, CASE WHEN late = 0 THEN row_number() OVER (PARTITION BY l_orderkey, late ORDER BY s, e, id) END AS ord FROM st WHERE ok""",
+    "training_labels": f"""WITH {_R}, {_HEADS}, {_WINDOWS},
+v AS (SELECT x.l_orderkey, x.nth, max(coalesce(greatest(least(x.e, k.e) - greatest(x.s, k.s), 0)::DOUBLE / greatest(x.e - x.s + k.e - k.s - greatest(least(x.e, k.e) - greatest(x.s, k.s), 0), 1), 0)) AS iou
+ FROM x LEFT JOIN r k ON k.l_orderkey = x.l_orderkey AND k.nth % 2 = 1 WHERE x.l_orderkey % 10 = 3 GROUP BY ALL),
+mine AS (SELECT * FROM heads WHERE l_orderkey % 10 <> 3)
+SELECT l_orderkey, nth, CASE WHEN iou >= 0.8::DOUBLE THEN 1 ELSE 0 END::BIGINT AS label, 'verified' AS source FROM v WHERE iou >= 0.8::DOUBLE OR iou <= 0.3::DOUBLE
+UNION ALL SELECT l_orderkey, 0, 1, 'layout' FROM mine UNION ALL SELECT x.l_orderkey, x.nth, 0, 'layout' FROM x JOIN mine ON mine.l_orderkey = x.l_orderkey WHERE x.e <= {6.2 * SLOT}::DOUBLE AND {_OVER.format("x", "mine")} <= 0.5
+UNION ALL SELECT l_orderkey, nth, 0, 'small print' FROM x WHERE e - s >= {0.9 * SLOT}::DOUBLE AND l_partkey % 5 = 0""",
     "headwords": f"WITH {_R}, {_HEADS} SELECT * FROM heads",
     "column_kinds": f"""WITH {_R}, a AS (SELECT l_orderkey, list(s ORDER BY s) AS s, list(e ORDER BY s) AS e FROM r GROUP BY l_orderkey)
 SELECT l_orderkey, coalesce(e[1] - s[1] < {0.35 * SLOT} AND (s[1] + e[1]) / 2.0 BETWEEN {0.6 * SLOT} AND {1.25 * SLOT} AND s[2] >= {1.8 * SLOT}, false) AS flat, len(s) >= 2 AND s[1] >= 5 AS tally FROM a""",

@@ -6,13 +6,13 @@ from tessella.functions import scalars as S
 from tessella.operators import rules as R
 from tessella.session import prepare, table
 
-FIRST, LAST = 0x3D001, 0x3D001 + 249
+FIRST, LAST = 0x3D000, 0x3FC3F
 PATTERNS = {"kSource": "^C-[0-9]{5}$", "kOther": "^(TH-[0-9]{5}|TH-X[0-9]{3})$"}
 
 
 def _lines(spark, sf_dir):
-    """The first 250 parts as lines of a property table, with every kind of fault at fixed distances."""
-    p = table(prepare(spark), sf_dir, "part").filter("p_partkey <= 250").select(F.col("p_partkey").alias("k"), "p_size")
+    """All parts as lines of a property table, with every kind of fault at fixed distances."""
+    p = table(prepare(spark), sf_dir, "part").select(F.col("p_partkey").alias("k"), "p_size")
     code = F.concat(F.when(F.col("k") % 31 == 0, "u+").otherwise("U+"), S.hex5(F.when(F.col("k") % 97 == 0, F.lit(0x41000)).otherwise(F.lit(0x3D000)) + F.col("k")))
     source = F.when(F.col("k") % 23 == 0, F.concat(F.lit("X-"), F.col("k").cast("string"))).otherwise(F.format_string("C-%05d", F.when(F.col("k") % 41 == 0, 1).otherwise(F.col("k"))))
     modern = F.when(F.col("k") % 29 == 0, "4E0").otherwise(S.hex5(F.lit(0x4E00) + F.col("k")))
@@ -65,7 +65,7 @@ QUERIES = {f.__name__: f for f in (property_violations, property_values, propert
 
 _HEX = "printf('%05X', {})"
 _CODE = f"CASE WHEN k % 31 = 0 THEN 'u+' ELSE 'U+' END || {_HEX.format('CASE WHEN k % 97 = 0 THEN 266240 ELSE 249856 END + k')}"
-_LINES = f"""p AS (SELECT p_partkey AS k, p_size, {_CODE} AS code FROM part WHERE p_partkey <= 250 AND p_partkey % 13 <> 0),
+_LINES = f"""p AS (SELECT p_partkey AS k, p_size, {_CODE} AS code FROM part WHERE p_partkey % 13 <> 0),
 lines AS (SELECT k * 10 AS line_no, code || chr(9) || 'kSource' || chr(9) || CASE WHEN k % 23 = 0 THEN 'X-' || k ELSE printf('C-%05d', CASE WHEN k % 41 = 0 THEN 1 ELSE k END) END AS line FROM p
 UNION ALL SELECT k * 10 + 1, code || chr(9) || 'kModern' || chr(9) || CASE WHEN k % 29 = 0 THEN '4E0' ELSE {_HEX.format('19968 + k')} END FROM p
 UNION ALL SELECT k * 10 + 2, code || chr(9) || 'kRadical' || chr(9) || p_size || '.' || {_HEX.format('k')} || CASE WHEN k % 37 = 0 THEN ' 7.x' ELSE '' END FROM p
