@@ -111,6 +111,14 @@ def document_rows(docs: DataFrame, labels: DataFrame, label: Column) -> DataFram
     return session.cut(HashingTF(inputCol="w", outputCol="x", numFeatures=WORDS).transform(rows).drop("w"))
 
 
+def held_out_accuracy(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """quality, accuracy and n: how many of each label's documents the first stage, fitted without their fold, puts on their label's side."""
+    with session.scratch(docs.sparkSession):
+        held = out_of_fold(document_rows(docs, labels, F.col("quality")), linear, with_margin)
+        right = ((F.col("margin") > 0) == (F.col("y") == 1)).cast("double")
+        return held.groupBy(F.col("y").cast("int").alias("quality")).agg(F.avg(right).alias("accuracy"), F.count("*").alias("n")).checkpoint(eager=True)
+
+
 def stacked_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, quality, oof (the first stage's out-of-fold probability) and score (of both stages) of labelled documents."""
     with session.scratch(docs.sparkSession):

@@ -104,7 +104,12 @@ def cleaned_classifier(spark, sf_dir):
     return ml.cleaned_scores(table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (outlier_guard, contrast_filter, smooth_cap, local_argmax, adjacent_pair, trimmed_regression, grid_search, straddle_repair, band_ratio, group_statistics, largest_gap, stacked_classifier, cleaned_classifier)}
+def classifier_accuracy(spark, sf_dir):
+    """Held-out accuracy of the classifier's first stage by label."""
+    return ml.held_out_accuracy(table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (outlier_guard, contrast_filter, smooth_cap, local_argmax, adjacent_pair, trimmed_regression, grid_search, straddle_repair, band_ratio, group_statistics, largest_gap, stacked_classifier, cleaned_classifier, classifier_accuracy)}
 
 _FIT = "SELECT event_type, regr_slope(value, day) AS s, regr_intercept(value, day) AS i, count(*) AS n FROM {} GROUP BY event_type"
 

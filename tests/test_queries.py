@@ -469,6 +469,13 @@ def test_cleaned_classifier_drops_planted_labels(spark):
     assert sum((scores[i] >= 0.5) == (i % 2 == 1) for i in range(600)) >= 0.95 * 600
 
 
+def test_held_out_accuracy(spark):
+    got = {r.quality: r for r in registry.QUERIES["classifier_accuracy"](spark, SF).collect()}
+    labels = [r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()]
+    assert {k: r.n for k, r in got.items()} == {k: labels.count(k) for k in set(labels)}
+    assert sum(r.accuracy * r.n for r in got.values()) >= 0.75 * len(labels)
+
+
 def test_cleaned_classifier_of_documents(spark):
     got = registry.QUERIES["cleaned_classifier"](spark, SF).collect()
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
