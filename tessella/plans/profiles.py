@@ -63,7 +63,7 @@ def straddle_repair(spark, sf_dir):
     hour, kind = F.col("h") % 24, F.col("event_type")
     off = kind.isin("view", "error")
     near = lambda x: (F.least(F.abs(hour - x), 24 - F.abs(hour - x)) == 0)
-    stroke = F.when(near(0), F.when(off, 8).otherwise(20)).when(near(12), F.when(off, 20).otherwise(2)).otherwise(0)
+    stroke = F.when(near(0), F.when(off, 15).otherwise(20)).when(near(12), F.when(off, 20).otherwise(2)).otherwise(0)
     ink = F.when(kind == "error", 2).when(hour.between(6, 17), 6).otherwise(1)
     profile = _profile(spark, sf_dir).filter("h >= 0").select("event_type", "h", (F.col("n") * stroke).cast("long").alias("v"), (F.col("n") * ink).cast("long").alias("ink"))
     strokes = profile.filter("v > 0")
@@ -117,7 +117,7 @@ _RATIO = """{name} AS (SELECT event_type, origin, pitch, coalesce(sum(ink) FILTE
  SELECT g.event_type, g.origin, g.pitch, p.ink, p.h >= trunc(a + (b - a) / 4) AND p.h < trunc(b - (b - a) / 4) AS mid
  FROM (SELECT *, origin + pitch * k AS a, origin + pitch * (k + 1) AS b FROM {grids}, range(8) t(k)) g LEFT JOIN inked p ON p.event_type = g.event_type AND p.h >= trunc(g.a) AND p.h < trunc(g.b)) GROUP BY ALL)"""
 _STRADDLE = f"""WITH p AS ({_PROFILE}),
-inked AS (SELECT event_type, h, n * CASE WHEN h % 24 = 0 THEN CASE WHEN event_type IN ('view', 'error') THEN 8 ELSE 20 END WHEN h % 24 = 12 THEN CASE WHEN event_type IN ('view', 'error') THEN 20 ELSE 2 END ELSE 0 END AS v,
+inked AS (SELECT event_type, h, n * CASE WHEN h % 24 = 0 THEN CASE WHEN event_type IN ('view', 'error') THEN 15 ELSE 20 END WHEN h % 24 = 12 THEN CASE WHEN event_type IN ('view', 'error') THEN 20 ELSE 2 END ELSE 0 END AS v,
  n * CASE WHEN event_type = 'error' THEN 2 WHEN h % 24 BETWEEN 6 AND 17 THEN 6 ELSE 1 END AS ink FROM p WHERE h >= 0),
 s AS (SELECT event_type, pitch, h - k * pitch AS origin, sum(v * CASE WHEN k IN (0, 8) THEN 2 ELSE 1 END) AS score FROM inked, (VALUES (23), (24), (25)) a(pitch), range(0, 9) b(k) WHERE v > 0 GROUP BY ALL),
 g0 AS (SELECT event_type, pitch::DOUBLE AS pitch, origin::DOUBLE AS origin FROM s QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY score DESC, pitch, origin) = 1),
