@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tessella.functions import scalars as S
+from tessella.operators import vectors as V
 from tessella.session import prepare, table
 
 
@@ -16,46 +17,34 @@ def unit_vectors(spark, sf_dir):
 
 
 def _pairs(spark, sf_dir, every=False):
-    """Queries and the other rows of their label, or every other row: a product of both sides' partitions, or with the broadcast queries where Spark finds them small."""
     df = _vectors(spark, sf_dir)
-    q = df.filter("vec_id % 50 = 0").select("label", F.col("vec_id").alias("query_id"), F.col("v").alias("qv"))
-    pairs = q.drop("label").crossJoin(df) if every else q.join(df, "label")
-    return pairs.filter("query_id <> vec_id")
+    return V.blocks(df.filter("vec_id % 50 = 0"), df, "vec_id", "v", None if every else "label")
 
 
 def similarity_pairs(spark, sf_dir):
-    return _pairs(spark, sf_dir).select("query_id", "vec_id", S.r6(S.dot(F.col("qv"), F.col("v"))).alias("similarity"))
-
-
-def _nearest(pairs):
-    best = pairs.groupBy("query_id").agg(F.min(F.struct((-F.col("similarity")).alias("k"), "vec_id")).alias("b"))
-    return best.select("query_id", F.col("b.vec_id").alias("vec_id"), (-F.col("b.k")).alias("similarity"))
+    return V.similarities(_pairs(spark, sf_dir))
 
 
 def similarity_top1(spark, sf_dir):
-    return _nearest(similarity_pairs(spark, sf_dir))
-
-
-def _shift_max(pairs):
-    shifts = [F.coalesce(S.dot(S.unit(S.shift(F.col("v"), k)), F.col("qv")), F.lit(0.0)) for k in range(-2, 3)]
-    return pairs.select("query_id", "vec_id", S.r6(F.greatest(*shifts)).alias("similarity"))
+    """The nearest of the label's other rows. Vectors without a direction are nobody's nearest."""
+    return V.nearest(_pairs(spark, sf_dir))
 
 
 def shift_max(spark, sf_dir):
-    return _shift_max(_pairs(spark, sf_dir))
+    return V.similarities(_pairs(spark, sf_dir), V.shifted)
 
 
 def similarity_pairs_all(spark, sf_dir):
-    return _pairs(spark, sf_dir, True).select("query_id", "vec_id", S.r6(S.dot(F.col("qv"), F.col("v"))).alias("similarity"))
+    return V.similarities(_pairs(spark, sf_dir, True))
 
 
 def similarity_top1_all(spark, sf_dir):
-    """The nearest of all other rows: each task keeps one row a query. Vectors without a direction are nobody's nearest."""
-    return _nearest(similarity_pairs_all(spark, sf_dir).filter("similarity is not null"))
+    """The nearest of all other rows. Vectors without a direction are nobody's nearest."""
+    return V.nearest(_pairs(spark, sf_dir, True))
 
 
 def shift_max_all(spark, sf_dir):
-    return _shift_max(_pairs(spark, sf_dir, True))
+    return V.similarities(_pairs(spark, sf_dir, True), V.shifted)
 
 
 QUERIES = {f.__name__: f for f in (unit_vectors, similarity_pairs, similarity_top1, shift_max, similarity_pairs_all, similarity_top1_all, shift_max_all)}

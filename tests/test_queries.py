@@ -590,3 +590,41 @@ def test_searches_between_neighbours(spark):
     more = c.unionByName(spark.createDataFrame([(1, 9, 0, 5, 13, 0.9), (1, 9, 1, 8, 16, 0.6), (6, 1, 90, 0, 8, 0.51)], c.schema))
     found = {(r.k, r.j): None if r.pos is None else (r.pos, r.y0) for r in recovery.recovered(lost, out.filter("j <> 3"), more, ["k"], 0, 720, 20).collect()}
     assert found == {(1, 9): (1, 8), (1, 3): (0, 160), (6, 1): (90, 0), (7, 1): None}
+
+
+def test_vector_blocks_hold_every_pair(spark, monkeypatch):
+    import random
+
+    from tessella.operators import vectors
+
+    monkeypatch.setattr(vectors, "QUERIES", 3)
+    monkeypatch.setattr(vectors, "ROWS", 7)
+    rng = random.Random(5)
+    v = lambda n: [rng.gauss(0, 1) for _ in range(n)]
+    data = [(i, rng.choice("ab") if i % 9 else None, None if i % 11 == 0 else v(4 if i % 7 == 0 else 6)) for i in range(60)]
+    df = spark.createDataFrame(data, "id long, g string, raw array<double>")
+    df = df.select("id", "g", S.unit(df.raw).alias("v")).cache()
+    unit = {r.id: (r.g, r.v) for r in df.collect()}
+
+    def shifted(a, b):
+        best = 0.0
+        for k in range(-2, 3):
+            moved = [b[i - k] if 0 <= i - k < len(b) else 0.0 for i in range(len(b))]
+            mean = sum(moved) / len(moved)
+            norm = math.sqrt(sum((x - mean) ** 2 for x in moved))
+            got = sum(x * (y - mean) for x, y in zip(a, moved)) / norm
+            best = got if k == -2 else max(best, got)
+        return best
+
+    for group in ("g", None):
+        dealt = lambda: vectors.blocks(df.filter("id % 5 = 0"), df, "id", "v", group)
+        pairs = [(q, w) for q in unit for w in unit if q % 5 == 0 and q != w and (not group or unit[q][0] is not None and unit[q][0] == unit[w][0])]
+        level = lambda q, w: unit[q][1] and unit[w][1] and len(unit[q][1]) == len(unit[w][1])
+        want = {(q, w): round(sum(x * y for x, y in zip(unit[q][1], unit[w][1])), 6) if level(q, w) else None for q, w in pairs}
+        got = [tuple(r) for r in vectors.similarities(dealt()).collect()]
+        assert len(got) == len(want) and all((s is None) == (want[q, w] is None) and abs((s or 0) - (want[q, w] or 0)) < 2e-6 for q, w, s in got)
+        got = [tuple(r) for r in vectors.similarities(dealt(), vectors.shifted).collect()]
+        assert len(got) == len(want) and all(abs(s - (shifted(unit[q][1], unit[w][1]) if level(q, w) else 0.0)) < 2e-6 for q, w, s in got)
+        best = {q: max(((s, -w) for (p, w), s in want.items() if p == q and s is not None), default=None) for q, _ in pairs}
+        assert {r.query_id: r.vec_id for r in vectors.nearest(dealt()).collect()} == {q: -b[1] for q, b in best.items() if b}
+    df.unpersist()
