@@ -77,16 +77,21 @@ def values_at(df: DataFrame, value: str, ranks: list[int], most: int = MOST) ->
         return [found[r] for r in ranks]
 
 
+def _beside(df: DataFrame, named: DataFrame, keys: list[str]) -> DataFrame:
+    """df with the columns of its group, a row a group: sent to all rows, which stay where they are, unless the groups are many."""
+    return df.join(F.broadcast(named) if named.limit(BROADCAST + 1).count() <= BROADCAST else named, keys)
+
+
 def median_guard(df: DataFrame, keys: list[str], value: str, share: float) -> DataFrame:
     """Rows whose value is more than `share` of their group's median away from it."""
     mid = quantiles(df, keys, value, mid=0.5)
-    return df.join(mid, keys).filter(F.abs(F.col(value) - F.col("mid")) > share * F.col("mid"))
+    return _beside(df, mid, keys).filter(F.abs(F.col(value) - F.col("mid")) > share * F.col("mid"))
 
 
 def contrast(df: DataFrame, keys: list[str], value: str, part: float) -> DataFrame:
     """Rows at or below p2 + (median - p2) * part of their group."""
     q = quantiles(df, keys, value, p2=0.02, mid=0.5)
-    return df.join(q, keys).filter(F.col(value) <= F.col("p2") + (F.col("mid") - F.col("p2")) * part)
+    return _beside(df, q, keys).filter(F.col(value) <= F.col("p2") + (F.col("mid") - F.col("p2")) * part)
 
 
 def smooth_cap(df: DataFrame, keys: list[str], at: str, value: str, reach: int, cap: float) -> DataFrame:

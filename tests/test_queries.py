@@ -628,3 +628,15 @@ def test_vector_blocks_hold_every_pair(spark, monkeypatch):
         best = {q: max(((s, -w) for (p, w), s in want.items() if p == q and s is not None), default=None) for q, _ in pairs}
         assert {r.query_id: r.vec_id for r in vectors.nearest(dealt()).collect()} == {q: -b[1] for q, b in best.items() if b}
     df.unpersist()
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_group_quantiles_go_to_the_rows(spark):
+    from tessella.operators import fit
+
+    df = spark.range(4000).selectExpr("id", "cast(id % 2 as string) g", "cast(id as double) v")
+    for got in (fit.median_guard(df, ["g"], "v", 0.9), fit.contrast(df, ["g"], "v", 0.6)):
+        assert "SortMergeJoin" not in plan(got) and "BroadcastHashJoin" in plan(got)  # no group's rows meet in one task
