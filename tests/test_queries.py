@@ -640,3 +640,8 @@ def test_group_quantiles_go_to_the_rows(spark):
     df = spark.range(4000).selectExpr("id", "cast(id % 2 as string) g", "cast(id as double) v")
     for got in (fit.median_guard(df, ["g"], "v", 0.9), fit.contrast(df, ["g"], "v", 0.6)):
         assert "SortMergeJoin" not in plan(got) and "BroadcastHashJoin" in plan(got)  # no group's rows meet in one task
+
+
+def test_ruled_fold_runs_once_a_page(spark):
+    df = records.overlay_effects(spark, SF)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 1
