@@ -645,3 +645,32 @@ def test_group_quantiles_go_to_the_rows(spark):
 def test_ruled_fold_runs_once_a_page(spark):
     df = records.overlay_effects(spark, SF)
     assert df._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 1
+
+
+def test_resolved_texts_by_parts_of_names(spark):
+    from tessella import session
+    from tessella.operators import review
+
+    names = [("30001", "abcabcabcabcd"), ("30002", "xx\U0001f600y"), ("30003", ""), ("30004", None), ("30005", "abcabcabcabce"), *[(f"{i:05X}", "common name") for i in range(0x30010, 0x30040)]]
+    texts = ["", "a", "abc", "abcabcabcd", "abcabcabcx", "\U0001f600", "common", "30001", "30009", "\U0001f600y", None, "e"]
+    known, wanted = spark.createDataFrame(names, "code string, name string"), spark.createDataFrame([(t,) for t in texts + texts], "text string")
+    with session.scratch(spark):
+        out = review.resolve_text(wanted, known, "text", "code", "name")
+        got = {r.text: (r.n, r.hits) for r in out.collect()}
+    held = lambda t: sorted(c for c, n in names if t is not None and n is not None and t in n)
+    assert len(got) == len(texts) and got.pop("30001") == (1, ["30001"])
+    assert got == {t: (len(held(t)), held(t)[:8]) for t in texts if t != "30001"}
+
+
+def test_resolved_texts_meet_names_by_key(spark, monkeypatch):
+    from tessella import session
+    from tessella.operators import review
+
+    plans, cut = [], session.cut
+    monkeypatch.setattr(session, "cut", lambda df: plans.append(plan(df)) or cut(df))
+    with session.scratch(spark):
+        known = spark.range(500).selectExpr("hex(id) code", "concat('name ', id) name")
+        out = review.resolve_text(known.selectExpr("substr(name, 3, 4) text"), known, "text", "code", "name")
+        assert out.count() > 0
+        plans.append(plan(out))
+    assert not any("NestedLoop" in p or "CartesianProduct" in p for p in plans)
