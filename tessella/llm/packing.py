@@ -2,10 +2,11 @@
 
 Every document is tokenised, closed by an end id and, if longer than a sequence, cut into whole
 sequences behind a shorter first piece. The histogram of piece lengths, of at most `capacity`
-numbers, is all that the driver sees. Over it, the configuration program (how often to use each
-way of filling a sequence) is solved by multiplicative weights: lengths whose demand lags behind
-get heavier, and a bounded knapsack dynamic program prices the best filling for the weights. Fillings
-are used whole times and never beyond the pieces there are, so the program itself places every piece.
+numbers, is all that the driver sees. Over it, the linear program of configurations (how often to use each
+way of filling a sequence, in parts) is solved by multiplicative weights: lengths that are served
+get lighter, and a knapsack dynamic program prices fillings for the weights. The weights give a lower bound, and so
+the gap of the fractional solution. Its fillings are used whole times, rounded down; the few pieces that this leaves, about half a sequence a
+filling, are packed by a bounded knapsack over what is left.
 
 Pieces find their places by their rank among the pieces of their length: ranks come from counts per
 (length, salt), so no length, however common, meets in one task.
@@ -93,28 +94,99 @@ def price(weight: np.ndarray, capacity: int, limit: np.ndarray) -> np.ndarray:
     return use
 
 
-def solve(demand: np.ndarray, capacity: int, prefer: float = 0.2, rate: float = 0.01) -> list[tuple[np.ndarray, int]]:
-    """(filling, times) that cover the demand exactly, by multiplicative weights over the lengths.
-
-    A length's weight starts at its size, the dual value it has where sequences come out full, and a part `prefer` of
-    its square: of equally full sequences the one of longer pieces goes first, as short ones fill any room later.
-    Each round prices the filling of most weight among the pieces still open, uses it as often as its scarcest length
-    allows and multiplies the weights of the lengths that it serves by the part of their demand served, so that lengths
-    that lag behind weigh more. Fillings that leave room are used too, where no better one is left: the rounds go on
-    until no piece is open. Each one uses up a length or leaves less of it than one filling takes.
+def values(weight: np.ndarray, capacity: int) -> np.ndarray:
+    """The most weight that fits into each room up to the capacity, with any number of each length; weight[l] <= 0 where length l is not wanted."""
+    best = np.zeros(capacity + 1)
+    back = np.zeros(capacity + 1)  # best, from the capacity down
+    for c in range(1, capacity + 1):
+        best[c] = max(best[c - 1], (weight[1 : c + 1] + back[capacity - c + 1 :]).max())
+        back[capacity - c] = best[c]
+    return best
+
+
+def filled(weight: np.ndarray, best: np.ndarray, first: int, capacity: int) -> tuple[dict[int, int], float]:
+    """A filling that holds the length `first` and what the values of the rooms make best beside it, and its weight."""
+    use, room, total = {first: 1}, capacity - first, weight[first]
+    while room:
+        k = int((weight[1 : room + 1] + best[room - 1 :: -1]).argmax()) + 1
+        if weight[k] <= 0:
+            break
+        use[k] = use.get(k, 0) + 1
+        room, total = room - k, total + weight[k]
+    return use, total
+
+
+def program(demand: np.ndarray, capacity: int, step: float = 0.1, rate: float = 0.1, lead: float = 1.0, slack: float = 0.001) -> tuple[dict[tuple, float], float]:
+    """The configuration program's fractional solution and a lower bound for it: {filling: times} that serve the demand exactly; a filling is a tuple of (length, pieces).
+
+    The fewest sequences, in parts, whose fillings serve the demand: a filling comes in when a knapsack prices it, and weights (the
+    dual values) stand for the demand. A length's weight is its size, times exp(-rate) for each whole demand that was served; long lengths are
+    taken to be `lead` times their size behind, so that what is left at the end is short and fills any room. A knapsack gives the value of
+    every room; then the length that lags most, of those in a filling whose weight is by its values within `slack` of the best (and indeed within twice that), gets that filling, for `step` of the
+    demand of its scarcest length or what is open of it. Weights only fall, so the values stay an upper bound until no such filling is left and
+    the knapsack is solved again. A length served in full drops out. Each filling serves `step` of a length or its rest, so there are (1 + 1 / step) times
+    the lengths of them at most, whatever the corpus.
+
+    The weights over the value of the best filling are a feasible dual solution: the demand times it is a lower bound for any packing.
+    """
+    size = np.arange(capacity + 1) / capacity
+    served = np.where(demand > 0, 0.0, 1.0)
+    found: dict[tuple, float] = {}
+    bound = float(demand @ size)  # the sizes themselves are a dual solution
+    while (served < 1).any():
+        weight = np.where(served < 1, size * np.exp(-rate * (served - lead * size)), -1.0)
+        best = values(weight, capacity)
+        bound = max(bound, float(demand @ np.maximum(weight, 0)) / best[capacity])
+        asked, least = served < 1, (1 - slack) * best[capacity]
+        while True:
+            near = asked & (weight + best[::-1] >= least)
+            if not near.any():
+                break
+            first = int(np.where(near, served - lead * size, np.inf).argmin())
+            use, total = filled(weight, best, first, capacity)
+            if total < (1 - 2 * slack) * best[capacity]:  # the values are too old for it
+                asked[first] = False
+                continue
+            k, n = np.fromiter(use, np.int64), np.fromiter(use.values(), np.int64)
+            times = float((np.minimum(step, 1 - served[k]) * demand[k] / n).min())
+            key = tuple(sorted(use.items()))
+            found[key] = found.get(key, 0.0) + times
+            served[k] += n * times / demand[k]
+            served[k[served[k] > 1 - 1e-9]] = 1
+            weight[k] = np.where(served[k] < 1, size[k] * np.exp(-rate * (served[k] - lead * size[k])), -1.0)
+            asked &= served < 1
+    return found, bound
+
+
+def rest(demand: np.ndarray, capacity: int, prefer: float = 0.2) -> list[tuple[np.ndarray, int]]:
+    """(filling, times) for the pieces that whole parts of the program leave: the fullest sequence that these pieces make, as often as they allow, and so on.
+
+    Of equally full sequences the one of longer pieces goes first (by a part `prefer` of their squares), as short ones fill any room later.
     """
     size = np.arange(len(demand)) / capacity
-    open_ = demand.astype(np.int64)
-    weight = size * (1 + prefer * size)
-    found: dict[bytes, list] = {}
+    weight, open_, out = size * (1 + prefer * size), demand.astype(np.int64), []
     while open_.any():
         use = price(weight, capacity, open_)
         on = use > 0
         times = int((open_[on] // use[on]).min())
-        found.setdefault(use.tobytes(), [use, 0])[1] += times
         open_[on] -= use[on] * times
-        weight[on] *= np.exp(-rate * use[on] * times / demand[on])
-    return [(use, n) for use, n in found.values()]
+        out.append((use, times))
+    return out
+
+
+def solve(demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
+    """(filling, times) that cover the demand exactly: the program's fillings rounded down to whole times, the rest filled piece by piece."""
+    left, out = demand.astype(np.int64), []
+    for filling, times in program(left, capacity)[0].items():
+        use = np.zeros(len(demand), np.int64)
+        for k, n in filling:
+            use[k] = n
+        on = use > 0
+        whole = min(int(times + 1e-9), int((left[on] // use[on]).min()))
+        if whole:
+            left[on] -= use[on] * whole
+            out.append((use, whole))
+    return out + rest(left, capacity)
 
 
 def plan(demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:

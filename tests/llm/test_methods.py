@@ -170,6 +170,27 @@ def test_packing_uses_the_program_on_documents(spark):
     assert sum(n for _, n in found) <= int(np.ceil((demand * np.arange(1025)).sum() / 1024)) + 5
 
 
+def test_packing_solves_the_program():
+    capacity, rng = 256, np.random.default_rng(5)
+    sizes = np.clip(rng.lognormal(4, 1, 60_000).astype(int), 1, 255)
+    demand = np.bincount(sizes, minlength=capacity + 1)
+    found, bound = packing.program(demand, capacity)
+    served = np.zeros(capacity + 1)
+    for filling, times in found.items():
+        assert times > 0 and sum(k * n for k, n in filling) <= capacity
+        for k, n in filling:
+            served[k] += n * times
+    assert np.allclose(served, demand)
+    value = sum(found.values())
+    assert bound <= value <= 1.01 * bound and bound >= demand @ np.arange(capacity + 1) / capacity - 1e-9
+    out = packing.solve(demand, capacity)
+    assert (sum(use * n for use, n in out) == demand).all() and bound - 1e-6 <= sum(n for _, n in out) <= 1.01 * bound
+    whole = sum(int(times + 1e-9) for times in found.values())
+    assert whole >= 0.9 * sum(n for _, n in out)  # sequences that are whole parts of the fractional solution
+    halves = np.bincount([600] * 50 + [700] * 30 + [300] * 10, minlength=1025)
+    assert 75 < packing.program(halves, 1024)[1] <= 80 == sum(n for _, n in packing.solve(halves, 1024))  # the weights' bound; that of the sizes is 53
+
+
 def test_stages_on_odd_tables(spark):
     d = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
     names = ["row", "row_", "good_", "toxic_score", "toxic_score_", "node_", "id_", "set_", "salt_", "n_words", "words_", "n", "h_", "label", "kind"]
