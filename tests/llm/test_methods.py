@@ -191,6 +191,22 @@ def test_packing_solves_the_program():
     assert 75 < packing.program(halves, 1024)[1] <= 80 == sum(n for _, n in packing.solve(halves, 1024))  # the weights' bound; that of the sizes is 53
 
 
+def test_quality_stage_writes_no_texts(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tessella import session
+
+    written, cut = [], session.cut
+    monkeypatch.setattr(session, "cut", lambda df: written.append(df.schema.simpleString()) or cut(df))
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = docs.unionByName(docs.limit(20)).unionByName(docs.limit(3).selectExpr("cast(null as long) doc_id", "text", "lang", "source", "n_chars"))
+    kept = collections.Counter((r.doc_id, r.text) for r in quality_rules.keep(docs).collect())
+    assert written and not any("text" in x for x in written)
+    monkeypatch.undo()
+    judged = quality_rules.judge(docs.withColumn("doc_id", F.struct("doc_id", "text"))).filter("kept").collect()
+    assert kept == collections.Counter((r.doc_id.doc_id, r.doc_id.text) for r in judged) and kept
+
+
 def test_stages_on_odd_tables(spark):
     d = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
     names = ["row", "row_", "good_", "toxic_score", "toxic_score_", "node_", "id_", "set_", "salt_", "n_words", "words_", "n", "h_", "label", "kind"]
