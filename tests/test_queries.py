@@ -469,6 +469,23 @@ def test_cleaned_classifier_drops_planted_labels(spark):
     assert sum((scores[i] >= 0.5) == (i % 2 == 1) for i in range(600)) >= 0.95 * 600
 
 
+def test_linear_stage_keeps_vectors_sparse(spark):
+    import random
+
+    from pyspark.ml.feature import StandardScaler
+    from pyspark.ml.linalg import SparseVector, Vectors
+    from pyspark.sql import functions as F
+
+    from tessella.operators import ml
+
+    rng = random.Random(4)
+    df = spark.createDataFrame([(i, float(i % 2), Vectors.sparse(6, {rng.randrange(3): 1.0, 3 + (rng.random() < 0.3 + 0.4 * (i % 2)): 2.0})) for i in range(200)], ["id", "y", "x"])
+    assert all(isinstance(r["x_"], SparseVector) for r in ml.linear(df).transform(df).select("x_").collect())
+    centred = StandardScaler(inputCol="x", outputCol="c", withMean=True, withStd=False).fit(df).transform(df).select("id", "y", F.col("c").alias("x"))
+    a, b = ({r.id: r.margin for r in ml.with_margin(ml.linear(x), x).collect()} for x in (df, centred))
+    assert all(abs(a[i] - b[i]) < 1e-3 for i in a)
+
+
 def test_held_out_accuracy(spark):
     got = {r.quality: r for r in registry.QUERIES["classifier_accuracy"](spark, SF).collect()}
     labels = [r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()]
