@@ -17,8 +17,8 @@ def unit_vectors(spark, sf_dir):
 
 
 def _pairs(spark, sf_dir, every=False):
-    df = _vectors(spark, sf_dir)
-    return V.blocks(df.filter("vec_id % 50 = 0"), df, "vec_id", "v", None if every else "label")
+    df = table(prepare(spark), sf_dir, "embeddings")
+    return V.blocks(df.filter("vec_id % 50 = 0"), df, "vec_id", "embedding", None if every else "label")
 
 
 def similarity_pairs(spark, sf_dir):

@@ -647,6 +647,29 @@ def test_vector_blocks_hold_every_pair(spark, monkeypatch):
     df.unpersist()
 
 
+def written(df, folder):
+    """Bytes a row of a frame as a parquet table, and its rows."""
+    import pathlib
+
+    df.write.parquet(str(folder))
+    n = df.sparkSession.read.parquet(str(folder)).count()
+    return sum(p.stat().st_size for p in pathlib.Path(folder).glob("*.parquet")) / n, n
+
+
+def gaussians(spark, first, n):
+    from pyspark.sql import functions as F
+
+    return spark.range(first, first + n, 1, 4).select("id", F.array(*[F.randn(k) for k in range(64)]).alias("v"))
+
+
+def test_shifted_pairs_take_little_disk(spark, tmp_path):
+    from tessella.operators import vectors
+
+    queries, rows = gaussians(spark, 10**6, 1500), gaussians(spark, 0, 6000)
+    each, n = written(vectors.similarities(vectors.blocks(queries, rows, "id", "v", None), vectors.shifted), tmp_path / "x")
+    assert n == 1500 * 6000 and each < 6.5  # over 9 in the order of the ids
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
