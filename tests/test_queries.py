@@ -670,6 +670,24 @@ def test_shifted_pairs_take_little_disk(spark, tmp_path):
     assert n == 1500 * 6000 and each < 6.5  # over 9 in the order of the ids
 
 
+def test_pairs_of_a_block_come_in_order(spark, monkeypatch):
+    from collections import defaultdict
+
+    from pyspark.sql import functions as F
+
+    from tessella.operators import vectors
+
+    monkeypatch.setattr(vectors, "QUERIES", 60)
+    monkeypatch.setattr(vectors, "ROWS", 150)
+    got = vectors.similarities(vectors.blocks(gaussians(spark, 10**6, 100), gaussians(spark, 0, 600), "id", "v", None)).withColumn("p", F.spark_partition_id()).collect()
+    tasks = defaultdict(list)
+    for r in got:
+        tasks[r.p].append(r)
+    assert len({(r.query_id, r.vec_id) for r in got}) == len(got) == 100 * 600
+    assert len(tasks) == 2 * 4  # a block each: they are not joined by their size
+    assert all(a.similarity <= b.similarity for t in tasks.values() for a, b in zip(t, t[1:]))
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
