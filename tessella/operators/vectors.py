@@ -123,7 +123,7 @@ def _batch(query: np.ndarray, row: np.ndarray, value: np.ndarray) -> pa.RecordBa
 
 
 def _ordered(slices: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    """Pairs by similarity, taken out of the slices: equal ones stand together, and columnar files take less than half the place. A number holds similarity and place."""
+    """Pairs by similarity, taken out of the slices: equal ones stand together, and columnar files take less than half the place where a block is full. A number holds similarity and place."""
     q, w = np.concatenate([x[0] for x in slices]), slices[0][1]
     keys, bits = np.empty(len(q) * len(w), np.int64), (len(q) * len(w)).bit_length()
     end = len(keys)
